@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import decontaminate, simhash
 
 QUERIES = {
     "op7_simhash_near_dedup": simhash.op7,
+    "op8_benchmark_decontamination": decontaminate.op8,
 }
 ORACLES: dict[str, str] = {}
