@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, secrets, simhash, toxicity
+from . import bpe, decontaminate, secrets, simhash, toxicity
 
 QUERIES = {
     "op2_secret_scan": secrets.op2,
     "op4_toxicity": toxicity.op4,
+    "op6_byte_bpe": bpe.op6,
     "op7_simhash_near_dedup": simhash.op7,
     "op8_benchmark_decontamination": decontaminate.op8,
 }
