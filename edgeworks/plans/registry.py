@@ -1,10 +1,433 @@
-"""The registered queries of the edge operators, with their SQL."""
+"""The registered queries of the edge operators, with their SQL.
+
+Computed doubles are rounded to six places on both sides, since sums differ in their last digits
+between engines.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from edgeworks.functions.bins import value_bins
+from edgeworks.functions.random import keyed_gamma, keyed_poisson, keyed_trunc_normal, keyed_uniform
+from edgeworks.operators import geometry, ids, matching, model, properties, quality, rules, sampling
+from edgeworks.sources import fixtures as fx
+from edgeworks.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None, *needs: str):
+    """Register a function under its name, with SQL after a WITH clause of what it needs."""
+
+    def add(function):
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLES[function.__name__] = (fx.with_sql(*needs) if needs else "") + sql
+        return function
+
+    return add
+
+
+def r6(column: Column | str) -> Column:
+    return F.round(column, 6)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder among the shared ones."""
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="edgeworks-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.with_pathway(fx.circuit(spark, sf_dir), *fx.PATHWAY)
+
+
+def connection_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last rule that covers each pathway, by pathway_i."""
+    table = spark.createDataFrame([*fx.CONNECTION_RULES], "rule_i int, src_mtype string, dst_mtype string, " + ", ".join(f"{c} double" for c in fx.CONNECTION_FIELDS))
+    cells = rules.expand_rules(table.select("rule_i", "src_mtype", "dst_mtype"), {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir)})
+    best = rules.last_rule(cells, ["src_mtype", "dst_mtype"]).join(table.drop("src_mtype", "dst_mtype"), "rule_i")
+    return best.withColumn("pathway_i", model.pathway_key(best, *fx.PATHWAY)).select("pathway_i", *fx.CONNECTION_FIELDS)
+
+
+def params_of(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    return sampling.reduce_params(model.pathway_stats(df), connection_rules(spark, sf_dir))
+
+
+# -- assembly ---------------------------------------------------------------------------------
+
+
+@query("SELECT * FROM circuit", "circuit")
+def assemble_circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.circuit(spark, sf_dir)
+
+
+@query("SELECT synapse_id, pathway_i, pathway_str FROM keyed", "keyed")
+def pathway_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed(spark, sf_dir).select("synapse_id", "pathway_i", "pathway_str")
+
+
+@query("SELECT pathway_i, total_touches, total_connections, round(structural_mean, 6) AS structural_mean FROM stats", "stats")
+def pathway_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.pathway_stats(keyed(spark, sf_dir)).withColumn("structural_mean", r6("structural_mean"))
+
+
+@query("SELECT src, dst, synapse_id FROM edges", "edges")
+def dense_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.edges(spark, sf_dir).select("src", "dst", "synapse_id")
+
+
+@query("SELECT src, dst, CAST(sum(n) OVER (ORDER BY src, dst) - n - 1 AS BIGINT) AS synapse_id FROM (SELECT src, dst, count(*) AS n FROM edges GROUP BY ALL) JOIN edges USING (src, dst)", "edges")
+def connection_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ids.connection_id(fx.raw_edges(spark, sf_dir)).select("src", "dst", "synapse_id")
+
+
+ORACLES["connection_id"] = fx.with_sql("edges") + "SELECT e.src, e.dst, CAST(o.first AS BIGINT) AS synapse_id FROM edges e JOIN (SELECT src, dst, sum(n) OVER (ORDER BY src, dst) - n - 1 AS first FROM (SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst)) o ON o.src = e.src AND o.dst = e.dst"
+
+
+# -- random numbers and bins ------------------------------------------------------------------
+
+
+@query(f"SELECT synapse_id, round({fx.uniform_sql(fx.SEED, 0x202, 'synapse_id')}, 9) AS u FROM edges", "edges")
+def keyed_uniform_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.edges(spark, sf_dir).select("synapse_id", F.round(keyed_uniform(fx.SEED, sampling.TOUCH, "synapse_id"), 9).alias("u"))
+
+
+QUERIES["keyed_uniform"], ORACLES["keyed_uniform"] = QUERIES.pop("keyed_uniform_column"), ORACLES.pop("keyed_uniform_column")
+
+
+@query("SELECT synapse_id, CASE WHEN spine_length >= 5 THEN 5 WHEN spine_length >= 4 THEN 4 WHEN spine_length >= 3 THEN 3 WHEN spine_length >= 2 THEN 2 WHEN spine_length >= 1 THEN 1 WHEN spine_length >= 0 THEN 0 ELSE -1 END AS bin FROM edges", "edges")
+def value_bin_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.edges(spark, sf_dir).select("synapse_id", value_bins(F.col("spine_length"), fx.SPINE_EDGES).alias("bin"))
+
+
+QUERIES["value_bins"], ORACLES["value_bins"] = QUERIES.pop("value_bin_column"), ORACLES.pop("value_bin_column")
+
+
+def _drawn(spark: SparkSession, sf_dir: str, draw) -> DataFrame:
+    return fx.edges(spark, sf_dir).select("synapse_id", draw(F.col("synapse_id")).alias("x"))
+
+
+@query()
+def keyed_gamma_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drawn(spark, sf_dir, lambda i: keyed_gamma(fx.SEED, 0x1001, i, F.lit(0.33), F.lit(0.28)))
+
+
+@query()
+def keyed_trunc_normal_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drawn(spark, sf_dir, lambda i: keyed_trunc_normal(fx.SEED, 0x1004, i, F.lit(0.25), F.lit(0.13)))
+
+
+@query()
+def keyed_poisson_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drawn(spark, sf_dir, lambda i: keyed_poisson(fx.SEED, 0x1006, i, F.lit(3.5)))
+
+
+for _name in ("keyed_gamma", "keyed_trunc_normal", "keyed_poisson"):
+    QUERIES[_name] = QUERIES.pop(f"{_name}_draws")
+
+
+# -- filters ----------------------------------------------------------------------------------
+
+
+@query(f"SELECT src, dst, synapse_id FROM edges WHERE {fx.uniform_sql(fx.SEED, 0x202, 'synapse_id')} <= 0.3", "edges")
+def touch_reduction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.keyed_sample(fx.edges(spark, sf_dir), 0.3, fx.SEED).select("src", "dst", "synapse_id")
+
+
+@query("SELECT src, dst, synapse_id FROM circuit WHERE (distance_soma >= 5 AND dst_synapse_class_i = 1) OR (distance_soma >= 25 AND dst_synapse_class_i = 0)", "circuit")
+def bouton_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return properties.class_threshold(fx.circuit(spark, sf_dir), "distance_soma", "dst_synapse_class_i", {1: 5.0, 0: 25.0}).select("src", "dst", "synapse_id")
+
+
+@query("SELECT src, dst, synapse_id FROM circuit JOIN radii ON morphology = dst_morphology WHERE distance_soma >= radius", "circuit", "radii")
+def soma_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    radii = geometry.root_radii(fx.sections(spark, sf_dir), fx.points(spark, sf_dir))
+    return properties.min_distance_by_key(fx.circuit(spark, sf_dir), radii).select("src", "dst", "synapse_id")
+
+
+@query("SELECT src, dst, synapse_id FROM circuit JOIN tcells USING (src_mtype_i, dst_mtype_i, afferent_section_type)", "circuit", "tcells")
+def touch_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.createDataFrame([*fx.TOUCH_RULES], "rule_i int, src_mtype string, dst_mtype string, kind string")
+    cells = rules.expand_rules(table, {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir), "kind": fx.section_kinds(spark)})
+    columns = {"src_mtype": "src_mtype_i", "dst_mtype": "dst_mtype_i", "kind": "afferent_section_type"}
+    return rules.allow_rules(fx.circuit(spark, sf_dir), cells, columns).select("src", "dst", "synapse_id")
+
+
+@query("SELECT synapse_id, afferent_section_type, efferent_section_type FROM edges", "edges")
+def code_base_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["afferent_section_type", "efferent_section_type"]
+    at_rest = tables.denormalize_codes(fx.edges(spark, sf_dir), columns)
+    return tables.normalize_codes(at_rest, columns).select("synapse_id", *columns)
+
+
+@query("SELECT src, dst, synapse_id FROM circuit WHERE dst_region_i = 2 AND src_synapse_class_i = 0", "circuit")
+def nodeset_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = tables.apply_nodeset(fx.source_nodes(spark, sf_dir), "synapse_class_i = 0")
+    target = tables.apply_nodeset(fx.target_nodes(spark, sf_dir), "region_i = 2")
+    return model.assemble(fx.edges(spark, sf_dir), source, target).select("src", "dst", "synapse_id")
+
+
+@query("SELECT id, morph_class, morphology, mtype_i, synapse_class_i FROM srcn", "srcn")
+def node_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "nodes")
+    fx.source_nodes(spark, sf_dir).selectExpr("*", "0.0 AS x", "0.0 AS rotation_angle_xaxis", "1 AS orientation_w").write.parquet(path)
+    return tables.read_nodes(spark, path)
+
+
+@query("SELECT src, dst, synapse_id, distance_soma FROM edges", "edges")
+def edge_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two inputs with columns in different orders and under old names."""
+    df = fx.edges(spark, sf_dir).select("src", "dst", "synapse_id", "distance_soma")
+    first, second = scratch(spark, "edges"), scratch(spark, "edges")
+    df.where("synapse_id % 2 = 0").write.parquet(first)
+    df.where("synapse_id % 2 = 1").selectExpr("distance_soma AS soma_distance", "dst AS target_node_id", "synapse_id", "src AS source_node_id").write.parquet(second)
+    return tables.read_edges(spark, [first, second], {"soma_distance": "distance_soma"}).select(*df.columns)
+
+
+# -- reduction --------------------------------------------------------------------------------
+
+
+@query("SELECT pathway_i, round(p_a, 6) AS p_a, round(pmu_a, 6) AS pmu_a, round(brf, 6) AS brf, round(active_fraction, 6) AS active_fraction FROM params", "params")
+def reduce_params(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return params_of(spark, sf_dir, keyed(spark, sf_dir)).select("pathway_i", *[r6(c).alias(c) for c in ("p_a", "pmu_a", "brf", "active_fraction")])
+
+
+@query("SELECT src, dst, synapse_id FROM reduced", "reduced")
+def reduce_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = keyed(spark, sf_dir)
+    return sampling.reduce_step(df, params_of(spark, sf_dir, df), fx.SEED).select("src", "dst", "synapse_id")
+
+
+def _survivors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    df = keyed(spark, sf_dir)
+    params = params_of(spark, sf_dir, df)
+    return sampling.cut_step(sampling.connection_counts(sampling.reduce_step(df, params, fx.SEED)), params, fx.SEED), params
+
+
+@query("SELECT src, dst, n, round(survival, 6) AS survival FROM survivors", "survivors")
+def cut_survival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _survivors(spark, sf_dir)[0].select("src", "dst", "n", r6("survival").alias("survival"))
+
+
+@query("SELECT pathway_i, round(actual, 6) AS actual, round(fraction, 6) AS fraction FROM fractions", "fractions")
+def active_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.active_fractions(*_survivors(spark, sf_dir)).select("pathway_i", r6("actual").alias("actual"), r6("fraction").alias("fraction"))
+
+
+@query("SELECT r.src, r.dst, r.synapse_id FROM reduced r JOIN kept USING (src, dst)", "reduced", "kept")
+def reduce_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = keyed(spark, sf_dir)
+    return sampling.reduce_and_cut(df, params_of(spark, sf_dir, df), fx.SEED).select("src", "dst", "synapse_id")
+
+
+_BINNED = "b AS (SELECT *, CASE WHEN spine_length >= 5 THEN 5 ELSE CAST(floor(spine_length) AS INT) END AS bin FROM edges), h AS (SELECT bin, count(*) AS have FROM b GROUP BY bin), w AS (SELECT * FROM (VALUES (0, 0.1::DOUBLE - 0.0), (1, 0.3::DOUBLE - 0.1::DOUBLE), (2, 0.7::DOUBLE - 0.3::DOUBLE), (3, 0.9::DOUBLE - 0.7::DOUBLE), (4, 1.0::DOUBLE - 0.9::DOUBLE)) t(bin, want)), s AS (SELECT bin, (want / have) / max(want / have) OVER () AS survival FROM h JOIN w USING (bin))"
+
+
+@query()
+def spine_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.match_histogram(fx.edges(spark, sf_dir), "spine_length", fx.SPINE_EDGES, fx.SPINE_CUMULATIVE, fx.SEED).select("src", "dst", "synapse_id")
+
+
+ORACLES["spine_length"] = fx.with_sql("edges").rstrip() + f", {_BINNED} SELECT src, dst, synapse_id FROM b JOIN s USING (bin) WHERE {fx.uniform_sql(fx.SEED, 0x200, 'synapse_id')} <= survival"
+
+
+# -- properties -------------------------------------------------------------------------------
+
+
+def _classified(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """(pathway_i, parameters) of each class pair, on the distinct pairs only."""
+    pairs = df.select("pathway_i", "src_synapse_class_i", "dst_synapse_class_i").distinct()
+    params = fx.property_params(spark)
+    codes = ["src_synapse_class_i", "dst_synapse_class_i"]
+    found = rules.classify_last_match(pairs, params.select("rule_i", *codes), codes)
+    return found.join(params.drop(*codes), "rule_i").drop("rule_i", *codes)
+
+
+def _by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return model.with_pathway(fx.circuit(spark, sf_dir), ["src_synapse_class", "dst_synapse_class"], [2, 2])
+
+
+def _propertied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _by_class(spark, sf_dir)
+    return properties.connection_properties(df, _classified(spark, df), fx.SEED)
+
+
+@query("SELECT DISTINCT src_synapse_class_i * 2 + dst_synapse_class_i AS pathway_i, CASE WHEN src_synapse_class_i = 1 THEN 'I2' ELSE 'E2' END AS class FROM circuit", "circuit")
+def classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, _by_class(spark, sf_dir)).select("pathway_i", "class")
+
+
+@query("SELECT synapse_id, round(CAST(CASE WHEN src_synapse_class_i = 1 AND dst_synapse_class_i = 1 THEN 0.4 ELSE 0.1 END + distance_soma / 0.00333 AS FLOAT), 1) AS delay, CASE WHEN src_synapse_class_i = 1 THEN 0 ELSE 100 END AS syn_type_id, CASE WHEN src_synapse_class_i = 1 THEN 0 ELSE 1 END AS syn_property_rule FROM circuit", "circuit")
+def synapse_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _by_class(spark, sf_dir)
+    with_rules = df.join(_classified(spark, df), "pathway_i")
+    return properties.derive_properties(with_rules).select("synapse_id", F.round(F.col("delay").cast("double"), 1).alias("delay"), F.col("syn_type_id").cast("int").alias("syn_type_id"), F.col("syn_property_rule").cast("int").alias("syn_property_rule"))
+
+
+ORACLES["synapse_delay"] = ORACLES["synapse_delay"].replace("round(CAST(", "round(CAST(CAST(").replace(" AS FLOAT), 1)", " AS FLOAT) AS DOUBLE), 1)")
+
+
+@query()
+def connection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = [name for name, _, _ in properties.DRAWS]
+    return _propertied(spark, sf_dir).select("src", "dst", "synapse_id", "class", *names)
+
+
+@query("SELECT src, dst, 1 AS n_sets FROM (SELECT DISTINCT src, dst FROM circuit)", "circuit")
+def property_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["class", *(name for name, _, _ in properties.DRAWS)]
+    return quality.property_invariants(_propertied(spark, sf_dir), names).select("src", "dst", F.col("n_sets").cast("int").alias("n_sets"))
+
+
+@query("SELECT synapse_id, CASE WHEN m THEN f.section_id ELSE c.afferent_section_id END AS afferent_section_id, CASE WHEN m THEN 1 ELSE c.afferent_section_type END AS afferent_section_type, CASE WHEN m THEN 0 ELSE c.afferent_segment_id END AS afferent_segment_id, round(CASE WHEN m THEN f.\"offset\" END, 6) AS afferent_segment_offset, round(CASE WHEN m THEN f.root_distance ELSE c.distance_soma END, 6) AS distance_soma FROM (SELECT k.*, (n.n_name GLOB 'NATION_1*' OR (n.n_name = 'NATION_7' AND d.value = 'SMALL')) AND g.section_id IS NOT NULL AS m FROM circuit k JOIN nation n ON n_nationkey = src_mtype_i JOIN dtypes d ON d.code = dst_mtype_i LEFT JOIN firstsec g ON g.morphology = k.src_morphology) c LEFT JOIN firstsec f ON f.morphology = c.src_morphology", "circuit", "firstsec")
+def reposition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.createDataFrame([*fx.REPOSITION_RULES], "rule_i int, src_mtype string, dst_mtype string")
+    cells = rules.expand_rules(table, {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir)})
+    covered = cells.withColumnsRenamed({"src_mtype": "src_mtype_i", "dst_mtype": "dst_mtype_i"})
+    targets = geometry.first_section(fx.sections(spark, sf_dir), fx.points(spark, sf_dir), properties.AXON)
+    moved = properties.reposition(fx.circuit(spark, sf_dir), covered, ["src_mtype_i", "dst_mtype_i"], targets)
+    return moved.select("synapse_id", "afferent_section_id", "afferent_section_type", "afferent_segment_id", r6("afferent_segment_offset").alias("afferent_segment_offset"), r6("distance_soma").alias("distance_soma"))
+
+
+_LIBRARY = ", ".join(f"({k + 1}, {x}::DOUBLE)" for k, x in enumerate(fx.SPINE_LENGTHS))
+
+
+@query()
+def nearest_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fx.circuit(spark, sf_dir).withColumn("syn_type_id", F.when(F.col("src_synapse_class_i") == 1, 0).otherwise(100))
+    return matching.assign_spines(df, fx.spine_library(spark)).select("synapse_id", "spine_morphology", "spine_psd_id", "spine_sharing_id")
+
+
+ORACLES["nearest_spine"] = fx.with_sql("circuit").rstrip() + f", lib AS (SELECT * FROM (VALUES {_LIBRARY}) t(i, len)), lens AS (SELECT DISTINCT spine_length FROM circuit), best AS (SELECT spine_length, arg_min(i, round(abs(spine_length - len), 9) * 1000 + i * 1e-7) AS i FROM lens, lib GROUP BY spine_length) SELECT synapse_id, CASE WHEN off THEN '' ELSE 'spine_' || (i - 1) END AS spine_morphology, CASE WHEN off THEN -1 ELSE 1 END AS spine_psd_id, -1 AS spine_sharing_id FROM (SELECT *, src_synapse_class_i = 1 OR src_morph_class = 'INT' AS off FROM circuit) JOIN best USING (spine_length)"
+
+
+# -- geometry ---------------------------------------------------------------------------------
+
+
+@query("SELECT morphology, section_id, idx, round(path_length, 6) AS path_length FROM paths", "paths")
+def path_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geometry.path_lengths(fx.points(spark, sf_dir)).select("morphology", "section_id", "idx", r6("path_length").alias("path_length"))
+
+
+@query("SELECT morphology, section_id, idx, round(root_distance, 6) AS root_distance FROM rootdist", "rootdist")
+def root_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geometry.root_distances(fx.sections(spark, sf_dir), fx.points(spark, sf_dir)).withColumn("root_distance", r6("root_distance"))
+
+
+@query("SELECT morphology, section_id, ancestor_id, depth FROM above", "above")
+def section_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geometry.ancestors(fx.sections(spark, sf_dir))
+
+
+@query("SELECT morphology, section_id, round(\"offset\", 6) AS \"offset\", round(fraction, 6) AS fraction, round(root_distance, 6) AS root_distance FROM firstsec", "firstsec")
+def first_axon_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = geometry.first_section(fx.sections(spark, sf_dir), fx.points(spark, sf_dir), properties.AXON)
+    return found.select("morphology", "section_id", *[r6(c).alias(c) for c in ("offset", "fraction", "root_distance")])
+
+
+# -- reciprocal edges -------------------------------------------------------------------------
+
+
+@query()
+def reciprocal_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.reciprocal_exact(fx.reciprocal_edges(spark, sf_dir))
+
+
+_RANKED = "r AS (SELECT *, row_number() OVER (PARTITION BY src, dst, efferent_section_id, efferent_segment_id, afferent_section_id, afferent_segment_id ORDER BY synapse_id) AS place FROM redges WHERE src <> dst)"
+ORACLES["reciprocal_exact"] = fx.with_sql("redges").rstrip() + f", {_RANKED} SELECT a.src, a.dst, a.synapse_id, b.synapse_id AS partner_id FROM r a JOIN r b ON a.src = b.dst AND a.dst = b.src AND a.efferent_section_id = b.afferent_section_id AND a.afferent_section_id = b.efferent_section_id AND a.efferent_segment_id = b.afferent_segment_id AND a.afferent_segment_id = b.efferent_segment_id AND a.place = b.place"
+
+
+@query()
+def gap_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sections, points = fx.sections(spark, sf_dir), fx.points(spark, sf_dir)
+    matched = matching.match_reciprocal(fx.reciprocal_edges(spark, sf_dir)).withColumn("src_morphology", F.concat(F.lit("M"), "src"))
+    pruned = matching.prune_near_root(matched, geometry.ancestors(sections), geometry.root_distances(sections, points), geometry.root_radii(sections, points))
+    return properties.with_conductance(pruned, 0.75).select("src", "dst", "synapse_id", "efferent_junction_id", "afferent_junction_id", "conductance")
+
+
+# -- sinks, comparison, checkpoints -----------------------------------------------------------
+
+_EXPORTED = "SELECT src AS source_node_id, dst AS target_node_id, synapse_id, distance_soma, afferent_section_type + 1 AS afferent_section_type, efferent_section_type + 1 AS efferent_section_type, 0 AS edge_type_id FROM edges"
+
+
+def _exported(spark: SparkSession, sf_dir: str, order: tuple[str, ...]) -> DataFrame:
+    path = scratch(spark, "export")
+    df = fx.circuit(spark, sf_dir).select("src", "dst", "synapse_id", "distance_soma", "afferent_section_type", "efferent_section_type", "src_mtype_i")
+    tables.export(df, path, order, {"source_population_name": "A", "source_population_size": "100"})
+    return spark.read.parquet(path)
+
+
+@query(_EXPORTED, "edges")
+def export_post(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exported(spark, sf_dir, tables.POST)
+
+
+@query(_EXPORTED, "edges")
+def export_pre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exported(spark, sf_dir, tables.PRE)
+
+
+@query("SELECT src, dst, synapse_id FROM edges", "edges")
+def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    many, few = scratch(spark, "many"), scratch(spark, "few")
+    fx.edges(spark, sf_dir).select("src", "dst", "synapse_id").repartition(16).write.parquet(many)
+    return tables.compact(spark, many, few)
+
+
+@query("SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst", "edges")
+def checkpoint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = tables.fingerprint(["dense_id"], {}, [sf_dir, tables.folder_bytes(spark, f"{sf_dir}/lineitem.parquet")])
+    path = f"{scratch(spark, 'state')}/{state}"
+    tables.checkpointed(spark, lambda: fx.edges(spark, sf_dir), path)
+    return tables.checkpointed(spark, lambda: fx.edges(spark, sf_dir).limit(0), path).groupBy("src", "dst").agg(F.count("*").alias("n"))
+
+
+@query()
+def provenance_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata of two inputs, of which the sizes come from the tables, merged and written with this run."""
+    sizes = fx.edges(spark, sf_dir).groupBy((F.col("synapse_id") % 2).alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
+    population = {"source_population_name": "A", "source_population_size": str(fx.source_nodes(spark, sf_dir).count()), "target_population_name": "B", "target_population_size": str(fx.target_nodes(spark, sf_dir).count())}
+    merged = tables.merge_metadata([{**population, "rows": str(r["n"]), "run1_version": "1"} for r in sizes])
+    return tables.provenance_table(spark, tables.provenance(merged, "1", ["edge_merge"], str(fx.CONNECTION_RULES), population))
+
+
+@query()
+def pathway_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = keyed(spark, sf_dir).select("src_mtype_i", "dst_mtype_i", "synapse_id", "distance_soma")
+    found = quality.pathway_diff(base, base.where("distance_soma >= 40 OR src_mtype_i = 3"), ["src_mtype_i", "dst_mtype_i"], 5, 0.1)
+    return found.withColumn("diff_rel", r6("diff_rel"))
+
+
+ORACLES["pathway_diff"] = fx.with_sql("keyed").rstrip() + ", a AS (SELECT src_mtype_i, dst_mtype_i, count(*) AS base FROM keyed GROUP BY ALL), b AS (SELECT src_mtype_i, dst_mtype_i, count(*) AS comp FROM keyed WHERE distance_soma >= 40 OR src_mtype_i = 3 GROUP BY ALL), j AS (SELECT src_mtype_i, dst_mtype_i, coalesce(base, 0) AS base, coalesce(comp, 0) AS comp FROM a FULL JOIN b USING (src_mtype_i, dst_mtype_i)) SELECT src_mtype_i, dst_mtype_i, base, comp, abs(base - comp) AS diff_abs, round(abs(base - comp) / greatest(base, comp), 6) AS diff_rel, CASE WHEN base = 0 THEN 'added' WHEN comp = 0 THEN 'lost' ELSE 'changed' END AS label FROM j WHERE abs(base - comp) > 5 AND abs(base - comp) / greatest(base, comp) > 0.1"
+
+
+@query("SELECT count(*) AS expected, count(*) AS found, true AS same FROM redges JOIN dstn s ON s.id = src JOIN dstn t ON t.id = dst WHERE s.region_i = 2 AND t.region_i = 2", "redges", "dstn")
+def nodeset_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = tables.apply_nodeset(fx.target_nodes(spark, sf_dir), "region_i = 2")
+    full = fx.reciprocal_edges(spark, sf_dir)
+    return quality.nodeset_check(full, model.assemble(full, nodes, nodes), nodes)
+
+
+@query("SELECT 'all' AS stage, pathway_str, count(*) AS n FROM keyed GROUP BY ALL UNION ALL SELECT 'reduced', pathway_str, count(*) FROM reduced GROUP BY ALL", "keyed", "reduced")
+def cut_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = keyed(spark, sf_dir)
+    return quality.cut_counts({"all": df, "reduced": sampling.reduce_step(df, params_of(spark, sf_dir, df), fx.SEED)})
+
+
+@query()
+def eventlog_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An event log whose stages are the orders of lineitem, written and read as JSON lines."""
+    path = scratch(spark, "log")
+    value = lambda name, x: F.struct(F.lit(name).alias("Name"), x.cast("long").cast("string").alias("Value"))
+    info = F.struct(F.col("l_orderkey").alias("Stage ID"), F.col("n").alias("Completion Time"), F.array(value("internal.metrics.shuffle.read.remoteBytesRead", F.col("price")), value("internal.metrics.shuffle.write.bytesWritten", F.col("price") / 2), value("number of output rows", F.col("n"))).alias("Accumulables"))
+    orders = fx.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum("l_extendedprice").alias("price"))
+    orders.select(F.lit("SparkListenerStageCompleted").alias("Event"), info.alias("Stage Info")).write.json(path)
+    return quality.eventlog_metrics(spark, path).drop("app")
