@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, media, secrets, sharding, simhash, toxicity
+from . import bpe, chat, decontaminate, media, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1,
     "op2_secret_scan": secrets.op2,
     "op4_toxicity": toxicity.op4,
+    "op5_quality": quality.op5,
     "op6_byte_bpe": bpe.op6,
     "op7_simhash_near_dedup": simhash.op7,
     "op8_benchmark_decontamination": decontaminate.op8,
