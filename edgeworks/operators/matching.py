@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,49 +32,78 @@ def reciprocal_exact(df: DataFrame) -> DataFrame:
     return both.where("__n = 2").select("src", "dst", "synapse_id", "partner_id")
 
 
-def _match_pair(rows: pd.DataFrame) -> pd.DataFrame:
-    """Greedy matching inside one unordered pair, in order of id; both partners get the first one's places."""
-    rows = rows.sort_values("synapse_id", ignore_index=True)
-    first = rows["src"] < rows["dst"]
-    waiting: dict[tuple, list[int]] = defaultdict(list)
-    for j in rows.index[~first]:
-        waiting[rows.at[j, "afferent_section_id"], rows.at[j, "efferent_section_id"]].append(j)
-    columns = {c: rows[c].to_numpy().copy() for c in (*_PLACES, "synapse_id")}
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by keys, cut so that no group is in two frames; far fewer calls than one a group."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        changed = (batch[keys] != batch[keys].shift()).any(axis=1).to_numpy()
+        if held:
+            changed[0] = (held[-1][keys].iloc[-1] != batch[keys].iloc[0]).any()
+        cuts = np.flatnonzero(changed)
+        if not len(cuts):
+            held.append(batch)
+            continue
+        done = [*held, batch.iloc[: cuts[-1]]]
+        if sum(map(len, done)):
+            yield pd.concat(done, ignore_index=True)
+        held = [batch.iloc[cuts[-1] :]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _match(rows: pd.DataFrame) -> pd.DataFrame:
+    """Greedy matching inside unordered pairs, in order of id; both partners get the first one's places."""
+    ids, first = rows["synapse_id"].to_numpy(), (rows["src"] < rows["dst"]).tolist()
+    low, high = np.minimum(rows["src"], rows["dst"]).tolist(), np.maximum(rows["src"], rows["dst"]).tolist()
+    out_sec, out_seg, in_sec, in_seg = (rows[c].tolist() for c in _PLACES)
+    # the other direction's edges by their mirrored sections, each list in order of id
+    waiting: dict[tuple[int, ...], list[int]] = defaultdict(list)
+    for j, forward in enumerate(first):
+        if not forward:
+            waiting[low[j], high[j], in_sec[j], out_sec[j]].append(j)
     partner: dict[int, int] = {}
-    eff, aff = columns["efferent_segment_id"], columns["afferent_segment_id"]
-    for i in rows.index[first]:
-        open_ = waiting[columns["efferent_section_id"][i], columns["afferent_section_id"][i]]
-        gap = [(abs(int(eff[i]) - int(aff[j])), abs(int(aff[i]) - int(eff[j]))) for j in open_]
-        best = next((k for k, g in enumerate(gap) if g == (0, 0)), None)
-        if best is None:
-            best = next((k for k, g in enumerate(gap) if max(g) <= 1), None)
-        if best is not None:
-            j = open_.pop(best)
+    for i, forward in enumerate(first):
+        open_ = waiting.get((low[i], high[i], out_sec[i], in_sec[i])) if forward else None
+        if not open_:
+            continue
+        near = None
+        for k, j in enumerate(open_):
+            gap = max(abs(out_seg[i] - in_seg[j]), abs(in_seg[i] - out_seg[j]))
+            if gap == 0:
+                near = k
+                break
+            if gap == 1 and near is None:
+                near = k
+        if near is not None:
+            j = open_.pop(near)
             partner[i], partner[j] = j, i
-            for a, b in (("efferent", "afferent"), ("afferent", "efferent")):
-                columns[f"{a}_segment_id"][j] = columns[f"{b}_segment_id"][i]
+            out_seg[j], in_seg[j] = in_seg[i], out_seg[i]
     kept = sorted(partner)
     out = rows.loc[kept].copy()
-    for c in _PLACES:
-        out[c] = columns[c][kept]
-    out["efferent_junction_id"] = columns["synapse_id"][kept]
-    out["afferent_junction_id"] = columns["synapse_id"][[partner[i] for i in kept]]
+    for c, values in (("efferent_segment_id", out_seg), ("afferent_segment_id", in_seg)):
+        out[c] = [values[i] for i in kept]
+    out["efferent_junction_id"] = ids[kept]
+    out["afferent_junction_id"] = ids[[partner[i] for i in kept]]
     return out
 
 
 def match_reciprocal(df: DataFrame) -> DataFrame:
     """Edges that have a partner in the other direction, with the ids of both as junction ids.
 
-    Partners have swapped sections, and segments equal or at most one apart. Groups are the edges of
-    one unordered pair of nodes. Unmatched edges and edges from a node to itself go.
+    Partners have swapped sections, and segments equal or at most one apart. The edges of one unordered
+    pair of nodes lie together; pairs are dealt over the partitions. Unmatched edges and edges from a node to itself go.
     """
     schema = df.withColumns({"efferent_junction_id": F.col("synapse_id"), "afferent_junction_id": F.col("synapse_id")}).schema
     names = schema.names
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        return _match_pair(rows)[names]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in whole_groups(batches, ["__low", "__high"]):
+            yield _match(rows)[names]
 
-    return df.where("src <> dst").groupBy(F.least("src", "dst"), F.greatest("src", "dst")).applyInPandas(run, schema)
+    pairs = df.where("src <> dst").withColumns({"__low": F.least("src", "dst"), "__high": F.greatest("src", "dst")})
+    return pairs.repartition("__low", "__high").sortWithinPartitions("__low", "__high", "synapse_id").mapInPandas(run, schema)
 
 
 def prune_near_root(df: DataFrame, ancestors: DataFrame, distances: DataFrame, radii: DataFrame, factor: float = 3.0) -> DataFrame:
@@ -91,18 +122,22 @@ def prune_near_root(df: DataFrame, ancestors: DataFrame, distances: DataFrame, r
     known = touched.join(above, ["src_morphology", "efferent_section_id"], "left").join(places, ["src_morphology", "efferent_section_id", "efferent_segment_id"], "left").join(radii.select(F.col("morphology").alias("src_morphology"), F.col("radius").alias("__radius")), "src_morphology", "left")
     slim = known.select("src", "dst", "synapse_id", "efferent_section_id", "afferent_section_id", "efferent_junction_id", "afferent_junction_id", "__above", "__distance", "__radius")
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("synapse_id", ignore_index=True)
-        active: list[int] = []
-        if rows.at[0, "afferent_section_id"] == 0:
-            for i in rows.index:
-                above_i, d, r = rows.at[i, "__above"], rows.at[i, "__distance"], rows.at[i, "__radius"]
-                branch = set(above_i) if above_i is not None else set()
-                active = [j for j in active if not (rows.at[j, "efferent_section_id"] in branch and abs(d - rows.at[j, "__distance"]) < factor * r)]
-                active.append(i)
-        return rows.loc[active, ["efferent_junction_id", "afferent_junction_id"]]
-
-    kept = slim.groupBy("src", "dst").applyInPandas(run, "efferent_junction_id long, afferent_junction_id long")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in whole_groups(batches, ["src", "dst"]):
+            cuts = np.flatnonzero((rows[["src", "dst"]] != rows[["src", "dst"]].shift()).any(axis=1).to_numpy())
+            into, section, away, radius = (rows[c].tolist() for c in ("afferent_section_id", "efferent_section_id", "__distance", "__radius"))
+            branch = [set(a) if a is not None else set() for a in rows["__above"]]
+            kept: list[int] = []
+            for a, b in zip(cuts, [*cuts[1:], len(rows)], strict=True):
+                active: list[int] = []
+                for i in range(a, b) if into[a] == 0 else ():
+                    active = [j for j in active if not (section[j] in branch[i] and abs(away[i] - away[j]) < factor * radius[i])]
+                    active.append(i)
+                kept += active
+            yield rows.loc[kept, ["efferent_junction_id", "afferent_junction_id"]]
+
+    ordered = slim.repartition("src", "dst").sortWithinPartitions("src", "dst", "synapse_id")
+    kept = ordered.mapInPandas(run, "efferent_junction_id long, afferent_junction_id long")
     ids = kept.select(F.explode(F.array("efferent_junction_id", "afferent_junction_id")).alias("efferent_junction_id")).distinct()
     return df.where(~at_root).unionByName(touched.join(ids, "efferent_junction_id", "left_semi").select(*df.columns))
 

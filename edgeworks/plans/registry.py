@@ -348,7 +348,8 @@ ORACLES["reciprocal_exact"] = fx.with_sql("redges").rstrip() + f", {_RANKED} SEL
 @query()
 def gap_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections, points = fx.sections(spark, sf_dir), fx.points(spark, sf_dir)
-    matched = matching.match_reciprocal(fx.reciprocal_edges(spark, sf_dir)).withColumn("src_morphology", F.concat(F.lit("M"), "src"))
+    # the matched edges are read three times below
+    matched = tables.checkpointed(spark, lambda: matching.match_reciprocal(fx.reciprocal_edges(spark, sf_dir)).withColumn("src_morphology", F.concat(F.lit("M"), "src")), scratch(spark, "matched"))
     pruned = matching.prune_near_root(matched, geometry.ancestors(sections), geometry.root_distances(sections, points), geometry.root_radii(sections, points))
     return properties.with_conductance(pruned, 0.75).select("src", "dst", "synapse_id", "efferent_junction_id", "afferent_junction_id", "conductance")
 
