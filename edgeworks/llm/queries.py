@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, media, quality, secrets, sharding, simhash, toxicity
+from . import bpe, chat, decontaminate, media, passages, quality, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1,
     "op2_secret_scan": secrets.op2,
+    "op3_substring_dedup": passages.op3,
     "op4_toxicity": toxicity.op4,
     "op5_quality": quality.op5,
     "op6_byte_bpe": bpe.op6,
