@@ -35,10 +35,11 @@ from pyspark.sql import types as T
 from . import arrow
 from .tables import read
 
-CACHE = 400_000
-WORDS_PER_QUERY = 20_000
+#: Entries of a cache before its older half goes; what is met again is kept.
+CACHE = 1_000_000
+WORDS_PER_QUERY = 10_000
 LONG_BYTES = 512
-DUCKDB_MEMORY = "400MB"
+DUCKDB_MEMORY = "250MB"
 
 _UNSAFE = re.compile(r"\s\s|\A\s|\s\Z")
 
@@ -68,6 +69,31 @@ SELECT word, token FROM seq JOIN (SELECT word, max(step) AS step FROM seq GROUP
 _DECODE = "SELECT run, string_agg(hex, '' ORDER BY pos) AS hex FROM runs JOIN vocabulary USING (id) GROUP BY run ORDER BY run"
 
 
+class Cache(dict):
+    """Known values by key. At half its size the entries become the old ones, which are dropped at the next turn unless met again."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.half, self.old = size // 2, {}
+
+    def turn(self) -> None:
+        if len(self) > self.half:
+            self.old = dict(self)
+            self.clear()
+
+    def missing(self, keys: list) -> set:
+        """Keys that must be found anew; those among the old entries are taken over."""
+        out, old = set(), self.old
+        for key in keys:
+            if key not in self:
+                value = old.get(key)
+                if value is None:
+                    out.add(key)
+                else:
+                    self[key] = value
+        return out
+
+
 class Codec:
     """Tables of one rank file, with the caches of this worker."""
 
@@ -90,13 +116,17 @@ class Codec:
         self.starts_run = np.zeros(max(self.bytes_of) + 1, bool)
         self.starts_run[[r for r, t in self.bytes_of.items() if t[:1] == b" "]] = True
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": ""})
-        self.db.register("m", pa.table({"pair": self.pair, "merged": pa.array(self.merged, pa.int32())}))
-        self.db.register("v", pa.table({"id": pa.array(list(self.bytes_of), pa.int32()), "hex": [t.hex() for t in self.bytes_of.values()]}))
-        self.db.execute("CREATE TABLE merges AS FROM m")
-        self.db.execute("CREATE TABLE vocabulary AS FROM v")
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.runs: dict[bytes, bytes] = {}
+        self.tables: set[str] = set()
+        self.words, self.pieces, self.runs = Cache(CACHE // 4), Cache(CACHE), Cache(CACHE)
+
+    def _need(self, name: str) -> None:
+        """Create the merge table or the vocabulary, whichever this worker uses."""
+        if name not in self.tables:
+            rows = {"pair": self.pair, "merged": pa.array(self.merged, pa.int32())} if name == "merges" else {"id": pa.array(list(self.bytes_of), pa.int32()), "hex": [t.hex() for t in self.bytes_of.values()]}
+            self.db.register("rows", pa.table(rows))
+            self.db.execute(f"CREATE TABLE {name} AS FROM rows")
+            self.db.unregister("rows")
+            self.tables.add(name)
 
     # -- encoding ---------------------------------------------------------------------------
 
@@ -109,6 +139,7 @@ class Codec:
         last = np.zeros(len(token), bool)
         last[stop - 1] = True
         initial = pa.table({"word": pa.array(np.repeat(np.arange(len(words)), size), pa.int32()), "pos": pa.array(np.arange(len(token)) - np.repeat(stop - size, size), pa.int32()), "token": pa.array(token, pa.int32()), "next": pa.array(after, pa.int32(), mask=last)})
+        self._need("merges")
         self.db.register("initial", initial)
         out = self.db.sql(_ENCODE).to_arrow_table()
         self.db.unregister("initial")
@@ -150,59 +181,56 @@ class Codec:
             token, rank = new, new_rank
         return token.astype("<u4").tobytes()
 
-    def _learn_words(self, words: set[str]) -> None:
-        """Fill the word cache for pre-tokens that are not in it."""
+    def _learn(self, wanted: dict[str, tuple[dict[str, bytes], str]]) -> None:
+        """Put packed ids into caches: wanted has the pre-token, the cache and its key there."""
         todo: list[tuple[str, bytes]] = []
-        for w in sorted(words - self.words.keys()):
-            raw = w.encode()
+        for token, (cache, key) in wanted.items():
+            raw = token.encode()
             if (rank := self.ranks.get(raw)) is not None:
-                self.words[w] = rank.to_bytes(4, "little")
+                cache[key] = rank.to_bytes(4, "little")
             elif len(raw) > LONG_BYTES:
-                self.words[w] = self.contract_long(raw)
+                cache[key] = self.contract_long(raw)
             else:
-                todo.append((w, raw))
+                todo.append((token, raw))
         for k in range(0, len(todo), WORDS_PER_QUERY):
             part = todo[k : k + WORDS_PER_QUERY]
-            self.words.update(zip((w for w, _ in part), self._contract([raw for _, raw in part]), strict=True))
-
-    def _learn(self, matches: dict[str, list[str]]) -> None:
-        """Fill the piece cache from pieces and their pre-tokens."""
-        self._learn_words({w for found in matches.values() for w in found})
-        words = self.words
-        for piece, found in matches.items():
-            self.pieces[piece] = words[found[0]] if len(found) == 1 else b"".join([words[w] for w in found])
+            for (token, _), ids in zip(part, self._contract([raw for _, raw in part]), strict=True):
+                cache, key = wanted[token]
+                cache[key] = ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > CACHE:
-            self.words.clear()
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
+        """Packed ids of whole texts."""
+        self.words.turn()
+        self.pieces.turn()
         find, pieces, words = self.pattern.findall, self.pieces, self.words
-        split, new, whole = [], set(), set()
+        split: list[tuple[list[str], list[str]]] = []
+        unknown: set[str] = set()
+        whole: set[str] = set()
         for t in texts:
             if _UNSAFE.search(t):
-                found = find(t)
-                whole.update(found)
-                split.append((None, found))
-            elif t:
+                first, rest = find(t), []
+            else:
                 # a piece stands for itself with a space before it; the first piece has none
                 head, *rest = t.split(" ")
                 first = find(head)
-                whole.update(first)
-                new.update(rest)
-                split.append((first, rest))
+                if None in map(pieces.get, rest):
+                    unknown |= pieces.missing(rest)
+            whole.update(first)
+            split.append((first, rest))
+        # a piece of letters is one pre-token; others are matched
+        wanted = {" " + p: (pieces, p) for p in unknown if p.isalpha()}
+        mixed = {p: find(" " + p) for p in unknown if not p.isalpha()}
+        for token in words.missing(whole.union(*mixed.values())):
+            if token in wanted:
+                words[token] = b""
             else:
-                split.append((None, []))
-        self._learn_words(whole)
-        new.difference_update(pieces.keys())
-        self._learn({p: find(" " + p) for p in new})
-        out = []
-        for first, rest in split:
-            if first is None:
-                out.append(b"".join([words[w] for w in rest]))
-            else:
-                out.append(b"".join([*[words[w] for w in first], *[pieces[p] for p in rest]]))
-        return out
+                wanted[token] = words, token
+        self._learn(wanted)
+        for token in [t for t in whole.union(*mixed.values()) if not words[t]]:
+            words[token] = pieces[token[1:]]
+        for p, found in mixed.items():
+            pieces[p] = b"".join([words[t] for t in found])
+        return [b"".join([*map(words.__getitem__, first), *map(pieces.__getitem__, rest)]) for first, rest in split]
 
     # -- decoding ---------------------------------------------------------------------------
 
@@ -210,6 +238,7 @@ class Codec:
         size = np.array([len(r) for r in runs]) // 4
         ids = np.frombuffer(b"".join(runs), "<u4").astype(np.int64)
         table = pa.table({"run": pa.array(np.repeat(np.arange(len(runs)), size), pa.int32()), "pos": pa.array(np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size), pa.int32()), "id": pa.array(ids, pa.int32())})
+        self._need("vocabulary")
         self.db.register("runs", table)
         out = self.db.sql(_DECODE).to_arrow_table()
         self.db.unregister("runs")
@@ -217,9 +246,8 @@ class Codec:
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """Bytes of each packed id list; a run is an id whose bytes start with a space, and those up to the next such id."""
-        if len(self.runs) > CACHE:
-            self.runs.clear()
-        split, new = [], set()
+        self.runs.turn()
+        known, split, unknown = self.runs, [], set()
         for p in packed:
             ids = np.frombuffer(p, "<u4")
             if not len(ids):
@@ -227,17 +255,17 @@ class Codec:
                 continue
             if int(ids.max()) >= len(self.starts_run):
                 raise ValueError(f"id {int(ids.max())} is not in the vocabulary")
-            begin = 4 * np.flatnonzero(self.starts_run[ids])
-            begin = begin.tolist() if len(begin) and begin[0] == 0 else [0, *begin.tolist()]
+            begin = (4 * np.flatnonzero(self.starts_run[ids])).tolist()
+            if not begin or begin[0]:
+                begin = [0, *begin]
             runs = [p[a:b] for a, b in zip(begin, [*begin[1:], len(p)], strict=True)]
-            new.update(runs)
+            if None in map(known.get, runs):
+                unknown |= known.missing(runs)
             split.append(runs)
-        new.difference_update(self.runs.keys())
-        todo = sorted(new)
+        todo = list(unknown)
         for k in range(0, len(todo), WORDS_PER_QUERY):
             self._join_runs(todo[k : k + WORDS_PER_QUERY])
-        known = self.runs
-        return [b"".join([known[r] for r in runs]) for runs in split]
+        return [b"".join(map(known.__getitem__, runs)) for runs in split]
 
 
 _codecs: dict[tuple[bytes, str], Codec] = {}
@@ -251,9 +279,13 @@ def codec(rank_file: bytes, pattern: str) -> Codec:
     return _codecs[key]
 
 
-def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
-    """docs with a binary column of ids, packed as little-endian unsigned 32-bit integers."""
-    kept = [c for c in docs.columns if c != into]
+def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text", into: str = "ids", decoded: str | None = None) -> DataFrame:
+    """docs with a binary column of ids, packed as little-endian unsigned 32-bit integers.
+
+    With a name in decoded, also what these ids decode to, from the same workers and codec.
+    """
+    added = [into] if decoded is None else [into, decoded]
+    kept = [c for c in docs.columns if c not in added]
     source = docs.select(*[F.col(f"`{c}`") for c in kept])
     place = kept.index(text)
 
@@ -263,10 +295,10 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text",
             for first, end, data, offsets in arrow.text_blocks(batch.column(place)):
                 raw = data.tobytes()
                 ids = own.encode([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
-                part = batch.slice(first, end - first)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())], names=[*batch.schema.names, into])
+                out = [ids] if decoded is None else [ids, own.decode(ids)]
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, end - first).columns, *(pa.array(x, pa.binary()) for x in out)], names=[*batch.schema.names, *added])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, T.BinaryType())]))
+    return source.mapInArrow(run, T.StructType([*source.schema.fields, *(T.StructField(x, T.BinaryType()) for x in added)]))
 
 
 def decode(tokens: DataFrame, rank_file: bytes, pattern: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -300,8 +332,7 @@ def public_ranks(name: str = "byte_bpe_50k.tiktoken") -> tuple[bytes, str]:
 def token_digests(docs: DataFrame) -> DataFrame:
     """doc_id, number of tokens, and digests of the packed ids and of what they decode to."""
     ranks, pattern = public_ranks()
-    tokens = encode(docs.select("doc_id", "text"), ranks, pattern).select("doc_id", "ids")
-    back = decode(tokens, ranks, pattern)
+    back = encode(docs.select("doc_id", "text"), ranks, pattern, decoded="decoded")
     return back.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
