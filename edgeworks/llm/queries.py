@@ -1,4 +1,9 @@
-"""The registered queries of this subpackage, with SQL where SQL can express them."""
+"""The registered queries of this subpackage, with SQL where SQL can express them.
+
+Without SQL: op2 (inferred automata), op3 (chains and alignments), op4 and op5 (trained models), op6
+(needs the rank file), op7 (XXH64), op9 (the same hash orders the groups), op10 (zlib streams). Their
+tests hold them against plain versions.
+"""
 
 from __future__ import annotations
 
@@ -16,4 +21,45 @@ QUERIES = {
     "op9_sharding": sharding.op9,
     "op10_media_columns": media.op10,
 }
-ORACLES: dict[str, str] = {}
+
+
+def _escaped(text: str) -> str:
+    out = f"replace({text}, '\\', '\\\\')"
+    for control in chat.CONTROL:
+        out = f"replace({out}, '{control}', '{control[0]}\\{control[1:]}')"
+    return out
+
+
+_CHAT = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('[INST][/INST]</s>') + length({_escaped("role")}) + length({_escaped("text")})) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_DECONTAMINATION = f"""
+WITH items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item, w, least({decontaminate.WINDOW}, len(w)) AS n FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, n, array_to_string(w[s:s + n - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS s FROM sized)),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM docs, (SELECT DISTINCT n FROM windows)),
+grams AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS g FROM places),
+hits AS (SELECT doc_id, item, n, s FROM grams JOIN windows USING (n, g)),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {decontaminate.SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs d LEFT JOIN hit_words h ON h.doc_id = d.doc_id LEFT JOIN hit_items i ON i.doc_id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": _CHAT, "op8_benchmark_decontamination": _DECONTAMINATION}
