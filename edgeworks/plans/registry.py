@@ -58,7 +58,8 @@ def connection_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def params_of(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
-    return sampling.reduce_params(model.pathway_stats(df), connection_rules(spark, sf_dir))
+    """One row a pathway, written once: each of the three steps reads them."""
+    return tables.checkpointed(spark, lambda: sampling.reduce_params(model.pathway_stats(df), connection_rules(spark, sf_dir)), scratch(spark, "params"))
 
 
 # -- assembly ---------------------------------------------------------------------------------
