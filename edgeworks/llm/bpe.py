@@ -4,8 +4,8 @@ encode() splits a text into pre-tokens. The distinct pre-tokens that a worker ha
 are put into a table of (word, position, token, next token) rows; a recursive query joins it with
 the merge table and contracts each word's leftmost pair of least rank until no pair is left.
 decode() joins (run, position, id) rows with the vocabulary and puts the bytes together by an
-ordered aggregation. Words and runs repeat, so each worker keeps what it has found in a bounded
-cache; texts are read whole, in blocks, and never shuffled.
+ordered aggregation. Words and runs repeat, so a partition keeps what it has found in bounded
+caches and drops them at its end; texts are read whole, in blocks, and never shuffled.
 
 A text is cut at single spaces between visible characters first, where a pre-token always begins;
 the pattern itself runs on distinct pieces only. Texts with other white space at such places are
@@ -20,7 +20,6 @@ each encoded; ids outside the vocabulary raise a ValueError; other columns are c
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 
 import duckdb
@@ -37,12 +36,10 @@ from .tables import read
 
 #: Entries of a cache before its older half goes; what is met again is kept.
 CACHE = 1_000_000
-WORDS_PER_QUERY = 10_000
+WORDS_PER_QUERY = 20_000
 LONG_BYTES = 512
 DUCKDB_MEMORY = "250MB"
 
-_UNSAFE = re.compile(r"\s\s|\A\s|\s\Z")
-
 _ENCODE = """
 WITH RECURSIVE seq AS (
     SELECT i.word, i.pos, i.token, i.next, m.merged, 0 AS step
@@ -66,7 +63,7 @@ WITH RECURSIVE seq AS (
 SELECT word, token FROM seq JOIN (SELECT word, max(step) AS step FROM seq GROUP BY word) USING (word, step) ORDER BY word, pos
 """
 
-_DECODE = "SELECT run, string_agg(hex, '' ORDER BY pos) AS hex FROM runs JOIN vocabulary USING (id) GROUP BY run ORDER BY run"
+_DECODE = "SELECT run, string_agg(text, '' ORDER BY pos) AS text FROM runs JOIN vocabulary USING (id) GROUP BY run ORDER BY run"
 
 
 class Cache(dict):
@@ -81,19 +78,23 @@ class Cache(dict):
             self.old = dict(self)
             self.clear()
 
-    def missing(self, keys: list) -> set:
+    def missing(self, keys) -> set:
         """Keys that must be found anew; those among the old entries are taken over."""
         out, old = set(), self.old
-        for key in keys:
-            if key not in self:
-                value = old.get(key)
-                if value is None:
-                    out.add(key)
-                else:
-                    self[key] = value
+        for key in {k for k, v in zip(keys, map(self.get, keys), strict=True) if v is None}:
+            value = old.get(key)
+            if value is None:
+                out.add(key)
+            else:
+                self[key] = value
         return out
 
 
+def _visible(piece: str) -> bool:
+    """Whether a piece neither is empty nor starts or ends with white space."""
+    return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+
+
 class Codec:
     """Tables of one rank file, with the caches of this worker."""
 
@@ -115,14 +116,21 @@ class Codec:
         self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.starts_run = np.zeros(max(self.bytes_of) + 1, bool)
         self.starts_run[[r for r, t in self.bytes_of.items() if t[:1] == b" "]] = True
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": ""})
-        self.tables: set[str] = set()
+        self.release()
+
+    def release(self) -> None:
+        """Forget what a partition has found, and close its database."""
+        self.db, self.tables = None, set()
         self.words, self.pieces, self.runs = Cache(CACHE // 4), Cache(CACHE), Cache(CACHE)
+        pa.default_memory_pool().release_unused()
 
     def _need(self, name: str) -> None:
         """Create the merge table or the vocabulary, whichever this worker uses."""
+        if self.db is None:
+            self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": ""})
         if name not in self.tables:
-            rows = {"pair": self.pair, "merged": pa.array(self.merged, pa.int32())} if name == "merges" else {"id": pa.array(list(self.bytes_of), pa.int32()), "hex": [t.hex() for t in self.bytes_of.values()]}
+            # a byte is the character of the same number
+            rows = {"pair": self.pair, "merged": pa.array(self.merged, pa.int32())} if name == "merges" else {"id": pa.array(list(self.bytes_of), pa.int32()), "text": [t.decode("latin-1") for t in self.bytes_of.values()]}
             self.db.register("rows", pa.table(rows))
             self.db.execute(f"CREATE TABLE {name} AS FROM rows")
             self.db.unregister("rows")
@@ -207,14 +215,15 @@ class Codec:
         unknown: set[str] = set()
         whole: set[str] = set()
         for t in texts:
-            if _UNSAFE.search(t):
+            # a piece stands for itself with a space before it; the first piece has none
+            head, *rest = t.split(" ")
+            new = pieces.missing(rest) if None in map(pieces.get, rest) else ()
+            # a cut is a place where a pre-token begins only between visible characters; other pieces are never kept
+            if (rest and not _visible(head)) or not all(map(_visible, new)):
                 first, rest = find(t), []
             else:
-                # a piece stands for itself with a space before it; the first piece has none
-                head, *rest = t.split(" ")
                 first = find(head)
-                if None in map(pieces.get, rest):
-                    unknown |= pieces.missing(rest)
+                unknown.update(new)
             whole.update(first)
             split.append((first, rest))
         # a piece of letters is one pre-token; others are matched
@@ -242,7 +251,7 @@ class Codec:
         self.db.register("runs", table)
         out = self.db.sql(_DECODE).to_arrow_table()
         self.db.unregister("runs")
-        self.runs.update(zip(runs, map(bytes.fromhex, out["hex"].to_pylist()), strict=True))
+        self.runs.update(zip(runs, [t.encode("latin-1") for t in out["text"].to_pylist()], strict=True))
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """Bytes of each packed id list; a run is an id whose bytes start with a space, and those up to the next such id."""
@@ -272,7 +281,7 @@ _codecs: dict[tuple[bytes, str], Codec] = {}
 
 
 def codec(rank_file: bytes, pattern: str) -> Codec:
-    """The worker's codec for these ranks; kept while the worker lives."""
+    """The worker's codec for these ranks; its tables are kept while the worker lives, its caches for one partition."""
     key = rank_file, pattern
     if key not in _codecs:
         _codecs[key] = Codec(rank_file, pattern)
@@ -297,6 +306,7 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text",
                 ids = own.encode([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
                 out = [ids] if decoded is None else [ids, own.decode(ids)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(first, end - first).columns, *(pa.array(x, pa.binary()) for x in out)], names=[*batch.schema.names, *added])
+        own.release()
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields, *(T.StructField(x, T.BinaryType()) for x in added)]))
 
@@ -317,6 +327,7 @@ def decode(tokens: DataFrame, rank_file: bytes, pattern: str, ids: str = "ids",
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 out = own.decode(column.slice(a, b - a).to_pylist())
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(out, pa.binary())], names=[*batch.schema.names, into])
+        own.release()
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, T.BinaryType())]))
 
