@@ -95,6 +95,13 @@ def _visible(piece: str) -> bool:
     return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
 
 
+def _laid_out(values: list[bytes], order: pa.Array) -> tuple[bytes, np.ndarray]:
+    """values[k] for each k of order, one behind the other, and where each begins (one entry more)."""
+    out = pa.array(values, pa.large_binary()).take(order)
+    _, offsets, data = out.buffers()
+    return data.to_pybytes() if data else b"", np.frombuffer(offsets, np.int64)[out.offset : out.offset + len(out) + 1]
+
+
 class Codec:
     """Tables of one rank file, with the caches of this worker."""
 
@@ -211,21 +218,20 @@ class Codec:
         self.words.turn()
         self.pieces.turn()
         find, pieces, words = self.pattern.findall, self.pieces, self.words
-        split: list[tuple[list[str], list[str]]] = []
-        unknown: set[str] = set()
-        whole: set[str] = set()
-        for t in texts:
-            # a piece stands for itself with a space before it; the first piece has none
-            head, *rest = t.split(" ")
-            new = pieces.missing(rest) if None in map(pieces.get, rest) else ()
-            # a cut is a place where a pre-token begins only between visible characters; other pieces are never kept
-            if (rest and not _visible(head)) or not all(map(_visible, new)):
-                first, rest = find(t), []
-            else:
-                first = find(head)
-                unknown.update(new)
-            whole.update(first)
-            split.append((first, rest))
+        # a piece stands for itself with a space before it; the first piece of a text has none
+        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        bounds = np.asarray(parts.offsets)
+        coded = parts.flatten().dictionary_encode()
+        distinct, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices)
+        # a cut is a place where a pre-token begins only between visible characters; other texts are matched whole
+        visible = np.fromiter(map(_visible, distinct), bool, len(distinct))
+        cut = np.logical_and.reduceat(visible[codes], bounds[:-1])
+        first = [find(distinct[k] if c else t) for t, c, k in zip(texts, cut.tolist(), codes[bounds[:-1]].tolist(), strict=True)]
+        whole: set[str] = set().union(*first)
+        behind = np.repeat(cut, np.diff(bounds))
+        behind[bounds[:-1]] = False
+        used = np.unique(codes[behind]).tolist()
+        unknown = pieces.missing([distinct[k] for k in used])
         # a piece of letters is one pre-token; others are matched
         wanted = {" " + p: (pieces, p) for p in unknown if p.isalpha()}
         mixed = {p: find(" " + p) for p in unknown if not p.isalpha()}
@@ -239,7 +245,12 @@ class Codec:
             words[token] = pieces[token[1:]]
         for p, found in mixed.items():
             pieces[p] = b"".join([words[t] for t in found])
-        return [b"".join([*map(words.__getitem__, first), *map(pieces.__getitem__, rest)]) for first, rest in split]
+        ids = [b""] * len(distinct)
+        for k in used:
+            ids[k] = pieces[distinct[k]]
+        data, ends = _laid_out(ids, coded.indices)
+        after, end = ends[bounds[:-1] + 1].tolist(), ends[bounds[1:]].tolist()
+        return [b"".join([*map(words.__getitem__, f), data[a:b] if c else b""]) for f, c, a, b in zip(first, cut.tolist(), after, end, strict=True)]
 
     # -- decoding ---------------------------------------------------------------------------
 
@@ -256,25 +267,25 @@ class Codec:
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """Bytes of each packed id list; a run is an id whose bytes start with a space, and those up to the next such id."""
         self.runs.turn()
-        known, split, unknown = self.runs, [], set()
-        for p in packed:
-            ids = np.frombuffer(p, "<u4")
-            if not len(ids):
-                split.append([])
-                continue
-            if int(ids.max()) >= len(self.starts_run):
-                raise ValueError(f"id {int(ids.max())} is not in the vocabulary")
-            begin = (4 * np.flatnonzero(self.starts_run[ids])).tolist()
-            if not begin or begin[0]:
-                begin = [0, *begin]
-            runs = [p[a:b] for a, b in zip(begin, [*begin[1:], len(p)], strict=True)]
-            if None in map(known.get, runs):
-                unknown |= known.missing(runs)
-            split.append(runs)
-        todo = list(unknown)
+        joined = b"".join(packed)
+        ids = np.frombuffer(joined, "<u4")
+        if not len(ids):
+            return [b""] * len(packed)
+        if int(ids.max()) >= len(self.starts_run):
+            raise ValueError(f"id {int(ids.max())} is not in the vocabulary")
+        bounds = np.cumsum([0, *map(len, packed)]) // 4
+        begins = self.starts_run[ids]
+        begins[bounds[:-1][np.diff(bounds) > 0]] = True
+        starts = np.flatnonzero(begins)
+        offsets = 4 * np.append(starts, len(ids)).astype(np.int64)
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        todo = list(self.runs.missing(distinct))
         for k in range(0, len(todo), WORDS_PER_QUERY):
             self._join_runs(todo[k : k + WORDS_PER_QUERY])
-        return [b"".join(map(known.__getitem__, runs)) for runs in split]
+        data, ends = _laid_out([self.runs[r] for r in distinct], coded.indices)
+        at = ends[np.searchsorted(starts, bounds)].tolist()
+        return [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 _codecs: dict[tuple[bytes, str], Codec] = {}
