@@ -4,8 +4,8 @@ encode() splits a text into pre-tokens. The distinct pre-tokens that a worker ha
 are put into a table of (word, position, token, next token) rows; a recursive query joins it with
 the merge table and contracts each word's leftmost pair of least rank until no pair is left.
 decode() joins (run, position, id) rows with the vocabulary and puts the bytes together by an
-ordered aggregation. Words and runs repeat, so a partition keeps what it has found in bounded
-caches and drops them at its end; texts are read whole, in blocks, and never shuffled.
+ordered aggregation. Words and runs repeat, so a worker keeps what it has found in bounded
+caches; its database is closed at a partition's end; texts are read whole, in blocks, and never shuffled.
 
 A text is cut at single spaces between visible characters first, where a pre-token always begins;
 the pattern itself runs on distinct pieces only. Texts with other white space at such places are
@@ -35,7 +35,7 @@ from . import arrow
 from .tables import read
 
 #: Entries of a cache before its older half goes; what is met again is kept.
-CACHE = 1_000_000
+CACHE = 500_000
 WORDS_PER_QUERY = 20_000
 LONG_BYTES = 512
 DUCKDB_MEMORY = "250MB"
@@ -123,12 +123,12 @@ class Codec:
         self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.starts_run = np.zeros(max(self.bytes_of) + 1, bool)
         self.starts_run[[r for r, t in self.bytes_of.items() if t[:1] == b" "]] = True
+        self.words, self.pieces, self.runs = Cache(CACHE // 2), Cache(CACHE), Cache(CACHE)
         self.release()
 
     def release(self) -> None:
-        """Forget what a partition has found, and close its database."""
+        """Close the partition's database; the caches stay, as they are bounded."""
         self.db, self.tables = None, set()
-        self.words, self.pieces, self.runs = Cache(CACHE // 4), Cache(CACHE), Cache(CACHE)
         pa.default_memory_pool().release_unused()
 
     def _need(self, name: str) -> None:
@@ -292,7 +292,7 @@ _codecs: dict[tuple[bytes, str], Codec] = {}
 
 
 def codec(rank_file: bytes, pattern: str) -> Codec:
-    """The worker's codec for these ranks; its tables are kept while the worker lives, its caches for one partition."""
+    """The worker's codec for these ranks; its tables and caches are kept while the worker lives."""
     key = rank_file, pattern
     if key not in _codecs:
         _codecs[key] = Codec(rank_file, pattern)
