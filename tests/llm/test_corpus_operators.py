@@ -204,6 +204,25 @@ def test_op3_finds_every_exact_run(spark, sf_dir, duck):
                 assert covered[i].issuperset(range(k, k + 50)) and len({rows[j]["class_id"] for j in own}) == 1
 
 
+def test_chain_over_a_gap_is_cut(spark, make_docs):
+    rng = random.Random(17)
+    new = iter(range(10**6))
+    text = lambda n: [f"w{next(new)}" for _ in range(n)]
+    for gap in (40, 55, 300):
+        one, two = text(60), text(60)
+        docs = [text(30) + one + text(gap) + two + text(30) for _ in range(2)]
+        found = {r["doc_id"]: r["spans"] for r in passages.repeated_passages(make_docs([" ".join(d) for d in docs])).collect()}
+        for i in (0, 1):
+            assert [(s["start"], s["end"]) for s in found[i]] == [(30, 90), (90 + gap, 150 + gap)]
+    for _ in range(50):
+        a, b = [[rng.randrange(5) for _ in range(rng.randrange(25))] for _ in range(2)]
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+        assert passages._between(a, b) == table[-1, -1]
+
+
 # -- pipeline ---------------------------------------------------------------------------------
 
 
