@@ -223,6 +223,29 @@ def test_chain_over_a_gap_is_cut(spark, make_docs):
         assert passages._between(a, b) == table[-1, -1]
 
 
+def node_of(text):
+    n = xxhash.xxh64_intdigest(text.encode(), 42)
+    return n - (n >> 63 << 64)
+
+
+def test_passage_whose_seeds_have_other_hubs(spark, make_docs):
+    new = iter(range(10**6))
+    text = lambda n: [f"v{next(new)}" for _ in range(n)]
+    shared = text(60)
+    a, b = (" ".join(text(40) + shared + text(40)) for _ in range(2))
+    # the parts occur alone in texts of lower hashes
+    others = []
+    for part in (shared[:25], shared[20:45], shared[40:]):
+        other = " ".join(text(30) + part + text(30))
+        while node_of(other) >= min(node_of(a), node_of(b)):
+            other = " ".join(text(30) + part + text(30))
+        others.append(other)
+    found = {r["doc_id"]: r for r in passages.repeated_passages(make_docs([a, b, *others])).collect()}
+    for i in (0, 1):
+        assert [(s["start"], s["end"]) for s in found[i]["spans"]] == [(40, 100)] and found[i]["class_id"] == 0
+    assert all(found[i]["n_repeated"] == 0 for i in (2, 3, 4))
+
+
 # -- pipeline ---------------------------------------------------------------------------------
 
 
