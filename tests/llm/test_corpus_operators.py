@@ -246,6 +246,20 @@ def test_passage_whose_seeds_have_other_hubs(spark, make_docs):
     assert all(found[i]["n_repeated"] == 0 for i in (2, 3, 4))
 
 
+def test_every_copy_in_a_hub_counts(spark, make_docs):
+    new = iter(range(10**6))
+    text = lambda n: [f"u{next(new)}" for _ in range(n)]
+    twice, line = text(60), text(9)
+    docs = []
+    for _ in range(2):
+        # both texts have all copies, so either may be the hub
+        docs.append(" ".join(text(30) + twice + text(200) + twice + text(30)))
+        docs.append(" ".join(text(30) + line * 50 + text(30)))
+    found = passages.repeated_passages(make_docs(docs)).collect()
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in found}
+    assert spans == {0: [(30, 90), (290, 350)], 2: [(30, 90), (290, 350)], 1: [(30, 480)], 3: [(30, 480)]}
+
+
 # -- pipeline ---------------------------------------------------------------------------------
 
 
