@@ -114,5 +114,6 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def table(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], (pa.Array, pa.ChunkedArray)) else columns[f.name].cast(f.type) for f in schema], schema=schema)
+def quoted(name: str) -> str:
+    """A column name that Spark takes as one name, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"

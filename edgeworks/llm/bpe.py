@@ -9,9 +9,9 @@ caches; its database is closed at a partition's end; texts are read whole, in bl
 
 A text is cut at single spaces between visible characters first, where a pre-token always begins;
 the pattern itself runs on distinct pieces only. Texts with other white space at such places are
-matched whole. A pre-token over LONG_BYTES is contracted in numpy, all places of the least pair at
-once where that gives the same as one by one: the recursion would need rows with the square of
-its length.
+matched whole. Words over LONG_BYTES take the same recursion with all places of the least pair in a step,
+every other one of overlapping places, where no lesser pair can arise from that token (else the leftmost
+place alone), and a bounded number of steps a query, so the rows held stay bounded for a word of any length.
 
 Defined cases: null is an empty text, which has no ids and decodes to no bytes; repeated rows are
 each encoded; ids outside the vocabulary raise a ValueError; other columns are carried along.
@@ -34,19 +34,28 @@ from pyspark.sql import types as T
 from . import arrow
 from .tables import read
 
-#: Entries of a cache before its older half goes; what is met again is kept.
-CACHE = 500_000
-WORDS_PER_QUERY = 20_000
-LONG_BYTES = 512
+#: Entries and bytes of a cache before its half that was not met for longest goes.
+CACHE, CACHE_BYTES = 800_000, 64 << 20
+#: Words and bytes of a query, the size from which words are contracted at all places at once, and rows of such a query over all steps.
+WORDS_PER_QUERY, BYTES_PER_QUERY = 20_000, 400_000
+LONG_BYTES = 64
+LONG_ROWS = 2_000_000
+BLOCK_BYTES = 4 << 20
 DUCKDB_MEMORY = "250MB"
 
-_ENCODE = """
+_START = """
 WITH RECURSIVE seq AS (
     SELECT i.word, i.pos, i.token, i.next, m.merged, 0 AS step
     FROM initial i LEFT JOIN merges m ON m.pair = (i.token::BIGINT << 32) + i.next
     UNION ALL
     SELECT n.word, n.pos, n.token, n.next, m.merged, n.step
-    FROM (
+    FROM ("""
+_END = """) n LEFT JOIN merges m ON m.pair = (n.token::BIGINT << 32) + n.next
+)
+SELECT word, pos, token, next, step FROM seq JOIN (SELECT word, max(step) AS step FROM seq GROUP BY word) USING (word, step) ORDER BY word, pos
+"""
+
+_ENCODE = f"""{_START}
         SELECT s.word, s.pos - (s.pos > b.pos)::INT AS pos,
                CASE WHEN s.pos = b.pos THEN b.merged ELSE s.token END AS token,
                CASE WHEN s.pos = b.pos THEN b.after WHEN s.pos = b.pos - 1 THEN b.merged ELSE s.next END AS next,
@@ -58,234 +67,294 @@ WITH RECURSIVE seq AS (
                 FROM (SELECT word, min((merged::BIGINT << 32) + pos) AS least FROM seq WHERE merged IS NOT NULL GROUP BY word)
             ) l JOIN seq r ON r.word = l.word AND r.pos = l.pos + 1
         ) b ON s.word = b.word AND s.pos <> b.pos + 1
-    ) n LEFT JOIN merges m ON m.pair = (n.token::BIGINT << 32) + n.next
-)
-SELECT word, token FROM seq JOIN (SELECT word, max(step) AS step FROM seq GROUP BY word) USING (word, step) ORDER BY word, pos
-"""
+    {_END}"""
+
+#: The same for long words: hit marks the places of the least pair, chosen those contracted in this step.
+_ENCODE_LONG = f"""{_START}
+        SELECT word, pos, CASE WHEN chosen THEN least ELSE token END AS token,
+               CASE WHEN chosen THEN CASE WHEN chosen_2 THEN least ELSE token_2 END WHEN chosen_1 THEN least ELSE next END AS next, step + 1 AS step
+        FROM (
+            SELECT *, lag(chosen, 1, false) OVER w AS gone, lead(chosen, 1, false) OVER w AS chosen_1, lead(chosen, 2, false) OVER w AS chosen_2, lead(token, 2) OVER w AS token_2
+            FROM (
+                SELECT word, pos, token, next, step, least,
+                       hit AND (k - coalesce(max(CASE WHEN NOT hit THEN k END) OVER w, 0)) % 2 = 1
+                       AND (least NOT IN (SELECT token FROM single) OR k = min(CASE WHEN hit THEN k END) OVER (PARTITION BY word)) AS chosen
+                FROM (
+                    SELECT s.word, s.pos, s.token, s.next, s.step, b.least, s.merged IS NOT DISTINCT FROM b.least AS hit, row_number() OVER (PARTITION BY s.word ORDER BY s.pos) AS k
+                    FROM seq s JOIN (SELECT word, min(merged) AS least FROM seq WHERE merged IS NOT NULL AND step < {{steps}} GROUP BY word) b ON b.word = s.word
+                ) WINDOW w AS (PARTITION BY word ORDER BY pos)
+            ) WINDOW w AS (PARTITION BY word ORDER BY pos)
+        ) WHERE NOT gone
+    {_END}"""
 
 _DECODE = "SELECT run, string_agg(text, '' ORDER BY pos) AS text FROM runs JOIN vocabulary USING (id) GROUP BY run ORDER BY run"
 
 
-class Cache(dict):
-    """Known values by key. At half its size the entries become the old ones, which are dropped at the next turn unless met again."""
+def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a large binary array, and the offsets in them (one entry more)."""
+    _, offsets, data = values.buffers()
+    at = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1] if offsets else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8), at
 
-    def __init__(self, size: int):
-        super().__init__()
-        self.half, self.old = size // 2, {}
 
-    def turn(self) -> None:
-        if len(self) > self.half:
-            self.old = dict(self)
-            self.clear()
-
-    def missing(self, keys) -> set:
-        """Keys that must be found anew; those among the old entries are taken over."""
-        out, old = set(), self.old
-        for key in {k for k, v in zip(keys, map(self.get, keys), strict=True) if v is None}:
-            value = old.get(key)
-            if value is None:
-                out.add(key)
-            else:
-                self[key] = value
-        return out
+def _binary(data: np.ndarray | bytes | pa.Buffer, offsets: np.ndarray) -> pa.Array:
+    """A large binary array from its bytes and offsets."""
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), data if isinstance(data, pa.Buffer) else pa.py_buffer(data)])
 
 
-def _visible(piece: str) -> bool:
-    """Whether a piece neither is empty nor starts or ends with white space."""
-    return bool(piece) and not piece[0].isspace() and not piece[-1].isspace()
+class Known:
+    """Byte strings and what was found for each, in flat arrays: looked up by a 64-bit hash, then compared."""
 
+    def __init__(self):
+        self.keys = self.values = pa.array([], pa.large_binary())
+        self.hash, self.at, self.met, self.clock = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), 0
+        #: places of keys whose hash another key has
+        self.odd: dict[bytes, int] = {}
 
-def _laid_out(values: list[bytes], order: pa.Array) -> tuple[bytes, np.ndarray]:
-    """values[k] for each k of order, one behind the other, and where each begins (one entry more)."""
-    out = pa.array(values, pa.large_binary()).take(order)
-    _, offsets, data = out.buffers()
-    return data.to_pybytes() if data else b"", np.frombuffer(offsets, np.int64)[out.offset : out.offset + len(out) + 1]
+    def turn(self) -> None:
+        """Between two blocks: at its bound, keep the half met last. Places found before do not hold any more."""
+        self.clock += 1
+        if len(self.keys) > CACHE or self.keys.nbytes + self.values.nbytes > CACHE_BYTES:
+            kept = np.sort(np.argsort(self.met, kind="stable")[len(self.met) // 2 :])
+            keys, values, met = self.keys.take(pa.array(kept)), self.values.take(pa.array(kept)), self.met[kept]
+            clock = self.clock
+            self.__init__()
+            self.add(keys, values)
+            self.met, self.clock = met, clock
+
+    @staticmethod
+    def _hashes(keys: pa.Array) -> np.ndarray:
+        data, at = _flat(keys)
+        return arrow.word_hashes(data, at[:-1], at[1:])
+
+    def find(self, keys: pa.Array) -> np.ndarray:
+        """Place of each key in values, or -1."""
+        out = np.full(len(keys), -1, np.int64)
+        if len(keys) and len(self.hash):
+            h = self._hashes(keys)
+            k = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
+            hit = np.flatnonzero(self.hash[k] == h)
+            place = self.at[k[hit]]
+            same = pc.equal(keys.take(pa.array(hit)), self.keys.take(pa.array(place))).to_numpy(zero_copy_only=False)
+            out[hit[same]] = place[same]
+            for i in hit[~same].tolist() if self.odd else ():
+                out[i] = self.odd.get(keys[i].as_py(), -1)
+            self.met[out[out >= 0]] = self.clock
+        return out
+
+    def add(self, keys: pa.Array, values: pa.Array) -> None:
+        """Distinct keys that find() does not know."""
+        place = np.arange(len(self.keys), len(self.keys) + len(keys))
+        h = self._hashes(keys)
+        order = np.argsort(h, kind="stable")
+        h, place_of = h[order], place[order]
+        taken = np.append(False, h[1:] == h[:-1])[: len(h)]
+        if len(self.hash):
+            taken |= self.hash[np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)] == h
+        for i in np.flatnonzero(taken).tolist():
+            self.odd[keys[int(order[i])].as_py()] = int(place_of[i])
+        where = np.searchsorted(self.hash, h[~taken])
+        self.hash, self.at = np.insert(self.hash, where, h[~taken]), np.insert(self.at, where, place_of[~taken])
+        self.met = np.append(self.met, np.full(len(keys), self.clock))
+        self.keys, self.values = pa.concat_arrays([self.keys, keys]), pa.concat_arrays([self.values, values])
+
+
+def _visible(pieces: pa.Array) -> np.ndarray:
+    """Whether a piece neither is empty nor starts or ends with white space."""
+    data, at = _flat(pieces.cast(pa.large_binary()))
+    some = np.flatnonzero(np.diff(at) > 0)
+    first, last = data[at[some]], data[at[some + 1] - 1]
+    out = np.zeros(len(pieces), bool)
+    out[some] = (first > 0x20) & (last > 0x20)
+    for i in some[(first >= 0x80) | (last >= 0x80)].tolist():
+        piece = pieces[i].as_py()
+        out[i] = out[i] and not piece[0].isspace() and not piece[-1].isspace()
+    return out
 
 
 class Codec:
     """Tables of one rank file, with the caches of this worker."""
 
     def __init__(self, rank_file: bytes, pattern: str):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
         self.pattern = regex.compile(pattern)
         left, right, merged = [], [], []
-        for token, rank in self.ranks.items():
+        for token, rank in ranks.items():
             for k in range(1, len(token)):
-                a, b = self.ranks.get(token[:k]), self.ranks.get(token[k:])
+                a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     left.append(a)
                     right.append(b)
                     merged.append(rank)
-        pair = (np.array(left, np.int64) << 32) + np.array(right, np.int64)
-        order = np.argsort(pair)
-        self.pair, self.merged = pair[order], np.array(merged, np.int64)[order]
-        self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        self.bytes_of = {r: t for t, r in self.ranks.items()}
-        self.starts_run = np.zeros(max(self.bytes_of) + 1, bool)
-        self.starts_run[[r for r, t in self.bytes_of.items() if t[:1] == b" "]] = True
-        self.words, self.pieces, self.runs = Cache(CACHE // 2), Cache(CACHE), Cache(CACHE)
+        left, right, merged = (np.array(x, np.int64) for x in (left, right, merged))
+        self.merges = pa.table({"pair": (left << 32) + right, "merged": pa.array(merged, pa.int32())})
+        #: tokens from which a pair of lesser rank can arise, so that their pairs are contracted one by one
+        self.single = pa.table({"token": pa.array(np.unique([*left[merged < left], *right[merged < right]]), pa.int32())})
+        self.byte_rank = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        # a byte is the character of the same number
+        self.names = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "text": [t.decode("latin-1") for t in ranks]})
+        self.in_vocabulary, self.starts_run = np.zeros((2, max(ranks.values()) + 1), bool)
+        self.in_vocabulary[list(ranks.values())] = True
+        self.starts_run[[r for t, r in ranks.items() if t[:1] == b" "]] = True
+        self.vocabulary, self.words, self.runs = Known(), Known(), Known()
+        self.vocabulary.add(pa.array(list(ranks), pa.large_binary()), pa.array([r.to_bytes(4, "little") for r in ranks.values()], pa.large_binary()))
         self.release()
 
     def release(self) -> None:
         """Close the partition's database; the caches stay, as they are bounded."""
+        if getattr(self, "db", None) is not None:
+            self.db.close()
         self.db, self.tables = None, set()
         pa.default_memory_pool().release_unused()
 
-    def _need(self, name: str) -> None:
-        """Create the merge table or the vocabulary, whichever this worker uses."""
+    def _need(self, **tables: pa.Table) -> None:
+        """Create those of the merge tables or the vocabulary that this worker uses."""
         if self.db is None:
             self.db = duckdb.connect(config={"threads": 1, "memory_limit": DUCKDB_MEMORY, "temp_directory": ""})
-        if name not in self.tables:
-            # a byte is the character of the same number
-            rows = {"pair": self.pair, "merged": pa.array(self.merged, pa.int32())} if name == "merges" else {"id": pa.array(list(self.bytes_of), pa.int32()), "text": [t.decode("latin-1") for t in self.bytes_of.values()]}
-            self.db.register("rows", pa.table(rows))
+        for name in tables.keys() - self.tables:
+            self.db.register("rows", tables[name])
             self.db.execute(f"CREATE TABLE {name} AS FROM rows")
             self.db.unregister("rows")
             self.tables.add(name)
 
+    def _query(self, name: str, rows: pa.Table, sql: str) -> pa.Table:
+        self.db.register(name, rows)
+        out = self.db.sql(sql).to_arrow_table()
+        self.db.unregister(name)
+        return out
+
     # -- encoding ---------------------------------------------------------------------------
 
-    def _contract(self, words: list[bytes]) -> list[bytes]:
+    def _contract(self, words: pa.Array) -> pa.Array:
         """Packed ids of words by the recursive query."""
-        size = np.array([len(w) for w in words])
-        stop = np.cumsum(size)
-        token = self.byte_rank[np.frombuffer(b"".join(words), np.uint8)]
-        after = np.append(token[1:], 0)
+        data, at = _flat(words)
+        data, at = data[at[0] : at[-1]], at - at[0]
+        size = np.diff(at)
+        long = bool(size.max(initial=0) > LONG_BYTES)
+        token = self.byte_rank[data]
         last = np.zeros(len(token), bool)
-        last[stop - 1] = True
-        initial = pa.table({"word": pa.array(np.repeat(np.arange(len(words)), size), pa.int32()), "pos": pa.array(np.arange(len(token)) - np.repeat(stop - size, size), pa.int32()), "token": pa.array(token, pa.int32()), "next": pa.array(after, pa.int32(), mask=last)})
-        self._need("merges")
-        self.db.register("initial", initial)
-        out = self.db.sql(_ENCODE).to_arrow_table()
-        self.db.unregister("initial")
-        ids = np.asarray(out["token"], np.uint32)
-        ends = np.searchsorted(np.asarray(out["word"]), np.arange(len(words)), "right")
-        packed = ids.astype("<u4").tobytes()
-        return [packed[4 * a : 4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-
-    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = (left << 32) + right
-        k = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        return np.where(self.pair[k] == key, self.merged[k], np.iinfo(np.int64).max)
-
-    def contract_long(self, word: bytes) -> bytes:
-        """The same for one long word: all places of the least pair in a step, or the leftmost where a lesser pair would arise."""
-        token = self.byte_rank[np.frombuffer(word, np.uint8)]
-        rank = self._rank(token[:-1], token[1:])
-        none = np.iinfo(np.int64).max
-        while len(rank) and (least := rank.min()) != none:
-            at = np.flatnonzero(rank == least)
-            # overlapping places: of each run of neighbours every other one, from the left
-            run = np.flatnonzero(np.diff(at, prepend=-2) > 1)
-            at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
-            for tries in (at, at[:1]):
-                gone = np.zeros(len(token), bool)
-                gone[tries + 1] = True
-                new = token.copy()
-                new[tries] = least
-                new = new[~gone]
-                place = tries - np.arange(len(tries))
-                before, after = place[place > 0], place[place < len(new) - 1]
-                rank_before, rank_after = self._rank(new[before - 1], new[before]), self._rank(new[after], new[after + 1])
-                if len(tries) == 1 or min(rank_before.min(initial=none), rank_after.min(initial=none)) > least:
-                    break
-            new_rank = rank[~gone[1:]] if len(new) > 1 else rank[:0]
-            new_rank = new_rank[: len(new) - 1].copy()
-            new_rank[before - 1] = rank_before
-            new_rank[after] = rank_after
-            token, rank = new, new_rank
-        return token.astype("<u4").tobytes()
-
-    def _learn(self, wanted: dict[str, tuple[dict[str, bytes], str]]) -> None:
-        """Put packed ids into caches: wanted has the pre-token, the cache and its key there."""
-        todo: list[tuple[str, bytes]] = []
-        for token, (cache, key) in wanted.items():
-            raw = token.encode()
-            if (rank := self.ranks.get(raw)) is not None:
-                cache[key] = rank.to_bytes(4, "little")
-            elif len(raw) > LONG_BYTES:
-                cache[key] = self.contract_long(raw)
-            else:
-                todo.append((token, raw))
-        for k in range(0, len(todo), WORDS_PER_QUERY):
-            part = todo[k : k + WORDS_PER_QUERY]
-            for (token, _), ids in zip(part, self._contract([raw for _, raw in part]), strict=True):
-                cache, key = wanted[token]
-                cache[key] = ids
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of whole texts."""
+        last[at[1:] - 1] = True
+        state = pa.table({"word": pa.array(np.repeat(np.arange(len(words)), size), pa.int32()), "pos": pa.array(np.arange(len(token)) - np.repeat(at[:-1], size), pa.int32()), "token": pa.array(token, pa.int32()), "next": pa.array(np.append(token[1:], 0), pa.int32(), mask=last)})
+        self._need(merges=self.merges, single=self.single)
+        done = []
+        while state.num_rows:
+            steps = max(1, LONG_ROWS // state.num_rows)
+            out = self._query("initial", state, _ENCODE_LONG.format(steps=steps) if long else _ENCODE)
+            # words that used all steps of the query go on from where they are
+            goes_on = np.asarray(out["step"]) >= steps if long else np.zeros(out.num_rows, bool)
+            done.append(out.filter(pa.array(~goes_on)))
+            state = out.filter(pa.array(goes_on)).select(["word", "pos", "token", "next"])
+        out = pa.concat_tables(done)
+        word, ids = np.asarray(out["word"]), np.asarray(out["token"])
+        if len(done) > 1:
+            order = np.argsort(word, kind="stable")
+            word, ids = word[order], ids[order]
+        return _binary(ids.astype("<u4").tobytes(), 4 * np.searchsorted(word, np.arange(len(words) + 1)))
+
+    def _learn(self, tokens: pa.Array) -> None:
+        """Put the packed ids of pre-tokens into the cache."""
+        tokens = tokens.unique()
+        tokens = tokens.filter(pa.array(self.words.find(tokens) < 0))
+        place = self.vocabulary.find(tokens)
+        whole = place >= 0
+        if whole.any():
+            self.words.add(tokens.filter(pa.array(whole)), self.vocabulary.values.take(pa.array(place[whole])))
+        tokens = tokens.filter(pa.array(~whole))
+        size = np.asarray(pc.binary_length(tokens), np.int64)
+        for rows in (np.flatnonzero(size <= LONG_BYTES), np.flatnonzero(size > LONG_BYTES)):
+            part = np.maximum(np.arange(len(rows)) // WORDS_PER_QUERY, np.cumsum(size[rows]) // BYTES_PER_QUERY)
+            for own in np.split(rows, np.flatnonzero(np.diff(part)) + 1) if len(rows) else ():
+                words = tokens.take(pa.array(own))
+                self.words.add(words, self._contract(words))
+
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Places in the cache of pieces with the space before them; unknown ones are matched and learnt."""
+        keys = pc.binary_join_element_wise(pa.scalar(b"", pa.large_binary()), pieces.cast(pa.large_binary()), pa.scalar(b" ", pa.large_binary()))
+        place = self.words.find(keys)
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
+            new = keys.take(pa.array(missing))
+            # a space and letters are one pre-token; others are matched
+            plain = pc.ascii_is_alpha(pieces.take(pa.array(missing)))
+            mixed = new.filter(pc.invert(plain))
+            found = [self.pattern.findall(p) for p in mixed.cast(pa.large_string()).to_pylist()]
+            several = np.array([len(f) > 1 for f in found], bool)
+            tokens = pa.array([t for f in found for t in f], pa.large_string()).cast(pa.large_binary())
+            self._learn(pa.concat_arrays([new.filter(plain), tokens]))
+            if several.any():
+                tokens = pa.array([t for f in found if len(f) > 1 for t in f], pa.large_string()).cast(pa.large_binary())
+                data, at = _flat(self.words.values.take(pa.array(self.words.find(tokens))))
+                ends = np.cumsum([0, *(len(f) for f in found if len(f) > 1)])
+                self.words.add(mixed.filter(pa.array(several)), _binary(data, at[ends]))
+            place[missing] = self.words.find(new)
+        return place
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Packed ids of whole texts (large strings)."""
         self.words.turn()
-        self.pieces.turn()
-        find, pieces, words = self.pattern.findall, self.pieces, self.words
-        # a piece stands for itself with a space before it; the first piece of a text has none
-        parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        bounds = np.asarray(parts.offsets)
+        parts = pc.split_pattern(texts, " ")
+        bounds = np.asarray(parts.offsets, np.int64)
         coded = parts.flatten().dictionary_encode()
-        distinct, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices)
+        codes = np.asarray(coded.indices)
+        bounds = bounds - bounds[0]
         # a cut is a place where a pre-token begins only between visible characters; other texts are matched whole
-        visible = np.fromiter(map(_visible, distinct), bool, len(distinct))
-        cut = np.logical_and.reduceat(visible[codes], bounds[:-1])
-        first = [find(distinct[k] if c else t) for t, c, k in zip(texts, cut.tolist(), codes[bounds[:-1]].tolist(), strict=True)]
-        whole: set[str] = set().union(*first)
+        cut = np.logical_and.reduceat(_visible(coded.dictionary)[codes], bounds[:-1])
+        first = [self.pattern.findall(coded.dictionary[k].as_py() if c else texts[i].as_py()) for i, (c, k) in enumerate(zip(cut.tolist(), codes[bounds[:-1]].tolist(), strict=True))]
+        heads = pa.array([t for f in first for t in f], pa.large_string()).cast(pa.large_binary()).dictionary_encode()
+        # a piece stands for itself with a space before it; the first piece of a text has none
         behind = np.repeat(cut, np.diff(bounds))
         behind[bounds[:-1]] = False
-        used = np.unique(codes[behind]).tolist()
-        unknown = pieces.missing([distinct[k] for k in used])
-        # a piece of letters is one pre-token; others are matched
-        wanted = {" " + p: (pieces, p) for p in unknown if p.isalpha()}
-        mixed = {p: find(" " + p) for p in unknown if not p.isalpha()}
-        for token in words.missing(whole.union(*mixed.values())):
-            if token in wanted:
-                words[token] = b""
-            else:
-                wanted[token] = words, token
-        self._learn(wanted)
-        for token in [t for t in whole.union(*mixed.values()) if not words[t]]:
-            words[token] = pieces[token[1:]]
-        for p, found in mixed.items():
-            pieces[p] = b"".join([words[t] for t in found])
-        ids = [b""] * len(distinct)
-        for k in used:
-            ids[k] = pieces[distinct[k]]
-        data, ends = _laid_out(ids, coded.indices)
-        after, end = ends[bounds[:-1] + 1].tolist(), ends[bounds[1:]].tolist()
-        return [b"".join([*map(words.__getitem__, f), data[a:b] if c else b""]) for f, c, a, b in zip(first, cut.tolist(), after, end, strict=True)]
+        used = np.zeros(len(coded.dictionary), bool)
+        used[codes[behind]] = True
+        self._learn(heads.dictionary)
+        place = np.zeros(len(used), np.int64)
+        place[used] = self._places(coded.dictionary.filter(pa.array(used)))
+        n_heads, n_behind = np.array([len(f) for f in first], np.int64), np.where(cut, np.diff(bounds) - 1, 0)
+        stop = np.concatenate([[0], np.cumsum(n_heads + n_behind)])
+        is_head = np.zeros(int(stop[-1]), bool)
+        is_head[np.arange(int(n_heads.sum())) + np.repeat(stop[:-1] - (np.cumsum(n_heads) - n_heads), n_heads)] = True
+        order = np.empty(len(is_head), np.int64)
+        order[is_head] = self.words.find(heads.dictionary)[np.asarray(heads.indices)]
+        order[~is_head] = place[codes[behind]]
+        data, at = _flat(self.words.values.take(pa.array(order)))
+        return _binary(data, at[stop])
 
     # -- decoding ---------------------------------------------------------------------------
 
-    def _join_runs(self, runs: list[bytes]) -> None:
-        size = np.array([len(r) for r in runs]) // 4
-        ids = np.frombuffer(b"".join(runs), "<u4").astype(np.int64)
-        table = pa.table({"run": pa.array(np.repeat(np.arange(len(runs)), size), pa.int32()), "pos": pa.array(np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size), pa.int32()), "id": pa.array(ids, pa.int32())})
-        self._need("vocabulary")
-        self.db.register("runs", table)
-        out = self.db.sql(_DECODE).to_arrow_table()
-        self.db.unregister("runs")
-        self.runs.update(zip(runs, [t.encode("latin-1") for t in out["text"].to_pylist()], strict=True))
-
-    def decode(self, packed: list[bytes]) -> list[bytes]:
+    def _join_runs(self, runs: pa.Array) -> None:
+        data, at = _flat(runs)
+        ids, at = np.frombuffer(data[at[0] : at[-1]].tobytes(), "<u4"), (at - at[0]) // 4
+        size = np.diff(at)
+        rows = pa.table({"run": pa.array(np.repeat(np.arange(len(runs)), size), pa.int32()), "pos": pa.array(np.arange(len(ids)) - np.repeat(at[:-1], size), pa.int32()), "id": pa.array(ids.astype(np.int32))})
+        self._need(vocabulary=self.names)
+        text = self._query("runs", rows, _DECODE)["text"].combine_chunks().cast(pa.large_string())
+        data, utf8 = _flat(text.cast(pa.large_binary()))
+        chars = np.asarray(pc.utf8_length(text), np.int64)
+        self.runs.add(runs, _binary(data[utf8[0] : utf8[-1]].tobytes().decode().encode("latin-1"), np.concatenate([[0], np.cumsum(chars)])))
+
+    def decode(self, packed: pa.Array) -> pa.Array:
         """Bytes of each packed id list; a run is an id whose bytes start with a space, and those up to the next such id."""
         self.runs.turn()
-        joined = b"".join(packed)
-        ids = np.frombuffer(joined, "<u4")
+        data, at = _flat(packed)
+        data, bounds = data[at[0] : at[-1]], (at - at[0]) // 4
+        ids = np.frombuffer(data.tobytes(), "<u4")
         if not len(ids):
-            return [b""] * len(packed)
-        if int(ids.max()) >= len(self.starts_run):
-            raise ValueError(f"id {int(ids.max())} is not in the vocabulary")
-        bounds = np.cumsum([0, *map(len, packed)]) // 4
+            return _binary(b"", np.zeros(len(packed) + 1))
+        strange = ids[(ids >= len(self.in_vocabulary)) | ~self.in_vocabulary[np.minimum(ids, len(self.in_vocabulary) - 1)]]
+        if len(strange):
+            raise ValueError(f"id {int(strange[0])} is not in the vocabulary")
         begins = self.starts_run[ids]
         begins[bounds[:-1][np.diff(bounds) > 0]] = True
         starts = np.flatnonzero(begins)
-        offsets = 4 * np.append(starts, len(ids)).astype(np.int64)
-        coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)]).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        todo = list(self.runs.missing(distinct))
-        for k in range(0, len(todo), WORDS_PER_QUERY):
-            self._join_runs(todo[k : k + WORDS_PER_QUERY])
-        data, ends = _laid_out([self.runs[r] for r in distinct], coded.indices)
-        at = ends[np.searchsorted(starts, bounds)].tolist()
-        return [data[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        coded = _binary(data, 4 * np.append(starts, len(ids))).dictionary_encode()
+        distinct = coded.dictionary
+        place = self.runs.find(distinct)
+        new = distinct.filter(pa.array(place < 0))
+        for k in range(0, len(new), WORDS_PER_QUERY):
+            self._join_runs(new.slice(k, WORDS_PER_QUERY))
+        place[place < 0] = self.runs.find(new)
+        data, at = _flat(self.runs.values.take(pa.array(place[np.asarray(coded.indices)])))
+        return _binary(data, at[np.searchsorted(starts, bounds)])
 
 
 _codecs: dict[tuple[bytes, str], Codec] = {}
@@ -306,18 +375,19 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text",
     """
     added = [into] if decoded is None else [into, decoded]
     kept = [c for c in docs.columns if c not in added]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept])
+    source = docs.select(*[F.col(arrow.quoted(c)) for c in kept])
     place = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_file, pattern)
-        for batch in batches:
-            for first, end, data, offsets in arrow.text_blocks(batch.column(place)):
-                raw = data.tobytes()
-                ids = own.encode([raw[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
-                out = [ids] if decoded is None else [ids, own.decode(ids)]
-                yield pa.RecordBatch.from_arrays([*batch.slice(first, end - first).columns, *(pa.array(x, pa.binary()) for x in out)], names=[*batch.schema.names, *added])
-        own.release()
+        try:
+            for batch in batches:
+                for first, end, data, offsets in arrow.text_blocks(batch.column(place), BLOCK_BYTES):
+                    ids = own.encode(_binary(data, offsets).cast(pa.large_string()))
+                    out = [ids] if decoded is None else [ids, own.decode(ids)]
+                    yield pa.RecordBatch.from_arrays([*batch.slice(first, end - first).columns, *(x.cast(pa.binary()) for x in out)], names=[*batch.schema.names, *added])
+        finally:
+            own.release()
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields, *(T.StructField(x, T.BinaryType()) for x in added)]))
 
@@ -325,20 +395,21 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text",
 def decode(tokens: DataFrame, rank_file: bytes, pattern: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """tokens with a binary column of the bytes that the packed ids stand for."""
     kept = [c for c in tokens.columns if c != into]
-    source = tokens.select(*[F.col(f"`{c}`") for c in kept])
+    source = tokens.select(*[F.col(arrow.quoted(c)) for c in kept])
     place = kept.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(rank_file, pattern)
-        for batch in batches:
-            column = pc.fill_null(batch.column(place), b"")
-            size = np.asarray(pc.binary_length(column), np.int64)
-            block = np.concatenate([[0], np.cumsum(size)]) // arrow.BLOCK_BYTES
-            cuts = np.unique([0, *(np.flatnonzero(np.diff(block[:-1])) + 1).tolist(), len(size)])
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                out = own.decode(column.slice(a, b - a).to_pylist())
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, pa.array(out, pa.binary())], names=[*batch.schema.names, into])
-        own.release()
+        try:
+            for batch in batches:
+                column = pc.fill_null(batch.column(place), b"").cast(pa.large_binary())
+                size = np.asarray(pc.binary_length(column), np.int64)
+                block = np.concatenate([[0], np.cumsum(size)]) // BLOCK_BYTES
+                cuts = np.unique([0, *(np.flatnonzero(np.diff(block[:-1])) + 1).tolist(), len(size)])
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                    yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, own.decode(column.slice(a, b - a)).cast(pa.binary())], names=[*batch.schema.names, into])
+        finally:
+            own.release()
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, T.BinaryType())]))
 

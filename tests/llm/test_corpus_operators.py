@@ -1,5 +1,6 @@
 """Operators that bring documents together, against plain versions; and the pipeline."""
 
+import base64
 import collections
 import hashlib
 import random
@@ -285,8 +286,9 @@ def test_pipeline(spark, sf_dir, duck):
     assert not any(re.search("[0-9a-f]{24}", t) for t in texts.values())
     got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, sf_dir).collect()}
     assert got.keys() == texts.keys()
-    codec = bpe.Codec(*bpe.public_ranks())
-    encoding = tiktoken.Encoding("own", pat_str=bpe.public_ranks()[1], mergeable_ranks=codec.ranks, special_tokens={})
+    rank_file, pattern = bpe.public_ranks()
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, rank_file.splitlines())}
+    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     for i, t in texts.items():
         ids = np.array(encoding.encode_ordinary(t), "<u4")
         assert (got[i]["n_tokens"], got[i]["ids_sha256"]) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest())

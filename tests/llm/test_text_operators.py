@@ -198,19 +198,27 @@ def test_ids_equal_the_library(reference_encoding):
     rng = random.Random(5)
     alphabet = list("ab c'sdt \n\t\r 1²é中%!  \x1c\x85　")
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 16))) for _ in range(4000)] + [t or "" for t in ODD]
-    texts += ["".join(rng.choices("etaoin", k=n)) for n in (500, 513, 3000)]
-    ids = codec.encode(texts)
-    assert ids == [packed(reference_encoding.encode_ordinary(t)) for t in texts]
-    assert codec.decode(ids) == [t.encode() for t in texts]
+    # words around the size where the query changes, and one whose query is taken up again where it stopped
+    texts += ["".join(rng.choices("etaoin", k=n)) for n in (63, 64, 65, 66, 500, 3000)] + ["a" * 100_000, "ab" * 50_001]
+    ids = codec.encode(pa.array(texts, pa.large_string()))
+    assert ids.to_pylist() == [packed(reference_encoding.encode_ordinary(t)) for t in texts]
+    assert codec.decode(ids).to_pylist() == [t.encode() for t in texts]
     with pytest.raises(ValueError):
-        codec.decode([packed([10**6])])
-
-
-def test_cache_keeps_what_is_met_again():
-    cache = bpe.Cache(4)
-    cache.update(a=1, b=2, c=3)
-    cache.turn()
-    assert cache.missing(["a", "d"]) == {"d"} and dict(cache) == {"a": 1}
+        codec.decode(pa.array([packed([10**6])], pa.large_binary()))
+
+
+def test_cache_keeps_what_was_met_last(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE", 3)
+    # two keys of one hash are told apart
+    monkeypatch.setattr(bpe.Known, "_hashes", staticmethod(lambda keys: np.array([len(k.as_py()) for k in keys], np.uint64)))
+    known, binary = bpe.Known(), lambda *x: pa.array(x, pa.large_binary())
+    known.add(binary(b"a", b"b", b"cc", b"ddd"), binary(b"1", b"2", b"3", b"4"))
+    assert known.find(binary(b"b", b"ddd", b"e", b"a")).tolist() == [1, 3, -1, 0]
+    known.clock += 1
+    known.find(binary(b"b", b"cc"))
+    known.turn()
+    assert known.values.take(pa.array(known.find(binary(b"cc", b"b")))).to_pylist() == [b"3", b"2"]
+    assert known.find(binary(b"a", b"ddd")).tolist() == [-1, -1]
 
 
 def test_encode_and_decode_tables(spark, odd, empty, reference_encoding):
