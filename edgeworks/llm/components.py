@@ -13,6 +13,27 @@ from pyspark.sql import functions as F
 from .tables import checkpoint
 
 
+#: Keys with more than one row in so many are joined by broadcast: there are fewer of them than this.
+HOT = 200
+
+
+def join_hot(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """rows joined with facts (one row a key, n the number of its rows) on key, without n.
+
+    A key with over 1/HOT of all rows would land in one task, so these, fewer than HOT, are broadcast and
+    their rows stay where they are; the others meet by a shuffle. Null keys meet nothing.
+    """
+    facts = checkpoint(facts)
+    total = facts.agg(F.sum("n")).first()[0] or 0
+    rest = facts.where(F.col("n") * HOT <= total).drop("n")
+    hot = facts.where(F.col("n") * HOT > total).drop("n")
+    known = [r[0] for r in hot.select(key).collect()]
+    if not known:
+        return rows.join(rest, key)
+    is_hot = F.col(key).isin(known)
+    return rows.where(is_hot).join(F.broadcast(hot), key).unionByName(rows.where(~is_hot).join(rest, key))
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Link the larger (large star) or smaller (small star) neighbours of each node to its least neighbour."""
     if large:
