@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
+from functools import partial
 from statistics import NormalDist
 
 import numpy as np
@@ -28,8 +30,9 @@ def _bits(x: np.ndarray) -> np.ndarray:
 def uniforms(seed: int, key: int, ids: np.ndarray, draw: int) -> np.ndarray:
     """The draw-th number in (0, 1) of each id; for the distributions that need several."""
     x = _bits(ids.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    # arrays of one entry: they wrap around without a warning
     for part in (seed, key, draw):
-        x = _bits(x ^ _bits(np.uint64(part % (1 << 64)) + np.uint64(0x9E3779B97F4A7C15)))
+        x = _bits(x ^ _bits(np.array([part % (1 << 64)], np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / _SCALE
 
 
@@ -39,12 +42,15 @@ def normals(seed: int, key: int, ids: np.ndarray, draw: int) -> np.ndarray:
 
 
 def gamma(seed: int, key: int, ids: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
-    """Gamma numbers by squeeze-free rejection; a shape under one is drawn one higher and scaled back."""
+    """Gamma numbers by squeeze-free rejection; a shape under one is drawn one higher and scaled back. Null parameters give NaN."""
+    known = ~(np.isnan(mean) | np.isnan(sd))
+    if (known & ((mean <= 0) | (sd <= 0))).any():
+        raise ValueError("a gamma distribution needs positive mean and sd")
     with np.errstate(divide="ignore", invalid="ignore"):
         shape, scale = mean**2 / sd**2, sd**2 / mean
     d = np.where(shape < 1, shape + 1, shape) - 1 / 3
     c = 1 / np.sqrt(9 * d)
-    out, open_ = np.zeros(len(ids)), np.arange(len(ids))
+    out, open_ = np.where(known, 0.0, np.nan), np.flatnonzero(known)
     draw = 0
     while len(open_):
         z, u = normals(seed, key, ids[open_], 3 * draw), uniforms(seed, key ^ 0x5A5A, ids[open_], draw)
@@ -64,7 +70,9 @@ _quantile = np.frompyfunc(_STANDARD.inv_cdf, 1, 1)
 
 
 def truncated_normal(seed: int, key: int, ids: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
-    """Normal numbers within one sd of the mean and not below zero, by the inverse distribution function."""
+    """Normal numbers within one sd of the mean and not below zero, by the inverse distribution function. Null parameters give NaN."""
+    if ((sd < 0) | (mean + sd < 0)).any():
+        raise ValueError("no value within one sd of the mean is zero or more")
     with np.errstate(divide="ignore", invalid="ignore"):
         low = np.where(sd > 0, np.maximum(-1.0, -mean / np.where(sd > 0, sd, 1)), -1.0)
     a, b = _phi(low).astype(float), float(_STANDARD.cdf(1))
@@ -72,11 +80,11 @@ def truncated_normal(seed: int, key: int, ids: np.ndarray, mean: np.ndarray, sd:
     return np.maximum(0.0, mean + sd * _quantile(np.clip(p, 1e-15, 1 - 1e-15)).astype(float))
 
 
-def poisson(seed: int, key: int, ids: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """1 + Poisson(k - 1) for k of 1 or more, else 1; by inversion."""
+def poisson(u: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """1 + Poisson(k - 1) for k of 1 or more, else 1; by inversion of the numbers u in [0, 1)."""
     rate = np.maximum(0.0, k - 1)
-    u, term = uniforms(seed, key, ids, 0), np.exp(-rate)
-    total, n = term.copy(), np.zeros(len(ids), np.int64)
+    term = np.exp(-rate)
+    total, n = term.copy(), np.zeros(len(u), np.int64)
     open_ = np.flatnonzero((u > total) & (term > 0))
     while len(open_):
         n[open_] += 1
@@ -87,27 +95,25 @@ def poisson(seed: int, key: int, ids: np.ndarray, k: np.ndarray) -> np.ndarray:
     return n + 1
 
 
-def _column(draw, seed: int, key: int, kind: str, args: list[Column]) -> Column:
+def _column(draw: Callable[..., np.ndarray], kind: str, args: list[Column]) -> Column:
     def run(batches):
-        for ids, *rest in batches:
-            yield pd.Series(draw(seed, key, ids.to_numpy(np.int64), *(r.to_numpy(np.float64) for r in rest)))
-
-    from collections.abc import Iterator
+        for parts in batches:
+            yield pd.Series(draw(*(p.to_numpy() for p in parts)))
 
     run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, kind)(*args)
 
 
 def keyed_gamma(seed: int, key: int, row_id: Column, mean: Column, sd: Column) -> Column:
-    return _column(gamma, seed, key, "double", [row_id, mean, sd])
+    return _column(partial(gamma, seed, key), "double", [row_id, mean, sd])
 
 
 def keyed_trunc_normal(seed: int, key: int, row_id: Column, mean: Column, sd: Column) -> Column:
-    return _column(truncated_normal, seed, key, "double", [row_id, mean, sd])
+    return _column(partial(truncated_normal, seed, key), "double", [row_id, mean, sd])
 
 
 def keyed_poisson(seed: int, key: int, row_id: Column, k: Column) -> Column:
-    return _column(poisson, seed, key, "long", [row_id, k])
+    return _column(poisson, "long", [keyed_uniform(seed, key, row_id), k])
 
 
 def check_params(mean: float, sd: float, distribution: str) -> None:

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from edgeworks.sources.checkpoint import checkpoint
+
 #: Longest way to a root; a longer one is a cycle.
 DEEPEST = 10_000
 
@@ -24,35 +26,45 @@ def section_lengths(points: DataFrame) -> DataFrame:
     return path_lengths(points).groupBy("morphology", "section_id").agg(F.max("path_length").alias("length"))
 
 
-def ancestors(sections: DataFrame) -> DataFrame:
-    """(morphology, section_id, ancestor_id, depth): each section with itself and all sections on its way to the root.
+def ancestors(sections: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """(morphology, section_id, ancestor_id, depth): each section, or those of (morphology, section_id), with itself and all sections on its way to the root.
 
     Doubling: a table of ways of length up to 2**k and of jumps of exactly 2**k, so the number of
-    joins is the logarithm of the deepest tree.
+    joins is the logarithm of the deepest tree. Both are written each round, which keeps the plan of one round small.
     """
     jumps = sections.where("parent_id IS NOT NULL").select("morphology", "section_id", F.col("parent_id").alias("ancestor_id"))
-    ways = sections.select("morphology", "section_id", F.col("section_id").alias("ancestor_id"), F.lit(0).alias("depth"))
+    chosen = sections if of is None else sections.join(of.select("morphology", "section_id"), ["morphology", "section_id"], "left_semi")
+    ways = chosen.select("morphology", "section_id", F.col("section_id").alias("ancestor_id"), F.lit(0).alias("depth"))
     reach = 1
     while reach <= DEEPEST:
-        onward = jumps.select("morphology", F.col("section_id").alias("ancestor_id"), F.col("ancestor_id").alias("__next"))
-        jumped = ways.join(onward, ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("__next").alias("ancestor_id"), (F.col("depth") + reach).alias("depth"))
-        ways = ways.unionByName(jumped)
-        jumps = jumps.join(onward, ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("__next").alias("ancestor_id"))
+        onward = jumps.select("morphology", F.col("section_id").alias("ancestor_id"), F.col("ancestor_id").alias("next_id"))
+        jumped = ways.join(onward, ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("next_id").alias("ancestor_id"), (F.col("depth") + reach).alias("depth"))
+        ways = checkpoint(ways.unionByName(jumped))
+        jumps = checkpoint(jumps.join(onward, ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("next_id").alias("ancestor_id")))
         reach *= 2
         if jumps.isEmpty():
             return ways
     raise ValueError("sections form a cycle")
 
 
-def root_distances(sections: DataFrame, points: DataFrame) -> DataFrame:
+def lengths_before(sections: DataFrame, points: DataFrame, above: DataFrame) -> DataFrame:
+    """(morphology, section_id, before): length of all ancestor sections but the root itself, which is the body; ways start at its surface.
+
+    above is what ancestors() gives; only sections that are an ancestor there are measured.
+    """
+    is_root = sections.where("parent_id IS NULL").select("morphology", F.col("section_id").alias("ancestor_id"), F.lit(True).alias("is_root"))
+    ways = above.where("depth > 0").join(is_root, ["morphology", "ancestor_id"], "left").where("is_root IS NULL")
+    needed = ways.select("morphology", F.col("ancestor_id").alias("section_id")).distinct()
+    lengths = section_lengths(points.join(needed, ["morphology", "section_id"], "left_semi")).withColumnRenamed("section_id", "ancestor_id")
+    return ways.join(lengths, ["morphology", "ancestor_id"]).groupBy("morphology", "section_id").agg(F.sum("length").alias("before"))
+
+
+def root_distances(sections: DataFrame, points: DataFrame, above: DataFrame | None = None) -> DataFrame:
     """(morphology, section_id, idx, root_distance): own path length plus all ancestor sections but the root itself.
 
-    The root is the body; ways start at its surface.
+    above is what ancestors() gives, for callers that have it already.
     """
-    is_root = sections.where("parent_id IS NULL").select("morphology", F.col("section_id").alias("root_id"))
-    lengths = section_lengths(points).withColumnRenamed("section_id", "ancestor_id")
-    above = ancestors(sections).where("depth > 0").join(lengths, ["morphology", "ancestor_id"]).join(is_root, "morphology")
-    before = above.groupBy("morphology", "section_id").agg(F.sum(F.when(F.col("ancestor_id") == F.col("root_id"), 0.0).otherwise(F.col("length"))).alias("before"))
+    before = lengths_before(sections, points, ancestors(sections) if above is None else above)
     own = path_lengths(points).join(before, ["morphology", "section_id"], "left")
     return own.select("morphology", "section_id", "idx", (F.coalesce("before", F.lit(0.0)) + F.col("path_length")).alias("root_distance"))
 
@@ -70,9 +82,10 @@ def first_section(sections: DataFrame, points: DataFrame, kind: int, reach: floa
 
     offset is the end of the first segment, reach at most.
     """
-    first = sections.where(F.col("type") == kind).groupBy("morphology").agg(F.min("section_id").alias("section_id"))
-    paths = path_lengths(points).join(first, ["morphology", "section_id"])
-    span = paths.groupBy("morphology", "section_id").agg(F.max(F.when(F.col("idx") == 1, F.col("path_length"))).alias("segment"), F.max("path_length").alias("length"))
-    start = root_distances(sections, points).where("idx = 0").select("morphology", "section_id", F.col("root_distance").alias("start"))
+    first = checkpoint(sections.where(F.col("type") == kind).groupBy("morphology").agg(F.min("section_id").alias("section_id")))
+    own = points.join(first, ["morphology", "section_id"], "left_semi")
+    span = path_lengths(own).groupBy("morphology", "section_id").agg(F.max(F.when(F.col("idx") == 1, F.col("path_length"))).alias("segment"), F.max("path_length").alias("length"))
+    before = lengths_before(sections, points, ancestors(sections, first))
     offset = F.least(F.lit(reach), F.col("segment"))
-    return span.join(start, ["morphology", "section_id"]).select("morphology", "section_id", offset.alias("offset"), F.try_divide(offset, F.col("length")).alias("fraction"), (F.col("start") + offset).alias("root_distance"))
+    start = F.coalesce("before", F.lit(0.0))
+    return span.join(before, ["morphology", "section_id"], "left").select("morphology", "section_id", offset.alias("offset"), F.try_divide(offset, F.col("length")).alias("fraction"), (start + offset).alias("root_distance"))

@@ -1,23 +1,35 @@
-"""Numbering of edges without a global window over them."""
+"""Numbering of edges without a global window."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edgeworks.sources.checkpoint import checkpoint
+
+
+def running(df: DataFrame, order: list[str], value: str, into: str, function=F.sum) -> DataFrame:
+    """df with the running sum (or maximum) of value over all rows in this order, the row itself included.
+
+    Ranges of the order become partitions, so no task holds all rows: each range has its own running
+    value, and what the ranges before it come to is a table of one row a range.
+    """
+    ranges = checkpoint(df.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    whole = ranges.groupBy("range").agg(function(value).alias("whole"))
+    # one row a range
+    before = whole.select("range", function("whole").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    own = function(value).over(Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    both = F.coalesce(F.col("before") + F.col(into), F.col(into)) if function is F.sum else F.greatest("before", into)
+    return ranges.withColumn(into, own).join(before, "range").withColumn(into, both).drop("range", "before")
+
 
 def connection_offsets(df: DataFrame) -> DataFrame:
     """(src, dst, offset): edges in all connections before, by src and then dst.
 
-    Two prefix sums: over one row a source, and within a source over one row a connection.
+    The running sum is over one row a connection.
     """
     pairs = df.groupBy("src", "dst").agg(F.count("*").alias("n"))
-    sources = pairs.groupBy("src").agg(F.sum("n").alias("n"))
-    before_source = F.sum("n").over(Window.orderBy("src").rowsBetween(Window.unboundedPreceding, -1))
-    sources = sources.select("src", F.coalesce(before_source, F.lit(0)).alias("first"))
-    before_pair = F.sum("n").over(Window.partitionBy("src").orderBy("dst").rowsBetween(Window.unboundedPreceding, -1))
-    pairs = pairs.select("src", "dst", F.coalesce(before_pair, F.lit(0)).alias("within"))
-    return pairs.join(sources, "src").select("src", "dst", (F.col("first") + F.col("within")).alias("offset"))
+    return running(pairs, ["src", "dst"], "n", "upto").select("src", "dst", (F.col("upto") - F.col("n")).alias("offset"))
 
 
 def dense_id(df: DataFrame, order: list[str | Column], into: str = "synapse_id") -> DataFrame:

@@ -10,6 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ids import running
+
+#: Values of a library that becomes an expression.
+MOST_LITERALS = 200
 _PLACES = ("efferent_section_id", "efferent_segment_id", "afferent_section_id", "afferent_segment_id")
 
 
@@ -142,20 +146,41 @@ def prune_near_root(df: DataFrame, ancestors: DataFrame, distances: DataFrame, r
     return df.where(~at_root).unionByName(touched.join(ids, "efferent_junction_id", "left_semi").select(*df.columns))
 
 
-def nearest_value_join(df: DataFrame, library: DataFrame, column: str, value: str, index: str, into: str) -> DataFrame:
-    """df with the library index whose value is nearest; on a tie, or for equal values, the lowest index.
+def nearest_value_join(df: DataFrame, library: DataFrame, column: str, value: str, index: str, into: str, most_literals: int = MOST_LITERALS) -> DataFrame:
+    """df with the library index whose value is nearest; on a tie, or for equal values, the lowest index. Null for null.
 
-    library is small: its sorted values give half-open intervals, and the join is a broadcast range join.
+    A library of at most MOST_LITERALS values becomes an expression, halved at the middle of its values at each step, so df is not
+    shuffled. A larger one meets the distinct values of the column in one order, where each takes the values before and after it.
     """
-    distinct = library.groupBy(value).agg(F.min(index).alias(index))
-    w = Window.orderBy(value)
-    low, high = (F.col(value) + F.lag(value).over(w)) / 2, (F.col(value) + F.lead(value).over(w)) / 2
-    # at a midpoint the lower index wins
-    spans = distinct.select(F.col(index).alias(into), low.alias("__low"), high.alias("__high"), (F.lag(index).over(w) > F.col(index)).alias("__own_low"), (F.lead(index).over(w) > F.col(index)).alias("__own_high"))
+    distinct = library.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(index).alias(index))
+    known = sorted(tuple(r) for r in distinct.select(value, index).limit(most_literals + 1).collect())
     x = F.col(column)
-    above = F.col("__low").isNull() | (x > F.col("__low")) | (F.col("__own_low") & (x == F.col("__low")))
-    below = F.col("__high").isNull() | (x < F.col("__high")) | (F.col("__own_high") & (x == F.col("__high")))
-    return df.join(F.broadcast(spans), above & below, "left").drop("__low", "__high", "__own_low", "__own_high")
+    if not known:
+        return df.withColumn(into, F.lit(None).cast(dict(library.dtypes)[index]))
+    if len(known) <= most_literals:
+        return df.withColumn(into, F.when(x.isNotNull(), _nearest(known, x)))
+    rows = distinct.select(F.col(value).alias("x"), F.col(value).alias("own")).unionByName(df.select(x.cast("double").alias("x")).where("x IS NOT NULL").distinct().withColumn("own", F.lit(None).cast("double")))
+    low = running(rows, ["x"], "own", "low", F.max).select("x", "low").distinct()
+    high = running(rows.selectExpr("-x AS x", "-own AS own"), ["x"], "own", "high", F.max).selectExpr("-x AS x", "-high AS high").distinct()
+    # equal values lie in one range, and each has the value itself on one side at least
+    sides = low.groupBy("x").agg(F.max("low").alias("low")).join(high.groupBy("x").agg(F.min("high").alias("high")), "x", "full")
+    for side in ("low", "high"):
+        sides = sides.join(distinct.select(F.col(value).alias(side), F.col(index).alias(f"{side}_index")), side, "left")
+    down, up = F.col("x") - F.col("low"), F.col("high") - F.col("x")
+    nearer = F.when(up.isNull() | (down < up), F.col("low_index")).when(down.isNull() | (up < down), F.col("high_index")).otherwise(F.least("low_index", "high_index"))
+    found = sides.select(F.col("x").alias(column), nearer.alias(into))
+    return df.join(found.withColumn(column, F.col(column).cast(dict(df.dtypes)[column])), column, "left").select(*df.columns, into)
+
+
+def _nearest(known: list[tuple[float, int]], x: Column) -> Column:
+    """The index of the nearest of sorted (value, index) pairs: a tree of comparisons with the middles between neighbours."""
+    if len(known) == 1:
+        return F.lit(known[0][1])
+    k = len(known) // 2
+    (low, i), (high, j) = known[k - 1], known[k]
+    # at a midpoint the lower index wins
+    down, up = x - F.lit(low), F.lit(high) - x
+    return F.when((down <= up) if i < j else (down < up), _nearest(known[:k], x)).otherwise(_nearest(known[k:], x))
 
 
 def assign_spines(df: DataFrame, library: DataFrame, unassigned: Column | None = None) -> DataFrame:
@@ -164,6 +189,6 @@ def assign_spines(df: DataFrame, library: DataFrame, unassigned: Column | None =
         unassigned = (F.col("syn_type_id") == 0) | (F.col("src_morph_class") == "INT")
     found = nearest_value_join(df, library, "spine_length", "spine_length", "spine_index", "__spine")
     names = library.select(F.col("spine_index").alias("__spine"), F.col("spine_morphology").alias("__name"), F.col("spine_psd_id").alias("__psd"))
-    joined = found.join(F.broadcast(names), "__spine", "left")
+    joined = found.join(names, "__spine", "left")
     out = joined.withColumns({"spine_morphology": F.when(unassigned, "").otherwise(F.col("__name")), "spine_psd_id": F.when(unassigned, -1).otherwise(F.col("__psd")), "spine_sharing_id": F.lit(-1)})
     return out.drop("__spine", "__name", "__psd")

@@ -64,10 +64,10 @@ def draw_properties(connections: DataFrame, seed: int) -> DataFrame:
 
 
 def check_classes(classes: DataFrame) -> None:
-    """Reject class rows whose parameters no draw can satisfy; the table has one row a class."""
-    for row in classes.collect():
+    """Reject classes whose parameters no draw can satisfy; there are few of them, however many rows have them."""
+    for row in classes.select(*[c for c in classes.columns if c.endswith(("_mu", "_sd"))]).distinct().collect():
         for name, _, kind in DRAWS:
-            if kind != "poisson" and f"{name}_mu" in row:
+            if kind != "poisson" and f"{name}_mu" in row and None not in (row[f"{name}_mu"], row[f"{name}_sd"]):
                 check_params(row[f"{name}_mu"], row[f"{name}_sd"], kind)
 
 
@@ -75,7 +75,9 @@ def connection_properties(df: DataFrame, params: DataFrame, seed: int) -> DataFr
     """df with the properties of its connection. params has class_i and the distributions by pathway_i.
 
     Numbers are drawn on one row a connection, keyed by its least id; the edges get them by a join.
+    Classes that no draw can satisfy are an error.
     """
+    check_classes(params)
     connections = df.groupBy("src", "dst").agg(F.min("synapse_id").alias("first_id"), F.min("pathway_i").alias("pathway_i"))
     drawn = draw_properties(connections.join(params, "pathway_i"), seed)
     names = [c for c in drawn.columns if c not in ("first_id", "pathway_i") and not c.endswith(("_mu", "_sd"))]

@@ -6,7 +6,6 @@ between engines.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -18,6 +17,9 @@ from edgeworks.functions.random import keyed_gamma, keyed_poisson, keyed_trunc_n
 from edgeworks.operators import geometry, ids, matching, model, properties, quality, rules, sampling
 from edgeworks.sources import fixtures as fx
 from edgeworks.sources import tables
+from edgeworks.sources.checkpoint import ensure_checkpoint_dir
+
+from . import pipeline
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,8 +43,8 @@ def r6(column: Column | str) -> Column:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder among the shared ones."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="edgeworks-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
 def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +84,7 @@ def pathway_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT src, dst, synapse_id FROM edges", "edges")
 def dense_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.edges(spark, sf_dir).select("src", "dst", "synapse_id")
+    return ids.dense_id(fx.raw_edges(spark, sf_dir), fx.ORDER).select("src", "dst", "synapse_id")
 
 
 @query("SELECT src, dst, CAST(sum(n) OVER (ORDER BY src, dst) - n - 1 AS BIGINT) AS synapse_id FROM (SELECT src, dst, count(*) AS n FROM edges GROUP BY ALL) JOIN edges USING (src, dst)", "edges")
@@ -128,11 +130,13 @@ def keyed_trunc_normal_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def keyed_poisson_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The oracle counts the values of the distribution function that a number is above."""
     return _drawn(spark, sf_dir, lambda i: keyed_poisson(fx.SEED, 0x1006, i, F.lit(3.5)))
 
 
 for _name in ("keyed_gamma", "keyed_trunc_normal", "keyed_poisson"):
     QUERIES[_name] = QUERIES.pop(f"{_name}_draws")
+ORACLES["keyed_poisson"] = fx.with_sql("edges").rstrip() + f", term AS (SELECT i, CAST(exp(-2.5) * 2.5 ** i / factorial(CAST(i AS INT)) AS DOUBLE) AS t FROM range(30) r(i)), below AS (SELECT list(c ORDER BY i) AS cs FROM (SELECT i, sum(t) OVER (ORDER BY i) AS c FROM term)) SELECT synapse_id, 1 + len(list_filter(cs, lambda c: c < u)) AS x FROM (SELECT synapse_id, {fx.uniform_sql(fx.SEED, 0x1006, 'synapse_id')} AS u FROM edges), below"
 
 
 # -- filters ----------------------------------------------------------------------------------
@@ -162,11 +166,11 @@ def touch_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.allow_rules(fx.circuit(spark, sf_dir), cells, columns).select("src", "dst", "synapse_id")
 
 
-@query("SELECT synapse_id, afferent_section_type, efferent_section_type FROM edges", "edges")
+@query("SELECT synapse_id, afferent_section_type, efferent_section_type, afferent_section_type + 1 AS afferent_at_rest, efferent_section_type + 1 AS efferent_at_rest FROM edges", "edges")
 def code_base_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["afferent_section_type", "efferent_section_type"]
-    at_rest = tables.denormalize_codes(fx.edges(spark, sf_dir), columns)
-    return tables.normalize_codes(at_rest, columns).select("synapse_id", *columns)
+    at_rest = tables.denormalize_codes(fx.edges(spark, sf_dir), columns).selectExpr("synapse_id", *columns, "afferent_section_type AS afferent_at_rest", "efferent_section_type AS efferent_at_rest")
+    return tables.normalize_codes(at_rest, columns)
 
 
 @query("SELECT src, dst, synapse_id FROM circuit WHERE dst_region_i = 2 AND src_synapse_class_i = 0", "circuit")
@@ -229,7 +233,13 @@ def reduce_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.reduce_and_cut(df, params_of(spark, sf_dir, df), fx.SEED).select("src", "dst", "synapse_id")
 
 
-_BINNED = "b AS (SELECT *, CASE WHEN spine_length >= 5 THEN 5 ELSE CAST(floor(spine_length) AS INT) END AS bin FROM edges), h AS (SELECT bin, count(*) AS have FROM b GROUP BY bin), w AS (SELECT * FROM (VALUES (0, 0.1::DOUBLE - 0.0), (1, 0.3::DOUBLE - 0.1::DOUBLE), (2, 0.7::DOUBLE - 0.3::DOUBLE), (3, 0.9::DOUBLE - 0.7::DOUBLE), (4, 1.0::DOUBLE - 0.9::DOUBLE)) t(bin, want)), s AS (SELECT bin, (want / have) / max(want / have) OVER () AS survival FROM h JOIN w USING (bin))"
+_BINS = {
+    "b": "SELECT *, CASE WHEN spine_length >= 5 THEN 5 ELSE CAST(floor(spine_length) AS INT) END AS bin FROM edges",
+    "h": "SELECT bin, count(*) AS have FROM b GROUP BY bin",
+    "w": "SELECT * FROM (VALUES (0, 0.1::DOUBLE - 0.0), (1, 0.3::DOUBLE - 0.1::DOUBLE), (2, 0.7::DOUBLE - 0.3::DOUBLE), (3, 0.9::DOUBLE - 0.7::DOUBLE), (4, 1.0::DOUBLE - 0.9::DOUBLE)) t(bin, want)",
+    "s": "SELECT bin, (want / have) / max(want / have) OVER () AS survival FROM h JOIN w USING (bin)",
+}
+_BINNED = ", ".join(f"{name} AS ({sql})" for name, sql in _BINS.items())
 
 
 @query()
@@ -351,7 +361,8 @@ def gap_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections, points = fx.sections(spark, sf_dir), fx.points(spark, sf_dir)
     # the matched edges are read three times below
     matched = tables.checkpointed(spark, lambda: matching.match_reciprocal(fx.reciprocal_edges(spark, sf_dir)).withColumn("src_morphology", F.concat(F.lit("M"), "src")), scratch(spark, "matched"))
-    pruned = matching.prune_near_root(matched, geometry.ancestors(sections), geometry.root_distances(sections, points), geometry.root_radii(sections, points))
+    above = geometry.ancestors(sections)
+    pruned = matching.prune_near_root(matched, above, geometry.root_distances(sections, points, above), geometry.root_radii(sections, points))
     return properties.with_conductance(pruned, 0.75).select("src", "dst", "synapse_id", "efferent_junction_id", "afferent_junction_id", "conductance")
 
 
@@ -377,11 +388,13 @@ def export_pre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exported(spark, sf_dir, tables.PRE)
 
 
-@query("SELECT src, dst, synapse_id FROM edges", "edges")
+@query("SELECT src, dst, synapse_id, greatest(1, CAST(ceil(count(*) OVER () / 10000000) AS INT)) AS n_files FROM edges", "edges")
 def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges, with the number of files that 16 have become."""
     many, few = scratch(spark, "many"), scratch(spark, "few")
     fx.edges(spark, sf_dir).select("src", "dst", "synapse_id").repartition(16).write.parquet(many)
-    return tables.compact(spark, many, few)
+    found = tables.compact(spark, many, few)
+    return found.withColumn("n_files", F.lit(len(found.inputFiles())))
 
 
 @query("SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst", "edges")
@@ -392,6 +405,118 @@ def checkpoint_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.checkpointed(spark, lambda: fx.edges(spark, sf_dir).limit(0), path).groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
+_MERGED = "SELECT src, dst, synapse_id, distance_soma, afferent_section_type, efferent_section_type FROM edges"
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The edges as two exports, of even and of odd ids, with provenance."""
+    df = fx.edges(spark, sf_dir).select("src", "dst", "synapse_id", "distance_soma", *tables.CODES)
+    nodes = {"source_population_name": "A", "source_population_size": str(fx.source_nodes(spark, sf_dir).count())}
+    paths = [scratch(spark, f"half{k}") for k in (0, 1)]
+    for k, path in enumerate(paths):
+        half = df.where(F.col("synapse_id") % 2 == k)
+        tables.export(half, path, tables.POST, tables.provenance({"rows": str(half.count())}, pipeline.VERSION, [f"half{k}"], "", nodes))
+    return paths
+
+
+@query(_EXPORTED, "edges")
+def merge_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merge mode: two exports, whose codes start at one, are read, merged and exported again."""
+    return pipeline.merge(spark, _halves(spark, sf_dir), scratch(spark, "merged"))
+
+
+@query("SELECT key, value FROM (SELECT 'source_population_name' AS key, 'A' AS value UNION ALL SELECT 'source_population_size', CAST(count(*) AS VARCHAR) FROM supplier UNION ALL SELECT 'merge' || synapse_id % 2 || '_rows', CAST(count(*) AS VARCHAR) FROM edges GROUP BY synapse_id % 2 UNION ALL SELECT 'merge' || k || '_run1_operators', 'half' || k FROM range(2) r(k) UNION ALL SELECT 'run2_operators', 'edge_merge')", "edges")
+def provenance_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the metadata of a merge says, read from the files: populations, rows and operators of both inputs, and the run that follows them."""
+    out = scratch(spark, "merged")
+    pipeline.merge(spark, _halves(spark, sf_dir), out)
+    return spark.createDataFrame([x for x in tables.read_metadata(spark, out).items() if x[0].endswith(("_name", "_size", "_rows", "_operators"))], "key string, value string")
+
+
+_OLD_NAMES = {"src": "connected_neurons_pre", "dst": "post_gid", "distance_soma": "distance_soma", "spine_length": "morpho_spine_length", "afferent_section_type": "post_branch_type", "efferent_section_type": "morpho_section_type_pre", "efferent_section_id": "pre_section", "efferent_segment_id": "morpho_segment_id_pre", "afferent_section_id": "post_section", "afferent_segment_id": "post_segment"}
+
+
+@query(f"SELECT synapse_id, 0 AS edge_type_id, {', '.join(_OLD_NAMES)} FROM edges", "edges")
+def legacy_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "old")
+    fx.edges(spark, sf_dir).selectExpr("synapse_id", "0 AS synapse_type_id", *[f"{new} AS {old}" for new, old in _OLD_NAMES.items()]).write.parquet(path)
+    return tables.read_edges(spark, [path]).select("synapse_id", "edge_type_id", *_OLD_NAMES)
+
+
+@query("SELECT id, mtype_i, synapse_class_i, morphology, region_i FROM dstn WHERE region_i = 2", "dstn")
+def node_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nodeset from the cache of a node file that is not read the second time."""
+    path, folder = scratch(spark, "nodes"), scratch(spark, "cache")
+    fx.target_nodes(spark, sf_dir).withColumn("y", F.lit(0.0)).write.parquet(path)
+    tables.cached_nodes(spark, path, folder, "region_i = 2")
+    return tables.cached_nodes(spark, path, folder, "region_i = 2")
+
+
+# -- the functional preset, from candidate edges to properties --------------------------------
+
+
+def functional_steps(spark: SparkSession, sf_dir: str) -> dict[str, pipeline.Step]:
+    """The steps of the preset with the rules of the fixtures; what follows a bucketed state by (src, dst) needs no exchange on them."""
+    mtypes = {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir)}
+
+    def touches(df: DataFrame) -> DataFrame:
+        table = spark.createDataFrame([*fx.TOUCH_RULES], "rule_i int, src_mtype string, dst_mtype string, kind string")
+        return rules.allow_rules(df, rules.expand_rules(table, {**mtypes, "kind": fx.section_kinds(spark)}), {"src_mtype": "src_mtype_i", "dst_mtype": "dst_mtype_i", "kind": "afferent_section_type"})
+
+    def cut(df: DataFrame) -> DataFrame:
+        df = model.with_pathway(df, *fx.PATHWAY)
+        return sampling.reduce_and_cut(df, params_of(spark, sf_dir, df), fx.SEED).drop("pathway_i", "pathway_str")
+
+    def move(df: DataFrame) -> DataFrame:
+        table = spark.createDataFrame([*fx.REPOSITION_RULES], "rule_i int, src_mtype string, dst_mtype string")
+        covered = rules.expand_rules(table, mtypes).withColumnsRenamed({"src_mtype": "src_mtype_i", "dst_mtype": "dst_mtype_i"})
+        return properties.reposition(df, covered, ["src_mtype_i", "dst_mtype_i"], geometry.first_section(fx.sections(spark, sf_dir), fx.points(spark, sf_dir), properties.AXON))
+
+    def draw(df: DataFrame) -> DataFrame:
+        df = model.with_pathway(df, ["src_synapse_class", "dst_synapse_class"], [2, 2])
+        return properties.derive_properties(properties.connection_properties(df, _classified(spark, df), fx.SEED)).drop("pathway_i", "pathway_str")
+
+    drawn = frozenset({*(name for name, _, _ in properties.DRAWS), "delay", "syn_type_id", "syn_property_rule"})
+    steps = (
+        pipeline.Step("bouton_distance", lambda df: properties.class_threshold(df, "distance_soma", "dst_synapse_class_i", {1: 5.0, 0: 25.0}), [5.0, 25.0]),
+        pipeline.Step("touch_rules", touches, fx.TOUCH_RULES, checkpoint=True),
+        pipeline.Step("spine_length", lambda df: sampling.match_histogram(df, "spine_length", fx.SPINE_EDGES, fx.SPINE_CUMULATIVE, fx.SEED), [fx.SPINE_EDGES, fx.SPINE_CUMULATIVE, fx.SEED]),
+        pipeline.Step("reduce_and_cut", cut, [fx.CONNECTION_RULES, fx.SEED], checkpoint=True, bucket_by=("src", "dst"), buckets=8),
+        pipeline.Step("reposition", move, fx.REPOSITION_RULES, added=frozenset({"afferent_segment_offset"}), reductive=False),
+        pipeline.Step("synapse_properties", draw, [fx.PROPERTY_RULES, fx.CLASSES, fx.SEED], dropped=frozenset({"distance_soma"}), added=drawn, checkpoint=True, reductive=False),
+    )
+    return {s.name: s for s in steps}
+
+
+@query()
+def functional_preset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preset end to end, then resumed from its last state, which reads no edges."""
+    folder, inputs = scratch(spark, "preset"), [sf_dir, uuid.uuid4().hex]
+    steps = pipeline.preset(pipeline.FUNCTIONAL, functional_steps(spark, sf_dir))
+    pipeline.run(spark, lambda: fx.circuit(spark, sf_dir), inputs, steps, folder)
+
+    def unread() -> DataFrame:
+        raise ValueError("a resumed run must not read the edges")
+
+    found = pipeline.run(spark, unread, inputs, steps, folder)
+    return found.select("src", "dst", "synapse_id", "afferent_section_id", r6("afferent_segment_offset").alias("afferent_segment_offset"), F.col("syn_type_id").cast("int").alias("syn_type_id"), F.round(F.col("delay").cast("double"), 1).alias("delay"))
+
+
+_FILTERED = {
+    "circuit0": (fx.SQL["circuit"], ["edges", "srcn", "dstn"]),
+    "touching": ("SELECT * FROM circuit0 JOIN tcells USING (src_mtype_i, dst_mtype_i, afferent_section_type) WHERE (distance_soma >= 5 AND dst_synapse_class_i = 1) OR (distance_soma >= 25 AND dst_synapse_class_i = 0)", ["circuit0", "tcells"]),
+    **{n: (q.replace("FROM edges", "FROM touching"), needs) for n, q, needs in (("b", _BINS["b"], ["touching"]), ("h", _BINS["h"], ["b"]), ("w", _BINS["w"], []), ("s", _BINS["s"], ["h", "w"]))},
+    "circuit": (f"SELECT * EXCLUDE (bin, survival) FROM b JOIN s USING (bin) WHERE {fx.uniform_sql(fx.SEED, 0x200, 'synapse_id')} <= survival", ["b", "s"]),
+    "cut": ("SELECT r.* FROM reduced r JOIN kept USING (src, dst)", ["reduced", "kept"]),
+}
+_MOVES = "(n.n_name GLOB 'NATION_1*' OR (n.n_name = 'NATION_7' AND d.value = 'SMALL')) AND f.section_id IS NOT NULL"
+ORACLES["functional_preset"] = fx.with_sql("cut", "firstsec", instead=_FILTERED) + (
+    "SELECT src, dst, synapse_id, CASE WHEN m THEN section_id ELSE afferent_section_id END AS afferent_section_id, round(CASE WHEN m THEN \"offset\" END, 6) AS afferent_segment_offset, CASE WHEN src_synapse_class_i = 1 THEN 0 ELSE 100 END AS syn_type_id, "
+    "round(CAST(CAST(CASE WHEN src_synapse_class_i = 1 AND dst_synapse_class_i = 1 THEN 0.4 ELSE 0.1 END + CASE WHEN m THEN root_distance ELSE distance_soma END / 0.00333 AS FLOAT) AS DOUBLE), 1) AS delay "
+    f"FROM (SELECT c.*, f.section_id, f.\"offset\", f.root_distance, {_MOVES} AS m FROM cut c JOIN nation n ON n_nationkey = src_mtype_i JOIN dtypes d ON d.code = dst_mtype_i LEFT JOIN firstsec f ON f.morphology = c.src_morphology)"
+)
+
+
 @query()
 def provenance_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata of two inputs, of which the sizes come from the tables, merged and written with this run."""

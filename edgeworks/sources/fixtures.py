@@ -1,21 +1,27 @@
 """Edges, nodes, rules and morphologies derived from the star-schema tables, with the same in SQL.
 
 Everything but the small rule tables grows with the tables: edges come from lineitem, nodes from
-supplier and part, morphologies from part (one for each node id).
+supplier and part, morphologies from part (one for each node id). A part is a target of three of the sources, so a
+connection has about ten edges at every size. The nodes of reciprocal edges are folded so that a pair of them has about 24 edges each way.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeworks.operators.ids import dense_id
 from edgeworks.operators.model import assemble
 
+from .checkpoint import ensure_checkpoint_dir
 from .package import ship
+from .tables import checkpointed
 
-SEED = 4236279
-TARGETS = 50
+SEED = 20261
 SRC_MTYPES, DST_MTYPES = 25, 6
 PATHWAY = (["src_mtype", "dst_mtype"], [SRC_MTYPES, DST_MTYPES])
 SECTION_KINDS = ("soma", "axon", "basal", "apical")
@@ -31,7 +37,10 @@ _EDGE_EXPR = {
     "afferent_section_id": "l_orderkey % 7",
     "afferent_segment_id": "l_partkey % 5",
 }
-_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate"]
+#: One of three sources of a part, of n in all; and edges of a pair of folded nodes.
+_SRC = "(l_partkey + l_suppkey % 3) % {n}"
+PAIR_EDGES = 24
+ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,17 +48,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_edges(spark: SparkSession, sf_dir: str, src: str = "l_suppkey", dst: str = f"l_partkey % {TARGETS}") -> DataFrame:
+_stored: dict[tuple[str, ...], str] = {}
+
+
+def stored(spark: SparkSession, name: str, sf_dir: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What make() gives, written once an application, so that a query's time is that of its operator."""
+    key = spark.sparkContext.applicationId, name, sf_dir
+    if key not in _stored:
+        ensure_checkpoint_dir(spark)
+        _stored[key] = f"{spark.sparkContext.getCheckpointDir()}/fixture-{name}-{uuid.uuid4().hex}"
+    return checkpointed(spark, make, _stored[key])
+
+
+def _raw(spark: SparkSession, sf_dir: str, src: str, dst: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.expr(src).alias("src"), F.expr(dst).alias("dst"), *[F.expr(e).alias(c) for c, e in _EDGE_EXPR.items()], *ORDER)
+
+
+def raw_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges without ids, with the columns that order them."""
-    return table(spark, sf_dir, "lineitem").select(F.expr(src).alias("src"), F.expr(dst).alias("dst"), *[F.expr(e).alias(c) for c, e in _EDGE_EXPR.items()], *_ORDER)
+    return _raw(spark, sf_dir, _SRC.format(n=table(spark, sf_dir, "supplier").count()), "l_partkey")
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dense_id(raw_edges(spark, sf_dir), _ORDER).drop(*_ORDER)
+    return stored(spark, "edges", sf_dir, lambda: dense_id(raw_edges(spark, sf_dir), ORDER).drop(*ORDER))
 
 
 def reciprocal_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dense_id(raw_edges(spark, sf_dir, f"l_suppkey % {TARGETS}"), _ORDER).drop(*_ORDER)
+    n = math.floor(math.sqrt(table(spark, sf_dir, "lineitem").count() / PAIR_EDGES))
+    return stored(spark, "reciprocal", sf_dir, lambda: dense_id(_raw(spark, sf_dir, f"l_suppkey % {n}", f"l_partkey % {n}"), ORDER).drop(*ORDER))
 
 
 def source_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,11 +84,11 @@ def source_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def target_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(code, value) of the target nodes' types: a handful of names."""
-    return table(spark, sf_dir, "part").where(f"p_partkey < {TARGETS}").select(F.col("p_type").alias("value")).distinct().selectExpr("CAST(row_number() OVER (ORDER BY value) - 1 AS INT) AS code", "value")
+    return table(spark, sf_dir, "part").select(F.col("p_type").alias("value")).distinct().selectExpr("CAST(row_number() OVER (ORDER BY value) - 1 AS INT) AS code", "value")
 
 
 def target_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").where(f"p_partkey < {TARGETS}")
+    parts = table(spark, sf_dir, "part")
     return parts.join(target_types(spark, sf_dir), F.col("p_type") == F.col("value")).selectExpr("p_partkey AS id", "code AS mtype_i", "CAST(p_partkey % 2 AS INT) AS synapse_class_i", "CAST(p_size % 5 AS INT) AS region_i", "concat('M', p_partkey) AS morphology")
 
 
@@ -100,6 +126,8 @@ CONNECTION_RULES = (
     (3, "*", "PROMO", 0.4, 0.6, None, None, None, 0.5, None, None),
     (4, "NATION_1*", "SMALL", 1.0, None, None, None, None, None, 1.0, 0.0),
     (5, "NATION_3", "ECONOMY", 0.9, None, None, None, None, None, 1.0, 1.0),
+    (6, "NATION_2*", "LARGE", 0.1, 0.4, None, None, 0.5, None, None, None),
+    (7, "NATION_4", "*", 0.6, 0.3, None, None, 0.7, None, None, None),
 )
 REPOSITION_RULES = ((0, "NATION_1*", "*"), (1, "NATION_7", "SMALL"))
 # fixed values: property rules by class code (-1: any), and the distributions of the classes
@@ -125,9 +153,12 @@ def property_params(spark: SparkSession) -> DataFrame:
 # -- the same in SQL --------------------------------------------------------------------------
 
 
-def _sql_edges(src: str) -> str:
+def _sql_edges(src: str, dst: str) -> str:
     columns = ", ".join(f"{e} AS {c}" for c, e in _EDGE_EXPR.items())
-    return f"SELECT row_number() OVER (ORDER BY {src}, l_partkey % {TARGETS}, {', '.join(_ORDER)}) - 1 AS synapse_id, {src} AS src, l_partkey % {TARGETS} AS dst, {columns} FROM lineitem"
+    return f"SELECT row_number() OVER (ORDER BY {src}, {dst}, {', '.join(ORDER)}) - 1 AS synapse_id, {src} AS src, {dst} AS dst, {columns} FROM lineitem"
+
+
+_FOLDED = f"(SELECT CAST(floor(sqrt(count(*) / {PAIR_EDGES})) AS BIGINT) FROM lineitem)"
 
 
 def _values(rows: tuple, names: str) -> str:
@@ -137,12 +168,14 @@ def _values(rows: tuple, names: str) -> str:
     return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(one, r)) + ')' for r in rows)}) t({names})"
 
 
+_MU = "1 - 0.5 / cv + (1 / cv - 1) * {0}"
+_RED = "q / (1 - q) * ({1} * (1 - 1 / {0}) ** {1} + (1 - 1 / {0}) ** ({1} + 1) * {0})"
 SQL = {
-    "edges": _sql_edges("l_suppkey"),
-    "redges": _sql_edges(f"l_suppkey % {TARGETS}"),
+    "edges": _sql_edges(_SRC.format(n="(SELECT count(*) FROM supplier)"), "l_partkey"),
+    "redges": _sql_edges(f"l_suppkey % {_FOLDED}", f"l_partkey % {_FOLDED}"),
     "srcn": "SELECT s_suppkey AS id, s_nationkey AS mtype_i, s_suppkey % 2 AS synapse_class_i, CASE WHEN s_suppkey % 3 = 0 THEN 'PYR' ELSE 'INT' END AS morph_class, 'M' || s_suppkey AS morphology FROM supplier",
-    "dtypes": f"SELECT row_number() OVER (ORDER BY p_type) - 1 AS code, p_type AS value FROM (SELECT DISTINCT p_type FROM part WHERE p_partkey < {TARGETS})",
-    "dstn": f"SELECT p_partkey AS id, code AS mtype_i, p_partkey % 2 AS synapse_class_i, p_size % 5 AS region_i, 'M' || p_partkey AS morphology FROM part JOIN dtypes ON p_type = value WHERE p_partkey < {TARGETS}",
+    "dtypes": f"SELECT row_number() OVER (ORDER BY p_type) - 1 AS code, p_type AS value FROM (SELECT DISTINCT p_type FROM part)",
+    "dstn": f"SELECT p_partkey AS id, code AS mtype_i, p_partkey % 2 AS synapse_class_i, p_size % 5 AS region_i, 'M' || p_partkey AS morphology FROM part JOIN dtypes ON p_type = value",
     "circuit": "SELECT e.*, s.mtype_i AS src_mtype_i, s.synapse_class_i AS src_synapse_class_i, s.morph_class AS src_morph_class, s.morphology AS src_morphology, d.mtype_i AS dst_mtype_i, d.synapse_class_i AS dst_synapse_class_i, d.region_i AS dst_region_i, d.morphology AS dst_morphology FROM edges e JOIN srcn s ON e.src = s.id JOIN dstn d ON e.dst = d.id",
     "keyed": f"SELECT *, src_mtype_i * {DST_MTYPES} + dst_mtype_i AS pathway_i, 'src_mtype=' || src_mtype_i || ', dst_mtype=' || dst_mtype_i AS pathway_str FROM circuit",
     "stats": "SELECT pathway_i, CAST(sum(n) AS BIGINT) AS total_touches, count(*) AS total_connections, sum(n) / count(*) AS structural_mean FROM (SELECT pathway_i, src, dst, count(*) AS n FROM keyed GROUP BY ALL) GROUP BY pathway_i",
@@ -160,9 +193,13 @@ SQL = {
     "crules": _values(CONNECTION_RULES, "rule_i, src_mtype, dst_mtype, " + ", ".join(CONNECTION_FIELDS)),
     "rulep": f"SELECT n_nationkey * {DST_MTYPES} + code AS pathway_i, " + ", ".join(f"arg_max(struct_pack(v := {c}), rule_i).v AS {c}" for c in CONNECTION_FIELDS) + " FROM crules r JOIN nation n ON n_name GLOB src_mtype JOIN dtypes d ON value GLOB dst_mtype GROUP BY 1",
     "params0": "SELECT s.*, 1.0 / structural_mean AS p, r.brf, r.cv, r.mean, r.sd, r.af, r.prob, r.p_a AS rpa, r.pmu_a AS rpmu, r.pathway_i IS NULL AS none FROM stats s LEFT JOIN rulep r ON r.pathway_i = s.pathway_i",
-    "params1": "SELECT *, CASE WHEN cv IS NOT NULL AND brf IS NOT NULL THEN least(mean * cv, structural_mean - 0.5) ELSE sd END AS spread, CASE WHEN none THEN 'none' WHEN brf IS NOT NULL AND cv IS NOT NULL AND mean IS NOT NULL THEN '4.2' WHEN brf IS NOT NULL AND cv IS NOT NULL AND prob IS NOT NULL THEN 'prob' WHEN brf IS NOT NULL AND rpa IS NOT NULL AND rpmu IS NOT NULL THEN 'default' WHEN mean IS NOT NULL AND sd IS NOT NULL THEN '4.1' ELSE 'other' END AS kase FROM params0",
+    "params1": "SELECT *, CASE WHEN cv IS NOT NULL AND brf IS NOT NULL THEN least(mean * cv, structural_mean - 0.5) ELSE sd END AS spread, CASE WHEN none THEN 'none' WHEN brf IS NOT NULL AND cv IS NOT NULL AND af IS NOT NULL THEN '4.3' WHEN brf IS NOT NULL AND cv IS NOT NULL AND mean IS NOT NULL THEN '4.2' WHEN brf IS NOT NULL AND cv IS NOT NULL AND prob IS NOT NULL THEN 'prob' WHEN brf IS NOT NULL AND rpa IS NOT NULL AND rpmu IS NOT NULL THEN 'default' WHEN mean IS NOT NULL AND sd IS NOT NULL THEN '4.1' ELSE 'other' END AS kase FROM params0",
     "params2": "SELECT *, CASE kase WHEN '4.2' THEN 1 / (sqrt(spread ** 2 + 0.25) + 0.5) WHEN '4.1' THEN 1 / (spread + 0.5) END AS pp, brf / prob AS mod FROM params1",
-    "params": "SELECT pathway_i, total_touches, total_connections, structural_mean, least(1.0, CASE kase WHEN 'none' THEN 1.0 WHEN 'default' THEN rpa WHEN 'prob' THEN mod * cv WHEN 'other' THEN 1.0 ELSE CASE WHEN p = 1 THEN 1.0 ELSE p / (1 - p) * (1 - pp) / pp END END) AS p_a, CASE kase WHEN 'default' THEN rpmu WHEN 'prob' THEN greatest((structural_mean - cv * structural_mean + cv) * mod, 1) - 0.5 WHEN '4.2' THEN mean - spread WHEN '4.1' THEN mean - spread END AS pmu_a, CASE kase WHEN '4.1' THEN 0.04 WHEN 'none' THEN NULL ELSE brf END AS brf, CASE kase WHEN '4.2' THEN 0.5 WHEN 'default' THEN 0.5 WHEN '4.1' THEN least(1.0, af) WHEN 'prob' THEN least(1.0, exp((1 - cv) / cv) * brf * (structural_mean - 1) / (structural_mean * mod)) END AS active_fraction FROM params2",
+    "solve0": "SELECT pathway_i, brf / af AS target, cv, CASE WHEN p >= 1 THEN p + 1e-5 ELSE p END AS q, greatest(1 / CASE WHEN p >= 1 THEN p + 1e-5 ELSE p END, 1 + 1e-9) AS top FROM params1 WHERE kase = '4.3'",
+    "solve1": f"SELECT *, {_MU.format('top')} AS mu_top, {_RED.format('top', '(' + _MU.format('top') + ')')} >= target AS inside FROM solve0",
+    "solve2": f"SELECT *, CASE WHEN inside THEN 1 + 1e-9 ELSE 1.0 END::DOUBLE AS low, CASE WHEN inside THEN top ELSE greatest(1.0, mu_top) END::DOUBLE AS high, 0 AS step FROM solve1 UNION ALL SELECT * EXCLUDE (low, high, step, mid, up), CASE WHEN up THEN mid ELSE low END, CASE WHEN up THEN high ELSE mid END, step + 1 FROM (SELECT *, CASE WHEN inside THEN {_RED.format('mid', '(' + _MU.format('mid') + ')')} < target ELSE {_RED.format('top', 'mid')} > target END AS up FROM (SELECT *, (low + high) / 2 AS mid FROM solve2 WHERE step < 60))",
+    "solved": f"SELECT pathway_i, q / (1 - q) * (mean_solved - 1) AS p_solved, CASE WHEN inside THEN {_MU.format('mean_solved')} ELSE (low + high) / 2 END AS mu_solved FROM (SELECT *, CASE WHEN inside THEN (low + high) / 2 ELSE top END AS mean_solved FROM solve2 WHERE step = 60)",
+    "params": "SELECT params2.pathway_i, total_touches, total_connections, structural_mean, least(1.0, CASE kase WHEN 'none' THEN 1.0 WHEN 'default' THEN rpa WHEN 'prob' THEN mod * cv WHEN 'other' THEN 1.0 WHEN '4.3' THEN p_solved ELSE CASE WHEN p = 1 THEN 1.0 ELSE p / (1 - p) * (1 - pp) / pp END END) AS p_a, CASE kase WHEN '4.3' THEN mu_solved - 0.5 WHEN 'default' THEN rpmu WHEN 'prob' THEN greatest((structural_mean - cv * structural_mean + cv) * mod, 1) - 0.5 WHEN '4.2' THEN mean - spread WHEN '4.1' THEN mean - spread END AS pmu_a, CASE kase WHEN '4.1' THEN 0.04 WHEN 'none' THEN NULL ELSE brf END AS brf, CASE kase WHEN '4.3' THEN least(1.0, af) WHEN '4.2' THEN 0.5 WHEN 'default' THEN 0.5 WHEN '4.1' THEN least(1.0, af) WHEN 'prob' THEN least(1.0, exp((1 - cv) / cv) * brf * (structural_mean - 1) / (structural_mean * mod)) END AS active_fraction FROM params2 LEFT JOIN solved ON solved.pathway_i = params2.pathway_i",
 }
 
 
@@ -176,19 +213,22 @@ SQL["survivors"] = f"SELECT * FROM (SELECT c.*, CASE WHEN pmu_a = 0 THEN 1.0 ELS
 SQL["fractions"] = "SELECT pathway_i, left_n / total_touches AS actual, CASE WHEN brf IS NULL THEN active_fraction WHEN brf > left_n / total_touches THEN 1.0 ELSE brf / (left_n / total_touches) END AS fraction FROM (SELECT pathway_i, sum(n) AS left_n FROM survivors GROUP BY pathway_i) JOIN params USING (pathway_i)"
 SQL["kept"] = f"SELECT src, dst FROM survivors JOIN fractions USING (pathway_i) WHERE {uniform_sql(SEED, 0x102, 'first_id')} < fraction"
 
-_NEEDS = {"dstn": ["dtypes"], "circuit": ["edges", "srcn", "dstn"], "keyed": ["circuit"], "stats": ["keyed"], "paths": ["points"], "lengths": ["paths"], "above": ["sections"], "rootdist": ["above", "lengths", "paths"], "radii": ["points"], "firstsec": ["sections", "rootdist"], "tcells": ["trules", "dtypes", "kinds"], "rulep": ["crules", "dtypes"], "params0": ["stats", "rulep"], "params1": ["params0"], "params2": ["params1"], "params": ["params2"], "reduced": ["keyed", "params"], "conns": ["reduced"], "survivors": ["conns"], "fractions": ["survivors", "params"], "kept": ["fractions", "survivors"]}
+_NEEDS = {"dstn": ["dtypes"], "circuit": ["edges", "srcn", "dstn"], "keyed": ["circuit"], "stats": ["keyed"], "paths": ["points"], "lengths": ["paths"], "above": ["sections"], "rootdist": ["above", "lengths", "paths"], "radii": ["points"], "firstsec": ["sections", "rootdist"], "tcells": ["trules", "dtypes", "kinds"], "rulep": ["crules", "dtypes"], "params0": ["stats", "rulep"], "params1": ["params0"], "params2": ["params1"], "solve0": ["params1"], "solve1": ["solve0"], "solve2": ["solve1"], "solved": ["solve2"], "params": ["params2", "solved"], "reduced": ["keyed", "params"], "conns": ["reduced"], "survivors": ["conns"], "fractions": ["survivors", "params"], "kept": ["fractions", "survivors"]}
 
 
-def with_sql(*names: str) -> str:
-    """A WITH clause of the named tables and all that they need, in order."""
+def with_sql(*names: str, instead: dict[str, tuple[str, list[str]]] | None = None) -> str:
+    """A WITH clause of the named tables and all that they need, in order; instead has other SQL, and what that needs, for some."""
     order: list[str] = []
+    sql, needs = dict(SQL), dict(_NEEDS)
+    for name, (text, own) in (instead or {}).items():
+        sql[name], needs[name] = text, own
 
     def add(name: str) -> None:
-        for other in _NEEDS.get(name, ()):
+        for other in needs.get(name, ()):
             add(other)
         if name not in order:
             order.append(name)
 
     for name in names:
         add(name)
-    return "WITH RECURSIVE " + ", ".join(f"{n} AS ({SQL[n]})" for n in order) + " "
+    return "WITH RECURSIVE " + ", ".join(f"{n} AS ({sql[n]})" for n in order) + " "

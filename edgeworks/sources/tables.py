@@ -17,16 +17,104 @@ POPULATION_KEYS = ("source_population_name", "source_population_size", "target_p
 POST = ("target_node_id", "source_node_id", "synapse_id")
 PRE = ("source_node_id", "target_node_id", "synapse_id")
 FILE_BYTES = 256 << 20
+CODES = ("afferent_section_type", "efferent_section_type")
+#: Metadata key of the version that wrote a file, and the version from which section type codes start at one.
+VERSION_KEY, SHIFTED_SINCE = "converter_version", (0, 6, 1)
+
+# fixed values: column names of older files, and what they are called now
+LEGACY = {
+    "branch_type": "section_type",
+    "connected_neurons_post": "target_node_id",
+    "connected_neurons_pre": "source_node_id",
+    "junction_id_post": "afferent_junction_id",
+    "junction_id_pre": "efferent_junction_id",
+    "morpho_offset_segment_post": "afferent_segment_offset",
+    "morpho_offset_segment_pre": "efferent_segment_offset",
+    "morpho_section_fraction_post": "afferent_section_pos",
+    "morpho_section_fraction_pre": "efferent_section_pos",
+    "morpho_section_id_post": "afferent_section_id",
+    "morpho_section_id_pre": "efferent_section_id",
+    "morpho_section_type_post": "afferent_section_type",
+    "morpho_section_type_pre": "efferent_section_type",
+    "morpho_segment_id_post": "afferent_segment_id",
+    "morpho_segment_id_pre": "efferent_segment_id",
+    "morpho_spine_length": "spine_length",
+    "morpho_type_id_pre": "efferent_morphology_id",
+    "position_center_post_x": "afferent_center_x",
+    "position_center_post_y": "afferent_center_y",
+    "position_center_post_z": "afferent_center_z",
+    "position_center_pre_x": "efferent_center_x",
+    "position_center_pre_y": "efferent_center_y",
+    "position_center_pre_z": "efferent_center_z",
+    "position_contour_post_x": "afferent_surface_x",
+    "position_contour_post_y": "afferent_surface_y",
+    "position_contour_post_z": "afferent_surface_z",
+    "position_contour_pre_x": "efferent_surface_x",
+    "position_contour_pre_y": "efferent_surface_y",
+    "position_contour_pre_z": "efferent_surface_z",
+    "post_branch_type": "afferent_section_type",
+    "post_gid": "target_node_id",
+    "post_neuron_id": "target_node_id",
+    "post_offset": "afferent_segment_offset",
+    "post_position_surface_x": "afferent_surface_x",
+    "post_position_surface_y": "afferent_surface_y",
+    "post_position_surface_z": "afferent_surface_z",
+    "post_position_x": "afferent_center_x",
+    "post_position_y": "afferent_center_y",
+    "post_position_z": "afferent_center_z",
+    "post_section": "afferent_section_id",
+    "post_section_fraction": "afferent_section_pos",
+    "post_segment": "afferent_segment_id",
+    "pre_branch_type": "efferent_section_type",
+    "pre_gid": "source_node_id",
+    "pre_neuron_id": "source_node_id",
+    "pre_offset": "efferent_segment_offset",
+    "pre_position_center_x": "efferent_center_x",
+    "pre_position_center_y": "efferent_center_y",
+    "pre_position_center_z": "efferent_center_z",
+    "pre_position_x": "efferent_surface_x",
+    "pre_position_y": "efferent_surface_y",
+    "pre_position_z": "efferent_surface_z",
+    "pre_section": "efferent_section_id",
+    "pre_section_fraction": "efferent_section_pos",
+    "pre_segment": "efferent_segment_id",
+    "synapse_type_id": "edge_type_id",
+}
 
 
 def read_edges(spark: SparkSession, paths: list[str], renames: dict[str, str] | None = None) -> DataFrame:
-    """All inputs as one table, columns matched by name; renames turns old names into new ones where they occur."""
-    def scan(path: str) -> DataFrame:
-        df = spark.read.parquet(path)
-        wanted = {"source_node_id": "src", "target_node_id": "dst", "morpho_type_id_pre": "morphology", **(renames or {})}
-        return df.withColumnsRenamed({old: new for old, new in wanted.items() if old in df.columns and new not in df.columns})
+    """All inputs as one table, columns matched by name; older names, and those in renames, turn into new ones where they occur."""
+    return reduce(lambda a, b: a.unionByName(b), [_scan(spark, p, renames or {}) for p in paths])
 
-    return reduce(lambda a, b: a.unionByName(b), [scan(p) for p in paths])
+
+def _scan(spark: SparkSession, path: str, renames: dict[str, str]) -> DataFrame:
+    df = spark.read.parquet(path)
+    for wanted in ({**LEGACY, **renames}, {"source_node_id": "src", "target_node_id": "dst"}):
+        df = df.withColumnsRenamed({old: new for old, new in wanted.items() if old in df.columns and new not in df.columns})
+    return df
+
+
+def load_edges(spark: SparkSession, paths: list[str], codes: tuple[str, ...] = CODES, renames: dict[str, str] | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """All inputs as one table with section type codes from zero, and their merged metadata.
+
+    The code base of each input follows from the version in its metadata, or from its codes where there is none.
+    """
+    parts, found = [], []
+    for path in paths:
+        found.append(read_metadata(spark, path))
+        parts.append(normalize_codes(_scan(spark, path, renames or {}), list(codes), found[-1].get(VERSION_KEY)))
+    return reduce(lambda a, b: a.unionByName(b), parts), merge_metadata(found)
+
+
+def _provenance_path(path: str) -> str:
+    return f"{path.rstrip('/')}_provenance"
+
+
+def read_metadata(spark: SparkSession, path: str) -> dict[str, str]:
+    """The provenance that export() wrote beside the edges; nothing where there is none."""
+    if not exists(spark, _provenance_path(path)):
+        return {}
+    return {r["key"]: r["value"] for r in spark.read.parquet(_provenance_path(path)).collect()}
 
 
 def read_nodes(spark: SparkSession, path: str, exclude: re.Pattern = EXCLUDED) -> DataFrame:
@@ -35,6 +123,12 @@ def read_nodes(spark: SparkSession, path: str, exclude: re.Pattern = EXCLUDED) -
     return df.select("id", *sorted(c for c in df.columns if c != "id" and not exclude.fullmatch(c)))
 
 
+def cached_nodes(spark: SparkSession, path: str, folder: str, nodeset: str = "true") -> DataFrame:
+    """read_nodes() restricted to a nodeset, kept as Parquet under a name that path, size, time of change and nodeset make."""
+    state = fingerprint(["nodes"], nodeset, [path, folder_bytes(spark, path), changed_at(spark, path)])
+    return checkpointed(spark, lambda: apply_nodeset(read_nodes(spark, path), nodeset), f"{folder.rstrip('/')}/nodes-{state}")
+
+
 def apply_nodeset(nodes: DataFrame, predicate: str) -> DataFrame:
     return nodes.where(F.expr(predicate))
 
@@ -45,7 +139,7 @@ def code_base(df: DataFrame, columns: list[str], version: str | None = None) ->
     if not present:
         return 0
     if version is not None:
-        return int(tuple(map(int, re.findall(r"\d+", version)[:3])) >= (0, 6, 1))
+        return int(tuple(map(int, re.findall(r"\d+", version)[:3])) >= SHIFTED_SINCE)
     row = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in present for f in (F.min, F.max)]).first()
     votes = set()
     for c in present:
@@ -83,11 +177,10 @@ def merge_metadata(inputs: list[dict[str, str]]) -> dict[str, str]:
         return dict(inputs[0]) if inputs else {}
     out: dict[str, str] = {}
     for key in POPULATION_KEYS:
-        values = {m.get(key) for m in inputs}
+        values = {m[key] for m in inputs if key in m}
         if len(values) > 1:
-            raise ValueError(f"inputs disagree on {key}: {sorted(map(str, values))}")
-        if (value := values.pop()) is not None:
-            out[key] = value
+            raise ValueError(f"inputs disagree on {key}: {sorted(values)}")
+        out.update({key: v for v in values})
     for n, m in enumerate(inputs):
         out.update({f"merge{n}_{k}": v for k, v in m.items() if k not in POPULATION_KEYS})
     return out
@@ -111,7 +204,7 @@ def with_population(df: DataFrame, column: str, name: str, size: int) -> DataFra
     return df.withMetadata(column, {"population_name": name, "population_size": size, **df.schema[column].metadata})
 
 
-def export_frame(df: DataFrame, order: tuple[str, ...] = POST, codes: tuple[str, ...] = ("afferent_section_type", "efferent_section_type")) -> DataFrame:
+def export_frame(df: DataFrame, order: tuple[str, ...] = POST, codes: tuple[str, ...] = CODES) -> DataFrame:
     """What export() writes: bare edges with ids and codes as at rest, in the wanted order."""
     if "synapse_id" not in df.columns:
         raise ValueError("edges need a synapse_id")
@@ -123,21 +216,36 @@ def export_frame(df: DataFrame, order: tuple[str, ...] = POST, codes: tuple[str,
 
 
 def export(df: DataFrame, path: str, order: tuple[str, ...] = POST, metadata: dict[str, str] | None = None) -> None:
-    """Write sorted Parquet, and provenance beside it. Ranges of the order become files; AQE sizes them."""
+    """Write sorted Parquet, and provenance beside it. Ranges of the order become files; AQE sizes them.
+
+    Codes at rest start at one, so the metadata says a version that does that.
+    """
     out = export_frame(df, order)
+    if metadata:
+        metadata = {**metadata, VERSION_KEY: ".".join(map(str, SHIFTED_SINCE))}
     if metadata:
         for column, side in (("source_node_id", "source"), ("target_node_id", "target")):
             if f"{side}_population_name" in metadata:
                 out = with_population(out, column, metadata[f"{side}_population_name"], int(metadata.get(f"{side}_population_size", 0)))
     out.write.mode("overwrite").parquet(path)
     if metadata:
-        provenance_table(df.sparkSession, metadata).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}_provenance")
+        provenance_table(df.sparkSession, metadata).coalesce(1).write.mode("overwrite").parquet(_provenance_path(path))
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under a path, by the file system that Spark reads it from."""
+def _file_system(spark: SparkSession, path: str):
+    """A path and the file system that Spark reads it from."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(hadoop).getLength()
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    hadoop, files = _file_system(spark, path)
+    return files.getContentSummary(hadoop).getLength()
+
+
+def changed_at(spark: SparkSession, path: str) -> int:
+    hadoop, files = _file_system(spark, path)
+    return max([files.getFileStatus(hadoop).getModificationTime(), *(s.getModificationTime() for s in files.listStatus(hadoop))])
 
 
 def compact(spark: SparkSession, path: str, out: str, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -153,8 +261,8 @@ def fingerprint(names: list[str], parameters: object, inputs: object) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    hadoop, files = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(hadoop)
 
 
 def checkpointed(spark: SparkSession, make: Callable[[], DataFrame], path: str, overwrite: bool = False) -> DataFrame:

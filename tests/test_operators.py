@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edgeworks.functions import random as rnd
-from edgeworks.operators import ids, matching, model, quality, rules, sampling
+from edgeworks.operators import geometry, ids, matching, model, properties, quality, rules, sampling
 from edgeworks.plans import pipeline
 from edgeworks.sources import fixtures as fx
 from edgeworks.sources import tables
@@ -122,6 +122,35 @@ def test_nearest_value_against_all_pairs(spark):
     assert got == {i: "" if i in (4, 5) else SPINES[int(np.argmin(np.abs(lengths - x)))][1] for i, x in enumerate(xs)}
 
 
+def test_nearest_value_of_a_large_library(spark):
+    """The expression and the ordered join give the same, ties and equal values included."""
+    rng = np.random.default_rng(1)
+    values = np.round(rng.uniform(0, 50, 120), 1)
+    library = spark.createDataFrame([(k, float(x)) for k, x in enumerate(rng.permutation(values))], "k int, v double")
+    xs = [None, -1.0, 99.0, *map(float, np.round(rng.uniform(0, 50, 300), 2)), *map(float, values[:20])]
+    df = spark.createDataFrame(list(enumerate(xs)), "i int, x double").repartition(5)
+    want = {}
+    rows = [(r["v"], r["k"]) for r in library.collect()]
+    for i, x in enumerate(xs):
+        want[i] = None if x is None else min(rows, key=lambda r, x=x: (abs(x - r[0]), r[1]))[1]
+    for most in (200, 10):
+        got = {r["i"]: r["near"] for r in matching.nearest_value_join(df, library, "x", "v", "k", "near", most).collect()}
+        differ = {i for i in want if got[i] != want[i]}
+        # a tie in the decimals may be none in binary
+        assert all(abs(abs(xs[i] - dict(map(reversed, rows))[got[i]]) - abs(xs[i] - dict(map(reversed, rows))[want[i]])) < 1e-9 for i in differ) and len(differ) < 5, most
+    assert matching.nearest_value_join(df, library.limit(0), "x", "v", "k", "near").where("near IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 500])
+def test_running_sums_over_ranges(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(int(k), int(v)) for k, v in zip(rng.permutation(n), rng.integers(-5, 50, n), strict=True)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(6)
+    for function, plain in ((F.sum, np.cumsum), (F.max, np.maximum.accumulate)):
+        got = sorted((r["k"], r["t"]) for r in ids.running(df, ["k"], "v", "t", function).collect())
+        assert got == list(enumerate(plain([v for _, v in sorted(rows)]).tolist() if rows else []))
+
+
 EDGE = "src long, dst long, synapse_id long, efferent_section_id int, efferent_segment_id int, afferent_section_id int, afferent_segment_id int"
 
 
@@ -157,10 +186,14 @@ def test_export_order_and_metadata(spark, sf_dir, tmp_path):
         tables.export(df, path, order, {"source_population_name": "A", "source_population_size": "7"})
         back = spark.read.parquet(path)
         rows = back.select(*order).toPandas()
-        assert rows.equals(rows.sort_values(list(order), ignore_index=True)) or len(set(back.inputFiles())) > 1
+        # files hold ranges of the order, and each is sorted
+        parts = [spark.read.parquet(f).select(*order).toPandas() for f in sorted(back.inputFiles())]
+        assert all(x.equals(x.sort_values(list(order), ignore_index=True)) for x in parts) and sum(map(len, parts)) == len(rows)
+        ends = sorted((tuple(x.iloc[0]), tuple(x.iloc[-1])) for x in parts if len(x))
+        assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
         assert back.schema["source_node_id"].metadata["population_size"] == 7
         assert not [c for c in back.columns if c.startswith(("src_", "dst_"))]
-        assert spark.read.parquet(f"{path}_provenance").count() == 2
+        assert spark.read.parquet(f"{path}_provenance").count() == 3
     with pytest.raises(ValueError):
         tables.export_frame(df.drop("synapse_id"))
 
@@ -191,6 +224,48 @@ def test_pipeline_states(spark, tmp_path):
         pipeline.preset(pipeline.FUNCTIONAL, {})
 
 
+def test_bucketed_state_and_a_state_that_fails(spark, tmp_path):
+    edges = lambda: spark.range(200).selectExpr("id AS synapse_id", "id % 7 AS src", "id % 3 AS dst")
+    step = pipeline.Step("a", lambda df: df.where("synapse_id % 2 = 0"), None, checkpoint=True, bucket_by=("src", "dst"), buckets=4)
+    inputs = str(tmp_path)
+    df = pipeline.run(spark, edges, inputs, [step], str(tmp_path))
+    assert df.count() == 100 and "Exchange" not in df.groupBy("src", "dst").count()._jdf.queryExecution().executedPlan().toString()
+
+    def unread():
+        raise AssertionError
+
+    assert pipeline.run(spark, unread, inputs, [step], str(tmp_path)).count() == 100
+    # a folder that can't be written: the run goes on without the state
+    (tmp_path / "file").write_text("")
+    failing = pipeline.Step("b", lambda df: df.where("synapse_id < 50"), None, checkpoint=True)
+    assert pipeline.run(spark, edges, inputs, [failing], str(tmp_path / "file")).count() == 50
+
+
+def test_older_names(spark, tmp_path):
+    for k, (old, new) in enumerate(tables.LEGACY.items()):
+        path = str(tmp_path / str(k))
+        spark.range(1).withColumnRenamed("id", old).write.parquet(path)
+        assert tables.read_edges(spark, [path]).columns == [{"source_node_id": "src", "target_node_id": "dst"}.get(new, new)]
+
+
+def test_codes_follow_the_version_of_each_input(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2, 0, 0, 1), (1, 2, 1, 3, 1)], "src long, dst long, synapse_id long, afferent_section_type int, efferent_section_type int")
+    new, old = str(tmp_path / "new"), str(tmp_path / "old")
+    tables.export(df, new, metadata={"source_population_name": "A", "kind": "x"})
+    df.selectExpr("*", "0L AS edge_type_id").withColumn("synapse_id", F.col("synapse_id") + 2).write.parquet(old)
+    found, metadata = tables.load_edges(spark, [new, old])
+    assert sorted((r["synapse_id"], r["afferent_section_type"], r["efferent_section_type"]) for r in found.collect()) == [(0, 0, 1), (1, 3, 1), (2, 0, 1), (3, 3, 1)]
+    assert metadata == {"source_population_name": "A", "merge0_kind": "x", f"merge0_{tables.VERSION_KEY}": "0.6.1"}
+
+
+def test_deep_trees_keep_small_plans(spark):
+    sections = spark.createDataFrame([("M", k, k - 1 if k else None, 1) for k in range(64)], "morphology string, section_id int, parent_id int, type int")
+    above = geometry.ancestors(sections)
+    assert above.count() == 64 * 65 // 2 and above._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0
+    with pytest.raises(ValueError):
+        geometry.ancestors(spark.createDataFrame([("M", 0, 1, 1), ("M", 1, 0, 1)], sections.schema))
+
+
 def test_bucketed_checkpoint_joins_without_exchange(spark, sf_dir):
     df = fx.edges(spark, sf_dir).select("src", "dst", "synapse_id")
     table = tables.checkpointed_table(spark, lambda: df, "edges_by_pair", ["src", "dst"], 8)
@@ -207,6 +282,20 @@ def test_parameters_are_checked():
     with pytest.raises(ValueError):
         rnd.check_params(0, -1, "truncated_normal")
     rnd.check_params(0.0, 0.5, "truncated_normal")
+    one = np.array([1])
+    for mean, sd in ((0.0, 1.0), (1.0, 0.0), (-1.0, 1.0)):
+        with pytest.raises(ValueError):
+            rnd.gamma(1, 1, one, np.array([mean]), np.array([sd]))
+    with pytest.raises(ValueError):
+        rnd.truncated_normal(1, 1, one, np.array([-2.0]), np.array([1.0]))
+    assert np.isnan(rnd.gamma(1, 1, np.array([1, 2]), np.array([np.nan, 1.0]), np.array([1.0, 1.0]))).tolist() == [True, False]
+
+
+def test_classes_that_no_draw_satisfies_are_an_error(spark):
+    edges = spark.createDataFrame([(1, 2, 0, 0)], "src long, dst long, synapse_id long, pathway_i long")
+    params = spark.createDataFrame([(0, 0.5, 0.0)], "pathway_i long, conductance_mu double, conductance_sd double")
+    with pytest.raises(ValueError):
+        properties.connection_properties(edges, params, 1)
 
 
 def test_connection_ids_start_below_zero(spark):

@@ -1,8 +1,17 @@
 """Every query of the edge operators against its SQL, and properties where SQL can't say it."""
 
+import collections
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from edgeworks.plans import registry
+from edgeworks.sources import fixtures as fx
+
+ROOT = Path(__file__).resolve().parents[1]
 
 
 def rows_of(names, rows):
@@ -48,6 +57,80 @@ def test_gap_junctions_come_in_pairs(spark, sf_dir):
     assert all(partner[b] == a for a, b in partner.items())
 
 
+def plain_junctions(duck):
+    """Greedy matching and pruning, pair by pair and connection by connection, in the order of ids."""
+    rows = [dict(zip([c[0] for c in found.description], r, strict=True)) for found in [duck.execute(fx.with_sql("redges") + "SELECT * FROM redges ORDER BY synapse_id")] for r in found.fetchall()]
+    above, away = collections.defaultdict(set), {}
+    for m, s, a, _ in duck.execute(fx.with_sql("above") + "SELECT morphology, section_id, ancestor_id, depth FROM above").fetchall():
+        above[m, s].add(a)
+    for m, s, i, d in duck.execute(fx.with_sql("rootdist") + "SELECT * FROM rootdist").fetchall():
+        away[m, s, i] = d
+    radius = dict(duck.execute(fx.with_sql("radii") + "SELECT * FROM radii").fetchall())
+    ways = collections.defaultdict(list)
+    for r in rows:
+        ways[r["src"], r["dst"]].append(r)
+    matched = []
+    for (a, b), forward in sorted(ways.items()):
+        left = list(ways.get((b, a), ())) if a < b else []
+        for i in forward if left else ():
+            mirrored = [j for j in left if i["efferent_section_id"] == j["afferent_section_id"] and i["afferent_section_id"] == j["efferent_section_id"]]
+            gap = lambda j, i=i: max(abs(i["efferent_segment_id"] - j["afferent_segment_id"]), abs(i["afferent_segment_id"] - j["efferent_segment_id"]))
+            found = next((j for j in mirrored if gap(j) == 0), next((j for j in mirrored if gap(j) == 1), None))
+            if found:
+                left.remove(found)
+                found.update(efferent_segment_id=i["afferent_segment_id"], afferent_segment_id=i["efferent_segment_id"])
+                i["partner"], found["partner"] = found["synapse_id"], i["synapse_id"]
+                matched += [i, found]
+    at_root = [r for r in matched if 0 in (r["efferent_section_id"], r["afferent_section_id"])]
+    connections, kept = collections.defaultdict(list), set()
+    for r in sorted(at_root, key=lambda r: r["synapse_id"]):
+        connections[r["src"], r["dst"]].append(r)
+    for own in connections.values():
+        active = []
+        for i in own if own[0]["afferent_section_id"] == 0 else ():
+            m = f"M{i['src']}"
+            place = lambda r, m=m: away.get((m, r["efferent_section_id"], r["efferent_segment_id"]), float("nan"))
+            active = [j for j in active if not (j["efferent_section_id"] in above[m, i["efferent_section_id"]] and abs(place(i) - place(j)) < 3 * radius.get(m, float("nan")))]
+            active.append(i)
+        kept |= {x for r in active for x in (r["synapse_id"], r["partner"])}
+    return {(r["synapse_id"], r["partner"]) for r in matched if r not in at_root or r["synapse_id"] in kept}
+
+
+def test_gap_junctions_against_plain(spark, sf_dir, duck):
+    rows = registry.QUERIES["gap_junction"](spark, sf_dir).collect()
+    want = plain_junctions(duck)
+    assert {(r["efferent_junction_id"], r["afferent_junction_id"]) for r in rows} == want and len(rows) == len(want) > 50
+    assert all(r["synapse_id"] == r["efferent_junction_id"] and r["conductance"] == 0.75 for r in rows)
+
+
+def test_draws_against_plain(spark, sf_dir):
+    """The three distributions from their own numbers, one value at a time."""
+    import math
+    from statistics import NormalDist
+
+    from edgeworks.functions import random as rnd
+
+    normal = NormalDist()
+    got = {r["synapse_id"]: r["x"] for r in registry.QUERIES["keyed_trunc_normal"](spark, sf_dir).collect()}
+    for i in sorted(got)[:300]:
+        u = rnd.uniforms(fx.SEED, 0x1004, rnd.np.array([i]), 0)[0]
+        assert normal.cdf((got[i] - 0.25) / 0.13) == pytest.approx(normal.cdf(-1) + u * (normal.cdf(1) - normal.cdf(-1)), abs=1e-6)
+    got = {r["synapse_id"]: r["x"] for r in registry.QUERIES["keyed_gamma"](spark, sf_dir).collect()}
+    shape, scale = (0.33 / 0.28) ** 2, 0.28**2 / 0.33
+    d = shape - 1 / 3
+    for i in sorted(got)[:300]:
+        draw = 0
+        while True:
+            a, b = (rnd.uniforms(fx.SEED, 0x1001, rnd.np.array([i]), 6 * draw + k)[0] for k in (0, 1))
+            z = math.sqrt(-2 * math.log(a)) * math.cos(2 * math.pi * b)
+            u = rnd.uniforms(fx.SEED, 0x1001 ^ 0x5A5A, rnd.np.array([i]), draw)[0]
+            v = (1 + z / math.sqrt(9 * d)) ** 3
+            if v > 0 and math.log(u) < 0.5 * z * z + d * (1 - v + math.log(v)):
+                break
+            draw += 1
+        assert got[i] == pytest.approx(d * v * scale)
+
+
 def test_provenance(spark, sf_dir):
     rows = {r["key"]: r["value"] for r in registry.QUERIES["provenance_table"](spark, sf_dir).collect()}
     assert rows["run2_operators"] == "edge_merge" and rows["source_population_size"] == "10"
@@ -64,3 +147,11 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(registry.ORACLES) <= set(__spark_entry__.oracle_sql())
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_the_rest_stands_without_the_corpus_part(tmp_path, pipeline):
+    """The entry imports, and registers its queries, in a copy without the folders of the corpus operators."""
+    copy = shutil.copytree(ROOT, tmp_path / "copy", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", *([] if pipeline else ["corpus_pipeline.py"])))
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert 'pathway_stats' in q and o.keys() <= q.keys() and 'pipeline' not in q and not any(n.startswith('op') for n in q)"
+    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True)
