@@ -6,11 +6,13 @@ number of rows in a batch; a single longer text makes a block of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 BLOCK_BYTES = 2 << 20
 PIECE_BYTES = 1 << 17
@@ -114,6 +116,25 @@ def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def free(taken: list[str], *names: str) -> list[str]:
+    """Names of helper columns that no column has, whatever its case: underscores are put before until they are free."""
+    used = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def mapped(source: DataFrame, run: Callable, kept: int, *added: T.StructField) -> DataFrame:
+    """source.mapInArrow(run) for columns of any name, which pass as numbers: the first kept ones come back, then the added ones."""
+    names = source.columns
+    safe = source.toDF(*[f"_{i}_carried" for i in range(len(names))])
+    return safe.mapInArrow(run, T.StructType([*safe.schema.fields[:kept], *added])).toDF(*names[:kept], *[f.name for f in added])
+
+
 def quoted(name: str) -> str:
     """A column name that Spark takes as one name, dots and backticks included."""
     return "`" + name.replace("`", "``") + "`"

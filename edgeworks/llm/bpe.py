@@ -389,7 +389,7 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text",
         finally:
             own.release()
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, *(T.StructField(x, T.BinaryType()) for x in added)]))
+    return arrow.mapped(source, run, len(kept), *(T.StructField(x, T.BinaryType()) for x in added))
 
 
 def decode(tokens: DataFrame, rank_file: bytes, pattern: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -411,7 +411,7 @@ def decode(tokens: DataFrame, rank_file: bytes, pattern: str, ids: str = "ids",
         finally:
             own.release()
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, T.BinaryType())]))
+    return arrow.mapped(source, run, len(kept), T.StructField(into, T.BinaryType()))
 
 
 def public_ranks(name: str = "byte_bpe_50k.tiktoken") -> tuple[bytes, str]:

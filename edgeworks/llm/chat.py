@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import arrow
 from .tables import read
 
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]")
@@ -150,7 +151,7 @@ FORMATTED = "fingerprint string, layout string, formatted string, loss array<str
 def format_records(records: DataFrame, record: str = "record", into: str = "chat") -> DataFrame:
     """records with a struct column: fingerprint, layout, formatted text and loss mask."""
     kept = [c for c in records.columns if c != into]
-    source = records.select(*[F.col(f"`{c}`") for c in kept])
+    source = records.select(*[F.col(arrow.quoted(c)) for c in kept])
     place = kept.index(record)
     kind = pa.struct([("fingerprint", pa.string()), ("layout", pa.string()), ("formatted", pa.string()), ("loss", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
@@ -163,7 +164,7 @@ def format_records(records: DataFrame, record: str = "record", into: str = "chat
                 out.append({"fingerprint": key, "layout": layout, "formatted": text, "loss": None if mask is None else [{"start": a, "end": b} for a, b in mask]})
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, into])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, T._parse_datatype_string(FORMATTED))]))
+    return arrow.mapped(source, run, len(kept), T.StructField(into, T._parse_datatype_string(FORMATTED)))
 
 
 def records_of(rows: DataFrame) -> DataFrame:

@@ -146,7 +146,7 @@ def frequency_hash(pixels: np.ndarray) -> bytes:
 def to_png(docs: DataFrame, text: str = "text", into: str = "media") -> DataFrame:
     """docs with a binary column of images instead of the text."""
     kept = [c for c in docs.columns if c not in (into, text)]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("__text"))
+    source = docs.select(*[F.col(arrow.quoted(c)) for c in [*kept, text]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +155,7 @@ def to_png(docs: DataFrame, text: str = "text", into: str = "media") -> DataFram
                 images = [write_png(payload(raw[a:b])) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(first, end - first).columns[:-1], pa.array(images, pa.binary())], names=[*batch.schema.names[:-1], into])
 
-    return source.mapInArrow(run, T.StructType([*source.drop("__text").schema.fields, T.StructField(into, T.BinaryType())]))
+    return arrow.mapped(source, run, len(kept), T.StructField(into, T.BinaryType()))
 
 
 _FACTS = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, hash binary"
@@ -164,7 +164,7 @@ _FACTS = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 lo
 def from_png(images: DataFrame, media: str = "media", into: str = "read_back") -> DataFrame:
     """images with a struct of what the stored bytes hold, instead of the images."""
     kept = [c for c in images.columns if c not in (into, media)]
-    source = images.select(*[F.col(f"`{c}`") for c in kept], F.col(media).alias("__media"))
+    source = images.select(*[F.col(arrow.quoted(c)) for c in [*kept, media]])
     kind = pa.struct([("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("hash", pa.binary())])
 
     def facts(image: bytes) -> dict:
@@ -177,7 +177,7 @@ def from_png(images: DataFrame, media: str = "media", into: str = "read_back") -
             out = [facts(x.as_py()) for x in batch.column(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, kind)], names=[*batch.schema.names[:-1], into])
 
-    return source.mapInArrow(run, T.StructType([*source.drop("__media").schema.fields, T.StructField(into, T._parse_datatype_string(_FACTS))]))
+    return arrow.mapped(source, run, len(kept), T.StructField(into, T._parse_datatype_string(_FACTS)))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,13 +123,13 @@ def fit_evidence(rows: DataFrame) -> Evidence:
 
 def with_evidence(docs: DataFrame, model: Evidence, text: str = "text", into: str = "evidence") -> DataFrame:
     kept = [c for c in docs.columns if c not in (into, text)]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("__text"))
+    source = docs.select(*[F.col(arrow.quoted(c)) for c in [*kept, text]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.probabilities(batch.column(batch.num_columns - 1)))], names=[*batch.schema.names[:-1], into])
 
-    return source.mapInArrow(run, T.StructType([*source.drop("__text").schema.fields, T.StructField(into, T.DoubleType())]))
+    return arrow.mapped(source, run, len(kept), T.StructField(into, T.DoubleType()))
 
 
 def _logit(p: Column) -> Column:
@@ -158,23 +158,27 @@ def site_posteriors(counted: DataFrame, host: str, path: str) -> DataFrame:
     hosts = hosts.crossJoin(F.broadcast(top))
     strength = hosts.agg(prior_strength(F.col("prior")).alias("k"))
     hosts = hosts.crossJoin(F.broadcast(strength)).select(host, "prior", ((F.col("good") + F.col("k") * F.col("prior")) / (F.col("n") + F.col("k"))).alias("host_posterior"))
-    joined = paths.join(hosts.withColumnRenamed(host, "__host"), F.col(host).eqNullSafe(F.col("__host"))).drop("__host")
+    same = arrow.free([host, path], "host_again")[0]
+    joined = paths.join(hosts.withColumnRenamed(host, same), F.col(host).eqNullSafe(F.col(same))).drop(same)
     strength = joined.agg(prior_strength(F.col("host_posterior")).alias("k"))
     posterior = (F.col("good") + F.col("k") * F.col("host_posterior")) / (F.col("n") + F.col("k"))
     return joined.crossJoin(F.broadcast(strength)).select(host, path, "prior", "host_posterior", posterior.alias("path_posterior"))
 
 
 def score(docs: DataFrame, labels: DataFrame, host: Column, path: Column, max_train: int = MAX_TRAIN) -> DataFrame:
-    """docs (doc_id, text and others) with host, path, evidence, posteriors and quality_score, without the text.
+    """docs (doc_id, text and others) with evidence, prior, posteriors and quality_score, without the text.
 
-    Labels of the held-out fold are never learnt from.
+    Columns of these names are replaced, all others carried along. Labels of the held-out fold are never learnt from.
     """
-    model = fit_evidence(checkpoint(training_rows(docs, labels, "quality", max_train).repartition(12)))
-    rows = checkpoint(with_evidence(docs.withColumns({"host": host, "path": path}), model))
-    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.avg("quality").alias("__label"))
-    counted = rows.select("doc_id", "host", "path", "evidence").join(known, "doc_id", "left").withColumn("good", F.coalesce("__label", "evidence"))
-    sites = site_posteriors(counted, "host", "path").withColumnsRenamed({"host": "__h", "path": "__p"})
-    joined = rows.join(sites, F.col("host").eqNullSafe(F.col("__h")) & F.col("path").eqNullSafe(F.col("__p"))).drop("__h", "__p")
+    made = ("evidence", "prior", "host_posterior", "path_posterior", "quality_score")
+    h, p, site, of, label = arrow.free([*docs.columns, *made, "good"], "host", "path", "of_host", "of_path", "label")
+    docs = docs.withColumns({h: host, p: path}).select(*[F.col(arrow.quoted(c)) for c in [*[c for c in docs.columns if c not in made], h, p]])
+    model = fit_evidence(checkpoint(training_rows(docs, labels, "quality", max_train)))
+    rows = checkpoint(with_evidence(docs, model))
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.avg("quality").alias(label))
+    counted = rows.select("doc_id", h, p, "evidence").join(known, "doc_id", "left").withColumn("good", F.coalesce(label, "evidence"))
+    sites = site_posteriors(counted, h, p).withColumnsRenamed({h: site, p: of})
+    joined = rows.join(sites, F.col(h).eqNullSafe(F.col(site)) & F.col(p).eqNullSafe(F.col(of))).drop(h, p, site, of)
     odds = _logit(F.col("evidence")) + _logit(F.col("path_posterior")) - _logit(F.col("prior"))
     return joined.withColumn("quality_score", 1 / (1 + F.exp(-odds)))
 

@@ -21,9 +21,10 @@ are carried along.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import arrow
 from .tables import checkpoint, read
 
 SHARDS = 24
@@ -120,10 +121,12 @@ def minimax_cuts(groups: DataFrame, shards: int) -> list[int]:
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, text: str = "text") -> DataFrame:
-    """docs with size, key, shard and slot. Equal texts share a shard; sizes are as near as the order allows."""
-    size = (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_OVERHEAD).cast("long")
-    rows = docs.withColumns({"size": size, "key": F.xxhash64(F.coalesce(text, F.lit("")))})
-    groups = checkpoint(rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")))
+    """docs with size, shard and slot, which replace columns of these names. Equal texts share a shard; sizes are as near as the order allows."""
+    kept = [c for c in docs.columns if c not in ("size", "shard", "slot")]
+    body = F.coalesce(F.col(arrow.quoted(text)), F.lit(""))
+    (key,) = arrow.free([*kept, "size", "shard", "slot"], "key")
+    rows = docs.select(*[F.col(arrow.quoted(c)) for c in kept], (F.octet_length(body) + ROW_OVERHEAD).cast("long").alias("size"), F.xxhash64(body).alias(key))
+    groups = checkpoint(rows.groupBy(F.col(key).alias("key")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")))
     total, n_rows = groups.agg(F.sum("bytes"), F.sum("rows")).first()
     total, alone = total or 0, []
     for r in groups.orderBy(F.desc("bytes"), "key").limit(shards).collect():
@@ -136,21 +139,24 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, text: str = "text") ->
     # the lists are no longer than the number of shards
     shard = F.lit(len(alone))
     for first in cuts:
-        shard = shard + (F.col("key") >= F.lit(first)).cast("int")
-    for k, key in enumerate(alone):
-        shard = F.when(F.col("key") == F.lit(key), F.lit(k)).otherwise(shard)
+        shard = shard + (F.col(key) >= F.lit(first)).cast("int")
+    for k, own in enumerate(alone):
+        shard = F.when(F.col(key) == F.lit(own), F.lit(k)).otherwise(shard)
     buckets = max(LEAST_BUCKETS, -(-(n_rows or 0) // (shards * BUCKET_ROWS)))
-    return _with_slots(rows.withColumn("shard", shard.cast("int")), buckets)
+    return _with_slots(rows.withColumn("shard", shard.cast("int")), buckets, key).drop(key)
 
 
-def _with_slots(rows: DataFrame, buckets: int) -> DataFrame:
-    """Number each shard's rows from 0: in buckets by doc_id, plus the rows of the buckets before."""
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
-    counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
+def _with_slots(rows: DataFrame, buckets: int, key: str) -> DataFrame:
+    """Number each shard's rows from 0: in buckets by doc_id and text, plus the rows of the buckets before."""
+    bucket, ahead, place = arrow.free(rows.columns, "bucket", "ahead", "place")
+    # rows without doc_id are spread by their texts
+    rows = rows.withColumn(bucket, F.pmod(F.xxhash64("doc_id", key), F.lit(buckets)).cast("int"))
+    counts = rows.groupBy("shard", bucket).agg(F.count("*").alias("n"))
     # as many rows as shards times buckets
-    ahead = counts.selectExpr("shard", "bucket", "sum(n) OVER (PARTITION BY shard ORDER BY bucket) - n AS ahead")
-    numbered = rows.selectExpr("*", "row_number() OVER (PARTITION BY shard, bucket ORDER BY doc_id, key, size) - 1 AS place")
-    return numbered.join(ahead, ["shard", "bucket"]).withColumn("slot", F.col("ahead") + F.col("place")).drop("bucket", "ahead", "place")
+    before = F.sum("n").over(Window.partitionBy("shard").orderBy(bucket)) - F.col("n")
+    counts = counts.select("shard", bucket, before.alias(ahead))
+    numbered = rows.withColumn(place, F.row_number().over(Window.partitionBy("shard", bucket).orderBy("doc_id", key, "size")) - 1)
+    return numbered.join(counts, ["shard", bucket]).withColumn("slot", F.col(ahead) + F.col(place)).drop(bucket, ahead, place)
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:
