@@ -1,9 +1,11 @@
 """SimHash near-duplicate groups through a vantage-point tree over Hamming space.
 
 fingerprints() reads each text once. near_components() shards the distinct fingerprints by the
-top of a vantage-point tree fitted on a bounded sample, sends each fingerprint to its home shard
-and, as a query, to every other shard that its radius-2 ball can overlap by the triangle
-inequality. Inside a shard a local vantage-point tree finds the exact pairs; only a spanning
+top of a vantage-point tree fitted on a bounded sample. A fingerprint goes to its own side of each
+vantage point's sphere and, from outside, also in where its radius-2 ball can overlap the
+inside by the triangle inequality. Of two linked fingerprints on both sides the outer one is so near the sphere that
+it has a copy inside, so they meet in a shard, and the inner ones need no copies. Inside a shard a local
+vantage-point tree finds the exact pairs in the same way; only a spanning
 forest of a shard's links leaves it, which keeps components whole without emitting all pairs.
 
 Defined cases: a null or wordless text has fingerprint zero and links like any other; fewer words
@@ -22,16 +24,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import arrow
-from .components import connected_components
+from .components import connected_components, join_hot
 from .tables import checkpoint, read
 
 SHINGLE = 3
 RADIUS = 2
 SEED = 42
-#: Rows of the sample that the shards' vantage points are chosen from, and fingerprints that a shard shall hold.
-SAMPLE = 20_000
+#: Rows of the sample that the shards' vantage points are chosen from: so many a shard, within bounds; and fingerprints that a shard shall hold.
+SAMPLE, LEAST_SAMPLE, MOST_SAMPLE = 8, 20_000, 1_000_000
 SHARD_ROWS = 16_384
 LEAST_SHARDS = 64
 LEAF = 96
@@ -80,15 +83,14 @@ def text_fingerprints(column: pa.Array) -> np.ndarray:
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with its text column replaced by fingerprint (signed 64-bit)."""
     kept = [c for c in docs.columns if c not in (text, "fingerprint")]
-    out = docs.select(*kept, F.col(text).alias("__text"))
-    schema = out.drop("__text").withColumn("fingerprint", F.lit(0).cast("long")).schema
+    out = docs.select(*[F.col(arrow.quoted(c)) for c in [*kept, text]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             t = batch.column(batch.num_columns - 1)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(text_fingerprints(t), pa.int64())], names=[*batch.schema.names[:-1], "fingerprint"])
 
-    return out.mapInArrow(run, schema)
+    return arrow.mapped(out, run, len(kept), T.StructField("fingerprint", T.LongType()))
 
 
 def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -135,7 +137,11 @@ def fit_tree(points: np.ndarray, leaf_size: float, leaves: list[np.ndarray]) ->
 
 
 def search(node: Node, points: np.ndarray, rows: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Yield (leaf, rows of points whose ball of this radius can reach the leaf)."""
+    """Yield (leaf, rows of points there): each on its own sides, and inside a sphere that its ball of this radius reaches into.
+
+    Two points at most radius apart have a leaf in common: on either side of a threshold, the outer one's
+    distance is at most the inner one's plus radius.
+    """
     if not len(rows):
         return
     if node.leaf is not None:
@@ -143,7 +149,7 @@ def search(node: Node, points: np.ndarray, rows: np.ndarray, radius: int) -> Ite
         return
     d = hamming(points[rows], node.point).astype(np.int64)
     yield from search(node.near, points, rows[d - radius <= node.threshold], radius)
-    yield from search(node.far, points, rows[d + radius > node.threshold], radius)
+    yield from search(node.far, points, rows[d > node.threshold], radius)
 
 
 def _roots(parent: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -165,66 +171,64 @@ def _union(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
 
 
-def shard_links(home: np.ndarray, visitors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of all links among a shard's residents and between them and its visitors."""
-    points = np.concatenate([home, visitors])
+def shard_links(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of all links among a shard's points."""
     parent = np.arange(len(points))
-    leaves: list[np.ndarray] = []
-    tree = fit_tree(home, LEAF, leaves)
-    for leaf, rows in search(tree, points, np.arange(len(points)), RADIUS):
-        own = leaves[leaf]
-        for k in range(0, len(rows), 4096):
-            part = rows[k : k + 4096]
-            q, r = np.nonzero(hamming(points[part][:, None], home[own][None, :]) <= RADIUS)
-            other = part[q] != own[r]
-            _union(parent, part[q[other]], own[r[other]])
+    for _, rows in search(fit_tree(points, LEAF, []), points, np.arange(len(points)), RADIUS):
+        step = max(1, (1 << 23) // len(rows))
+        for k in range(0, len(rows), step):
+            part = rows[k : k + step]
+            q, r = np.nonzero(hamming(points[part][:, None], points[rows][None, :]) <= RADIUS)
+            later = part[q] < rows[r]
+            _union(parent, part[q[later]], rows[r[later]])
     found = _roots(parent, np.arange(len(points)))
     linked = np.flatnonzero(found != np.arange(len(points)))
     return points[linked], points[found[linked]]
 
 
 def route(distinct: DataFrame, tree: Node) -> DataFrame:
-    """(shard, fingerprint, home): each fingerprint in its home shard and in every shard that its ball reaches."""
+    """(shard, fingerprint): each fingerprint in its own shard and in those that its ball reaches into."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             signed = batch["fingerprint"].to_numpy(np.int64)
             points = signed.view(np.uint64)
-            at_home = dict(search(tree, points, np.arange(len(points)), 0))
             for leaf, rows in search(tree, points, np.arange(len(points)), RADIUS):
-                yield pd.DataFrame({"shard": leaf, "fingerprint": signed[rows], "home": np.isin(rows, at_home.get(leaf, rows[:0]))})
+                yield pd.DataFrame({"shard": leaf, "fingerprint": signed[rows]})
 
-    return distinct.select("fingerprint").mapInPandas(run, "shard int, fingerprint long, home boolean")
+    return distinct.select("fingerprint").mapInPandas(run, "shard int, fingerprint long")
 
 
 def near_links(distinct: DataFrame) -> DataFrame:
     """(a, b): a forest of links whose components are those of all pairs at RADIUS or fewer differing bits.
 
-    distinct has each fingerprint once. The sample that fits the upper tree is bounded by SAMPLE;
+    distinct has each fingerprint once. The sample that fits the upper tree is bounded by MOST_SAMPLE;
     every fingerprint is routed and compared.
     """
-    n = distinct.count()
-    sample = np.array([r[0] for r in distinct.orderBy(F.xxhash64("fingerprint")).limit(SAMPLE).collect()], np.int64).view(np.uint64)
-    shards = max(LEAST_SHARDS, -(-n // SHARD_ROWS))
+    shards = max(LEAST_SHARDS, -(-distinct.count() // SHARD_ROWS))
+    size = min(MOST_SAMPLE, max(LEAST_SAMPLE, SAMPLE * shards))
+    sample = np.array([r[0] for r in distinct.orderBy(F.xxhash64("fingerprint")).limit(size).collect()], np.int64).view(np.uint64)
     tree = fit_tree(sample, len(sample) / shards * 1.5, [])
 
     def run(key, shard: pd.DataFrame) -> pd.DataFrame:
-        points, home = shard["fingerprint"].to_numpy(np.int64).view(np.uint64), shard["home"].to_numpy(bool)
-        a, b = shard_links(points[home], points[~home])
+        a, b = shard_links(shard["fingerprint"].to_numpy(np.int64).view(np.uint64))
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return route(distinct, tree).groupBy("shard").applyInPandas(run, "a long, b long")
 
 
 def near_components(prints: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """prints (with a fingerprint column) and component_id, the smallest doc_id that links lead to."""
-    prints = checkpoint(prints)
-    distinct = checkpoint(prints.groupBy("fingerprint").agg(F.min(doc_id).alias("first")))
+    """prints (with a fingerprint column) and component_id, the smallest doc_id that links lead to; all other columns are carried along."""
+    prints = checkpoint(prints.select(*[F.col(arrow.quoted(c)) for c in prints.columns if c != "component_id"]))
+    distinct = checkpoint(prints.groupBy("fingerprint").agg(F.min(arrow.quoted(doc_id)).alias("first"), F.count("*").alias("n")))
     roots = connected_components(near_links(distinct))
-    known = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    smallest = known.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = known.join(smallest, "root").select("fingerprint", "component_id")
-    return prints.join(labels, "fingerprint")
+    # only fingerprints with links have a class that is not their own
+    linked = checkpoint(distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint"))
+    smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n"))
+    labels = join_hot(linked.select("fingerprint", "root"), smallest, "root").select("fingerprint", F.col("component_id").alias("first"), F.lit(True).alias("linked"))
+    known = distinct.join(labels.withColumnRenamed("first", "least"), "fingerprint", "left")
+    label = F.when(F.col("linked"), F.col("least")).otherwise(F.col("first"))
+    return join_hot(prints, known.select("fingerprint", label.alias("component_id"), "n"), "fingerprint")
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
