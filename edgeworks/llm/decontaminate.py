@@ -6,10 +6,10 @@ alone is the necessary prefix. Documents meet the windows on that shingle; its p
 gives the start that the window must have (position bound), the text's end gives the length bound,
 and the words are then compared, first by hash and at last byte by byte.
 
-The window index is split into blocks of at most BLOCK_BYTES of window text. One block is the usual
-case: it goes to the executors with the task, and a document needs no shuffle. With more blocks
-each block is matched in a pass of its own, and the hits are merged by text digest, so any number
-of items gives whole results in bounded memory.
+A window index of at most BLOCK_BYTES of window text goes to the executors with the task, and a document needs
+no shuffle. A larger one stays a table: two passes over the documents, whatever its size, emit the shingles that a bit
+map of fixed size lets through, first to count them and then, for the prefixes, with the words around them;
+these meet the windows in a shuffle join on the prefix, and the hits are merged by text digest.
 
 Defined cases: null and wordless texts have no words, no hits and are clean; an item without words
 has no window; repeated items count once by item_id; an item with a null item_id marks words as hit
@@ -31,13 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrow
-from .tables import checkpoint, read
+from .components import join_hot
+from .tables import checkpoint, read, stored
 
 WINDOW = 13
 SHINGLE = 3
 #: A document is contaminated when at least one word in so many is hit.
 SHARE = 20
 BLOCK_BYTES = 8 << 20
+#: Size of the bit map of shingles, as a power of two: 8 MB.
+MAP_BITS = 26
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _IS_WORD = np.zeros(256, bool)
@@ -186,33 +189,134 @@ def match(column: pa.Array, index: Windows) -> tuple[np.ndarray, list[np.ndarray
     return n_words, hits, items
 
 
-def _collect_block(windows: DataFrame, block: int, blocks: int) -> Windows:
-    own = windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)
+def _collect(windows: DataFrame) -> Windows:
     by: dict[bytes, list[str]] = {}
-    for r in own.toLocalIterator():
+    for r in windows.toLocalIterator():
         by.setdefault(bytes(r["window"]), []).extend([r["item"]] if r["item"] is not None else [])
     texts = sorted(by)
     return Windows(texts, [sorted(by[t]) for t in texts])
 
 
+# -- a window index of any size ---------------------------------------------------------------
+
+
+def _bit_map(hashes: DataFrame) -> np.ndarray:
+    """Which values of the upper MAP_BITS bits the column h has: 2**MAP_BITS bits, whatever the number of rows."""
+    word = F.shiftrightunsigned("h", 64 - MAP_BITS + 6)
+    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - MAP_BITS}) & 63 AS INT))")
+    found = hashes.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    out[np.asarray(found["word"])] = np.asarray(found["bits"], np.int64).view(np.uint64)
+    return out
+
+
+def _known(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Places of hashes that the bit map lets through."""
+    top = h >> np.uint64(64 - MAP_BITS)
+    return np.flatnonzero(bits[(top >> np.uint64(6)).astype(np.int64)] >> (top & np.uint64(63)) & np.uint64(1))
+
+
+def _occurrences(column: pa.Array, sizes: list[int], bits: np.ndarray) -> Iterator[tuple]:
+    """(first row, data, starts, ends, first_word, n, places, hashes) of the shingles in each block that the bit map lets through."""
+    for first, _, data, starts, ends, first_word, h in _blocks(column):
+        for n in sizes:
+            grams = arrow.gram_hashes(h, n)
+            at = _known(grams, bits)
+            at = at[np.searchsorted(first_word, at, "right") == np.searchsorted(first_word, at + n - 1, "right")]
+            yield first, data, starts, ends, first_word, n, at, grams[at]
+
+
+def window_shingles(windows: DataFrame) -> DataFrame:
+    """(window, h, n, offset): every shingle of each window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                index = Windows(batch.column(0).to_pylist(), [])
+                for n in np.unique(index.sizes).tolist():
+                    window, offset, h = index._grams(n)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(window)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), n), pa.int32()), pa.array(offset, pa.int32())], names=["window", "h", "n", "offset"])
+
+    return windows.select("window").mapInArrow(run, "window binary, h long, n int, offset int")
+
+
+def prefixes(windows: DataFrame, texts: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(h, offset, window, items, n) of each distinct window's rarest shingle, n its occurrences in the texts; and the sizes of shingles."""
+    whole = stored(windows.groupBy("window").agg(F.collect_list("item").alias("items")))
+    shingles = stored(window_shingles(whole))
+    sizes = sorted(r[0] for r in shingles.select("n").distinct().collect())
+    bits = _bit_map(shingles)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for *_, n, _, h in _occurrences(batch.column(0), sizes, bits):
+                keys, seen = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n), pa.int32()), pa.array(keys.view(np.int64)), pa.array(seen)], names=["n", "h", "seen"])
+
+    counts = texts.mapInArrow(count, "n int, h long, seen long").groupBy("n", "h").agg(F.sum("seen").alias("seen"))
+    # ties: the lower hash, then the earlier place
+    ranked = shingles.join(counts, ["n", "h"], "left").select("window", F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "h", "offset").alias("best"))
+    chosen = ranked.groupBy("window").agg(F.min("best").alias("best"))
+    return stored(chosen.join(whole, "window").select("best.h", "best.offset", "window", "items", F.col("best.seen").alias("n"))), sizes
+
+
+def joined_hits(windows: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, n_hit, items, n): hit words and items of each distinct text with hits, by its digest, and how many texts are equal to it."""
+    chosen, sizes = prefixes(windows, texts)
+    bits = _bit_map(chosen)
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(0)
+            for first, data, starts, ends, first_word, _, at, h in _occurrences(column, sizes, bits):
+                row = np.searchsorted(first_word, at, "right") - 1
+                digest = {r: hashlib.sha256(column[first + r].as_py().encode()).digest() for r in np.unique(row).tolist()}
+                low, high = np.maximum(at - WINDOW + 1, first_word[row]), np.minimum(at + WINDOW, first_word[row + 1])
+                words = [b" ".join(data[i:j].tobytes() for i, j in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+                columns = [pa.array(h.view(np.int64)), pa.array([digest[r] for r in row.tolist()], pa.binary()), pa.array(low - first_word[row], pa.int32()), pa.array(at - low, pa.int32()), pa.array(words, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "key", "low", "lead", "words"])
+
+    found = texts.mapInArrow(around, "h long, key binary, low int, lead int, words binary")
+    # hashes that only share their bits, or other shingles, end here: the words decide
+    met = join_hot(found, chosen, "h").select("key", "low", "lead", "words", "offset", "window", "items")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, low, lead, words, offset, window = (batch.column(k).to_pylist() for k in range(6))
+            kept, begin, end = [], [], []
+            for i in range(batch.num_rows):
+                a, size = lead[i] - offset[i], window[i].count(b" ") + 1
+                if a >= 0 and b" ".join(words[i].split(b" ")[a : a + size]) == window[i]:
+                    kept.append(i)
+                    begin.append(low[i] + a)
+                    end.append(low[i] + a + size)
+            yield pa.RecordBatch.from_arrays([pa.array([key[i] for i in kept], pa.binary()), pa.array(begin, pa.int32()), pa.array(end, pa.int32()), batch.column(6).take(pa.array(kept, pa.int64()))], names=["key", "begin", "end", "items"])
+
+    hits = met.mapInArrow(verify, "key binary, begin int, end int, items array<string>")
+    # equal texts have the same hits
+    hits = hits.groupBy("key", "begin", "end", "items").agg(F.count("*").alias("copies"))
+
+    def merge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("begin")
+        reached = np.concatenate([[0], np.maximum.accumulate(group["end"].to_numpy())[:-1]])
+        n_hit = np.maximum(0, group["end"].to_numpy() - np.maximum(group["begin"].to_numpy(), reached)).sum()
+        return pd.DataFrame({"key": [key[0]], "n_hit": [int(n_hit)], "items": [sorted({i for x in group["items"] for i in x})], "n": [int(group["copies"].max())]})
+
+    return hits.groupBy("key").applyInPandas(merge, "key binary, n_hit long, items array<string>, n long")
+
+
 def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with a struct column contamination (n_words, n_hit, items), all other columns as they were."""
     windows = checkpoint(item_windows(items, item_id, item_text))
     size = windows.agg(F.sum(F.octet_length("window") + F.coalesce(F.octet_length("item"), F.lit(0)) + 16)).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    texts = docs.select(F.col(text).alias("text"))
+    texts = docs.select(F.col(arrow.quoted(text)).alias("text"))
     kept = [c for c in docs.columns if c != "contamination"]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = T.StructType([*source.schema.fields, T.StructField("contamination", T._parse_datatype_string(RESULT))])
+    source = docs.select(*[F.col(arrow.quoted(c)) for c in kept])
     place = kept.index(text)
 
-    def ready(block: int) -> Windows:
-        index = _collect_block(windows, block, blocks)
+    if size <= block_bytes:
+        index = _collect(windows)
         index.choose(count_shingles(texts, index.shingles()))
-        return index
-
-    if blocks == 1:
-        index = ready(0)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -221,39 +325,20 @@ def find_contamination(docs: DataFrame, items: DataFrame, text: str = "text", it
                 struct = pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=["n_words", "n_hit", "items"])
                 yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, "contamination"])
 
-        return source.mapInArrow(run, schema)
+        return arrow.mapped(source, run, len(kept), T.StructField("contamination", T._parse_datatype_string(RESULT)))
 
-    def hits_of(index: Windows) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                column = batch.column(0)
-                n_words, hits, found = match(column, index)
-                rows = [i for i, x in enumerate(hits) if x is not None]
-                key = [hashlib.sha256(column[i].as_py().encode()).digest() for i in rows]
-                yield pa.RecordBatch.from_arrays([pa.array(key, pa.binary()), pa.array([np.packbits(hits[i]).tobytes() for i in rows], pa.binary()), pa.array([found[i] for i in rows], pa.list_(pa.string()))], names=["key", "bits", "items"])
-
-        return texts.mapInArrow(run, "key binary, bits binary, items array<string>")
-
-    def merge(key, group: pd.DataFrame) -> pd.DataFrame:
-        bits = np.bitwise_or.reduce(np.stack([np.frombuffer(b, np.uint8) for b in group["bits"]]))
-        return pd.DataFrame({"key": [key[0]], "n_hit": [int(np.bitwise_count(bits).sum())], "items": [sorted({i for x in group["items"] for i in x})]})
-
-    parts = None
-    for block in range(blocks):
-        part = checkpoint(hits_of(ready(block)).dropDuplicates(["key"]))
-        parts = part if parts is None else parts.unionByName(part)
-    merged = parts.groupBy("key").applyInPandas(merge, "key binary, n_hit long, items array<string>")
     no_windows = Windows([], [])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(match(batch.column(place), no_windows)[0], pa.int64())], names=[*batch.schema.names, "__n_words"])
-
-    counted = source.mapInArrow(count, T.StructType([*source.schema.fields, T.StructField("__n_words", T.LongType())]))
-    counted = counted.withColumn("__key", F.unhex(F.sha2(F.col(f"`{text}`").cast("binary"), 256)))
-    merged = merged.select(F.col("key").alias("__key"), F.col("n_hit").alias("__n_hit"), F.col("items").alias("__items"))
-    result = F.struct(F.col("__n_words").alias("n_words"), F.coalesce("__n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("__items", F.array().cast("array<string>")).alias("items"))
-    return counted.join(merged, "__key", "left").select(*[F.col(f"`{c}`") for c in kept], result.alias("contamination"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(match(batch.column(place), no_windows)[0], pa.int64())], names=[*batch.schema.names, size_name])
+
+    size_name, key, hit, names = arrow.free(kept, "n_words", "key", "n_hit", "items")
+    counted = arrow.mapped(source, count, len(kept), T.StructField(size_name, T.LongType()))
+    counted = counted.withColumn(key, F.unhex(F.sha2(F.col(arrow.quoted(text)).cast("binary"), 256)))
+    merged = joined_hits(windows, texts).select(F.col("key").alias(key), F.col("n_hit").alias(hit), F.col("items").alias(names), "n")
+    result = F.struct(F.col(size_name).alias("n_words"), F.coalesce(hit, F.lit(0).cast("long")).alias("n_hit"), F.coalesce(names, F.array().cast("array<string>")).alias("items"))
+    return join_hot(counted, merged, key, "left").select(*[F.col(arrow.quoted(c)) for c in kept], result.alias("contamination"))
 
 
 def contaminated() -> Column:
