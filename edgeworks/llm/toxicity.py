@@ -5,9 +5,9 @@ to 2**BITS buckets. From the labelled sample, each bucket gets the smoothed log
 share of toxic and clean documents; the KEEP buckets that tell most stay, and a logistic model is
 fitted on the features scaled by r. Scoring adds the weights of the buckets present in a whole text.
 
-The sample of labelled rows that the model is fitted on is bounded by MAX_TRAIN rows, taken by a hash
+The sample of labelled rows that the model is fitted on is bounded by MAX_TRAIN distinct rows, taken by a hash
 of doc_id, so it does not depend on partitioning; all documents are scored. The grouped counts,
-not the texts, reach the driver, and the kept features of at most MAX_TRAIN rows.
+not the texts, reach the driver, and the kept features of at most MAX_TRAIN rows: two bytes each, KEEP a row at most.
 
 Defined cases: null is an empty text; a text without kept features (empty ones too) scores the
 model's base rate; rows without a label or doc_id are not trained on; without training rows of
@@ -37,7 +37,8 @@ FOLDS = 5
 LEAST_DOCS = 3
 #: And so much log-likelihood gain, far beyond what chance gives among 2**BITS buckets.
 LEAST_GAIN = 8.0
-STEPS = 400
+#: Most steps of the solver, and the change of all weights at which it ends.
+STEPS, TOLERANCE = 400, 1e-5
 RIDGE = 1.0
 
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -91,10 +92,18 @@ def present(column: pa.Array, number: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_train: int = MAX_TRAIN) -> DataFrame:
-    """(text, label) of at most max_train labelled rows outside the held-out fold; the labels are sent to the texts."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col(label).cast("int").alias("label"))
+    """(text, label) of at most max_train distinct labelled rows outside the held-out fold, those with the least keys.
+
+    The labels are sent to the texts. A doc_id may have many rows, so the bound is taken once more over these.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_train)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = rows.select(F.struct(F.xxhash64("doc_id"), "doc_id", "label", F.xxhash64("text")).alias("key"), "text", "label")
+    # as many keys as rows are wanted at most, without the texts
+    keys = rows.select("key").distinct().orderBy("key").limit(max_train)
+    rows = rows.join(F.broadcast(keys), "key", "left_semi").dropDuplicates(["key"])
+    return rows.select("text", "label").repartition(docs.sparkSession.sparkContext.defaultParallelism)
 
 
 class Model:
@@ -125,6 +134,9 @@ def _logistic(rows: np.ndarray, features: np.ndarray, scale: np.ndarray, y: np.n
         error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
         gw = np.bincount(features, x * error[rows], minlength=size) + RIDGE * vw
         new_w, new_b = vw - step * gw / n, vb - step * error.mean()
+        if max(np.abs(new_w - w).max(initial=0), abs(new_b - b)) < TOLERANCE:
+            w, b = new_w, new_b
+            break
         m = k / (k + 3)
         vw, vb = new_w + m * (new_w - w), new_b + m * (new_b - b)
         w, b = new_w, new_b
@@ -180,10 +192,10 @@ def fit(rows: DataFrame) -> Model:
                 features_of.append(feature)
             row, feature = np.concatenate(rows_of), np.concatenate(features_of)
             ends = np.searchsorted(row, np.arange(len(label) + 1))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature, pa.int32()))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature, pa.int16()))
             yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), lists], names=["label", "features"])
 
-    got = rows.mapInArrow(features, "label int, features array<int>").toArrow()
+    got = rows.mapInArrow(features, "label int, features array<short>").toArrow()
     y = np.asarray(got["label"], np.int64)
     lists = got["features"].combine_chunks() if got["features"].num_chunks != 1 else got["features"].chunk(0)
     size = np.asarray(pc.list_value_length(lists), np.int64)
@@ -194,19 +206,18 @@ def fit(rows: DataFrame) -> Model:
 def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
     """docs with a score column in 0..1; every other column is carried along."""
     kept = [c for c in docs.columns if c != into]
-    source = docs.select(*[F.col(f"`{c}`") for c in kept])
+    source = docs.select(*[F.col(arrow.quoted(c)) for c in kept])
     place = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(batch.column(place)))], names=[*batch.schema.names, into])
 
-    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField(into, T.DoubleType())]))
+    return arrow.mapped(source, run, len(kept), T.StructField(into, T.DoubleType()))
 
 
 def fit_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
-    rows = training_rows(docs, read(spark, sf_dir, "labels"), "toxic").repartition(12)
-    return fit(checkpoint(rows))
+    return fit(checkpoint(training_rows(docs, read(spark, sf_dir, "labels"), "toxic")))
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
