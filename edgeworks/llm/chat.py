@@ -2,8 +2,9 @@
 
 A record is a JSON object. The hash of its sorted leaf paths, list items written as [], is its
 schema fingerprint. Each declarative mapping states the paths that it needs and those that may be
-missing; every such set of paths has a fingerprint of its own in the registry, and the record's
-fingerprint selects the mapping. Turns are then written by one template and read back from it.
+missing; every such set of paths has a fingerprint of its own in the registry, and the fingerprint of those of
+the record's paths that any mapping uses selects the mapping, so further fields do no harm. Turns are then
+written by one template and read back from it.
 
 Template: [INST]role[/INST]text</s> for each turn. Inside roles and texts a backslash is doubled and
 a control string gets a backslash after its first character, so no control string is left there,
@@ -12,7 +13,7 @@ and every backslash escapes what follows it.
 Defined cases: a null text or role is empty; a record whose fingerprint is unknown, that is no
 JSON object or null, has null turns and keeps its fingerprint (null where there is none); records
 without turns give an empty text; ties in the turn number are ordered by role and text; repeated
-rows are each a turn; other columns are carried along.
+rows are each a turn; null texts are read back as no turns; other columns are carried along.
 """
 
 from __future__ import annotations
@@ -106,6 +107,8 @@ def _registry() -> dict[str, Mapping]:
 
 
 REGISTRY = _registry()
+#: Paths that some mapping uses; others are further fields.
+USED = frozenset().union(*({*m.paths, *m.optional} for m in MAPPINGS))
 
 
 def canonical(record: str | None) -> tuple[str | None, str | None, list[tuple[str, str]] | None]:
@@ -116,8 +119,9 @@ def canonical(record: str | None) -> tuple[str | None, str | None, list[tuple[st
         value = None
     if not isinstance(value, dict):
         return None, None, None
-    key = fingerprint(leaf_paths(value))
-    mapping = REGISTRY.get(key)
+    paths = leaf_paths(value)
+    key = fingerprint(paths)
+    mapping = REGISTRY.get(fingerprint(paths & USED))
     return (key, mapping.name, mapping.turns(value)) if mapping else (key, None, None)
 
 
@@ -182,6 +186,8 @@ def read_back(chats: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for formatted, loss in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                # a record of an unknown layout has no text
+                formatted, loss = formatted or "", loss or []
                 turns = parse(formatted)
                 masked = "".join(unescape(formatted[s["start"] : s["end"]]) for s in loss)
                 rows.append((len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(masked), hashlib.sha256(masked.encode()).hexdigest(), len(formatted)))
