@@ -70,6 +70,23 @@ def test_fingerprints_and_components(spark, make_docs, odd, empty):
     assert simhash.near_components(simhash.fingerprints(empty)).count() == 0
 
 
+def test_op7_against_plain(spark, sf_dir, duck):
+    """Fingerprints of all documents from shingles counted one by one, and their components by brute force."""
+    texts = dict(duck.execute("SELECT doc_id, text FROM documents").fetchall())
+    rows = {r["doc_id"]: r for r in simhash.op7(spark, sf_dir).collect()}
+    assert rows.keys() == texts.keys()
+    prints = {i: int(r["fingerprint"], 16) for i, r in rows.items()}
+    assert all(prints[i] == plain_fingerprint(t or "") and len(rows[i]["fingerprint"]) == 16 for i, t in texts.items())
+    nodes = sorted(set(prints.values()))
+    points = np.array(nodes, np.uint64)
+    links = np.argwhere(np.triu(simhash.hamming(points[:, None], points[None, :]) <= 2, 1))
+    root = plain_classes([(nodes[a], nodes[b]) for a, b in links], nodes)
+    first = collections.defaultdict(list)
+    for i, x in prints.items():
+        first[root[x]].append(i)
+    assert all(rows[i]["component_id"] == min(first[root[x]]) for i, x in prints.items())
+
+
 @pytest.mark.parametrize("dense", [False, True])
 def test_sharded_tree_loses_no_link(spark, dense):
     rng = np.random.default_rng(3)
@@ -305,8 +322,84 @@ def test_pipeline_stages_take_odd_documents(spark, sf_dir, odd):
         assert docs.count() > 0
 
 
+def test_pipeline_stages_take_an_empty_table(spark, sf_dir, empty):
+    import corpus_pipeline
+
+    docs = empty
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+        assert docs.count() == 0, name
+
+
 def test_every_operator_is_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+
+
+def test_recall_of_planted_passages(spark, make_docs):
+    """Exact runs around differing middles, doubled passages, runs of one word, and noisy copies, all in one table."""
+    rng = random.Random(23)
+    vocabulary = [f"w{k}" for k in range(50_000)]
+    text = lambda n: rng.choices(vocabulary, k=n)
+    docs, planted, noisy = [], collections.defaultdict(list), collections.defaultdict(list)
+
+    def add(kind, *parts):
+        """A document of parts; those given as tuples are planted."""
+        at, words = 0, []
+        for part in parts:
+            if isinstance(part, tuple):
+                planted[kind].append((len(docs), at, at + len(part)))
+            words += part
+            at += len(part)
+        docs.append(" ".join(words))
+        return len(docs) - 1
+
+    for run in (60, 100, 200, 400):
+        for middle in (20, 60, 100, 300):
+            for _ in range(2):
+                a, b = tuple(text(run)), tuple(text(run))
+                for _ in range(2):
+                    add("run", text(30), a, text(middle), b, text(30))
+    for gap in (0, 5, 100):
+        for _ in range(4):
+            a, between = tuple(text(60)), text(gap)
+            add("twice", text(30), a, between, a, text(30))
+            add("twice", text(50), a, text(50))
+    for n, m in ((200, 300), (60, 45), (1000, 2000)):
+        word = f"same{n}"
+        add("one word", (word,) * n)
+        add("one word", (word,) * m)
+    for changed in (3, 6, 9):
+        for _ in range(60):
+            a = text(60)
+            b = list(a)
+            for k in rng.sample(range(60), changed):
+                b[k] = f"zz{rng.randrange(10**9)}"
+            noisy[changed].append((add("", text(60), a, text(60)), add("", text(60), b, text(60))))
+    groups = []
+    for _ in range(4):
+        a, own = text(100), []
+        for _ in range(15):
+            b = list(a)
+            for k in rng.sample(range(100), 10):
+                b[k] = f"zz{rng.randrange(10**9)}"
+            own.append(add("", text(20), b, text(20)))
+        groups.append(own)
+    got = {r["doc_id"]: r for r in passages.repeated_passages(make_docs(docs)).collect()}
+    covered = {i: {p for s in r["spans"] for p in range(s["start"], s["end"])} for i, r in got.items()}
+    for kind, places in planted.items():
+        found, words = (sum(f(*x) for x in places) for f in (lambda d, a, b: len(covered[d].intersection(range(a, b))), lambda d, a, b: b - a))
+        assert found >= 0.98 * words, kind
+    share = {k: sum(got[a]["class_id"] == got[b]["class_id"] for a, b in pairs) / len(pairs) for k, pairs in noisy.items()}
+    assert share[3] >= 0.98 and share[6] >= 0.9 and share[9] >= 0.75
+    assert all(len({got[i]["class_id"] for i in own}) == 1 for own in groups)
+
+
+def test_hot_keys_are_joined_apart(spark):
+    rows = spark.createDataFrame([(k if k is not None else None, i) for i, k in enumerate([1] * 500 + [2] * 30 + list(range(3, 60)) + [None] * 4)], "k long, v long")
+    facts = rows.where("k IS NOT NULL AND k <> 7").groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top"))
+    for how in ("inner", "left"):
+        got = sorted(map(tuple, components.join_hot(rows, facts, "k", how).select("k", "v", "top").collect()), key=repr)
+        assert got == sorted(map(tuple, rows.join(facts.drop("n"), "k", how).select("k", "v", "top").collect()), key=repr)

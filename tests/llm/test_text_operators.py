@@ -11,8 +11,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from edgeworks.llm import bpe, chat, decontaminate, media, quality, secrets, toxicity
+from edgeworks.llm import bpe, chat, decontaminate, media, quality, secrets, sharding, simhash, toxicity
 
 from .conftest import ODD
 
@@ -29,6 +30,9 @@ RECORDS = [
     ({"instruction": "i", "input": "x", "output": "o", "system": "s"}, "instruction", [("system", "s"), ("user", "i\n\nx"), ("assistant", "o")]),
     ({"question": "q", "answer": "a"}, "question", [("user", "q"), ("assistant", "a")]),
     ({"turns": [{"turn": 0, "role": "user", "text": "t"}]}, "turn_rows", [("user", "t")]),
+    ({"prompt": "p", "response": "r", "rating": 5, "meta": {"tags": ["x"]}}, "prompt_response", [("user", "p"), ("assistant", "r")]),
+    ({"messages": [{"role": "user", "content": "hi", "name": "n"}], "model": None}, "messages", [("user", "hi")]),
+    ({"prompt": "p", "response": "r", "messages": [{"role": "user", "content": "hi"}]}, None, None),
     ({"nobody": "knows"}, None, None),
 ]
 
@@ -54,6 +58,8 @@ def test_bad_records(spark):
     got = {r["i"]: r["chat"] for r in chat.format_records(spark.createDataFrame(rows, "i int, record string").withColumn("chat", F.lit("old"))).collect()}
     assert got[0]["fingerprint"] is None and got[1]["formatted"] is None and got[2]["layout"] is None
     assert got[3]["formatted"] == "" and got[4]["formatted"] == ""
+    back = {r["conv_id"]: r["n_turns"] for r in chat.read_back(chat.format_records(spark.createDataFrame(rows, "conv_id int, record string"))).collect()}
+    assert back == dict.fromkeys(range(5), 0)
 
 
 def test_op1_against_plain(spark, sf_dir, duck):
@@ -99,15 +105,76 @@ def test_base_spans(spark, make_docs, odd):
         assert [tuple(s) for s in r["secrets"] if s["kind"] != "format"] == plain_spans(r["text"] or "")
 
 
+def are_credentials(formats, tokens):
+    return formats.are_credentials(*secrets._packed(tokens)).tolist()
+
+
 def test_automata_find_the_format():
     rng = random.Random(2)
     hexes = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(200)]
     words = ["".join(rng.choices(["the", "heat", "lich", "tion", "keit"], k=5)) for _ in range(200)] + ["".join(rng.choices("0123456789", k=16)) for _ in range(30)]
     formats = secrets.Formats({"hex": hexes}, words)
-    assert len(formats.kinds["hex"][0].moves) < 200
-    assert all(formats.is_credential("".join(rng.choices("0123456789abcdef", k=20))) for _ in range(20))
-    assert not any(formats.is_credential(w) for w in words)
-    assert not secrets.Formats({}, words).is_credential(hexes[0]) and not secrets.Formats({"hex": hexes}, []).is_credential(hexes[0])
+    assert len(formats.kinds["hex"][0].ends) < 200
+    assert all(are_credentials(formats, ["".join(rng.choices("0123456789abcdef", k=20)) for _ in range(20)]))
+    assert not any(are_credentials(formats, words))
+    assert not any(are_credentials(secrets.Formats({}, words), hexes)) and not any(are_credentials(secrets.Formats({"hex": hexes}, []), hexes))
+    assert are_credentials(formats, []) == []
+
+
+CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+", "/", "_", "=", "-", ".")
+
+
+def test_likelihoods_against_plain():
+    rng = random.Random(8)
+    values = ["".join(rng.choices("ab01-XZ.", k=rng.randint(6, 30))) for _ in range(300)]
+    automaton = secrets.infer(values)
+    number = {c: k for k, members in enumerate(CLASSES, 1) for c in members}
+    # what leaves a state by a known class or ends there is as likely as can be
+    known = np.exp(np.where(automaton.log > np.log(secrets.UNSEEN) + 1e-12, automaton.log, -np.inf)).sum(axis=1) + np.exp(automaton.ends)
+    assert np.abs(known - 1).max() < 0.01
+    tokens = values[:50] + ["".join(rng.choices("abcxyz0189GQ+/_=.-", k=k)) for k in (1, 6, 7, 40, 400)]
+    got = automaton.log_likelihoods(*secrets._packed(tokens))
+    for token, x in zip(tokens, got, strict=True):
+        state, total = 0, 0.0
+        for c in token:
+            total += automaton.log[state, number[c]] - np.log(len(CLASSES[number[c] - 1]))
+            state = automaton.to[state, number[c]]
+        assert x == pytest.approx(total + automaton.ends[state])
+
+
+def plain_tokens(text):
+    return [(m.start(), m.end()) for m in re.finditer(r"[0-9A-Za-z+/_=-]+(?:\.[0-9A-Za-z+/_=-]+)*", text) if len(m[0]) >= 6]
+
+
+def test_every_token_is_scored(odd):
+    texts = [r["text"] or "" for r in odd.collect()] + ["a.b.c.d.e", ".hidden.file.", "end.", "..double..dot", "x" * 5 + " " + "y" * 6, "ü.abcdef.ü"]
+    for _, _, found in secrets.scan(pa.array(texts)):
+        own = [(int(r), found.place(r, s), found.place(r, e)) for r, s, e in zip(found.row_of, found.starts, found.ends, strict=True)]
+        assert own == [(r, *t) for r, text in enumerate(texts) for t in plain_tokens(text)]
+
+
+def test_tokens_over_base_spans_are_scored(spark, make_docs):
+    rng = random.Random(9)
+    key = lambda: "KEY." + "".join(rng.choices("0123456789abcdef", k=24)) + "".join(rng.choices("GHXYZ", k=8))
+    formats = secrets.Formats({"assign": [key() for _ in range(200)]}, ["".join(rng.choices(["the", "heat", "tion"], k=3)) for _ in range(200)])
+    inside = "token=" + key()
+    docs = make_docs([f"see {key()} there", inside, "plain heattion"])
+    got = {r["doc_id"]: [tuple(s) for s in r["secrets"]] for r in secrets.find_secrets(docs, formats).collect()}
+    assert got[0] == [("format", 4, 40), ("hex", 8, 32)]
+    # a span that the base rules hold as a whole is not said again; here the token goes on to the left of the value
+    assert got[1] == [("assign", 0, 42), ("hex", 10, 34)] and got[2] == []
+
+
+def test_op2_against_plain(spark, sf_dir, duck):
+    texts = dict(duck.execute("SELECT doc_id, text FROM documents").fetchall())
+    rows = secrets.op2(spark, sf_dir).collect()
+    assert {r["doc_id"] for r in rows} == texts.keys()
+    for r in rows:
+        base = plain_spans(texts[r["doc_id"]] or "")
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == kind for k, _, _ in base) for kind in ("assign", "access", "hex")]
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert [s for s in spans if not s.startswith("format")] == [f"{k}:{a}:{b}" for k, a, b in base]
 
 
 def test_redaction(spark, make_docs):
@@ -175,6 +242,107 @@ def test_quality_edge_cases(spark, odd, empty):
     assert quality.score(empty.select("doc_id", "text", "source"), labels, F.col("source"), F.col("source")).count() == 0
 
 
+def test_training_rows_are_bounded(spark):
+    # one doc_id has most rows, some of them repeated
+    docs = spark.createDataFrame([(1, f"text {i % 4000}") for i in range(5000)] + [(i, f"other {i}") for i in range(2, 60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] * 3, "doc_id long, toxic int")
+    for bound in (10, 5000):
+        for n in (1, 7):
+            rows = [tuple(r) for r in toxicity.training_rows(docs.repartition(n), labels, "toxic", bound).collect()]
+            assert len(rows) == len(set(rows)) <= bound
+            first = sorted(rows) if n == 1 else first
+            assert sorted(rows) == first and rows
+
+
+def test_presence_against_plain():
+    texts = ["Abc abcd", "", "xy", "zürich ΑΒΓ abcabcabc", "é" * 9]
+    everything = np.arange(1 << toxicity.BITS)
+    got = {(int(r), int(f)) for rows, features in toxicity.present(pa.array(texts), everything) for r, f in zip(rows, features, strict=True)}
+    want = set()
+    for row, text in enumerate(texts):
+        points = np.array([ord(c) for c in text.lower()], np.uint32)
+        for n in toxicity.NGRAMS:
+            for k in range(len(points) - n + 1):
+                want.add((row, int(dict(toxicity._grams(points[k : k + n]))[n][0])))
+    assert got == want
+
+
+def test_weights_against_dense_newton():
+    rng = np.random.default_rng(3)
+    n, size = 400, 25
+    x = (rng.random((n, size)) < 0.2).astype(float)
+    y = ((x[:, :5].sum(axis=1) + 0.5 * rng.standard_normal(n)) > 1.2).astype(float)
+    scale = rng.uniform(0.5, 3, size)
+    rows, features = np.nonzero(x)
+    w, b = toxicity._logistic(rows, features, scale, y, size)
+    # the same objective, dense, by Newton steps
+    d = np.hstack([x * scale, np.ones((n, 1))])
+    weight = np.where(y == 1, (n - y.sum()) / y.sum(), 1.0) ** 0.5
+    ridge = np.diag([toxicity.RIDGE] * size + [0.0])
+    best = np.zeros(size + 1)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-d @ best))
+        best -= np.linalg.solve((d * (weight * p * (1 - p))[:, None]).T @ d + ridge, d.T @ (weight * (p - y)) + ridge @ best)
+    assert np.abs(1 / (1 + np.exp(-(x @ w + b))) - 1 / (1 + np.exp(-d @ best))).max() < 0.02
+
+
+def test_op4_held_out_accuracy(spark, sf_dir, duck):
+    toxic = dict(duck.execute("SELECT doc_id, toxic FROM labels").fetchall())
+    rows = toxicity.op4(spark, sf_dir.replace("sf0.001", "sf0.01")).collect()
+    toxic = dict(duck.execute(f"SELECT doc_id, toxic FROM '{sf_dir.replace('sf0.001', 'sf0.01')}/labels.parquet'").fetchall())
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
+    judged = [(r["predicted"], toxic[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in toxic]
+    assert len(judged) > 20 and sum(a == b for a, b in judged) / len(judged) > 0.9
+
+
+def plain_strength(n, good, mean):
+    """Documents that a prior is worth: odds against the share of variance that lies between the sites."""
+    spread = (((good - n * mean) ** 2) / n).sum()
+    chance, room = (mean * (1 - mean)).sum(), ((n - 1) * mean * (1 - mean)).sum()
+    between = max(0.0, (spread - chance) / room) if room else 0.0
+    return min(max((1 - between) / between if between else quality.STRONGEST, quality.WEAKEST), quality.STRONGEST)
+
+
+def test_op5_posteriors_against_plain(spark, sf_dir, duck):
+    """Posteriors and scores of all documents from their evidence, by pandas."""
+    got = quality.op5(spark, sf_dir).toPandas()
+    docs = duck.execute("SELECT doc_id, source, lang FROM documents").df()
+    labels = {i: q for i, q in duck.execute("SELECT doc_id, quality FROM labels WHERE quality IN (0, 1)").fetchall() if zlib.crc32(str(i).encode()) % 5}
+    rows = got.merge(docs, on="doc_id")
+    assert len(rows) == len(docs)
+    rows["good"] = [labels.get(i, e) for i, e in zip(rows["doc_id"], rows["evidence"], strict=True)]
+    paths = rows.groupby(["source", "lang"], dropna=False)["good"].agg(n="count", good="sum").reset_index()
+    hosts = paths.groupby("source", dropna=False)[["n", "good"]].sum().reset_index()
+    prior = hosts["good"].sum() / hosts["n"].sum()
+    k = plain_strength(hosts["n"], hosts["good"], prior + 0 * hosts["n"])
+    hosts["above"] = (hosts["good"] + k * prior) / (hosts["n"] + k)
+    paths = paths.merge(hosts[["source", "above"]], on="source")
+    k = plain_strength(paths["n"], paths["good"], paths["above"])
+    paths["own"] = (paths["good"] + k * paths["above"]) / (paths["n"] + k)
+    rows = rows.merge(paths[["source", "lang", "above", "own"]], on=["source", "lang"])
+    logit = lambda p: np.log(np.clip(p, quality.CLIP, 1 - quality.CLIP) / (1 - np.clip(p, quality.CLIP, 1 - quality.CLIP)))
+    score = 1 / (1 + np.exp(-(logit(rows["evidence"]) + logit(rows["own"]) - logit(prior))))
+    for column, want in (("host_posterior", rows["above"]), ("path_posterior", rows["own"]), ("score", score)):
+        assert np.abs(rows[column] - want).max() < 1e-3, column
+
+
+# -- media through the query ------------------------------------------------------------------
+
+
+def test_op10_against_plain(spark, sf_dir, duck):
+    texts = dict(duck.execute("SELECT doc_id, text FROM documents").fetchall())
+    rows = media.op10(spark, sf_dir).collect()
+    assert {r["doc_id"] for r in rows} == texts.keys()
+    features = {}
+    for r in rows:
+        raw = (texts[r["doc_id"]] or "").encode()
+        stored = raw + b"\xff" * ((-len(raw)) % 576 if raw else 576)
+        assert (r["n_bytes"], r["payload_bytes"], r["tail_crc32"]) == (len(raw), len(stored), zlib.crc32(stored[-32:]))
+        assert r["payload_sha256"] == hashlib.sha256(stored).hexdigest()
+        assert features.setdefault(raw, (r["feature"], r["media_sha256"])) == (r["feature"], r["media_sha256"])
+
+
 # -- byte-level BPE ---------------------------------------------------------------------------
 
 
@@ -341,3 +509,37 @@ def test_blocks_of_arrow_slices():
     column = pa.array(["aé", None, "", "bc" * 10, "d"]).slice(1)
     joined = [data[a:b].tobytes().decode() for _, _, data, offsets in arrow.text_blocks(column, 5) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
     assert joined == ["", "", "bc" * 10, "d"]
+
+
+# -- columns of any name ----------------------------------------------------------------------
+
+NAMES = ["text.x", "key", "Key2", "n", "__text", "__media", "__key", "__n_words", "_bucket", "host", "path", "bucket", "ahead", "place", "size_", "back`tick", "first", "root", "least", "linked", "good", "label"]
+
+
+def test_columns_of_any_name_are_carried(spark):
+    """Each operator carries all columns, whatever their names, with their values."""
+    rows = [(i, f"some text number {i} of these", *(f"{name}-{i}" for name in NAMES)) for i in range(12)] + [(None, None, *[None] * len(NAMES))]
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), *(T.StructField(n, T.StringType()) for n in NAMES)])
+    docs = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(12)], "doc_id long, toxic int, quality int")
+    items = spark.createDataFrame([(1, "text number 3 of"), (2, "some")], "item_id long, text string")
+    ranks, pattern = bpe.public_ranks()
+    records = docs.withColumnRenamed("text", "record")
+    results = {
+        "chat": chat.format_records(records).withColumnRenamed("record", "text"),
+        "secrets": secrets.find_secrets(docs, secrets.fit(docs)),
+        "toxicity": toxicity.score(docs, toxicity.fit(toxicity.training_rows(docs, labels, "toxic"))),
+        "quality": quality.score(docs, labels, F.col("doc_id") % 3, F.col("doc_id") % 5),
+        "bpe": bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern),
+        "simhash": simhash.near_components(simhash.fingerprints(docs)),
+        "one block": decontaminate.find_contamination(docs, items),
+        "several blocks": decontaminate.find_contamination(docs, items, block_bytes=30),
+        "sharding": sharding.assign_shards(docs, 3),
+        "media": media.from_png(media.to_png(docs)),
+    }
+    for name, df in results.items():
+        got = df.collect()
+        assert len(got) == len(rows), name
+        by_id = {r["doc_id"]: r for r in got}
+        for i, _, *values in rows:
+            assert [by_id[i][n] for n in NAMES] == values, name
