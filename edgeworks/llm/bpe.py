@@ -35,13 +35,13 @@ from . import arrow
 from .tables import read
 
 #: Entries and bytes of a cache before its half that was not met for longest goes.
-CACHE, CACHE_BYTES = 800_000, 64 << 20
+CACHE, CACHE_BYTES = 400_000, 32 << 20
 #: Words and bytes of a query, the size from which words are contracted at all places at once, and rows of such a query over all steps.
-WORDS_PER_QUERY, BYTES_PER_QUERY = 20_000, 400_000
+WORDS_PER_QUERY, BYTES_PER_QUERY = 10_000, 200_000
 LONG_BYTES = 64
-LONG_ROWS = 2_000_000
+LONG_ROWS = 1_000_000
 BLOCK_BYTES = 4 << 20
-DUCKDB_MEMORY = "250MB"
+DUCKDB_MEMORY = "150MB"
 
 _START = """
 WITH RECURSIVE seq AS (
