@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrow
+from .packed import Known, binary, flat
 from .tables import read
 
 #: Entries and bytes of a cache before its half that was not met for longest goes.
@@ -90,78 +91,9 @@ _ENCODE_LONG = f"""{_START}
 _DECODE = "SELECT run, string_agg(text, '' ORDER BY pos) AS text FROM runs JOIN vocabulary USING (id) GROUP BY run ORDER BY run"
 
 
-def _flat(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of a large binary array, and the offsets in them (one entry more)."""
-    _, offsets, data = values.buffers()
-    at = np.frombuffer(offsets, np.int64)[values.offset : values.offset + len(values) + 1] if offsets else np.zeros(1, np.int64)
-    return np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8), at
-
-
-def _binary(data: np.ndarray | bytes | pa.Buffer, offsets: np.ndarray) -> pa.Array:
-    """A large binary array from its bytes and offsets."""
-    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), data if isinstance(data, pa.Buffer) else pa.py_buffer(data)])
-
-
-class Known:
-    """Byte strings and what was found for each, in flat arrays: looked up by a 64-bit hash, then compared."""
-
-    def __init__(self):
-        self.keys = self.values = pa.array([], pa.large_binary())
-        self.hash, self.at, self.met, self.clock = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), 0
-        #: places of keys whose hash another key has
-        self.odd: dict[bytes, int] = {}
-
-    def turn(self) -> None:
-        """Between two blocks: at its bound, keep the half met last. Places found before do not hold any more."""
-        self.clock += 1
-        if len(self.keys) > CACHE or self.keys.nbytes + self.values.nbytes > CACHE_BYTES:
-            kept = np.sort(np.argsort(self.met, kind="stable")[len(self.met) // 2 :])
-            keys, values, met = self.keys.take(pa.array(kept)), self.values.take(pa.array(kept)), self.met[kept]
-            clock = self.clock
-            self.__init__()
-            self.add(keys, values)
-            self.met, self.clock = met, clock
-
-    @staticmethod
-    def _hashes(keys: pa.Array) -> np.ndarray:
-        data, at = _flat(keys)
-        return arrow.word_hashes(data, at[:-1], at[1:])
-
-    def find(self, keys: pa.Array) -> np.ndarray:
-        """Place of each key in values, or -1."""
-        out = np.full(len(keys), -1, np.int64)
-        if len(keys) and len(self.hash):
-            h = self._hashes(keys)
-            k = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
-            hit = np.flatnonzero(self.hash[k] == h)
-            place = self.at[k[hit]]
-            same = pc.equal(keys.take(pa.array(hit)), self.keys.take(pa.array(place))).to_numpy(zero_copy_only=False)
-            out[hit[same]] = place[same]
-            for i in hit[~same].tolist() if self.odd else ():
-                out[i] = self.odd.get(keys[i].as_py(), -1)
-            self.met[out[out >= 0]] = self.clock
-        return out
-
-    def add(self, keys: pa.Array, values: pa.Array) -> None:
-        """Distinct keys that find() does not know."""
-        place = np.arange(len(self.keys), len(self.keys) + len(keys))
-        h = self._hashes(keys)
-        order = np.argsort(h, kind="stable")
-        h, place_of = h[order], place[order]
-        taken = np.append(False, h[1:] == h[:-1])[: len(h)]
-        if len(self.hash):
-            taken |= self.hash[np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)] == h
-        for i in np.flatnonzero(taken).tolist():
-            self.odd[keys[int(order[i])].as_py()] = int(place_of[i])
-        where = np.searchsorted(self.hash, h[~taken])
-        self.hash, self.at = np.insert(self.hash, where, h[~taken]), np.insert(self.at, where, place_of[~taken])
-        self.met = np.append(self.met, np.full(len(keys), self.clock))
-        self.keys, self.values = pa.concat_arrays([self.keys, keys]), pa.concat_arrays([self.values, values])
-
-
 def _visible(pieces: pa.Array) -> np.ndarray:
     """Whether a piece neither is empty nor starts or ends with white space."""
-    data, at = _flat(pieces.cast(pa.large_binary()))
+    data, at = flat(pieces.cast(pa.large_binary()))
     some = np.flatnonzero(np.diff(at) > 0)
     first, last = data[at[some]], data[at[some + 1] - 1]
     out = np.zeros(len(pieces), bool)
@@ -196,7 +128,7 @@ class Codec:
         self.in_vocabulary, self.starts_run = np.zeros((2, max(ranks.values()) + 1), bool)
         self.in_vocabulary[list(ranks.values())] = True
         self.starts_run[[r for t, r in ranks.items() if t[:1] == b" "]] = True
-        self.vocabulary, self.words, self.runs = Known(), Known(), Known()
+        self.vocabulary, self.words, self.runs = (Known(CACHE, CACHE_BYTES) for _ in range(3))
         self.vocabulary.add(pa.array(list(ranks), pa.large_binary()), pa.array([r.to_bytes(4, "little") for r in ranks.values()], pa.large_binary()))
         self.release()
 
@@ -227,7 +159,7 @@ class Codec:
 
     def _contract(self, words: pa.Array) -> pa.Array:
         """Packed ids of words by the recursive query."""
-        data, at = _flat(words)
+        data, at = flat(words)
         data, at = data[at[0] : at[-1]], at - at[0]
         size = np.diff(at)
         long = bool(size.max(initial=0) > LONG_BYTES)
@@ -249,7 +181,7 @@ class Codec:
         if len(done) > 1:
             order = np.argsort(word, kind="stable")
             word, ids = word[order], ids[order]
-        return _binary(ids.astype("<u4").tobytes(), 4 * np.searchsorted(word, np.arange(len(words) + 1)))
+        return binary(ids.astype("<u4").tobytes(), 4 * np.searchsorted(word, np.arange(len(words) + 1)))
 
     def _learn(self, tokens: pa.Array) -> None:
         """Put the packed ids of pre-tokens into the cache."""
@@ -283,9 +215,9 @@ class Codec:
             self._learn(pa.concat_arrays([new.filter(plain), tokens]))
             if several.any():
                 tokens = pa.array([t for f in found if len(f) > 1 for t in f], pa.large_string()).cast(pa.large_binary())
-                data, at = _flat(self.words.values.take(pa.array(self.words.find(tokens))))
+                data, at = flat(self.words.values.take(pa.array(self.words.find(tokens))))
                 ends = np.cumsum([0, *(len(f) for f in found if len(f) > 1)])
-                self.words.add(mixed.filter(pa.array(several)), _binary(data, at[ends]))
+                self.words.add(mixed.filter(pa.array(several)), binary(data, at[ends]))
             place[missing] = self.words.find(new)
         return place
 
@@ -316,45 +248,45 @@ class Codec:
         order = np.empty(len(is_head), np.int64)
         order[is_head] = self.words.find(heads.dictionary)[np.asarray(heads.indices)]
         order[~is_head] = place[codes[behind]]
-        data, at = _flat(self.words.values.take(pa.array(order)))
-        return _binary(data, at[stop])
+        data, at = flat(self.words.values.take(pa.array(order)))
+        return binary(data, at[stop])
 
     # -- decoding ---------------------------------------------------------------------------
 
     def _join_runs(self, runs: pa.Array) -> None:
-        data, at = _flat(runs)
+        data, at = flat(runs)
         ids, at = np.frombuffer(data[at[0] : at[-1]].tobytes(), "<u4"), (at - at[0]) // 4
         size = np.diff(at)
         rows = pa.table({"run": pa.array(np.repeat(np.arange(len(runs)), size), pa.int32()), "pos": pa.array(np.arange(len(ids)) - np.repeat(at[:-1], size), pa.int32()), "id": pa.array(ids.astype(np.int32))})
         self._need(vocabulary=self.names)
         text = self._query("runs", rows, _DECODE)["text"].combine_chunks().cast(pa.large_string())
-        data, utf8 = _flat(text.cast(pa.large_binary()))
+        data, utf8 = flat(text.cast(pa.large_binary()))
         chars = np.asarray(pc.utf8_length(text), np.int64)
-        self.runs.add(runs, _binary(data[utf8[0] : utf8[-1]].tobytes().decode().encode("latin-1"), np.concatenate([[0], np.cumsum(chars)])))
+        self.runs.add(runs, binary(data[utf8[0] : utf8[-1]].tobytes().decode().encode("latin-1"), np.concatenate([[0], np.cumsum(chars)])))
 
     def decode(self, packed: pa.Array) -> pa.Array:
         """Bytes of each packed id list; a run is an id whose bytes start with a space, and those up to the next such id."""
         self.runs.turn()
-        data, at = _flat(packed)
+        data, at = flat(packed)
         data, bounds = data[at[0] : at[-1]], (at - at[0]) // 4
         ids = np.frombuffer(data.tobytes(), "<u4")
         if not len(ids):
-            return _binary(b"", np.zeros(len(packed) + 1))
+            return binary(b"", np.zeros(len(packed) + 1))
         strange = ids[(ids >= len(self.in_vocabulary)) | ~self.in_vocabulary[np.minimum(ids, len(self.in_vocabulary) - 1)]]
         if len(strange):
             raise ValueError(f"id {int(strange[0])} is not in the vocabulary")
         begins = self.starts_run[ids]
         begins[bounds[:-1][np.diff(bounds) > 0]] = True
         starts = np.flatnonzero(begins)
-        coded = _binary(data, 4 * np.append(starts, len(ids))).dictionary_encode()
+        coded = binary(data, 4 * np.append(starts, len(ids))).dictionary_encode()
         distinct = coded.dictionary
         place = self.runs.find(distinct)
         new = distinct.filter(pa.array(place < 0))
         for k in range(0, len(new), WORDS_PER_QUERY):
             self._join_runs(new.slice(k, WORDS_PER_QUERY))
         place[place < 0] = self.runs.find(new)
-        data, at = _flat(self.runs.values.take(pa.array(place[np.asarray(coded.indices)])))
-        return _binary(data, at[np.searchsorted(starts, bounds)])
+        data, at = flat(self.runs.values.take(pa.array(place[np.asarray(coded.indices)])))
+        return binary(data, at[np.searchsorted(starts, bounds)])
 
 
 _codecs: dict[tuple[bytes, str], Codec] = {}
@@ -383,7 +315,7 @@ def encode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text",
         try:
             for batch in batches:
                 for first, end, data, offsets in arrow.text_blocks(batch.column(place), BLOCK_BYTES):
-                    ids = own.encode(_binary(data, offsets).cast(pa.large_string()))
+                    ids = own.encode(binary(data, offsets).cast(pa.large_string()))
                     out = [ids] if decoded is None else [ids, own.decode(ids)]
                     yield pa.RecordBatch.from_arrays([*batch.slice(first, end - first).columns, *(x.cast(pa.binary()) for x in out)], names=[*batch.schema.names, *added])
         finally:
