@@ -1,14 +1,14 @@
 """The registered queries of this subpackage, with SQL where SQL can express them.
 
 Without SQL: op2 (inferred automata), op3 (chains and alignments), op4 and op5 (trained models), op6
-(needs the rank file), op7 (XXH64), op9 (the same hash orders the groups), op10 (zlib streams), op13
-(needs the tokenizer file). Their
+(needs the rank file), op7 (XXH64), op9 (the same hash orders the groups), op10 (zlib streams), op12 and
+op13 (need tokenizer files). Their
 tests hold them against plain versions.
 """
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, media, passages, quality, secrets, sharding, simhash, toxicity, word_bpe
+from . import alignment, bpe, chat, decontaminate, media, passages, quality, secrets, sharding, simhash, toxicity, word_bpe
 
 QUERIES = {
     "op1_chat_format": chat.op1,
@@ -21,6 +21,7 @@ QUERIES = {
     "op8_benchmark_decontamination": decontaminate.op8,
     "op9_sharding": sharding.op9,
     "op10_media_columns": media.op10,
+    "op12_token_alignment": alignment.op12,
     "op13_word_bpe": word_bpe.op13,
 }
 
