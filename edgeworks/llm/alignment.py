@@ -38,8 +38,8 @@ from .packed import Known, binary, flat
 from .tables import read, stored
 
 #: Entries and bytes of the cache of units before a worker forgets the older ones; bytes of a block; units of a lane.
-UNITS, UNITS_BYTES = 600_000, 64 << 20
-BLOCK_BYTES = 6 << 20
+UNITS, UNITS_BYTES = 500_000, 48 << 20
+BLOCK_BYTES = 2 << 20
 LANE = 512
 _MISFIT = np.uint32(1 << 31)
 
