@@ -8,7 +8,7 @@ tests hold them against plain versions.
 
 from __future__ import annotations
 
-from . import alignment, bpe, chat, decontaminate, media, passages, quality, secrets, sharding, simhash, toxicity, word_bpe
+from . import alignment, bpe, chat, decontaminate, media, passages, quality, secrets, sharding, simhash, spelling, toxicity, word_bpe
 
 QUERIES = {
     "op1_chat_format": chat.op1,
@@ -21,6 +21,7 @@ QUERIES = {
     "op8_benchmark_decontamination": decontaminate.op8,
     "op9_sharding": sharding.op9,
     "op10_media_columns": media.op10,
+    "op11_spelling_variants": spelling.op11,
     "op12_token_alignment": alignment.op12,
     "op13_word_bpe": word_bpe.op13,
 }
@@ -65,4 +66,25 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM docs d LEFT JOIN hit_words h ON h.doc_id = d.doc_id LEFT JOIN hit_items i ON i.doc_id = d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_chat_format": _CHAT, "op8_benchmark_decontamination": _DECONTAMINATION}
+#: The checksum goes byte by byte through a table that eight shifts an entry make.
+_SPELLING = rf"""
+WITH RECURSIVE steps AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) r(i)),
+runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{{spelling.SHORTEST},}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+held AS (SELECT run, count(*) AS c, hex(encode(doc || ':' || run)) AS x FROM runs GROUP BY doc, run),
+hashed AS (SELECT run, c, xor(list_reduce(list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)), lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM held, steps),
+cut AS (SELECT CASE WHEN h % {spelling.NOISE} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed),
+words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM cut WHERE length(word) >= {spelling.SHORTEST} GROUP BY word HAVING sum(c) >= 2),
+dropped AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS v FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+    SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM dropped a JOIN dropped b ON a.v = b.v AND a.i = b.i WHERE a.word <> b.word
+    UNION SELECT d.word, d.n, w.word, w.n FROM dropped d JOIN words w ON w.word = d.v
+    UNION SELECT w.word, w.n, d.word, d.n FROM dropped d JOIN words w ON w.word = d.v
+),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS m, first(near ORDER BY near_n DESC, near) AS near FROM near GROUP BY word),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= {spelling.MARGIN} * n THEN near END AS form, CASE WHEN m >= {spelling.MARGIN} * n THEN m END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, form AS root, 1 AS step FROM formed WHERE form IS NOT NULL UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL),
+last AS (SELECT word, arg_max(root, step) AS root FROM chain GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM formed LEFT JOIN last USING (word)
+"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": _CHAT, "op8_benchmark_decontamination": _DECONTAMINATION, "op11_spelling_variants": _SPELLING}
