@@ -31,12 +31,14 @@ from pyspark.sql import types as T
 from . import arrow
 from .tables import read, stored
 
-LEAST, MOST = 3, 6
-#: Shortest word: one whose grams an edit cannot all affect.
-SHORTEST = MOST + LEAST - 2
-#: A frequent gram is in more than FREQUENT places, and in more than one of DICTIONARY of all places of its length.
+LEAST, MOST = 3, 5
+#: Shortest word. An edit must not affect all its grams, so it must have MOST + LEAST - 2 code points at least.
+SHORTEST = 7
+#: A frequent gram is in more than FREQUENT places, and in more than one of DICTIONARY of all places.
 FREQUENT, DICTIONARY = 48, 20_000
 MARGIN = 10
+#: Entries of a task's counts before they go out.
+PARTIAL = 1_000_000
 NOISE = 31
 _START, _END = "\x01", "\x02"
 
@@ -78,25 +80,33 @@ def _room(starts: np.ndarray) -> np.ndarray:
 
 
 def frequent_grams(words: DataFrame, least: int = LEAST, most: int = MOST, frequent: int = FREQUENT, dictionary: int = DICTIONARY) -> list[tuple[int, int]]:
-    """(hash, places) of the frequent grams: at most (most - least + 1) * dictionary of them, whatever the number of words."""
+    """(hash, places) of the frequent grams: fewer than (most - least + 1) * dictionary of them, whatever the number of words."""
+
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        gram, place = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+        return gram, np.bincount(place, np.concatenate([n for _, n in parts]), len(gram)).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             codes, starts = _codes(batch.column(0))
             room = _room(starts)
             for size in range(least, most + 1):
                 h = _grams(codes, size)
-                h, n = np.unique(h[room[: len(h)] >= size], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), size, np.int32)), pa.array(h.view(np.int64)), pa.array(n)], names=["size", "gram", "n"])
-
-    counted = words.select("word").mapInArrow(run, "size int, gram long, n long").groupBy("size", "gram").agg(F.sum("n").alias("n"))
-    counted = stored(counted)
-    total = {r["size"]: r["n"] for r in counted.groupBy("size").agg(F.sum("n").alias("n")).collect()}
-    limit = F.lit(0)
-    for size, n in total.items():
-        limit = F.when(F.col("size") == size, max(frequent, n // dictionary)).otherwise(limit)
-    # fewer than `dictionary` grams of a size are in more than one of so many of its places
-    return [(r["gram"], r["n"]) for r in counted.where(F.col("n") > limit).select("gram", "n").collect()]
+                held.append(np.unique(h[room[: len(h)] >= size], return_counts=True))
+            if sum(len(g) for g, _ in held) > PARTIAL:
+                held = [summed(held)]
+                if len(held[0][0]) > PARTIAL // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(held[0][0].view(np.int64)), pa.array(held[0][1])], names=["gram", "n"])
+                    held = []
+        if held:
+            gram, n = summed(held)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], names=["gram", "n"])
+
+    # places of the shortest grams; longer ones have fewer
+    total = words.agg(F.sum(F.length("word") + 3 - least)).first()[0] or 0
+    counted = words.select("word").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return [(r["gram"], r["n"]) for r in counted.where(F.col("n") > max(frequent, total // dictionary)).collect()]
 
 
 class Index:
@@ -147,7 +157,7 @@ class Index:
         return out[0], out[1]
 
     def lists(self, words: pa.Array) -> tuple[np.ndarray, ...]:
-        """Word, role and key of the lists that a word is in: role 0 and 1 meet as words of one length, 2 (the shorter one) and 3 by an insertion."""
+        """Word, role and key of the lists that a word is in: by its own length and places, role 0, and by those that an insertion would give it, role 1."""
         word, place, size, gram, n, starts = self.decompose(words)
         change, insert = self.affected(word, place, size, starts)
         length = np.diff(starts)[word].astype(np.uint64)
@@ -155,10 +165,9 @@ class Index:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order)) - np.searchsorted(word, np.arange(len(starts)))[word[order]]
         out = []
-        for role, most, longer, shift in ((0, change, 0, 0), (2, insert, 1, 0), (2, insert, 1, 1), (3, change, 0, 0)):
+        for role, most, shift in ((0, change, 0), (1, insert, 0), (1, insert, 1)):
             own = np.flatnonzero(rank <= most[word])
-            kind = np.uint64(0 if role == 0 else 1)
-            key = arrow.mix(arrow.mix(gram[own] + (place[own] + shift).astype(np.uint64)) + (length[own] + np.uint64(longer)) * np.uint64(2) + kind)
+            key = arrow.mix(arrow.mix(gram[own] + (place[own] + shift).astype(np.uint64)) + length[own] + np.uint64(role))
             out.append((word[own], np.full(len(own), role, np.int8), key.view(np.int64)))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
@@ -196,10 +205,13 @@ def near_pairs(words: DataFrame, index: Index) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(word)), part.column(1).take(pa.array(word)), pa.array(role), pa.array(key)], names=["word", "n", "role", "key"])
 
     listed = words.select("word", "n").mapInArrow(run, T.StructType([*words.select("word", "n").schema.fields, T.StructField("role", T.ByteType()), T.StructField("key", T.LongType())]))
-    left = listed.where("role IN (0, 2)").select(F.col("word").alias("a"), F.col("n").alias("a_n"), "key", "role")
-    right = listed.where("role IN (0, 3)").select(F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("key").alias("b_key"), F.col("role").alias("b_role"))
-    met = left.join(right, (F.col("key") == F.col("b_key")) & (((F.col("role") == 0) & (F.col("b_role") == 0) & (F.col("a") < F.col("b"))) | ((F.col("role") == 2) & (F.col("b_role") == 3))))
-    return met.where(one_edit("a", "b")).select("a", "b", "a_n", "b_n").distinct()
+    left = listed.select(F.col("word").alias("a"), F.col("n").alias("a_n"), "key", "role")
+    right = listed.where("role = 0").select(F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("key").alias("b_key"))
+    met = left.join(right, (F.col("key") == F.col("b_key")) & ((F.col("role") == 1) | (F.col("a") < F.col("b"))))
+    # of one edit, the half before or the half behind it knows nothing
+    half = F.floor(F.least(F.length("a"), F.length("b")) / 2).cast("int")
+    alike = (F.left("a", half) == F.left("b", half)) | (F.right("a", half) == F.right("b", half))
+    return met.where(alike & one_edit("a", "b")).select("a", "b", "a_n", "b_n").distinct()
 
 
 def forms(words: DataFrame, pairs: DataFrame, margin: int = MARGIN) -> DataFrame:
@@ -224,7 +236,9 @@ def roots(formed: DataFrame) -> DataFrame:
 
 
 def spelling_groups(words: DataFrame, least: int = LEAST, most: int = MOST, margin: int = MARGIN, frequent: int = FREQUENT, dictionary: int = DICTIONARY) -> DataFrame:
-    """(word, n, n_near, form, form_n, root) of words(word, n), which are distinct and have at least most + least - 2 code points."""
+    """(word, n, n_near, form, form_n, root) of words(word, n), which are distinct and have at least SHORTEST code points."""
+    if most + least - 2 > SHORTEST:
+        raise ValueError("an edit could affect all grams of a word")
     words = stored(words.select("word", "n"))
     index = Index(frequent_grams(words, least, most, frequent, dictionary), least, most)
     formed = stored(forms(words, near_pairs(words, index), margin))

@@ -80,7 +80,7 @@ def test_the_dictionary_is_bounded(spark):
     rng = random.Random(5)
     words = spark.createDataFrame([("".join(rng.choices("abc", k=12)), 2) for _ in range(3000)], "word string, n long").distinct()
     for dictionary in (1, 7, 40):
-        assert len(spelling.frequent_grams(words, frequent=0, dictionary=dictionary)) <= 4 * dictionary
+        assert len(spelling.frequent_grams(words, frequent=0, dictionary=dictionary)) <= 3 * dictionary
 
 
 def test_an_edit_leaves_the_other_grams(spark):
