@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from bisect import bisect_left
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,6 @@ from .ids import running
 
 #: Values of a library that becomes an expression.
 MOST_LITERALS = 200
-_PLACES = ("efferent_section_id", "efferent_segment_id", "afferent_section_id", "afferent_segment_id")
 
 
 def reciprocal_exact(df: DataFrame) -> DataFrame:
@@ -57,92 +57,153 @@ def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[p
         yield pd.concat(held, ignore_index=True)
 
 
-def _match(rows: pd.DataFrame) -> pd.DataFrame:
-    """Greedy matching inside unordered pairs, in order of id; both partners get the first one's places."""
-    ids, first = rows["synapse_id"].to_numpy(), (rows["src"] < rows["dst"]).tolist()
-    low, high = np.minimum(rows["src"], rows["dst"]).tolist(), np.maximum(rows["src"], rows["dst"]).tolist()
-    out_sec, out_seg, in_sec, in_seg = (rows[c].tolist() for c in _PLACES)
-    # the other direction's edges by their mirrored sections, each list in order of id
-    waiting: dict[tuple[int, ...], list[int]] = defaultdict(list)
-    for j, forward in enumerate(first):
-        if not forward:
-            waiting[low[j], high[j], in_sec[j], out_sec[j]].append(j)
-    partner: dict[int, int] = {}
-    for i, forward in enumerate(first):
-        open_ = waiting.get((low[i], high[i], out_sec[i], in_sec[i])) if forward else None
-        if not open_:
+_MIRROR = ["a", "b", "s1", "s2"]
+
+
+def _pairs_of(rows: pd.DataFrame) -> pd.DataFrame:
+    """Partners among edges in the order of mirrored place, direction and id: an edge takes the first free one of equal segments, else the first free one at most one segment away.
+
+    The edges that wait lie in queues by their segments, so an edge looks at nine heads however many wait.
+    """
+    places, forward = rows[_MIRROR].to_numpy(), rows["forward"].to_numpy()
+    ids, g1, g2 = (rows[c].tolist() for c in ("synapse_id", "g1", "g2"))
+    cuts = np.flatnonzero(np.append(True, (places[1:] != places[:-1]).any(axis=1)))
+    out: list[tuple[int, int, int, int]] = []
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(rows)], strict=True):
+        first = a + int(np.count_nonzero(~forward[a:b]))
+        if first in (a, b):
             continue
-        near = None
-        for k, j in enumerate(open_):
-            gap = max(abs(out_seg[i] - in_seg[j]), abs(in_seg[i] - out_seg[j]))
-            if gap == 0:
-                near = k
-                break
-            if gap == 1 and near is None:
-                near = k
-        if near is not None:
-            j = open_.pop(near)
-            partner[i], partner[j] = j, i
-            out_seg[j], in_seg[j] = in_seg[i], out_seg[i]
-    kept = sorted(partner)
-    out = rows.loc[kept].copy()
-    for c, values in (("efferent_segment_id", out_seg), ("afferent_segment_id", in_seg)):
-        out[c] = [values[i] for i in kept]
-    out["efferent_junction_id"] = ids[kept]
-    out["afferent_junction_id"] = ids[[partner[i] for i in kept]]
-    return out
+        waiting: dict[tuple[int, int], deque[int]] = defaultdict(deque)
+        for j in range(a, first):
+            waiting[g1[j], g2[j]].append(ids[j])
+        for i in range(first, b):
+            x, y = g1[i], g2[i]
+            queue = waiting.get((x, y))
+            if not queue:
+                near = [q for p in (-1, 0, 1) for r in (-1, 0, 1) if (q := waiting.get((x + p, y + r)))]
+                if not near:
+                    continue
+                queue = min(near, key=lambda q: q[0])
+            j = queue.popleft()
+            out += [(ids[i], j, x, y), (j, ids[i], y, x)]
+    return pd.DataFrame(out, columns=["synapse_id", "afferent_junction_id", "out_segment", "in_segment"], dtype="int64")
 
 
 def match_reciprocal(df: DataFrame) -> DataFrame:
     """Edges that have a partner in the other direction, with the ids of both as junction ids.
 
-    Partners have swapped sections, and segments equal or at most one apart. The edges of one unordered
-    pair of nodes lie together; pairs are dealt over the partitions. Unmatched edges and edges from a node to itself go.
+    Partners have swapped sections, and segments equal or at most one apart; both get the places of the one from the lower node. Unmatched
+    edges and edges from a node to itself go. An edge never meets one with other sections, so edges are dealt by pair of nodes and of
+    sections, and a task holds the ids and segments of one such place at a time; all other columns are joined again by id.
     """
-    schema = df.withColumns({"efferent_junction_id": F.col("synapse_id"), "afferent_junction_id": F.col("synapse_id")}).schema
-    names = schema.names
+    forward = F.col("src") < F.col("dst")
+    swap = lambda a, b: F.when(forward, F.col(a)).otherwise(F.col(b))
+    slim = df.where("src <> dst").select(
+        "synapse_id", forward.alias("forward"), F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"),
+        swap("efferent_section_id", "afferent_section_id").alias("s1"), swap("afferent_section_id", "efferent_section_id").alias("s2"),
+        swap("efferent_segment_id", "afferent_segment_id").alias("g1"), swap("afferent_segment_id", "efferent_segment_id").alias("g2"),
+    )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in whole_groups(batches, ["__low", "__high"]):
-            yield _match(rows)[names]
+        for rows in whole_groups(batches, _MIRROR):
+            yield _pairs_of(rows)
+
+    dealt = slim.repartition(*_MIRROR).sortWithinPartitions(*_MIRROR, "forward", "synapse_id")
+    found = dealt.mapInPandas(run, "synapse_id long, afferent_junction_id long, out_segment long, in_segment long")
+    types = dict(df.dtypes)
+    segments = {"efferent_segment_id": F.col("out_segment").cast(types["efferent_segment_id"]), "afferent_segment_id": F.col("in_segment").cast(types["afferent_segment_id"])}
+    joined = df.drop("efferent_junction_id", "afferent_junction_id").join(found, "synapse_id").withColumns({**segments, "efferent_junction_id": F.col("synapse_id")})
+    return joined.select(*[c for c in df.columns if c not in ("efferent_junction_id", "afferent_junction_id")], "efferent_junction_id", "afferent_junction_id")
 
-    pairs = df.where("src <> dst").withColumns({"__low": F.least("src", "dst"), "__high": F.greatest("src", "dst")})
-    return pairs.repartition("__low", "__high").sortWithinPartitions("__low", "__high", "synapse_id").mapInPandas(run, schema)
 
+def last_near(enter: np.ndarray, leave: np.ndarray, away: np.ndarray, last: np.ndarray, reach: float) -> np.ndarray:
+    """For each place of one connection the largest `last` of the places on its section or below it (enter within enter..leave) that are nearer than reach.
 
-def prune_near_root(df: DataFrame, ancestors: DataFrame, distances: DataFrame, radii: DataFrame, factor: float = 3.0) -> DataFrame:
+    All places start open. A segment tree over the order of enter holds a place at the few nodes that make up its interval, sorted by distance.
+    Taking the places from the largest `last` down, each closes all open ones over it within reach: the nodes from its leaf to the root, a range of
+    each. What is closed is skipped for good, so an entry is passed once.
+    """
+    found = np.full(len(enter), -1, np.int64)
+    known = np.unique(enter)
+    n = len(known)
+    low, high = np.searchsorted(known, enter), np.searchsorted(known, leave, "right")
+    entries: dict[int, list[int]] = defaultdict(list)
+    for i, (a, b) in enumerate(zip((low + n).tolist(), (high + n).tolist(), strict=True)):
+        while a < b:
+            if a & 1:
+                entries[a].append(i)
+                a += 1
+            if b & 1:
+                b -= 1
+                entries[b].append(i)
+            a, b = a >> 1, b >> 1
+    nodes = {}
+    for node, own in entries.items():
+        order = np.array(own)[np.argsort(away[own], kind="stable")]
+        # where the next open entry is; one more that is never closed ends the walk
+        nodes[node] = (away[order].tolist(), order.tolist(), list(range(len(own) + 1)))
+    distance, places = away.tolist(), low.tolist()
+    for q in np.argsort(-last, kind="stable").tolist():
+        d, node = distance[q], places[q] + n
+        while node:
+            if node in nodes:
+                far, own, onward = nodes[node]
+                k = bisect_left(far, d - reach)
+                while True:
+                    root = k
+                    while onward[root] != root:
+                        root = onward[root]
+                    while onward[k] != root:
+                        onward[k], k = root, onward[k]
+                    k = root
+                    if k == len(own) or far[k] > d + reach:
+                        break
+                    if abs(far[k] - d) < reach:
+                        if found[own[k]] < 0:
+                            found[own[k]] = last[q]
+                        onward[k] = k + 1
+                    k += 1
+            node >>= 1
+    return found
+
+
+def prune_near_root(df: DataFrame, intervals: DataFrame, distances: DataFrame, radii: DataFrame, factor: float = 3.0) -> DataFrame:
     """Drop edges at a root that lie near a later edge on the same branch.
 
     Edges without an end in section 0 pass. Of a connection that starts with such an edge into the
     root, an edge drops if a later one lies on its section or one that descends from it, and their distances to
-    the root differ by less than factor times the radius. The partner of a kept edge is kept, wherever it is.
-    ancestors(morphology, section_id, ancestor_id), distances(morphology, section_id, idx, root_distance).
+    the root differ by less than factor times the radius; edges whose place has none of these neither drop nor make others drop. The partner
+    of a kept edge is kept, wherever it is. intervals(morphology, section_id, enter, leave), distances(morphology, section_id, idx, root_distance).
+
+    Whether an edge drops depends on later edges, not on whether these stay. So of all edges of a place only the last one can stay, and a
+    connection comes down to the places that it touches, at most the segments of a morphology, before it meets in one task.
     """
     at_root = (F.col("efferent_section_id") == 0) | (F.col("afferent_section_id") == 0)
     touched = df.where(at_root)
-    above = ancestors.groupBy("morphology", "section_id").agg(F.collect_set("ancestor_id").alias("__above"))
-    places = distances.select(F.col("morphology").alias("src_morphology"), F.col("section_id").alias("efferent_section_id"), F.col("idx").alias("efferent_segment_id"), F.col("root_distance").alias("__distance"))
-    above = above.select(F.col("morphology").alias("src_morphology"), F.col("section_id").alias("efferent_section_id"), "__above")
-    known = touched.join(above, ["src_morphology", "efferent_section_id"], "left").join(places, ["src_morphology", "efferent_section_id", "efferent_segment_id"], "left").join(radii.select(F.col("morphology").alias("src_morphology"), F.col("radius").alias("__radius")), "src_morphology", "left")
-    slim = known.select("src", "dst", "synapse_id", "efferent_section_id", "afferent_section_id", "efferent_junction_id", "afferent_junction_id", "__above", "__distance", "__radius")
+    labels = distances.join(intervals, ["morphology", "section_id"]).join(radii, "morphology").select(
+        F.col("morphology").alias("src_morphology"), F.col("section_id").alias("efferent_section_id"), F.col("idx").alias("efferent_segment_id"),
+        F.col("enter").alias("__enter"), F.col("leave").alias("__leave"), F.col("root_distance").alias("__away"), (F.col("radius") * factor).alias("__reach"),
+    )
+    slim = touched.select("src", "dst", "synapse_id", "src_morphology", "efferent_section_id", "efferent_segment_id", "afferent_section_id", "efferent_junction_id", "afferent_junction_id")
+    starts = slim.groupBy("src", "dst").agg(F.min_by("afferent_section_id", "synapse_id").alias("__into")).where("__into = 0").select("src", "dst")
+    known = slim.join(labels, ["src_morphology", "efferent_section_id", "efferent_segment_id"], "left").join(starts, ["src", "dst"], "left_semi")
+    judged = F.coalesce((F.col("__reach") > 0) & ~F.isnan("__away") & ~F.isnan("__reach"), F.lit(False))
+    both = ["efferent_junction_id", "afferent_junction_id"]
+    spots = known.where(judged).groupBy("src", "dst", "__enter", "__leave", "__away", "__reach").agg(F.max(F.struct("synapse_id", *both)).alias("__last"))
+    spots = spots.select("src", "dst", "__enter", "__leave", "__away", "__reach", F.col("__last.synapse_id").alias("synapse_id"), *[F.col(f"__last.{c}").alias(c) for c in both])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in whole_groups(batches, ["src", "dst"]):
             cuts = np.flatnonzero((rows[["src", "dst"]] != rows[["src", "dst"]].shift()).any(axis=1).to_numpy())
-            into, section, away, radius = (rows[c].tolist() for c in ("afferent_section_id", "efferent_section_id", "__distance", "__radius"))
-            branch = [set(a) if a is not None else set() for a in rows["__above"]]
-            kept: list[int] = []
-            for a, b in zip(cuts, [*cuts[1:], len(rows)], strict=True):
-                active: list[int] = []
-                for i in range(a, b) if into[a] == 0 else ():
-                    active = [j for j in active if not (section[j] in branch[i] and abs(away[i] - away[j]) < factor * radius[i])]
-                    active.append(i)
-                kept += active
-            yield rows.loc[kept, ["efferent_junction_id", "afferent_junction_id"]]
-
-    ordered = slim.repartition("src", "dst").sortWithinPartitions("src", "dst", "synapse_id")
-    kept = ordered.mapInPandas(run, "efferent_junction_id long, afferent_junction_id long")
-    ids = kept.select(F.explode(F.array("efferent_junction_id", "afferent_junction_id")).alias("efferent_junction_id")).distinct()
+            enter, leave, away, reach, last = (rows[c].to_numpy() for c in ("__enter", "__leave", "__away", "__reach", "synapse_id"))
+            stays = np.empty(len(rows), bool)
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(rows)], strict=True):
+                stays[a:b] = last_near(enter[a:b], leave[a:b], away[a:b], last[a:b], float(reach[a])) == last[a:b]
+            yield rows.loc[stays, both]
+
+    kept = spots.repartition("src", "dst").sortWithinPartitions("src", "dst").mapInPandas(run, "efferent_junction_id long, afferent_junction_id long")
+    kept = kept.unionByName(known.where(~judged).select(*both))
+    ids = kept.select(F.explode(F.array(*both)).alias("efferent_junction_id")).distinct()
     return df.where(~at_root).unionByName(touched.join(ids, "efferent_junction_id", "left_semi").select(*df.columns))
 
 

@@ -17,7 +17,7 @@ from edgeworks.functions.random import keyed_gamma, keyed_poisson, keyed_trunc_n
 from edgeworks.operators import geometry, ids, matching, model, properties, quality, rules, sampling
 from edgeworks.sources import fixtures as fx
 from edgeworks.sources import tables
-from edgeworks.sources.checkpoint import ensure_checkpoint_dir
+from edgeworks.sources.checkpoint import ensure_checkpoint_dir, written
 
 from . import pipeline
 
@@ -338,6 +338,11 @@ def section_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geometry.ancestors(fx.sections(spark, sf_dir))
 
 
+@query("SELECT morphology, section_id, enter, leave FROM intervals", "intervals")
+def section_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geometry.section_intervals(fx.sections(spark, sf_dir))
+
+
 @query("SELECT morphology, section_id, round(\"offset\", 6) AS \"offset\", round(fraction, 6) AS fraction, round(root_distance, 6) AS root_distance FROM firstsec", "firstsec")
 def first_axon_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = geometry.first_section(fx.sections(spark, sf_dir), fx.points(spark, sf_dir), properties.AXON)
@@ -356,16 +361,59 @@ _RANKED = "r AS (SELECT *, row_number() OVER (PARTITION BY src, dst, efferent_se
 ORACLES["reciprocal_exact"] = fx.with_sql("redges").rstrip() + f", {_RANKED} SELECT a.src, a.dst, a.synapse_id, b.synapse_id AS partner_id FROM r a JOIN r b ON a.src = b.dst AND a.dst = b.src AND a.efferent_section_id = b.afferent_section_id AND a.afferent_section_id = b.efferent_section_id AND a.efferent_segment_id = b.afferent_segment_id AND a.afferent_segment_id = b.efferent_segment_id AND a.place = b.place"
 
 
-@query()
-def gap_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("SELECT synapse_id, src, dst, out_segment AS efferent_segment_id, in_segment AS afferent_segment_id, synapse_id AS efferent_junction_id, partner AS afferent_junction_id FROM matched", "matched")
+def reciprocal_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy matching with segments at most one apart."""
+    found = matching.match_reciprocal(fx.reciprocal_edges(spark, sf_dir))
+    return found.select("synapse_id", "src", "dst", "efferent_segment_id", "afferent_segment_id", "efferent_junction_id", "afferent_junction_id")
+
+
+def _junctions(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """Matched and pruned edges; morphologies are named after nodes."""
     sections, points = fx.sections(spark, sf_dir), fx.points(spark, sf_dir)
     # the matched edges are read three times below
-    matched = tables.checkpointed(spark, lambda: matching.match_reciprocal(fx.reciprocal_edges(spark, sf_dir)).withColumn("src_morphology", F.concat(F.lit("M"), "src")), scratch(spark, "matched"))
-    above = geometry.ancestors(sections)
-    pruned = matching.prune_near_root(matched, above, geometry.root_distances(sections, points, above), geometry.root_radii(sections, points))
+    matched, _ = written(matching.match_reciprocal(df).withColumn("src_morphology", F.concat(F.lit("M"), "src")))
+    return matching.prune_near_root(matched, geometry.section_intervals(sections), geometry.root_distances(sections, points), geometry.root_radii(sections, points))
+
+
+@query("SELECT src, dst, synapse_id, synapse_id AS efferent_junction_id, partner AS afferent_junction_id, CAST(0.75 AS DOUBLE) AS conductance FROM junctions", "junctions")
+def gap_junction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pruned = _junctions(spark, sf_dir, fx.reciprocal_edges(spark, sf_dir))
     return properties.with_conductance(pruned, 0.75).select("src", "dst", "synapse_id", "efferent_junction_id", "afferent_junction_id", "conductance")
 
 
+def gap_junction_steps(spark: SparkSession, sf_dir: str) -> dict[str, pipeline.Step]:
+    """The steps of the preset for gap junctions: far enough from the body, matched and pruned, numbered anew, with a conductance."""
+
+    def far(df: DataFrame) -> DataFrame:
+        named = df.withColumn("dst_morphology", F.concat(F.lit("M"), "dst"))
+        return properties.min_distance_by_key(named, geometry.root_radii(fx.sections(spark, sf_dir), fx.points(spark, sf_dir))).drop("dst_morphology")
+
+    def number(df: DataFrame) -> DataFrame:
+        return ids.dense_id(df.drop("synapse_id"), ["efferent_junction_id"])
+
+    steps = (
+        pipeline.Step("soma_distance", far, None, checkpoint=True),
+        pipeline.Step("gap_junction", lambda df: _junctions(spark, sf_dir, df).drop("src_morphology"), None, added=frozenset({"efferent_junction_id", "afferent_junction_id"}), checkpoint=True),
+        pipeline.Step("dense_id", number, None, reductive=False),
+        pipeline.Step("gap_junction_properties", lambda df: properties.with_conductance(df, 0.75), 0.75, added=frozenset({"conductance"}), reductive=False, checkpoint=True),
+    )
+    return {s.name: s for s in steps}
+
+
+@query()
+def gap_junction_preset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preset for gap junctions end to end, exported and read back."""
+    out, steps = scratch(spark, "export"), pipeline.preset(pipeline.GAP_JUNCTIONS, gap_junction_steps(spark, sf_dir))
+    found = pipeline.run(spark, lambda: fx.reciprocal_edges(spark, sf_dir), [sf_dir, uuid.uuid4().hex], steps, scratch(spark, "preset"))
+    tables.export(found, out, tables.POST)
+    return spark.read.parquet(out).select("source_node_id", "target_node_id", "synapse_id", "efferent_junction_id", "afferent_junction_id", "efferent_segment_id", "afferent_segment_id", "conductance")
+
+
+_FAR_EDGES = {"redges0": (fx.SQL["redges"], []), "redges": ("SELECT e.* FROM redges0 e JOIN radii ON morphology = 'M' || dst WHERE distance_soma >= radius", ["redges0", "radii"])}
+ORACLES["gap_junction_preset"] = fx.with_sql("junctions", instead=_FAR_EDGES) + "SELECT src AS source_node_id, dst AS target_node_id, row_number() OVER (ORDER BY src, dst, synapse_id) - 1 AS synapse_id, synapse_id AS efferent_junction_id, partner AS afferent_junction_id, out_segment AS efferent_segment_id, in_segment AS afferent_segment_id, CAST(0.75 AS DOUBLE) AS conductance FROM junctions"
+
+
 # -- sinks, comparison, checkpoints -----------------------------------------------------------
 
 _EXPORTED = "SELECT src AS source_node_id, dst AS target_node_id, synapse_id, distance_soma, afferent_section_type + 1 AS afferent_section_type, efferent_section_type + 1 AS efferent_section_type, 0 AS edge_type_id FROM edges"

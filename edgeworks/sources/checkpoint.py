@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -18,3 +19,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and cut its lineage; the copy outlives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict[str, object]]:
+    """df from a Parquet copy in the shared checkpoint folder, and aggregates of it, observed in the run that writes it: one job, one reading."""
+    ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/written-{uuid.uuid4().hex}"
+    seen = Observation()
+    (df.observe(seen, *[m.alias(name) for name, m in metrics.items()]) if metrics else df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get if metrics else {}

@@ -213,7 +213,26 @@ SQL["survivors"] = f"SELECT * FROM (SELECT c.*, CASE WHEN pmu_a = 0 THEN 1.0 ELS
 SQL["fractions"] = "SELECT pathway_i, left_n / total_touches AS actual, CASE WHEN brf IS NULL THEN active_fraction WHEN brf > left_n / total_touches THEN 1.0 ELSE brf / (left_n / total_touches) END AS fraction FROM (SELECT pathway_i, sum(n) AS left_n FROM survivors GROUP BY pathway_i) JOIN params USING (pathway_i)"
 SQL["kept"] = f"SELECT src, dst FROM survivors JOIN fractions USING (pathway_i) WHERE {uniform_sql(SEED, 0x102, 'first_id')} < fraction"
 
-_NEEDS = {"dstn": ["dtypes"], "circuit": ["edges", "srcn", "dstn"], "keyed": ["circuit"], "stats": ["keyed"], "paths": ["points"], "lengths": ["paths"], "above": ["sections"], "rootdist": ["above", "lengths", "paths"], "radii": ["points"], "firstsec": ["sections", "rootdist"], "tcells": ["trules", "dtypes", "kinds"], "rulep": ["crules", "dtypes"], "params0": ["stats", "rulep"], "params1": ["params0"], "params2": ["params1"], "solve0": ["params1"], "solve1": ["solve0"], "solve2": ["solve1"], "solved": ["solve2"], "params": ["params2", "solved"], "reduced": ["keyed", "params"], "conns": ["reduced"], "survivors": ["conns"], "fractions": ["survivors", "params"], "kept": ["fractions", "survivors"]}
+_MIRROR = "CASE WHEN src < dst THEN {0} ELSE {1} END"
+SQL |= {
+    # numbers of a walk through the trees: lists of ids from the root have its order
+    "walks": "SELECT morphology, section_id, [section_id] AS way FROM sections WHERE parent_id IS NULL UNION ALL SELECT s.morphology, s.section_id, list_append(w.way, s.section_id) FROM walks w JOIN sections s ON s.morphology = w.morphology AND s.parent_id = w.section_id",
+    "intervals": "SELECT w.morphology, w.section_id, w.enter, w.enter + n - 1 AS leave FROM (SELECT morphology, section_id, row_number() OVER (PARTITION BY morphology ORDER BY way) - 1 AS enter FROM walks) w JOIN (SELECT morphology, ancestor_id, count(*) AS n FROM above GROUP BY ALL) a ON a.morphology = w.morphology AND a.ancestor_id = w.section_id",
+    # greedy matching, an edge of each place a step
+    "mirrored": f"SELECT synapse_id, src < dst AS forward, least(src, dst) AS a, greatest(src, dst) AS b, {_MIRROR.format('efferent_section_id', 'afferent_section_id')} AS s1, {_MIRROR.format('afferent_section_id', 'efferent_section_id')} AS s2, {_MIRROR.format('efferent_segment_id', 'afferent_segment_id')} AS g1, {_MIRROR.format('afferent_segment_id', 'efferent_segment_id')} AS g2 FROM redges WHERE src <> dst",
+    "waiting": "SELECT a, b, s1, s2, list(struct_pack(id := synapse_id, g1 := g1, g2 := g2) ORDER BY synapse_id) FILTER (forward) AS ones, list(struct_pack(id := synapse_id, g1 := g1, g2 := g2) ORDER BY synapse_id) FILTER (NOT forward) AS others FROM mirrored GROUP BY a, b, s1, s2",
+    "greedy": "SELECT a, b, s1, s2, ones, others, 0 AS step, CAST(NULL AS BIGINT) AS one, CAST(NULL AS BIGINT) AS other, CAST(NULL AS BIGINT) AS g1, CAST(NULL AS BIGINT) AS g2 FROM waiting WHERE ones IS NOT NULL AND others IS NOT NULL UNION ALL SELECT a, b, s1, s2, ones, list_filter(others, lambda x: pick IS NULL OR x.id <> pick), step + 1, i.id, pick, i.g1, i.g2 FROM (SELECT *, coalesce(list_filter(others, lambda x: x.g1 = i.g1 AND x.g2 = i.g2)[1].id, list_filter(others, lambda x: abs(x.g1 - i.g1) <= 1 AND abs(x.g2 - i.g2) <= 1)[1].id) AS pick FROM (SELECT a, b, s1, s2, ones, others, step, ones[step + 1] AS i FROM greedy WHERE step < len(ones)))",
+    "partners": "SELECT one AS synapse_id, other AS partner, g1 AS out_segment, g2 AS in_segment FROM greedy WHERE other IS NOT NULL UNION ALL SELECT other, one, g2, g1 FROM greedy WHERE other IS NOT NULL",
+    "matched": "SELECT r.src, r.dst, r.synapse_id, r.efferent_section_id, r.afferent_section_id, p.out_segment, p.in_segment, p.partner, 'M' || r.src AS morphology FROM redges r JOIN partners p ON p.synapse_id = r.synapse_id",
+    # an edge drops where a later one of its connection is near on its section or below it
+    "rooted": "SELECT * FROM matched WHERE efferent_section_id = 0 OR afferent_section_id = 0",
+    "placed": "SELECT m.*, d.root_distance, q.radius FROM rooted m JOIN (SELECT src, dst FROM rooted GROUP BY src, dst HAVING arg_min(afferent_section_id, synapse_id) = 0) o ON o.src = m.src AND o.dst = m.dst LEFT JOIN rootdist d ON d.morphology = m.morphology AND d.section_id = m.efferent_section_id AND d.idx = m.out_segment LEFT JOIN radii q ON q.morphology = m.morphology",
+    "dropped": "SELECT DISTINCT i.synapse_id FROM placed i JOIN placed k ON k.src = i.src AND k.dst = i.dst AND k.synapse_id > i.synapse_id JOIN above v ON v.morphology = k.morphology AND v.section_id = k.efferent_section_id AND v.ancestor_id = i.efferent_section_id WHERE abs(k.root_distance - i.root_distance) < 3 * k.radius",
+    "staying": "SELECT synapse_id, partner FROM placed WHERE synapse_id NOT IN (SELECT synapse_id FROM dropped)",
+    "junctions": "SELECT * FROM matched WHERE (efferent_section_id <> 0 AND afferent_section_id <> 0) OR synapse_id IN (SELECT synapse_id FROM staying UNION SELECT partner FROM staying)",
+}
+
+_NEEDS = {"intervals": ["walks", "above"], "walks": ["sections"], "mirrored": ["redges"], "waiting": ["mirrored"], "greedy": ["waiting"], "partners": ["greedy"], "matched": ["redges", "partners"], "rooted": ["matched"], "placed": ["rooted", "rootdist", "radii"], "dropped": ["placed", "above"], "staying": ["placed", "dropped"], "junctions": ["matched", "staying"], "dstn": ["dtypes"], "circuit": ["edges", "srcn", "dstn"], "keyed": ["circuit"], "stats": ["keyed"], "paths": ["points"], "lengths": ["paths"], "above": ["sections"], "rootdist": ["above", "lengths", "paths"], "radii": ["points"], "firstsec": ["sections", "rootdist"], "tcells": ["trules", "dtypes", "kinds"], "rulep": ["crules", "dtypes"], "params0": ["stats", "rulep"], "params1": ["params0"], "params2": ["params1"], "solve0": ["params1"], "solve1": ["solve0"], "solve2": ["solve1"], "solved": ["solve2"], "params": ["params2", "solved"], "reduced": ["keyed", "params"], "conns": ["reduced"], "survivors": ["conns"], "fractions": ["survivors", "params"], "kept": ["fractions", "survivors"]}
 
 
 def with_sql(*names: str, instead: dict[str, tuple[str, list[str]]] | None = None) -> str:

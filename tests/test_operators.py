@@ -164,10 +164,10 @@ def test_reciprocal_matching(spark):
 def test_pruning_keeps_partners_everywhere(spark):
     schema = EDGE + ", efferent_junction_id long, afferent_junction_id long, src_morphology string"
     rows = [(1, 2, 0, 3, 0, 0, 0, 0, 10, "M"), (1, 2, 1, 4, 0, 0, 0, 1, 11, "M"), (1, 2, 2, 9, 0, 0, 0, 2, 12, "M"), (2, 1, 10, 0, 0, 3, 0, 10, 0, "M"), (2, 1, 11, 0, 0, 4, 0, 11, 1, "M"), (2, 1, 12, 0, 0, 9, 0, 12, 2, "M"), (7, 8, 20, 5, 0, 5, 0, 20, 21, "M")]
-    ancestors = spark.createDataFrame([("M", 3, 3), ("M", 4, 4), ("M", 4, 3), ("M", 9, 9)], "morphology string, section_id int, ancestor_id int")
+    intervals = spark.createDataFrame([("M", 0, 0, 3), ("M", 3, 1, 2), ("M", 4, 2, 2), ("M", 9, 3, 3)], "morphology string, section_id int, enter long, leave long")
     distances = spark.createDataFrame([("M", s, 0, d) for s, d in ((0, 0.0), (3, 5.0), (4, 6.0), (9, 5.5))], "morphology string, section_id int, idx int, root_distance double")
     radii = spark.createDataFrame([("M", 1.0)], "morphology string, radius double")
-    got = sorted(r["synapse_id"] for r in matching.prune_near_root(spark.createDataFrame(rows, schema), ancestors, distances, radii).collect())
+    got = sorted(r["synapse_id"] for r in matching.prune_near_root(spark.createDataFrame(rows, schema), intervals, distances, radii).collect())
     assert got == [1, 2, 11, 12, 20]
 
 
