@@ -37,7 +37,8 @@ SHORTEST = 7
 #: A frequent gram is in more than FREQUENT places, and in more than one of DICTIONARY of all places.
 FREQUENT, DICTIONARY = 48, 20_000
 MARGIN = 10
-#: Entries of a task's counts before they go out.
+#: Code points up to which levenshtein() compares two words, and entries of a task's counts before they go out.
+SHORT = 64
 PARTIAL = 1_000_000
 NOISE = 31
 _START, _END = "\x01", "\x02"
@@ -185,13 +186,12 @@ def _shared(a: Column, b: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int")), F.struct(F.lit(0).alias("low"), size.alias("high")), halve, lambda s: s["low"])
 
 
-def one_edit(a: str, b: str, short: int = 64) -> Column:
-    """Whether a and b differ by one inserted, deleted or replaced code point. levenshtein() is quadratic, so longer words are compared behind what they share."""
+def one_edit(a: str, b: str) -> Column:
+    """Whether a and b differ by one inserted, deleted or replaced code point, behind what they share. levenshtein() says the same, but is quadratic."""
     x, y = F.col(a), F.col(b)
     k, more = _shared(x, y), F.length(y) - F.length(x)
     rest = lambda c, n: F.substring(c, n, F.length(c))
-    behind = F.when(more == 0, (x != y) & (rest(x, k + 2) == rest(y, k + 2))).when(more == 1, rest(x, k + 1) == rest(y, k + 2)).when(more == -1, rest(x, k + 2) == rest(y, k + 1)).otherwise(False)
-    return F.when(F.length(x) <= short, F.levenshtein(x, y, 1) == 1).otherwise(behind)
+    return F.when(more == 0, (x != y) & (rest(x, k + 2) == rest(y, k + 2))).when(more == 1, rest(x, k + 1) == rest(y, k + 2)).when(more == -1, rest(x, k + 2) == rest(y, k + 1)).otherwise(False)
 
 
 def near_pairs(words: DataFrame, index: Index) -> DataFrame:
@@ -211,12 +211,15 @@ def near_pairs(words: DataFrame, index: Index) -> DataFrame:
     # of one edit, the half before or the half behind it knows nothing
     half = F.floor(F.least(F.length("a"), F.length("b")) / 2).cast("int")
     alike = (F.left("a", half) == F.left("b", half)) | (F.right("a", half) == F.right("b", half))
-    return met.where(alike & one_edit("a", "b")).select("a", "b", "a_n", "b_n").distinct()
+    # long words' distances are left for what has met: the join's condition stays one that Spark compiles
+    passed = (F.length("a") > SHORT) | (F.levenshtein("a", "b", 1) == 1)
+    return stored(met.where(alike & passed).select("a", "b", "a_n", "b_n").distinct()).where((F.length("a") <= SHORT) | one_edit("a", "b"))
 
 
 def forms(words: DataFrame, pairs: DataFrame, margin: int = MARGIN) -> DataFrame:
     """(word, n, n_near, form, form_n) of every word."""
-    sides = pairs.select(F.col("a").alias("word"), F.col("a_n").alias("n"), F.col("b").alias("near"), F.col("b_n").alias("near_n")).union(pairs.select("b", "b_n", "a", "a_n"))
+    way = lambda x, y, n: F.struct(F.col(x).alias("word"), F.col(y).alias("near"), F.col(n).alias("near_n"))
+    sides = pairs.select(F.explode(F.array(way("a", "b", "b_n"), way("b", "a", "a_n"))).alias("side")).select("side.*")
     # equal n: the smallest word, as bytes of UTF-8 have the order of code points
     best = sides.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("m"), F.col("near"))).alias("best"))
     joined = words.select("word", "n").join(best, "word", "left")
