@@ -51,17 +51,38 @@ def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.with_pathway(fx.circuit(spark, sf_dir), *fx.PATHWAY)
 
 
-def connection_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last rule that covers each pathway, by pathway_i."""
+def mtype_sets(spark: SparkSession, sf_dir: str, table: DataFrame) -> dict[str, DataFrame]:
+    """The rules that fit each type of source and of target."""
+    return rules.pattern_sets(table, {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir)})
+
+
+MTYPES = {"src_mtype": "src_mtype_i", "dst_mtype": "dst_mtype_i"}
+
+
+def connection_rules(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """The last rule that covers each pathway of df, by pathway_i."""
     table = spark.createDataFrame([*fx.CONNECTION_RULES], "rule_i int, src_mtype string, dst_mtype string, " + ", ".join(f"{c} double" for c in fx.CONNECTION_FIELDS))
-    cells = rules.expand_rules(table.select("rule_i", "src_mtype", "dst_mtype"), {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir)})
-    best = rules.last_rule(cells, ["src_mtype", "dst_mtype"]).join(table.drop("src_mtype", "dst_mtype"), "rule_i")
+    best = rules.last_rules(df, mtype_sets(spark, sf_dir, table), MTYPES).join(table.drop("src_mtype", "dst_mtype"), "rule_i")
     return best.withColumn("pathway_i", model.pathway_key(best, *fx.PATHWAY)).select("pathway_i", *fx.CONNECTION_FIELDS)
 
 
 def params_of(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
     """One row a pathway, written once: each of the three steps reads them."""
-    return tables.checkpointed(spark, lambda: sampling.reduce_params(model.pathway_stats(df), connection_rules(spark, sf_dir)), scratch(spark, "params"))
+    return tables.checkpointed(spark, lambda: sampling.reduce_params(model.pathway_stats(df), connection_rules(spark, sf_dir, df)), scratch(spark, "params"))
+
+
+def touch_sets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    table = spark.createDataFrame([*fx.TOUCH_RULES], "rule_i int, src_mtype string, dst_mtype string, kind string")
+    return rules.pattern_sets(table, {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir), "kind": fx.section_kinds(spark)})
+
+
+TOUCHING = {**MTYPES, "kind": "afferent_section_type"}
+
+
+def moved_pathways(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """The pathways of df that a rule moves."""
+    table = spark.createDataFrame([*fx.REPOSITION_RULES], "rule_i int, src_mtype string, dst_mtype string")
+    return rules.last_rules(df, mtype_sets(spark, sf_dir, table), MTYPES)
 
 
 # -- assembly ---------------------------------------------------------------------------------
@@ -87,14 +108,11 @@ def dense_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.dense_id(fx.raw_edges(spark, sf_dir), fx.ORDER).select("src", "dst", "synapse_id")
 
 
-@query("SELECT src, dst, CAST(sum(n) OVER (ORDER BY src, dst) - n - 1 AS BIGINT) AS synapse_id FROM (SELECT src, dst, count(*) AS n FROM edges GROUP BY ALL) JOIN edges USING (src, dst)", "edges")
+@query("SELECT e.src, e.dst, CAST(o.first AS BIGINT) AS synapse_id FROM edges e JOIN (SELECT src, dst, sum(n) OVER (ORDER BY src, dst) - n - 1 AS first FROM (SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst)) o ON o.src = e.src AND o.dst = e.dst", "edges")
 def connection_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.connection_id(fx.raw_edges(spark, sf_dir)).select("src", "dst", "synapse_id")
 
 
-ORACLES["connection_id"] = fx.with_sql("edges") + "SELECT e.src, e.dst, CAST(o.first AS BIGINT) AS synapse_id FROM edges e JOIN (SELECT src, dst, sum(n) OVER (ORDER BY src, dst) - n - 1 AS first FROM (SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst)) o ON o.src = e.src AND o.dst = e.dst"
-
-
 # -- random numbers and bins ------------------------------------------------------------------
 
 
@@ -160,10 +178,7 @@ def soma_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT src, dst, synapse_id FROM circuit JOIN tcells USING (src_mtype_i, dst_mtype_i, afferent_section_type)", "circuit", "tcells")
 def touch_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark.createDataFrame([*fx.TOUCH_RULES], "rule_i int, src_mtype string, dst_mtype string, kind string")
-    cells = rules.expand_rules(table, {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir), "kind": fx.section_kinds(spark)})
-    columns = {"src_mtype": "src_mtype_i", "dst_mtype": "dst_mtype_i", "kind": "afferent_section_type"}
-    return rules.allow_rules(fx.circuit(spark, sf_dir), cells, columns).select("src", "dst", "synapse_id")
+    return rules.allow_rules(fx.circuit(spark, sf_dir), touch_sets(spark, sf_dir), TOUCHING).select("src", "dst", "synapse_id")
 
 
 @query("SELECT synapse_id, afferent_section_type, efferent_section_type, afferent_section_type + 1 AS afferent_at_rest, efferent_section_type + 1 AS efferent_at_rest FROM edges", "edges")
@@ -276,16 +291,13 @@ def classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, _by_class(spark, sf_dir)).select("pathway_i", "class")
 
 
-@query("SELECT synapse_id, round(CAST(CASE WHEN src_synapse_class_i = 1 AND dst_synapse_class_i = 1 THEN 0.4 ELSE 0.1 END + distance_soma / 0.00333 AS FLOAT), 1) AS delay, CASE WHEN src_synapse_class_i = 1 THEN 0 ELSE 100 END AS syn_type_id, CASE WHEN src_synapse_class_i = 1 THEN 0 ELSE 1 END AS syn_property_rule FROM circuit", "circuit")
+@query("SELECT synapse_id, round(CAST(CAST(CASE WHEN src_synapse_class_i = 1 AND dst_synapse_class_i = 1 THEN 0.4 ELSE 0.1 END + distance_soma / 0.00333 AS FLOAT) AS DOUBLE), 1) AS delay, CASE WHEN src_synapse_class_i = 1 THEN 0 ELSE 100 END AS syn_type_id, CASE WHEN src_synapse_class_i = 1 THEN 0 ELSE 1 END AS syn_property_rule FROM circuit", "circuit")
 def synapse_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _by_class(spark, sf_dir)
     with_rules = df.join(_classified(spark, df), "pathway_i")
     return properties.derive_properties(with_rules).select("synapse_id", F.round(F.col("delay").cast("double"), 1).alias("delay"), F.col("syn_type_id").cast("int").alias("syn_type_id"), F.col("syn_property_rule").cast("int").alias("syn_property_rule"))
 
 
-ORACLES["synapse_delay"] = ORACLES["synapse_delay"].replace("round(CAST(", "round(CAST(CAST(").replace(" AS FLOAT), 1)", " AS FLOAT) AS DOUBLE), 1)")
-
-
 @query()
 def connection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [name for name, _, _ in properties.DRAWS]
@@ -300,11 +312,9 @@ def property_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT synapse_id, CASE WHEN m THEN f.section_id ELSE c.afferent_section_id END AS afferent_section_id, CASE WHEN m THEN 1 ELSE c.afferent_section_type END AS afferent_section_type, CASE WHEN m THEN 0 ELSE c.afferent_segment_id END AS afferent_segment_id, round(CASE WHEN m THEN f.\"offset\" END, 6) AS afferent_segment_offset, round(CASE WHEN m THEN f.root_distance ELSE c.distance_soma END, 6) AS distance_soma FROM (SELECT k.*, (n.n_name GLOB 'NATION_1*' OR (n.n_name = 'NATION_7' AND d.value = 'SMALL')) AND g.section_id IS NOT NULL AS m FROM circuit k JOIN nation n ON n_nationkey = src_mtype_i JOIN dtypes d ON d.code = dst_mtype_i LEFT JOIN firstsec g ON g.morphology = k.src_morphology) c LEFT JOIN firstsec f ON f.morphology = c.src_morphology", "circuit", "firstsec")
 def reposition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark.createDataFrame([*fx.REPOSITION_RULES], "rule_i int, src_mtype string, dst_mtype string")
-    cells = rules.expand_rules(table, {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir)})
-    covered = cells.withColumnsRenamed({"src_mtype": "src_mtype_i", "dst_mtype": "dst_mtype_i"})
+    df = fx.circuit(spark, sf_dir)
     targets = geometry.first_section(fx.sections(spark, sf_dir), fx.points(spark, sf_dir), properties.AXON)
-    moved = properties.reposition(fx.circuit(spark, sf_dir), covered, ["src_mtype_i", "dst_mtype_i"], targets)
+    moved = properties.reposition(df, moved_pathways(spark, sf_dir, df), list(MTYPES.values()), targets)
     return moved.select("synapse_id", "afferent_section_id", "afferent_section_type", "afferent_segment_id", r6("afferent_segment_offset").alias("afferent_segment_offset"), r6("distance_soma").alias("distance_soma"))
 
 
@@ -505,20 +515,17 @@ def node_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def functional_steps(spark: SparkSession, sf_dir: str) -> dict[str, pipeline.Step]:
     """The steps of the preset with the rules of the fixtures; what follows a bucketed state by (src, dst) needs no exchange on them."""
-    mtypes = {"src_mtype": fx.source_types(spark, sf_dir), "dst_mtype": fx.target_types(spark, sf_dir)}
 
     def touches(df: DataFrame) -> DataFrame:
-        table = spark.createDataFrame([*fx.TOUCH_RULES], "rule_i int, src_mtype string, dst_mtype string, kind string")
-        return rules.allow_rules(df, rules.expand_rules(table, {**mtypes, "kind": fx.section_kinds(spark)}), {"src_mtype": "src_mtype_i", "dst_mtype": "dst_mtype_i", "kind": "afferent_section_type"})
+        return rules.allow_rules(df, touch_sets(spark, sf_dir), TOUCHING)
 
     def cut(df: DataFrame) -> DataFrame:
         df = model.with_pathway(df, *fx.PATHWAY)
         return sampling.reduce_and_cut(df, params_of(spark, sf_dir, df), fx.SEED).drop("pathway_i", "pathway_str")
 
     def move(df: DataFrame) -> DataFrame:
-        table = spark.createDataFrame([*fx.REPOSITION_RULES], "rule_i int, src_mtype string, dst_mtype string")
-        covered = rules.expand_rules(table, mtypes).withColumnsRenamed({"src_mtype": "src_mtype_i", "dst_mtype": "dst_mtype_i"})
-        return properties.reposition(df, covered, ["src_mtype_i", "dst_mtype_i"], geometry.first_section(fx.sections(spark, sf_dir), fx.points(spark, sf_dir), properties.AXON))
+        targets = geometry.first_section(fx.sections(spark, sf_dir), fx.points(spark, sf_dir), properties.AXON)
+        return properties.reposition(df, moved_pathways(spark, sf_dir, df), list(MTYPES.values()), targets)
 
     def draw(df: DataFrame) -> DataFrame:
         df = model.with_pathway(df, ["src_synapse_class", "dst_synapse_class"], [2, 2])

@@ -92,15 +92,44 @@ def test_limits_of_the_cut(spark):
 def test_rules(spark):
     values = {"a": spark.createDataFrame([(0, "L1_X"), (1, "L1xX"), (2, "L23_X")], "code int, value string"), "b": spark.createDataFrame([(0, "P"), (1, "Q")], "code int, value string")}
     table = spark.createDataFrame([(0, "*", "*"), (1, "L1_*", "Q"), (2, "L23_X", None)], "rule_i int, a string, b string")
-    best = {(r["a"], r["b"]): r["rule_i"] for r in rules.last_rule(rules.expand_rules(table, values), ["a", "b"]).collect()}
+    every = spark.createDataFrame([(a, b) for a in (0, 1, 2, 9, None) for b in (0, 1)], "p int, q int")
+    columns = {"a": "p", "b": "q"}
+    best = {(r["p"], r["q"]): r["rule_i"] for r in rules.last_rules(every, rules.pattern_sets(table, values), columns).collect()}
     assert best == {(0, 0): 0, (0, 1): 1, (1, 0): 0, (1, 1): 0, (2, 0): 2, (2, 1): 2}
     df = spark.createDataFrame([(0, 1, "x"), (None, 1, "y"), (9, 1, "z")], "p int, q int, v string")
-    cells = rules.expand_rules(table.where("rule_i = 1"), values)
-    assert [r["v"] for r in rules.allow_rules(df, cells, {"a": "p", "b": "q"}).collect()] == ["x"]
+    sets = rules.pattern_sets(table.where("rule_i = 1"), values)
+    assert [r["v"] for r in rules.allow_rules(df, sets, columns).collect()] == ["x"]
+    assert rules.allow_rules(df, rules.pattern_sets(table.limit(0), values), columns).count() == 0
     uncovered = spark.createDataFrame([(0, 1)], "p int, q int")
     assert sorted(r["v"] for r in rules.deny_uncovered(df, uncovered, ["p", "q"]).collect()) == ["y", "z"]
     with pytest.raises(ValueError):
-        rules.allow_rules(df, cells, {"a": "p", "b": "missing"})
+        rules.allow_rules(df, sets, {"a": "p", "b": "missing"})
+    with pytest.raises(ValueError):
+        rules.pattern_sets(table.withColumn("rule_i", F.col("rule_i") - 1), values)
+
+
+def test_many_rules_over_large_vocabularies(spark):
+    """5,000 rules over four columns of 1,000 values each: 10^12 tuples, of which only those of the rows are looked at."""
+    import fnmatch
+    import random
+
+    rng = random.Random(3)
+    names = [f"t{k:03d}" for k in range(1000)]
+    table = [(i, *(rng.choice(["*", None, f"t{rng.randrange(10)}*", rng.choice(names), f"*{rng.randrange(10)}"]) for _ in range(4))) for i in range(5000)]
+    columns = ["a", "b", "c", "d"]
+    known = spark.createDataFrame(list(enumerate(names)), "code int, value string")
+    sets = rules.pattern_sets(spark.createDataFrame(table, "rule_i int, a string, b string, c string, d string"), dict.fromkeys(columns, known))
+    rows = [tuple(rng.randrange(1000) for _ in columns) for _ in range(2000)]
+    got = {tuple(r)[:4]: r["rule_i"] for r in rules.last_rules(spark.createDataFrame(rows, "a int, b int, c int, d int"), sets, {c: c for c in columns}).collect()}
+    for row in rows[:60]:
+        fit = [i for i, *patterns in table if all(p is None or fnmatch.fnmatchcase(names[x], p) for p, x in zip(patterns, row, strict=True))]
+        assert got.get(row) == (max(fit) if fit else None)
+
+
+def test_codes_and_wildcards_of_classes(spark):
+    rows = spark.createDataFrame([(0, 1), (1, 1), (1, None), (5, 5)], "c int, d int")
+    table = spark.createDataFrame([(0, -1, -1), (70, 1, -1), (140, 1, 1)], "rule_i int, c int, d int")
+    assert {(r["c"], r["d"]): r["rule_i"] for r in rules.classify_last_match(rows, table, ["c", "d"]).collect()} == {(0, 1): 0, (1, 1): 140, (1, None): 70, (5, 5): 0}
 
 
 def test_unclassified_pathway_is_an_error(spark):
