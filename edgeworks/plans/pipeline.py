@@ -9,10 +9,11 @@ from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from edgeworks.operators.model import check_columns
-from edgeworks.sources.tables import POST, checkpointed, checkpointed_table, exists, export, fingerprint, load_edges, provenance
+from edgeworks.sources.tables import POST, checkpointed, checkpointed_table, exists, export, fingerprint, load_edges, overlaps, provenance
 
 VERSION = "2"
 
@@ -27,7 +28,7 @@ class Step:
     dropped: frozenset[str] = field(default_factory=frozenset)
     added: frozenset[str] = field(default_factory=frozenset)
     checkpoint: bool = False
-    #: Whether rows may go; a step that keeps them all is checked where it is checkpointed.
+    #: Whether rows may go; one that keeps them all is checked where it is checkpointed.
     reductive: bool = True
     #: Columns that the checkpoint is bucketed and sorted by, as a table, and the number of its buckets.
     bucket_by: tuple[str, ...] = ()
@@ -49,7 +50,9 @@ def preset(names: Sequence[str], steps: dict[str, Step], optional: Sequence[str]
 
 
 def merge(spark: SparkSession, paths: list[str], out: str, order: tuple[str, ...] = POST) -> DataFrame:
-    """Merge mode: several edge files that do not overlap become one, without nodes or rules."""
+    """Merge mode: several edge files become one, without nodes or rules. Files that have edges in common are refused, since these would be there twice."""
+    if twice := overlaps(spark, paths).limit(1).collect():
+        raise ValueError(f"inputs {twice[0]['inputs']} overlap: both have the edge {twice[0]['synapse_id']} from {twice[0]['src']} to {twice[0]['dst']}")
     edges, metadata = load_edges(spark, paths)
     export(edges, out, order, provenance(metadata, VERSION, list(MERGE), "", {}))
     return spark.read.parquet(out)
@@ -67,32 +70,42 @@ def _load(spark: SparkSession, step: Step, state: str) -> DataFrame:
     return spark.table(_table(state)) if step.bucket_by else spark.read.parquet(state)
 
 
-def _save(spark: SparkSession, step: Step, df: DataFrame, state: str) -> DataFrame:
-    """df from its checkpoint; a state that can't be written is logged, and df goes on as it is."""
+def _save(spark: SparkSession, step: Step, df: DataFrame, state: str) -> tuple[DataFrame, bool]:
+    """df from its checkpoint, and whether it is there; a state that can't be written is logged, and df goes on as it is."""
     try:
         if step.bucket_by:
-            return checkpointed_table(spark, lambda: df, _table(state), list(step.bucket_by), step.buckets, overwrite=True)
-        return checkpointed(spark, lambda: df, state, overwrite=True)
+            return checkpointed_table(spark, lambda: df, _table(state), list(step.bucket_by), step.buckets, overwrite=True), True
+        return checkpointed(spark, lambda: df, state, overwrite=True), True
     except Py4JJavaError as error:
         logging.getLogger(__name__).warning("no checkpoint of %s: %s", step.name, error.java_exception)
     except PySparkException as error:
         logging.getLogger(__name__).warning("no checkpoint of %s: %s", step.name, error)
-    return df
+    return df, False
 
 
 def run(spark: SparkSession, edges: Callable[[], DataFrame], inputs: object, steps: Sequence[Step], folder: str, overwrite: bool = False) -> DataFrame:
     """Apply the steps. A checkpoint is named after the operators so far, their parameters and the inputs,
     so a change of any of them never meets an old state; the last state that is there is where to start.
-    overwrite makes all of them anew.
+    overwrite makes all of them anew. Rows are counted by the run that writes a state; steps that must keep them all are held against the state before.
     """
     states = [f"{folder}/{s.name}-{fingerprint([x.name for x in steps[: k + 1]], [x.parameters for x in steps[: k + 1]], inputs)}" for k, s in enumerate(steps)]
     start = 0 if overwrite else max((k + 1 for k, s in enumerate(steps) if s.checkpoint and _there(spark, s, states[k])), default=0)
     df = _load(spark, steps[start - 1], states[start - 1]) if start else edges()
+    # rows of df, where the run that wrote its state has told, or the state's footers do
+    rows = df.count() if start and any(s.checkpoint and not s.reductive for s in steps[start:]) else None
     for step, state in list(zip(steps, states, strict=True))[start:]:
         after = check_columns(df, step.apply(df), set(step.dropped), set(step.added))
+        if step.reductive:
+            rows = None
+        elif step.checkpoint and rows is None:
+            rows = df.count()
         if step.checkpoint:
-            after = _save(spark, step, after, state)
-            if not step.reductive and after.count() != df.count():
-                raise ValueError(f"{step.name} must keep all rows")
+            seen = Observation()
+            after, stored = _save(spark, step, after.observe(seen, F.count("*").alias("n")), state)
+            if stored:
+                found = seen.get["n"]
+                if rows is not None and found != rows:
+                    raise ValueError(f"{step.name} must keep all rows")
+                rows = found
         df = after
     return df

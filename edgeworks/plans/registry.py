@@ -16,7 +16,7 @@ from edgeworks.functions.bins import value_bins
 from edgeworks.functions.random import keyed_gamma, keyed_poisson, keyed_trunc_normal, keyed_uniform
 from edgeworks.operators import geometry, ids, matching, model, properties, quality, rules, sampling
 from edgeworks.sources import fixtures as fx
-from edgeworks.sources import tables
+from edgeworks.sources import nodesets, tables
 from edgeworks.sources.checkpoint import ensure_checkpoint_dir, written
 
 from . import pipeline
@@ -195,6 +195,28 @@ def nodeset_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.assemble(fx.edges(spark, sf_dir), source, target).select("src", "dst", "synapse_id")
 
 
+#: Named sets of nodes: attributes, lists of values, comparisons, and sets of sets.
+NODESETS = {
+    "excitatory": {"synapse_class_i": 0},
+    "outer": {"region_i": [1, 4]},
+    "first": {"node_id": {"$lte": 40}},
+    "large": {"mtype_i": {"$gte": 2, "$lt": 5}, "morphology": {"$regex": "M[0-9]*[13579]"}},
+    "sources": ["excitatory", "first"],
+    "targets": ["outer", "large"],
+    "all_targets": ["targets", "outer"],
+}
+
+
+@query("SELECT e.src, e.dst, e.synapse_id FROM edges e JOIN srcn s ON s.id = e.src JOIN dstn d ON d.id = e.dst WHERE (s.synapse_class_i = 0 OR s.id <= 40) AND (d.region_i IN (1, 4) OR (d.mtype_i >= 2 AND d.mtype_i < 5 AND regexp_full_match(d.morphology, 'M[0-9]*[13579]')))", "edges", "srcn", "dstn")
+def nodeset_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named sets on both sides of a run, the target's from a cache."""
+    path, folder = scratch(spark, "nodes"), scratch(spark, "cache")
+    fx.target_nodes(spark, sf_dir).write.parquet(path)
+    source = nodesets.named_nodes(fx.source_nodes(spark, sf_dir), NODESETS, "sources")
+    target = tables.cached_nodes(spark, path, folder, "all_targets", NODESETS)
+    return model.assemble(fx.edges(spark, sf_dir), source, target).select("src", "dst", "synapse_id")
+
+
 @query("SELECT id, morph_class, morphology, mtype_i, synapse_class_i FROM srcn", "srcn")
 def node_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "nodes")
@@ -483,6 +505,28 @@ def merge_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.merge(spark, _halves(spark, sf_dir), scratch(spark, "merged"))
 
 
+_PART = "(SELECT max(p_partkey) FROM part)"
+
+
+@query(f"SELECT src, dst, synapse_id, '0,1' AS inputs FROM edges WHERE dst * 5 > {_PART} * 2 AND dst * 5 <= {_PART} * 3", "edges")
+def merge_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges that two exports with overlapping ranges of target nodes have in common, for which merge mode refuses them."""
+    df, last = fx.edges(spark, sf_dir).select("src", "dst", "synapse_id", "distance_soma", *tables.CODES), fx.table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0]
+    paths = [scratch(spark, f"range{k}") for k in (0, 1)]
+    for path, half in zip(paths, (df.where(F.col("dst") * 5 <= last * 3), df.where(F.col("dst") * 5 > last * 2)), strict=True):
+        tables.export(half, path)
+    return tables.overlaps(spark, paths).withColumn("inputs", F.array_join("inputs", ","))
+
+
+@query("SELECT 'afferent_section_type' AS name, min(afferent_section_type) + 1 AS low, max(afferent_section_type) + 1 AS high, 1 AS base FROM edges UNION ALL SELECT 'efferent_section_type', min(efferent_section_type) + 1, max(efferent_section_type) + 1, 1 FROM edges", "edges")
+def footer_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges of the section type codes of an export, from the footers of its files, and the base that follows."""
+    path = scratch(spark, "codes")
+    tables.export(fx.edges(spark, sf_dir).select("src", "dst", "synapse_id", *tables.CODES), path)
+    ranges = tables.footer_ranges(spark, path, list(tables.CODES))
+    return spark.createDataFrame([(c, *r, tables.base_of(ranges)) for c, r in ranges.items()], "name string, low long, high long, base int")
+
+
 @query("SELECT key, value FROM (SELECT 'source_population_name' AS key, 'A' AS value UNION ALL SELECT 'source_population_size', CAST(count(*) AS VARCHAR) FROM supplier UNION ALL SELECT 'merge' || synapse_id % 2 || '_rows', CAST(count(*) AS VARCHAR) FROM edges GROUP BY synapse_id % 2 UNION ALL SELECT 'merge' || k || '_run1_operators', 'half' || k FROM range(2) r(k) UNION ALL SELECT 'run2_operators', 'edge_merge')", "edges")
 def provenance_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the metadata of a merge says, read from the files: populations, rows and operators of both inputs, and the run that follows them."""

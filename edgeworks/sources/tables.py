@@ -8,10 +8,14 @@ import re
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Attributes of nodes that are never read.
+from .checkpoint import written
+from .nodesets import members, named_nodes
+
+# fixed values: attributes of nodes that are never read
 EXCLUDED = re.compile(r"(rotation|orientation)_.*|x|y|z")
 POPULATION_KEYS = ("source_population_name", "source_population_size", "target_population_name", "target_population_size")
 POST = ("target_node_id", "source_node_id", "synapse_id")
@@ -97,24 +101,112 @@ def _scan(spark: SparkSession, path: str, renames: dict[str, str]) -> DataFrame:
 def load_edges(spark: SparkSession, paths: list[str], codes: tuple[str, ...] = CODES, renames: dict[str, str] | None = None) -> tuple[DataFrame, dict[str, str]]:
     """All inputs as one table with section type codes from zero, and their merged metadata.
 
-    The code base of each input follows from the version in its metadata, or from its codes where there is none.
+    The code base of each input follows from the version in its metadata, or from its codes where there is none; their range is in the footers of its files.
     """
     parts, found = [], []
     for path in paths:
         found.append(read_metadata(spark, path))
-        parts.append(normalize_codes(_scan(spark, path, renames or {}), list(codes), found[-1].get(VERSION_KEY)))
+        df, version = _scan(spark, path, renames or {}), found[-1].get(VERSION_KEY)
+        parts.append(shift_codes(df, list(codes), -(_version_base(version) if version else base_of(footer_ranges(spark, path, list(codes), renames)))))
     return reduce(lambda a, b: a.unionByName(b), parts), merge_metadata(found)
 
 
+def footer_frame(spark: SparkSession, path: str, columns: list[str], renames: dict[str, str] | None = None) -> tuple[DataFrame | None, list[str]]:
+    """A frame of least and largest values (min_c, max_c) of the columns that the input has, under their present names, and these columns.
+
+    Spark's second reader pushes such aggregates into the scan, which then reads footers only.
+    """
+    raw = spark.read.parquet(path)
+    names = dict(zip(_scan(spark, path, renames or {}).columns, raw.columns, strict=True))
+    present = [c for c in columns if c in names]
+    if not present:
+        return None, present
+    changed = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        df = spark.read.parquet(path).agg(*[f(names[c]).alias(f"{f.__name__}_{c}") for c in present for f in (F.min, F.max)])
+        df.schema  # the reader is chosen here
+        df._jdf.queryExecution().executedPlan()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return df, present
+
+
+def footer_ranges(spark: SparkSession, path: str, columns: list[str], renames: dict[str, str] | None = None) -> dict[str, tuple[int | None, int | None]]:
+    """Least and largest value of each of the columns that the input has; of files whose footers don't tell, by a scan."""
+    df, present = footer_frame(spark, path, columns, renames)
+    if df is None:
+        return {}
+    try:
+        row = df.first()
+    except Py4JJavaError as error:
+        if "statistics" not in str(error.java_exception):
+            raise
+        return code_ranges(_scan(spark, path, renames or {}), columns)
+    return {c: (row[f"min_{c}"], row[f"max_{c}"]) for c in present}
+
+
+#: Columns that tell an edge from all others of a run.
+EDGE = ("src", "dst", "synapse_id")
+
+
+def overlaps(spark: SparkSession, paths: list[str], renames: dict[str, str] | None = None, by: str = "dst") -> DataFrame:
+    """(src, dst, synapse_id, inputs) of the edges that more than one input has; inputs are numbers in the order of paths.
+
+    A sweep over the ranges of `by` of all files, one row a file, finds the files whose range crosses one of another input. Only the rows of
+    these, and only those inside a crossing, are compared exactly.
+    """
+    scans = []
+    for k, path in enumerate(paths):
+        raw = spark.read.parquet(path)
+        with_file = raw.select("*", F.col("_metadata.file_path").alias("__file"))
+        named = with_file.toDF(*_scan(spark, path, renames or {}).columns, "__file")
+        scans.append(named.select(*EDGE, F.lit(k).alias("input"), F.concat(F.lit(f"{k}:"), "__file").alias("__file")))
+    edges = reduce(lambda a, b: a.unionByName(b), scans)
+    files, _ = written(edges.where(F.col(by).isNotNull()).groupBy("input", "__file").agg(F.min(by).alias("low"), F.max(by).alias("high")))
+    # one row a file from here on; each input's ranges become islands, and a sweep over their ends counts the inputs that are open
+    before = Window.partitionBy("input").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("input").orderBy("low", "high").rowsBetween(Window.unboundedPreceding, 0)
+    begins = F.coalesce(F.col("low") > F.max("high").over(before), F.lit(True)).cast("int")
+    islands = files.withColumn("begins", begins).withColumn("island", F.sum("begins").over(upto)).groupBy("input", "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    ends = islands.select(F.explode(F.array(F.struct(F.col("low").alias("at"), F.lit(1).alias("step")), F.struct(F.col("high").alias("at"), F.lit(-1).alias("step")))).alias("e")).select("e.*")
+    # at one place beginnings come first
+    sweep = Window.orderBy("at", F.desc("step"))
+    counted = ends.withColumns({"open": F.sum("step").over(sweep.rowsBetween(Window.unboundedPreceding, 0)), "next": F.lead("at").over(sweep)})
+    crossings = counted.where("open > 1").select(F.col("at").alias("start"), F.col("next").alias("stop"))
+    # a file meets the first crossing that stops at or after its beginning, and the last one that starts at or before its end
+    nothing = F.lit(None).cast("long")
+    marks = lambda at, order: crossings.select(F.col(at).alias("at"), "start", "stop", nothing.alias("high"), F.lit(None).cast("string").alias("__file"), F.lit(order).alias("order"))
+    first = marks("stop", 1).unionByName(files.select(F.col("low").alias("at"), nothing.alias("start"), nothing.alias("stop"), "high", "__file", F.lit(0).alias("order")))
+    first = first.withColumn("__since", F.min("start").over(Window.orderBy("at", "order").rowsBetween(0, Window.unboundedFollowing))).where("__file IS NOT NULL AND __since <= high").select("__file", "__since")
+    last = marks("start", 0).unionByName(files.select(F.col("high").alias("at"), nothing.alias("start"), nothing.alias("stop"), "high", "__file", F.lit(1).alias("order")))
+    last = last.withColumn("__upto", F.max("stop").over(Window.orderBy("at", "order").rowsBetween(Window.unboundedPreceding, 0))).where("__file IS NOT NULL").select("__file", "__upto")
+    bounds = first.join(last, "__file")
+    inside = F.col(by).between(F.col("__since"), F.col("__upto"))
+    compared = edges.join(bounds, "__file").where(inside)
+    return compared.groupBy(*EDGE).agg(F.sort_array(F.collect_set("input")).alias("inputs")).where(F.size("inputs") > 1)
+
+
 def _provenance_path(path: str) -> str:
     return f"{path.rstrip('/')}_provenance"
 
 
 def read_metadata(spark: SparkSession, path: str) -> dict[str, str]:
-    """The provenance that export() wrote beside the edges; nothing where there is none."""
-    if not exists(spark, _provenance_path(path)):
-        return {}
-    return {r["key"]: r["value"] for r in spark.read.parquet(_provenance_path(path)).collect()}
+    """The provenance that export() wrote beside the edges, and the populations that the columns of nodes name where it does not."""
+    beside = {r["key"]: r["value"] for r in spark.read.parquet(_provenance_path(path)).collect()} if exists(spark, _provenance_path(path)) else {}
+    return {**populations(spark.read.parquet(path)), **beside}
+
+
+def populations(df: DataFrame) -> dict[str, str]:
+    """Names and sizes of the populations in the metadata of the columns of source and target nodes, which Parquet keeps."""
+    out = {}
+    for column, side in (("source_node_id", "source"), ("target_node_id", "target")):
+        known = df.schema[column].metadata if column in df.columns else {}
+        out.update({f"{side}_population_{x}": str(known[f"population_{x}"]) for x in ("name", "size") if f"population_{x}" in known})
+    return out
 
 
 def read_nodes(spark: SparkSession, path: str, exclude: re.Pattern = EXCLUDED) -> DataFrame:
@@ -123,38 +215,54 @@ def read_nodes(spark: SparkSession, path: str, exclude: re.Pattern = EXCLUDED) -
     return df.select("id", *sorted(c for c in df.columns if c != "id" and not exclude.fullmatch(c)))
 
 
-def cached_nodes(spark: SparkSession, path: str, folder: str, nodeset: str = "true") -> DataFrame:
-    """read_nodes() restricted to a nodeset, kept as Parquet under a name that path, size, time of change and nodeset make."""
-    state = fingerprint(["nodes"], nodeset, [path, folder_bytes(spark, path), changed_at(spark, path)])
-    return checkpointed(spark, lambda: apply_nodeset(read_nodes(spark, path), nodeset), f"{folder.rstrip('/')}/nodes-{state}")
+def cached_nodes(spark: SparkSession, path: str, folder: str, nodeset: str = "true", sets: dict[str, object] | None = None) -> DataFrame:
+    """read_nodes() restricted to a nodeset, kept as Parquet under a name that path, size, time of change and nodeset make.
+
+    A nodeset is a predicate, or with sets the name of one of them; then what it comes down to is part of the name.
+    """
+    wanted = nodeset if sets is None else {n: sets[n] for n in members(sets, nodeset)}
+    state = fingerprint(["nodes"], wanted, [path, folder_bytes(spark, path), changed_at(spark, path)])
+    chosen = (lambda nodes: apply_nodeset(nodes, nodeset)) if sets is None else (lambda nodes: named_nodes(nodes, sets, nodeset))
+    return checkpointed(spark, lambda: chosen(read_nodes(spark, path)), f"{folder.rstrip('/')}/nodes-{state}")
 
 
 def apply_nodeset(nodes: DataFrame, predicate: str) -> DataFrame:
     return nodes.where(F.expr(predicate))
 
 
-def code_base(df: DataFrame, columns: list[str], version: str | None = None) -> int:
-    """How much to take from section type codes: 1 where they start at one, else 0."""
-    present = [c for c in columns if c in df.columns]
-    if not present:
-        return 0
-    if version is not None:
-        return int(tuple(map(int, re.findall(r"\d+", version)[:3])) >= SHIFTED_SINCE)
-    row = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in present for f in (F.min, F.max)]).first()
-    votes = set()
-    for c in present:
-        low, high = row[f"min_{c}"], row[f"max_{c}"]
-        if low is None:
-            continue
+def _version_base(version: str) -> int:
+    return int(tuple(map(int, re.findall(r"\d+", version)[:3])) >= SHIFTED_SINCE)
+
+
+def base_of(ranges: dict[str, tuple[int | None, int | None]]) -> int:
+    """How much to take from section type codes of these ranges: 1 where they start at one, else 0. Columns without values don't count; where none has any, nothing is to be taken."""
+    votes, known = set(), {c: r for c, r in ranges.items() if r[0] is not None}
+    for c, (low, high) in known.items():
         if low < 0 or high > 4 or (low == 0 and high == 4):
             raise ValueError(f"{c} has codes from {low} to {high}")
         if low == 0:
             votes.add(0)
         elif high == 4:
             votes.add(1)
-    if len(votes) != 1:
-        raise ValueError(f"the code base of {present} can't be told")
-    return votes.pop()
+    if known and len(votes) != 1:
+        raise ValueError(f"the code base of {sorted(known)} can't be told")
+    return votes.pop() if votes else 0
+
+
+def code_ranges(df: DataFrame, columns: list[str]) -> dict[str, tuple[int | None, int | None]]:
+    """Least and largest value of those of the columns that df has."""
+    present = [c for c in columns if c in df.columns]
+    if not present:
+        return {}
+    row = df.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in present for f in (F.min, F.max)]).first()
+    return {c: (row[f"min_{c}"], row[f"max_{c}"]) for c in present}
+
+
+def code_base(df: DataFrame, columns: list[str], version: str | None = None) -> int:
+    """How much to take from df's section type codes; by its values where no version says it."""
+    if not set(columns) & set(df.columns):
+        return 0
+    return _version_base(version) if version is not None else base_of(code_ranges(df, columns))
 
 
 def shift_codes(df: DataFrame, columns: list[str], by: int) -> DataFrame:
@@ -199,9 +307,10 @@ def provenance_table(spark: SparkSession, metadata: dict[str, str]) -> DataFrame
     return spark.createDataFrame(sorted(metadata.items()), "key string, value string")
 
 
-def with_population(df: DataFrame, column: str, name: str, size: int) -> DataFrame:
-    """Put a population's name and size into a column's metadata, which Parquet keeps."""
-    return df.withMetadata(column, {"population_name": name, "population_size": size, **df.schema[column].metadata})
+def with_population(df: DataFrame, column: str, name: str, size: int | None = None) -> DataFrame:
+    """Put a population's name, and its size if it is known, into a column's metadata, which Parquet keeps."""
+    known = {"population_name": name} | ({} if size is None else {"population_size": size})
+    return df.withMetadata(column, {**known, **df.schema[column].metadata})
 
 
 def export_frame(df: DataFrame, order: tuple[str, ...] = POST, codes: tuple[str, ...] = CODES) -> DataFrame:
@@ -226,7 +335,8 @@ def export(df: DataFrame, path: str, order: tuple[str, ...] = POST, metadata: di
     if metadata:
         for column, side in (("source_node_id", "source"), ("target_node_id", "target")):
             if f"{side}_population_name" in metadata:
-                out = with_population(out, column, metadata[f"{side}_population_name"], int(metadata.get(f"{side}_population_size", 0)))
+                size = metadata.get(f"{side}_population_size")
+                out = with_population(out, column, metadata[f"{side}_population_name"], None if size is None else int(size))
     out.write.mode("overwrite").parquet(path)
     if metadata:
         provenance_table(df.sparkSession, metadata).coalesce(1).write.mode("overwrite").parquet(_provenance_path(path))
