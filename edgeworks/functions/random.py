@@ -1,119 +1,97 @@
-"""Random numbers that depend only on seed, key and row id, so partitioning never changes them."""
+"""Random numbers that depend only on seed, key and row id, so partitioning never changes them. All are columns of built-in functions."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
-from functools import partial
-from statistics import NormalDist
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SCALE = float(1 << 52)
+#: Draws of a gamma number; each is taken with a probability of over 0.95.
+TRIES = 24
+#: Terms of the series of the normal distribution within one sd of the mean.
+TERMS = 16
+# fixed values: coefficients of algorithm AS 241 (Wichura 1988) for the middle of the normal distribution, from the lowest power on
+QUANTILE_OVER = (3.3871328727963666080, 133.14166789178437745, 1971.5909503065514427, 13731.693765509461125, 45921.953931549871457, 67265.770927008700853, 33430.575583588128105, 2509.0809287301226727)
+QUANTILE_UNDER = (1.0, 42.313330701600911252, 687.18700749205790830, 5394.1960214247511077, 21213.794301586595867, 39307.895800092710610, 28729.085735721942674, 5226.4952788528545610)
 
 
-def keyed_uniform(seed: int, key: int, row_id: Column | str) -> Column:
-    """A double in [0, 1): the first 52 bits of a digest of seed, key and id."""
-    text = F.concat_ws(":", F.lit(str(seed)), F.lit(str(key)), F.col(row_id).cast("string") if isinstance(row_id, str) else row_id.cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(_SCALE)
-
-
-def _bits(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def uniforms(seed: int, key: int, ids: np.ndarray, draw: int) -> np.ndarray:
-    """The draw-th number in (0, 1) of each id; for the distributions that need several."""
-    x = _bits(ids.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    # arrays of one entry: they wrap around without a warning
-    for part in (seed, key, draw):
-        x = _bits(x ^ _bits(np.array([part % (1 << 64)], np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
-    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / _SCALE
-
-
-def normals(seed: int, key: int, ids: np.ndarray, draw: int) -> np.ndarray:
-    u, v = uniforms(seed, key, ids, 2 * draw), uniforms(seed, key, ids, 2 * draw + 1)
-    return np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * v)
-
-
-def gamma(seed: int, key: int, ids: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
-    """Gamma numbers by squeeze-free rejection; a shape under one is drawn one higher and scaled back. Null parameters give NaN."""
-    known = ~(np.isnan(mean) | np.isnan(sd))
-    if (known & ((mean <= 0) | (sd <= 0))).any():
-        raise ValueError("a gamma distribution needs positive mean and sd")
-    with np.errstate(divide="ignore", invalid="ignore"):
-        shape, scale = mean**2 / sd**2, sd**2 / mean
-    d = np.where(shape < 1, shape + 1, shape) - 1 / 3
-    c = 1 / np.sqrt(9 * d)
-    out, open_ = np.where(known, 0.0, np.nan), np.flatnonzero(known)
-    draw = 0
-    while len(open_):
-        z, u = normals(seed, key, ids[open_], 3 * draw), uniforms(seed, key ^ 0x5A5A, ids[open_], draw)
-        v = (1 + c[open_] * z) ** 3
-        with np.errstate(divide="ignore", invalid="ignore"):
-            good = (v > 0) & (np.log(u) < 0.5 * z * z + d[open_] * (1 - v + np.log(np.where(v > 0, v, 1))))
-        out[open_[good]] = d[open_[good]] * v[good]
-        open_, draw = open_[~good], draw + 1
-    low = shape < 1
-    out[low] *= uniforms(seed, key ^ 0xA5A5, ids[low], 0) ** (1 / shape[low])
-    return out * scale
-
-
-_STANDARD = NormalDist()
-_phi = np.frompyfunc(lambda x: 0.5 * math.erfc(-x / math.sqrt(2)), 1, 1)
-_quantile = np.frompyfunc(_STANDARD.inv_cdf, 1, 1)
-
-
-def truncated_normal(seed: int, key: int, ids: np.ndarray, mean: np.ndarray, sd: np.ndarray) -> np.ndarray:
-    """Normal numbers within one sd of the mean and not below zero, by the inverse distribution function. Null parameters give NaN."""
-    if ((sd < 0) | (mean + sd < 0)).any():
-        raise ValueError("no value within one sd of the mean is zero or more")
-    with np.errstate(divide="ignore", invalid="ignore"):
-        low = np.where(sd > 0, np.maximum(-1.0, -mean / np.where(sd > 0, sd, 1)), -1.0)
-    a, b = _phi(low).astype(float), float(_STANDARD.cdf(1))
-    p = a + uniforms(seed, key, ids, 0) * (b - a)
-    return np.maximum(0.0, mean + sd * _quantile(np.clip(p, 1e-15, 1 - 1e-15)).astype(float))
-
-
-def poisson(u: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """1 + Poisson(k - 1) for k of 1 or more, else 1; by inversion of the numbers u in [0, 1)."""
-    rate = np.maximum(0.0, k - 1)
-    term = np.exp(-rate)
-    total, n = term.copy(), np.zeros(len(u), np.int64)
-    open_ = np.flatnonzero((u > total) & (term > 0))
-    while len(open_):
-        n[open_] += 1
-        term[open_] *= rate[open_] / n[open_]
-        total[open_] += term[open_]
-        # the second test ends a tail that has run out of precision
-        open_ = open_[(u[open_] > total[open_]) & ((n[open_] < rate[open_]) | (term[open_] > 1e-17))]
-    return n + 1
-
-
-def _column(draw: Callable[..., np.ndarray], kind: str, args: list[Column]) -> Column:
-    def run(batches):
-        for parts in batches:
-            yield pd.Series(draw(*(p.to_numpy() for p in parts)))
-
-    run.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, kind)(*args)
+def keyed_uniform(seed: int, key: int, row_id: Column | str, draw: Column | int | None = None) -> Column:
+    """A double in [0, 1): the first 52 bits of a digest of seed, key, id and the number of the draw, if there are several."""
+    parts = [F.lit(str(seed)), F.lit(str(key)), F.col(row_id).cast("string") if isinstance(row_id, str) else row_id.cast("string")]
+    if draw is not None:
+        parts.append(draw.cast("string") if isinstance(draw, Column) else F.lit(str(draw)))
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("long") / F.lit(_SCALE)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _polynomial(coefficients: Sequence[float], x: Column) -> Column:
+    out = F.lit(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        out = out * x + F.lit(c)
+    return out
+
+
+def _known(mean: Column, sd: Column, wrong: Column, what: str, value: Column) -> Column:
+    """value, null where a parameter is, and an error where no draw can satisfy them."""
+    return F.when(mean.isNull() | sd.isNull(), F.lit(None).cast("double")).when(wrong, F.raise_error(F.lit(what)).cast("double")).otherwise(value)
 
 
 def keyed_gamma(seed: int, key: int, row_id: Column, mean: Column, sd: Column) -> Column:
-    return _column(partial(gamma, seed, key), "double", [row_id, mean, sd])
+    """Gamma numbers by rejection from cubed normal ones (Marsaglia and Tsang): the first of TRIES draws that is taken. A shape under one is drawn one higher and scaled back."""
+    shape, scale = mean * mean / (sd * sd), sd * sd / mean
+    least = F.when(shape < 1, shape + 1).otherwise(shape) - F.lit(1 / 3)
+    uniform = lambda k: keyed_uniform(seed, key, row_id, k)
+
+    def attempt(d: Column, k: Column) -> Column:
+        normal = F.sqrt(-2 * F.log(1 - uniform(3 * k))) * F.cos(F.lit(2) * F.pi() * uniform(3 * k + 1))
+        return _let(normal, lambda z: _let(F.pow(1 + z / F.sqrt(9 * d), F.lit(3)), lambda v: F.when((v > 0) & (F.log(1 - uniform(3 * k + 2)) < 0.5 * z * z + d * (1 - v + F.log(v))), d * v)))
+
+    drawn = _let(least, lambda d: F.coalesce(F.aggregate(F.sequence(F.lit(0), F.lit(TRIES - 1)), F.lit(None).cast("double"), lambda found, k: F.coalesce(found, attempt(d, k))), d))
+    low = F.when(shape < 1, F.pow(1 - uniform(-1), 1 / shape)).otherwise(1.0)
+    return _known(mean, sd, (mean <= 0) | (sd <= 0), "a gamma distribution needs positive mean and sd", drawn * low * scale)
+
+
+def normal_cdf(x: Column) -> Column:
+    """The standard normal distribution function for x within -1 to 1, by its series around 0."""
+    out = F.lit(1.0)
+    for k in range(TERMS, 0, -1):
+        out = 1 + x * x / F.lit(2.0 * k + 1) * out
+    return 0.5 + x * F.exp(-0.5 * x * x) / F.sqrt(2 * F.pi()) * out
+
+
+def normal_quantile(p: Column) -> Column:
+    """The inverse of normal_cdf(), for p within 0.075 to 0.925."""
+    q = p - 0.5
+    r = F.lit(0.180625) - q * q
+    return q * _polynomial(QUANTILE_OVER, r) / _polynomial(QUANTILE_UNDER, r)
 
 
 def keyed_trunc_normal(seed: int, key: int, row_id: Column, mean: Column, sd: Column) -> Column:
-    return _column(partial(truncated_normal, seed, key), "double", [row_id, mean, sd])
+    """Normal numbers within one sd of the mean and not below zero, by the inverse distribution function."""
+    # one of the sd is 0 where all numbers are the mean
+    low = F.greatest(F.lit(-1.0), F.coalesce(F.try_divide(-mean, sd), F.lit(-1.0)))
+    a, b = normal_cdf(low), normal_cdf(F.lit(1.0))
+    value = _let(a, lambda a: F.greatest(F.lit(0.0), mean + sd * normal_quantile(a + keyed_uniform(seed, key, row_id) * (b - a))))
+    return _known(mean, sd, (sd < 0) | (mean + sd < 0), "no value within one sd of the mean is zero or more", value)
 
 
 def keyed_poisson(seed: int, key: int, row_id: Column, k: Column) -> Column:
-    return _column(poisson, "long", [keyed_uniform(seed, key, row_id), k])
+    """1 + Poisson(k - 1) for k of 1 or more, else 1: how many sums of the terms a number is above, and one."""
+    rate, u = F.greatest(F.lit(0.0), k - 1), keyed_uniform(seed, key, row_id)
+    # so many terms that the rest of the tail has no number in it
+    most = F.ceil(rate + 12 * F.sqrt(rate) + 24).cast("int")
+
+    def step(s: Column, n: Column) -> Column:
+        return F.when(s["total"] >= u, s).otherwise(F.struct((s["term"] * rate / n).alias("term"), (s["total"] + s["term"] * rate / n).alias("total"), n.cast("long").alias("n")))
+
+    start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("total"), F.lit(0).cast("long").alias("n"))
+    return F.when(k.isNotNull(), F.aggregate(F.sequence(F.lit(1), most), start, step, lambda s: s["n"] + 1))
 
 
 def check_params(mean: float, sd: float, distribution: str) -> None:

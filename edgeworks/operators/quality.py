@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,13 +36,15 @@ def cut_counts(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def property_invariants(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Connections with more than one property set: none, where the properties were drawn once a connection.
+def property_invariants(df: DataFrame, columns: list[str], numbers: list[str] = (), agrees: Column | None = None) -> DataFrame:
+    """(src, dst, n_sets, n_negative, n_mismatched): sets of properties of a connection, of which there should be one, and its edges with a negative number or whose class does not agree.
 
-    The distinct sets are formed before the shuffle, so a connection of many edges sends few rows.
+    Edges are counted by set before the shuffle, so a connection of many edges sends few rows. A null number is not negative, and a null agreement is none.
     """
-    sets = df.select("src", "dst", *columns).distinct()
-    return sets.groupBy("src", "dst").agg(F.count("*").alias("n_sets"))
+    negative = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) < 0, F.lit(False)) for c in numbers], F.lit(False))
+    mismatched = F.lit(False) if agrees is None else ~F.coalesce(agrees, F.lit(False))
+    sets = df.groupBy("src", "dst", *columns).agg(F.count_if(negative).alias("negative"), F.count_if(mismatched).alias("mismatched"))
+    return sets.groupBy("src", "dst").agg(F.count("*").alias("n_sets"), F.sum("negative").alias("n_negative"), F.sum("mismatched").alias("n_mismatched"))
 
 
 def eventlog_metrics(spark: SparkSession, path: str) -> DataFrame:

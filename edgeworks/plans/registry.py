@@ -136,14 +136,14 @@ def _drawn(spark: SparkSession, sf_dir: str, draw) -> DataFrame:
     return fx.edges(spark, sf_dir).select("synapse_id", draw(F.col("synapse_id")).alias("x"))
 
 
-@query()
+@query(f"SELECT synapse_id, round({fx.gamma_sql(fx.SEED, 0x1001, 'synapse_id', '0.33::DOUBLE', '0.28::DOUBLE')}, 6) AS x FROM edges", "edges")
 def keyed_gamma_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drawn(spark, sf_dir, lambda i: keyed_gamma(fx.SEED, 0x1001, i, F.lit(0.33), F.lit(0.28)))
+    return _drawn(spark, sf_dir, lambda i: r6(keyed_gamma(fx.SEED, 0x1001, i, F.lit(0.33), F.lit(0.28))))
 
 
-@query()
+@query(f"SELECT synapse_id, round({fx.trunc_normal_sql(fx.SEED, 0x1004, 'synapse_id', '0.25::DOUBLE', '0.13::DOUBLE')}, 6) AS x FROM edges", "edges")
 def keyed_trunc_normal_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drawn(spark, sf_dir, lambda i: keyed_trunc_normal(fx.SEED, 0x1004, i, F.lit(0.25), F.lit(0.13)))
+    return _drawn(spark, sf_dir, lambda i: r6(keyed_trunc_normal(fx.SEED, 0x1004, i, F.lit(0.25), F.lit(0.13))))
 
 
 @query()
@@ -154,6 +154,8 @@ def keyed_poisson_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 for _name in ("keyed_gamma", "keyed_trunc_normal", "keyed_poisson"):
     QUERIES[_name] = QUERIES.pop(f"{_name}_draws")
+    if f"{_name}_draws" in ORACLES:
+        ORACLES[_name] = ORACLES.pop(f"{_name}_draws")
 ORACLES["keyed_poisson"] = fx.with_sql("edges").rstrip() + f", term AS (SELECT i, CAST(exp(-2.5) * 2.5 ** i / factorial(CAST(i AS INT)) AS DOUBLE) AS t FROM range(30) r(i)), below AS (SELECT list(c ORDER BY i) AS cs FROM (SELECT i, sum(t) OVER (ORDER BY i) AS c FROM term)) SELECT synapse_id, 1 + len(list_filter(cs, lambda c: c < u)) AS x FROM (SELECT synapse_id, {fx.uniform_sql(fx.SEED, 0x1006, 'synapse_id')} AS u FROM edges), below"
 
 
@@ -323,13 +325,30 @@ def synapse_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def connection_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [name for name, _, _ in properties.DRAWS]
-    return _propertied(spark, sf_dir).select("src", "dst", "synapse_id", "class", *names)
+    return _propertied(spark, sf_dir).select("src", "dst", "synapse_id", "class", *[r6(c).alias(c) if c != "n_rrp_vesicles" else F.col(c).cast("int").alias(c) for c in names])
+
+
+def _draw_sql(name: str, key: int, kind: str) -> str:
+    if kind == "poisson":  # of a mean of one at most, which all classes have
+        return f"1 AS {name}"
+    draw = fx.gamma_sql if kind == "gamma" else fx.trunc_normal_sql
+    return f"round({draw(fx.SEED, key, 'first_id', f'{name}_mu', f'{name}_sd')}, 6) AS {name}"
 
 
-@query("SELECT src, dst, 1 AS n_sets FROM (SELECT DISTINCT src, dst FROM circuit)", "circuit")
+ORACLES["connection_properties"] = fx.with_sql("circuit", "classes") + (
+    "SELECT c.src, c.dst, c.synapse_id, d.* EXCLUDE (src, dst) FROM circuit c JOIN (SELECT src, dst, \"class\", "
+    + ", ".join(_draw_sql(*d) for d in properties.DRAWS)
+    + " FROM (SELECT src, dst, min(synapse_id) AS first_id, min(CASE WHEN src_synapse_class_i = 1 THEN 'I2' ELSE 'E2' END) AS kind FROM circuit GROUP BY src, dst) JOIN classes ON \"class\" = kind) d ON d.src = c.src AND d.dst = c.dst"
+)
+
+
+@query("SELECT src, dst, 1 AS n_sets, 0 AS n_negative, 0 AS n_mismatched FROM (SELECT DISTINCT src, dst FROM circuit)", "circuit")
 def property_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["class", *(name for name, _, _ in properties.DRAWS)]
-    return quality.property_invariants(_propertied(spark, sf_dir), names).select("src", "dst", F.col("n_sets").cast("int").alias("n_sets"))
+    """One set of properties a connection, none negative, and the class that the source's class asks for."""
+    names = [name for name, _, _ in properties.DRAWS]
+    wanted = F.when(F.col("src_synapse_class_i") == 1, "I2").otherwise("E2")
+    found = quality.property_invariants(_propertied(spark, sf_dir), ["class", *names], names, F.col("class") == wanted)
+    return found.select("src", "dst", *[F.col(c).cast("int").alias(c) for c in ("n_sets", "n_negative", "n_mismatched")])
 
 
 @query("SELECT synapse_id, CASE WHEN m THEN f.section_id ELSE c.afferent_section_id END AS afferent_section_id, CASE WHEN m THEN 1 ELSE c.afferent_section_type END AS afferent_section_type, CASE WHEN m THEN 0 ELSE c.afferent_segment_id END AS afferent_segment_id, round(CASE WHEN m THEN f.\"offset\" END, 6) AS afferent_segment_offset, round(CASE WHEN m THEN f.root_distance ELSE c.distance_soma END, 6) AS distance_soma FROM (SELECT k.*, (n.n_name GLOB 'NATION_1*' OR (n.n_name = 'NATION_7' AND d.value = 'SMALL')) AND g.section_id IS NOT NULL AS m FROM circuit k JOIN nation n ON n_nationkey = src_mtype_i JOIN dtypes d ON d.code = dst_mtype_i LEFT JOIN firstsec g ON g.morphology = k.src_morphology) c LEFT JOIN firstsec f ON f.morphology = c.src_morphology", "circuit", "firstsec")

@@ -14,12 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edgeworks.functions import random
 from edgeworks.operators.ids import dense_id
 from edgeworks.operators.model import assemble
 
 from .checkpoint import ensure_checkpoint_dir
 from .package import ship
-from .tables import checkpointed
+from .tables import changed_at, checkpointed, folder_bytes
 
 SEED = 20261
 SRC_MTYPES, DST_MTYPES = 25, 6
@@ -48,12 +49,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_stored: dict[tuple[str, ...], str] = {}
+_stored: dict[tuple, str] = {}
 
 
 def stored(spark: SparkSession, name: str, sf_dir: str, make: Callable[[], DataFrame]) -> DataFrame:
     """What make() gives, written once an application, so that a query's time is that of its operator."""
-    key = spark.sparkContext.applicationId, name, sf_dir
+    # a table that has changed under the same path makes a new one
+    key = spark.sparkContext.applicationId, name, sf_dir, *(x(spark, f"{sf_dir}/lineitem.parquet") for x in (folder_bytes, changed_at))
     if key not in _stored:
         ensure_checkpoint_dir(spark)
         _stored[key] = f"{spark.sparkContext.getCheckpointDir()}/fixture-{name}-{uuid.uuid4().hex}"
@@ -190,6 +192,7 @@ SQL = {
     "kinds": _values(tuple(enumerate(SECTION_KINDS)), "code, value"),
     "trules": _values(TOUCH_RULES, "rule_i, src_mtype, dst_mtype, kind"),
     "tcells": "SELECT DISTINCT n.n_nationkey AS src_mtype_i, d.code AS dst_mtype_i, k.code AS afferent_section_type FROM trules r JOIN nation n ON n.n_name GLOB r.src_mtype JOIN dtypes d ON d.value GLOB r.dst_mtype JOIN kinds k ON k.value GLOB r.kind",
+    "classes": _values(tuple(tuple(c.values()) for c in CLASSES), ", ".join(f'"{k}"' for k in CLASSES[0])),
     "crules": _values(CONNECTION_RULES, "rule_i, src_mtype, dst_mtype, " + ", ".join(CONNECTION_FIELDS)),
     "rulep": f"SELECT n_nationkey * {DST_MTYPES} + code AS pathway_i, " + ", ".join(f"arg_max(struct_pack(v := {c}), rule_i).v AS {c}" for c in CONNECTION_FIELDS) + " FROM crules r JOIN nation n ON n_name GLOB src_mtype JOIN dtypes d ON value GLOB dst_mtype GROUP BY 1",
     "params0": "SELECT s.*, 1.0 / structural_mean AS p, r.brf, r.cv, r.mean, r.sd, r.af, r.prob, r.p_a AS rpa, r.pmu_a AS rpmu, r.pathway_i IS NULL AS none FROM stats s LEFT JOIN rulep r ON r.pathway_i = s.pathway_i",
@@ -207,6 +210,42 @@ def uniform_sql(seed: int, key: int, row_id: str) -> str:
     return f"(('0x' || substr(md5('{seed}:{key}:' || {row_id}), 1, 13))::BIGINT / 4503599627370496.0)"
 
 
+def _let_sql(value: str, name: str, body: str) -> str:
+    return f"list_transform([{value}], lambda {name}: {body})[1]"
+
+
+def gamma_sql(seed: int, key: int, row_id: str, mean: str, sd: str) -> str:
+    """The draw of keyed_gamma()."""
+    shape = f"(({mean}) ** 2 / ({sd}) ** 2)"
+    least = f"(CASE WHEN {shape} < 1 THEN {shape} + 1 ELSE {shape} END - 1.0::DOUBLE / 3)"
+    u = lambda k: uniform_sql(seed, key, f"{row_id} || ':' || ({k})")
+    taken = f"CASE WHEN v > 0 AND ln(1 - {u('3 * k + 2')}) < 0.5 * z * z + {least} * (1 - v + ln(greatest(v, 1e-300))) THEN {least} * v END"
+    attempt = _let_sql(f"sqrt(-2 * ln(1 - {u('3 * k')})) * cos(2 * pi() * {u('3 * k + 1')})", "z", _let_sql(f"(1 + z / sqrt(9 * {least})) ** 3", "v", taken))
+    return f"(list_filter(list_transform(range({random.TRIES}), lambda k: {attempt}), lambda x: x IS NOT NULL)[1] * CASE WHEN {shape} < 1 THEN (1 - {u('-1')}) ** (1 / {shape}) ELSE 1 END * ({sd}) ** 2 / ({mean}))"
+
+
+def _cdf_sql(x: str) -> str:
+    series = "1"
+    for k in range(random.TERMS, 0, -1):
+        series = f"(1 + {x} * {x} / {2 * k + 1}.0::DOUBLE * {series})"
+    return f"(0.5 + {x} * exp(-0.5 * {x} * {x}) / sqrt(2 * pi()) * {series})"
+
+
+def trunc_normal_sql(seed: int, key: int, row_id: str, mean: str, sd: str) -> str:
+    """The draw of keyed_trunc_normal()."""
+
+    def polynomial(coefficients: tuple[float, ...]) -> str:
+        out = f"{coefficients[-1]!r}::DOUBLE"
+        for c in reversed(coefficients[:-1]):
+            out = f"({out} * r + {c!r}::DOUBLE)"
+        return out
+
+    low = f"greatest(-1.0::DOUBLE, coalesce(-({mean}) / nullif({sd}, 0), -1))"
+    p = _let_sql(low, "w", _let_sql(_cdf_sql("w"), "a", f"a + {uniform_sql(seed, key, row_id)} * ({_cdf_sql('1.0::DOUBLE')} - a)"))
+    z = _let_sql(f"{p} - 0.5", "q", _let_sql("0.180625 - q * q", "r", f"q * {polynomial(random.QUANTILE_OVER)} / {polynomial(random.QUANTILE_UNDER)}"))
+    return f"greatest(0, {mean} + {sd} * {z})"
+
+
 SQL["reduced"] = f"SELECT k.*, p.pmu_a FROM keyed k JOIN params p USING (pathway_i) WHERE p.p_a > {uniform_sql(SEED, 0x100, 'k.synapse_id')}"
 SQL["conns"] = "SELECT src, dst, min(pathway_i) AS pathway_i, count(*) AS n, min(synapse_id) AS first_id FROM reduced GROUP BY src, dst"
 SQL["survivors"] = f"SELECT * FROM (SELECT c.*, CASE WHEN pmu_a = 0 THEN 1.0 ELSE 1 / (1 + exp(-4 / (pmu_a / 4) * (n - pmu_a))) END AS survival FROM conns c JOIN params p USING (pathway_i) WHERE pmu_a IS NOT NULL) WHERE survival > 0 AND survival > {uniform_sql(SEED, 0x101, 'first_id')}"

@@ -311,13 +311,65 @@ def test_parameters_are_checked():
     with pytest.raises(ValueError):
         rnd.check_params(0, -1, "truncated_normal")
     rnd.check_params(0.0, 0.5, "truncated_normal")
-    one = np.array([1])
-    for mean, sd in ((0.0, 1.0), (1.0, 0.0), (-1.0, 1.0)):
-        with pytest.raises(ValueError):
-            rnd.gamma(1, 1, one, np.array([mean]), np.array([sd]))
-    with pytest.raises(ValueError):
-        rnd.truncated_normal(1, 1, one, np.array([-2.0]), np.array([1.0]))
-    assert np.isnan(rnd.gamma(1, 1, np.array([1, 2]), np.array([np.nan, 1.0]), np.array([1.0, 1.0]))).tolist() == [True, False]
+
+
+def _draw(spark, draw, rows):
+    df = spark.createDataFrame(rows, "i long, mean double, sd double")
+    return {r["i"]: r["x"] for r in df.select("i", draw(F.col("i"), F.col("mean"), F.col("sd")).alias("x")).collect()}
+
+
+def test_parameters_on_the_path_are_checked(spark):
+    gamma = lambda i, m, s: rnd.keyed_gamma(1, 1, i, m, s)
+    normal = lambda i, m, s: rnd.keyed_trunc_normal(1, 1, i, m, s)
+    for draw, mean, sd in ((gamma, 0.0, 1.0), (gamma, 1.0, 0.0), (gamma, -1.0, 1.0), (normal, -2.0, 1.0), (normal, 0.0, -1.0)):
+        with pytest.raises(Exception, match="needs positive|zero or more"):
+            _draw(spark, draw, [(1, mean, sd)])
+    for draw in (gamma, normal):
+        found = _draw(spark, draw, [(1, None, 1.0), (2, 1.0, None), (3, 1.0, 1.0)])
+        assert found[1] is None and found[2] is None and found[3] is not None
+    assert _draw(spark, normal, [(1, 3.0, 0.0)]) == {1: 3.0}
+
+
+@pytest.mark.parametrize(("mean", "sd"), [(0.33, 0.28), (1.0, 2.5), (706.0, 405.0), (10.0, 0.5)])
+def test_gamma_numbers_follow_their_distribution(spark, mean, sd):
+    x = np.sort(list(_draw(spark, lambda i, m, s: rnd.keyed_gamma(7, 3, i, m, s), [(i, mean, sd) for i in range(6000)]).values()))
+    assert x.min() > 0 and x.mean() == pytest.approx(mean, rel=0.1) and x.std() == pytest.approx(sd, rel=0.12)
+    # against numbers of another generator
+    other = np.sort(np.random.default_rng(1).gamma((mean / sd) ** 2, sd**2 / mean, 200_000))
+    assert np.abs(np.searchsorted(other, x) / len(other) - (np.arange(len(x)) + 0.5) / len(x)).max() < 0.03
+
+
+@pytest.mark.parametrize(("mean", "sd"), [(0.25, 0.13), (0.0, 0.5), (-0.9, 1.0), (8.3, 2.2)])
+def test_normal_numbers_follow_their_distribution(spark, mean, sd):
+    from statistics import NormalDist
+
+    normal = NormalDist(mean, sd)
+    found = _draw(spark, lambda i, m, s: rnd.keyed_trunc_normal(7, 3, i, m, s), [(i, mean, sd) for i in range(400)])
+    u = {r["i"]: r["u"] for r in spark.range(400).select(F.col("id").alias("i"), rnd.keyed_uniform(7, 3, "id").alias("u")).collect()}
+    low, high = normal.cdf(max(0.0, mean - sd)), normal.cdf(mean + sd)
+    assert all(normal.cdf(x) == pytest.approx(low + u[i] * (high - low), abs=1e-12) for i, x in found.items())
+
+
+def test_normal_functions_to_the_last_digits(spark):
+    from statistics import NormalDist
+
+    normal = NormalDist()
+    rows = spark.range(-100, 101).select((F.col("id") / 100).alias("x")).select("x", rnd.normal_cdf(F.col("x")).alias("p")).select("x", "p", rnd.normal_quantile(F.col("p")).alias("y")).collect()
+    assert all(r["p"] == pytest.approx(normal.cdf(r["x"]), abs=1e-14) and r["y"] == pytest.approx(r["x"], abs=1e-13) for r in rows)
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.4, 2.5, 60.0])
+def test_poisson_numbers_count_the_terms_below(spark, rate):
+    import math
+
+    df = spark.range(500).select("id", rnd.keyed_uniform(5, 6, "id").alias("u"), rnd.keyed_poisson(5, 6, F.col("id"), F.lit(rate + 1)).alias("n"), rnd.keyed_poisson(5, 6, F.col("id"), F.lit(None).cast("double")).alias("none"))
+    for r in df.collect():
+        total, n, term = math.exp(-rate), 0, math.exp(-rate)
+        while total < r["u"]:
+            n += 1
+            term *= rate / n
+            total += term
+        assert r["n"] == n + 1 and r["none"] is None
 
 
 def test_classes_that_no_draw_satisfies_are_an_error(spark):
@@ -334,4 +386,6 @@ def test_connection_ids_start_below_zero(spark):
 
 def test_invariants_find_a_second_set(spark):
     df = spark.createDataFrame([(1, 2, 0.5), (1, 2, 0.6), (3, 4, 0.1), (3, 4, 0.1)], "src long, dst long, x double")
-    assert {(r["src"], r["n_sets"]) for r in quality.property_invariants(df, ["x"]).collect()} == {(1, 2), (3, 1)}
+    found = quality.property_invariants(df.withColumn("y", -F.col("x")), ["x"], ["x", "y"], F.col("x") > 0.1).collect()
+    assert {(r["src"], r["n_sets"], r["n_negative"], r["n_mismatched"]) for r in found} == {(1, 2, 2, 0), (3, 1, 2, 2)}
+    assert {(r["n_negative"], r["n_mismatched"]) for r in quality.property_invariants(df, ["x"]).collect()} == {(0, 0)}

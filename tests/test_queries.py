@@ -103,34 +103,6 @@ def test_gap_junctions_against_plain(spark, sf_dir, duck):
     assert all(r["synapse_id"] == r["efferent_junction_id"] and r["conductance"] == 0.75 for r in rows)
 
 
-def test_draws_against_plain(spark, sf_dir):
-    """The three distributions from their own numbers, one value at a time."""
-    import math
-    from statistics import NormalDist
-
-    from edgeworks.functions import random as rnd
-
-    normal = NormalDist()
-    got = {r["synapse_id"]: r["x"] for r in registry.QUERIES["keyed_trunc_normal"](spark, sf_dir).collect()}
-    for i in sorted(got)[:300]:
-        u = rnd.uniforms(fx.SEED, 0x1004, rnd.np.array([i]), 0)[0]
-        assert normal.cdf((got[i] - 0.25) / 0.13) == pytest.approx(normal.cdf(-1) + u * (normal.cdf(1) - normal.cdf(-1)), abs=1e-6)
-    got = {r["synapse_id"]: r["x"] for r in registry.QUERIES["keyed_gamma"](spark, sf_dir).collect()}
-    shape, scale = (0.33 / 0.28) ** 2, 0.28**2 / 0.33
-    d = shape - 1 / 3
-    for i in sorted(got)[:300]:
-        draw = 0
-        while True:
-            a, b = (rnd.uniforms(fx.SEED, 0x1001, rnd.np.array([i]), 6 * draw + k)[0] for k in (0, 1))
-            z = math.sqrt(-2 * math.log(a)) * math.cos(2 * math.pi * b)
-            u = rnd.uniforms(fx.SEED, 0x1001 ^ 0x5A5A, rnd.np.array([i]), draw)[0]
-            v = (1 + z / math.sqrt(9 * d)) ** 3
-            if v > 0 and math.log(u) < 0.5 * z * z + d * (1 - v + math.log(v)):
-                break
-            draw += 1
-        assert got[i] == pytest.approx(d * v * scale)
-
-
 def test_provenance(spark, sf_dir):
     rows = {r["key"]: r["value"] for r in registry.QUERIES["provenance_table"](spark, sf_dir).collect()}
     assert rows["run2_operators"] == "edge_merge" and rows["source_population_size"] == "10"
