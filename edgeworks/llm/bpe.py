@@ -9,9 +9,11 @@ caches; its database is closed at a partition's end; texts are read whole, in bl
 
 A text is cut at single spaces between visible characters first, where a pre-token always begins;
 the pattern itself runs on distinct pieces only. Texts with other white space at such places are
-matched whole. Words over LONG_BYTES take the same recursion with all places of the least pair in a step,
-every other one of overlapping places, where no lesser pair can arise from that token (else the leftmost
-place alone), and a bounded number of steps a query, so the rows held stay bounded for a word of any length.
+matched whole. Every word takes the same recursion, in queries of a bounded number of rows. One of over SEGMENT bytes is cut
+first where no merge can cross, which the merge table proves: where no token holds the bytes on both sides. What is left
+of over SEGMENT bytes is encoded in segments, and these are joined: the tokens around a border are encoded again as one
+word, and where the outermost ones stay as they are, all is right, since tokens are an encoding just if each two neighbours
+are one. So memory and steps of a query stay bounded for a word of any length.
 
 Defined cases: null is an empty text, which has no ids and decodes to no bytes; repeated rows are
 each encoded; ids outside the vocabulary raise a ValueError; other columns are carried along.
@@ -37,10 +39,12 @@ from .tables import read
 
 #: Entries and bytes of a cache before its half that was not met for longest goes.
 CACHE, CACHE_BYTES = 400_000, 32 << 20
-#: Words and bytes of a query, the size from which words are contracted at all places at once, and rows of such a query over all steps.
-WORDS_PER_QUERY, BYTES_PER_QUERY = 10_000, 200_000
-LONG_BYTES = 64
-LONG_ROWS = 1_000_000
+#: Words of a query and the rows that its steps may have, bytes of a segment, and segments and borders that are kept while words are joined.
+WORDS_PER_QUERY, ROWS_PER_QUERY = 10_000, 1_000_000
+SEGMENT = 64
+BORDERS = 100_000
+#: Ids of a run that decodes at once.
+RUN_IDS = 1024
 BLOCK_BYTES = 4 << 20
 DUCKDB_MEMORY = "150MB"
 
@@ -70,24 +74,6 @@ _ENCODE = f"""{_START}
         ) b ON s.word = b.word AND s.pos <> b.pos + 1
     {_END}"""
 
-#: The same for long words: hit marks the places of the least pair, chosen those contracted in this step.
-_ENCODE_LONG = f"""{_START}
-        SELECT word, pos, CASE WHEN chosen THEN least ELSE token END AS token,
-               CASE WHEN chosen THEN CASE WHEN chosen_2 THEN least ELSE token_2 END WHEN chosen_1 THEN least ELSE next END AS next, step + 1 AS step
-        FROM (
-            SELECT *, lag(chosen, 1, false) OVER w AS gone, lead(chosen, 1, false) OVER w AS chosen_1, lead(chosen, 2, false) OVER w AS chosen_2, lead(token, 2) OVER w AS token_2
-            FROM (
-                SELECT word, pos, token, next, step, least,
-                       hit AND (k - coalesce(max(CASE WHEN NOT hit THEN k END) OVER w, 0)) % 2 = 1
-                       AND (least NOT IN (SELECT token FROM single) OR k = min(CASE WHEN hit THEN k END) OVER (PARTITION BY word)) AS chosen
-                FROM (
-                    SELECT s.word, s.pos, s.token, s.next, s.step, b.least, s.merged IS NOT DISTINCT FROM b.least AS hit, row_number() OVER (PARTITION BY s.word ORDER BY s.pos) AS k
-                    FROM seq s JOIN (SELECT word, min(merged) AS least FROM seq WHERE merged IS NOT NULL AND step < {{steps}} GROUP BY word) b ON b.word = s.word
-                ) WINDOW w AS (PARTITION BY word ORDER BY pos)
-            ) WINDOW w AS (PARTITION BY word ORDER BY pos)
-        ) WHERE NOT gone
-    {_END}"""
-
 _DECODE = "SELECT run, string_agg(text, '' ORDER BY pos) AS text FROM runs JOIN vocabulary USING (id) GROUP BY run ORDER BY run"
 
 
@@ -120,8 +106,13 @@ class Codec:
                     merged.append(rank)
         left, right, merged = (np.array(x, np.int64) for x in (left, right, merged))
         self.merges = pa.table({"pair": (left << 32) + right, "merged": pa.array(merged, pa.int32())})
-        #: tokens from which a pair of lesser rank can arise, so that their pairs are contracted one by one
-        self.single = pa.table({"token": pa.array(np.unique([*left[merged < left], *right[merged < right]]), pa.int32())})
+        self.tokens = {rank: token for token, rank in ranks.items()}
+        #: pairs of bytes that are a token, and bits of the triples of bytes that a token holds
+        self.pairs, triples = np.zeros(1 << 16, bool), np.zeros(1 << 24, bool)
+        self.pairs[[int.from_bytes(t) for t in ranks if len(t) == 2]] = True
+        triples[[int.from_bytes(t[k : k + 3]) for t in ranks for k in range(len(t) - 2)]] = True
+        self.triples = np.packbits(triples)
+        self.borders: dict[bytes, list[int]] = {}
         self.byte_rank = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         # a byte is the character of the same number
         self.names = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "text": [t.decode("latin-1") for t in ranks]})
@@ -162,27 +153,96 @@ class Codec:
         data, at = flat(words)
         data, at = data[at[0] : at[-1]], at - at[0]
         size = np.diff(at)
-        long = bool(size.max(initial=0) > LONG_BYTES)
         token = self.byte_rank[data]
         last = np.zeros(len(token), bool)
         last[at[1:] - 1] = True
         state = pa.table({"word": pa.array(np.repeat(np.arange(len(words)), size), pa.int32()), "pos": pa.array(np.arange(len(token)) - np.repeat(at[:-1], size), pa.int32()), "token": pa.array(token, pa.int32()), "next": pa.array(np.append(token[1:], 0), pa.int32(), mask=last)})
-        self._need(merges=self.merges, single=self.single)
-        done = []
-        while state.num_rows:
-            steps = max(1, LONG_ROWS // state.num_rows)
-            out = self._query("initial", state, _ENCODE_LONG.format(steps=steps) if long else _ENCODE)
-            # words that used all steps of the query go on from where they are
-            goes_on = np.asarray(out["step"]) >= steps if long else np.zeros(out.num_rows, bool)
-            done.append(out.filter(pa.array(~goes_on)))
-            state = out.filter(pa.array(goes_on)).select(["word", "pos", "token", "next"])
-        out = pa.concat_tables(done)
+        self._need(merges=self.merges)
+        out = self._query("initial", state, _ENCODE)
         word, ids = np.asarray(out["word"]), np.asarray(out["token"])
-        if len(done) > 1:
-            order = np.argsort(word, kind="stable")
-            word, ids = word[order], ids[order]
         return binary(ids.astype("<u4").tobytes(), 4 * np.searchsorted(word, np.arange(len(words) + 1)))
 
+    @staticmethod
+    def _batches(size: np.ndarray) -> list[np.ndarray]:
+        """Places of words by query; a word of n bytes has up to n rows in each of up to n steps."""
+        part = np.maximum(np.arange(len(size)) // WORDS_PER_QUERY, np.cumsum(size * size // 2) // ROWS_PER_QUERY)
+        return np.split(np.arange(len(size)), np.flatnonzero(np.diff(part)) + 1) if len(size) else []
+
+    def _cut(self, word: bytes) -> list[bytes]:
+        """A word in parts between which no merge can cross: no token is the two bytes at a border, or holds them with one more."""
+        w = np.frombuffer(word, np.uint8).astype(np.int64)
+        two = w[:-1] << 8 | w[1:]
+        three = two[:-1] << 8 | w[2:]
+        inside = (self.triples[three >> 3] >> (7 - (three & 7)).astype(np.uint8) & 1).astype(bool)
+        crossed = self.pairs[two]
+        crossed[1:] |= inside
+        crossed[:-1] |= inside
+        ends = [0, *(np.flatnonzero(~crossed) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def _encoded(self, words: list[bytes]) -> None:
+        """Put the ids of words into borders."""
+        new = pa.array(list(dict.fromkeys(w for w in words if w not in self.borders)), pa.large_binary())
+        for own in self._batches(np.asarray(pc.binary_length(new), np.int64)):
+            part = new.slice(int(own[0]), len(own))
+            self.borders.update((w, np.frombuffer(ids, "<u4").tolist()) for w, ids in zip(part.to_pylist(), self._contract(part).to_pylist(), strict=True))
+
+    def _border(self, left: list[int], right: list[int], a: int, b: int) -> bytes:
+        return b"".join([self.tokens[i] for i in (*left[-a:], *right[:b])])
+
+    def _joined(self, left: list[int], right: list[int], a: int, b: int) -> tuple[bool, bool]:
+        """Whether the outermost tokens of a and b around a border stay as they are, or are the first and last there."""
+        found = self.borders[self._border(left, right, a, b)]
+        return a >= len(left) or found[0] == left[-a], b >= len(right) or found[-1] == right[b - 1]
+
+    def _fold(self, left: list[int], right: list[int]) -> list[int]:
+        """left with the text of right, segment by segment: for what repeats so evenly that all tokens of right move."""
+        text, left = b"".join([self.tokens[i] for i in right]), list(left)
+        for k in range(0, len(text), SEGMENT):
+            segment = text[k : k + SEGMENT]
+            self._encoded([segment])
+            own, a, b = self.borders[segment], 4, 4
+            while True:
+                border = self._border(left, own, a, b)
+                self._encoded([border])
+                good_a, good_b = self._joined(left, own, a, b)
+                if good_a and good_b:
+                    break
+                a, b = a if good_a else 2 * a, b if good_b else 2 * b
+            left[-a:] = self.borders[border] + own[b:]
+        return left
+
+    def _assemble(self, words: list[bytes]) -> list[list[int]]:
+        """Ids of long words: of their parts, or of the parts' segments, joined two by two; all borders of a round are encoded together."""
+        if len(self.borders) > BORDERS:
+            self.borders.clear()
+        parts = [(w, p) for w, word in enumerate(words) for p in self._cut(word)]
+        lists = [[p[k : k + SEGMENT] for k in range(0, len(p), SEGMENT)] for _, p in parts]
+        self._encoded([segment for own in lists for segment in own])
+        rows = [[self.borders[segment] for segment in own] for own in lists]
+        while any(len(own) > 1 for own in rows):
+            open_ = [(r, k, 4, 4) for r, own in enumerate(rows) for k in range(0, len(own) - 1, 2)]
+            merged = [[None if k + 1 < len(own) else own[k] for k in range(0, len(own), 2)] for own in rows]
+            while open_:
+                self._encoded([self._border(rows[r][k], rows[r][k + 1], a, b) for r, k, a, b in open_])
+                again = []
+                for r, k, a, b in open_:
+                    left, right = rows[r][k], rows[r][k + 1]
+                    border = self._border(left, right, a, b)
+                    good_a, good_b = self._joined(left, right, a, b)
+                    if good_a and good_b:
+                        merged[r][k // 2] = left[:-a] + self.borders[border] + right[b:]
+                    elif len(border) > 2 * SEGMENT:
+                        merged[r][k // 2] = self._fold(left, right)
+                    else:
+                        again.append((r, k, a if good_a else 2 * a, b if good_b else 2 * b))
+                open_ = again
+            rows = merged
+        out: list[list[int]] = [[] for _ in words]
+        for (w, _), own in zip(parts, rows, strict=True):
+            out[w] += own[0]
+        return out
+
     def _learn(self, tokens: pa.Array) -> None:
         """Put the packed ids of pre-tokens into the cache."""
         tokens = tokens.unique()
@@ -193,11 +253,14 @@ class Codec:
             self.words.add(tokens.filter(pa.array(whole)), self.vocabulary.values.take(pa.array(place[whole])))
         tokens = tokens.filter(pa.array(~whole))
         size = np.asarray(pc.binary_length(tokens), np.int64)
-        for rows in (np.flatnonzero(size <= LONG_BYTES), np.flatnonzero(size > LONG_BYTES)):
-            part = np.maximum(np.arange(len(rows)) // WORDS_PER_QUERY, np.cumsum(size[rows]) // BYTES_PER_QUERY)
-            for own in np.split(rows, np.flatnonzero(np.diff(part)) + 1) if len(rows) else ():
-                words = tokens.take(pa.array(own))
-                self.words.add(words, self._contract(words))
+        short = tokens.filter(pa.array(size <= SEGMENT))
+        for own in self._batches(size[size <= SEGMENT]):
+            words = short.slice(int(own[0]), len(own))
+            self.words.add(words, self._contract(words))
+        long = tokens.filter(pa.array(size > SEGMENT))
+        if len(long):
+            ids = self._assemble(long.to_pylist())
+            self.words.add(long, binary(np.array([i for x in ids for i in x], "<u4").tobytes(), 4 * np.cumsum([0, *map(len, ids)])))
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """Places in the cache of pieces with the space before them; unknown ones are matched and learnt."""
@@ -276,6 +339,8 @@ class Codec:
         if len(strange):
             raise ValueError(f"id {int(strange[0])} is not in the vocabulary")
         begins = self.starts_run[ids]
+        # bytes of ids may be put together in any parts
+        begins[::RUN_IDS] = True
         begins[bounds[:-1][np.diff(bounds) > 0]] = True
         starts = np.flatnonzero(begins)
         coded = binary(data, 4 * np.append(starts, len(ids))).dictionary_encode()
