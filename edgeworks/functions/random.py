@@ -25,6 +25,43 @@ def keyed_uniform(seed: int, key: int, row_id: Column | str, draw: Column | int
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("long") / F.lit(_SCALE)
 
 
+_WORD = (1 << 32) - 1
+# fixed values: rotations of eight rounds, and the parity word of the keys (Threefry 2x32, Salmon et al. 2011)
+ROTATIONS, PARITY, ROUNDS = (13, 15, 26, 6, 17, 29, 16, 24), 0x1BD11BDA, 20
+
+
+def counter_words(first: Column, second: Column, low: Column, high: Column) -> Column:
+    """Two words of 32 bits, as a struct of longs x and y, from a key of two words and a counter of two: rounds of addition, rotation and exclusive or, with a part of the key added every fourth.
+
+    Words of 32 bits in longs never overflow, so no mode of arithmetic matters.
+    """
+    mask = F.lit(_WORD)
+
+    def run(key: Column) -> Column:
+        keys = F.array(key["a"], key["b"], key["a"].bitwiseXOR(key["b"]).bitwiseXOR(F.lit(PARITY)))
+        start = F.struct((low + key["a"]).bitwiseAND(mask).alias("x"), (high + key["b"]).bitwiseAND(mask).alias("y"))
+        rotations = F.array(*[F.lit(r) for r in ROTATIONS])
+
+        def turn(s: Column, n: Column) -> Column:
+            by = F.get(rotations, n % len(ROTATIONS))
+            return _let((s["x"] + s["y"]).bitwiseAND(mask), lambda x: F.struct(x.alias("x"), F.call_function("shiftleft", s["y"], by).bitwiseOR(F.call_function("shiftright", s["y"], 32 - by)).bitwiseAND(mask).bitwiseXOR(x).alias("y")))
+
+        def inject(s: Column, n: Column) -> Column:
+            k = ((n + 1) / 4).cast("int")
+            return F.struct((s["x"] + F.get(keys, k % 3)).bitwiseAND(mask).alias("x"), (s["y"] + F.get(keys, (k + 1) % 3) + k).bitwiseAND(mask).alias("y"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, lambda s, n: F.when(n % 4 == 3, inject(turn(s, n), n)).otherwise(turn(s, n)))
+
+    return _let(F.struct(first.bitwiseAND(mask).alias("a"), second.bitwiseAND(mask).alias("b")), run)
+
+
+def keyed_counter(seed: int, key: int, row_id: Column | str, draw: int = 0) -> Column:
+    """A double in [0, 1) with 52 random bits, counted and not digested: the key is seed and key, the counter the id's two halves, the upper one with the draw."""
+    i = F.col(row_id).cast("long") if isinstance(row_id, str) else row_id.cast("long")
+    low, high = i.bitwiseAND(F.lit(_WORD)), F.shiftright(i, 32).bitwiseAND(F.lit(_WORD)).bitwiseXOR(F.lit(draw << 16 & _WORD))
+    return _let(counter_words(F.lit(seed), F.lit(key), low, high), lambda w: (F.shiftleft(F.shiftright(w["x"], 6), 26) + F.shiftright(w["y"], 6)) / F.lit(_SCALE))
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body of a value that is worked out once."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeworks.functions.bins import value_bins
-from edgeworks.functions.random import keyed_gamma, keyed_poisson, keyed_trunc_normal, keyed_uniform
+from edgeworks.functions.random import keyed_counter, keyed_gamma, keyed_poisson, keyed_trunc_normal, keyed_uniform
 from edgeworks.operators import geometry, ids, matching, model, properties, quality, rules, sampling
 from edgeworks.sources import fixtures as fx
 from edgeworks.sources import nodesets, tables
@@ -124,6 +124,14 @@ def keyed_uniform_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["keyed_uniform"], ORACLES["keyed_uniform"] = QUERIES.pop("keyed_uniform_column"), ORACLES.pop("keyed_uniform_column")
 
 
+@query(f"SELECT synapse_id, {fx.counter_sql(fx.SEED, 0x202, 'synapse_id')} AS u FROM edges", "edges")
+def keyed_counter_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.edges(spark, sf_dir).select("synapse_id", keyed_counter(fx.SEED, sampling.TOUCH, "synapse_id").alias("u"))
+
+
+QUERIES["keyed_counter"], ORACLES["keyed_counter"] = QUERIES.pop("keyed_counter_column"), ORACLES.pop("keyed_counter_column")
+
+
 @query("SELECT synapse_id, CASE WHEN spine_length >= 5 THEN 5 WHEN spine_length >= 4 THEN 4 WHEN spine_length >= 3 THEN 3 WHEN spine_length >= 2 THEN 2 WHEN spine_length >= 1 THEN 1 WHEN spine_length >= 0 THEN 0 ELSE -1 END AS bin FROM edges", "edges")
 def value_bin_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.edges(spark, sf_dir).select("synapse_id", value_bins(F.col("spine_length"), fx.SPINE_EDGES).alias("bin"))

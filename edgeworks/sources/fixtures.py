@@ -214,6 +214,19 @@ def _let_sql(value: str, name: str, body: str) -> str:
     return f"list_transform([{value}], lambda {name}: {body})[1]"
 
 
+def counter_sql(seed: int, key: int, row_id: str) -> str:
+    """The number of keyed_counter(), its rounds one in the other."""
+    mask, a, b = 2**32 - 1, seed % 2**32, key % 2**32
+    keys = (a, b, a ^ b ^ random.PARITY)
+    state = f"{{'x': (({row_id} & {mask}) + {a}) & {mask}, 'y': ((({row_id} >> 32) & {mask}) + {b}) & {mask}}}"
+    for n in range(random.ROUNDS):
+        r, k = random.ROTATIONS[n % 8], (n + 1) // 4
+        more = (keys[k % 3], keys[(k + 1) % 3] + k) if n % 4 == 3 else (0, 0)
+        turned = f"xor(((s.y << {r}) | (s.y >> {32 - r})) & {mask}, (s.x + s.y) & {mask})"
+        state = _let_sql(state, "s", f"{{'x': (s.x + s.y + {more[0]}) & {mask}, 'y': ({turned} + {more[1]}) & {mask}}}")
+    return _let_sql(state, "w", "(((w.x >> 6) << 26) + (w.y >> 6)) / 4503599627370496.0")
+
+
 def gamma_sql(seed: int, key: int, row_id: str, mean: str, sd: str) -> str:
     """The draw of keyed_gamma()."""
     shape = f"(({mean}) ** 2 / ({sd}) ** 2)"

@@ -330,6 +330,22 @@ def test_parameters_on_the_path_are_checked(spark):
     assert _draw(spark, normal, [(1, 3.0, 0.0)]) == {1: 3.0}
 
 
+KNOWN = [((0, 0, 0, 0), (0x6B200159, 0x99BA4EFE)), ((2**32 - 1,) * 4, (0x1CB996FC, 0xBB002BE7)), ((0x13198A2E, 0x03707344, 0x243F6A88, 0x85A308D3), (0xC4923A9C, 0x483DF7A0))]
+
+
+def test_counted_numbers(spark):
+    """The generator's published answers, and evenly spread numbers that differ by seed, key, draw and both halves of the id."""
+    for (a, b, x, y), want in KNOWN:
+        found = spark.range(1).select(rnd.counter_words(*map(F.lit, (a, b, x, y))).alias("w")).first()["w"]
+        assert (found["x"], found["y"]) == want
+    ids = spark.range(4000).select("id", (F.col("id") + (1 << 40)).alias("far"))
+    rows = ids.select(*[rnd.keyed_counter(*p).alias(str(k)) for k, p in enumerate([(1, 2, "id"), (2, 2, "id"), (1, 3, "id"), (1, 2, "id", 1), (1, 2, "far")])]).collect()
+    x = np.array([tuple(r) for r in rows])
+    assert x.min() >= 0 and x.max() < 1 and len(np.unique(x)) == x.size
+    assert np.abs(np.sort(x, axis=0) - (np.arange(4000)[:, None] + 0.5) / 4000).max() < 0.04
+    assert np.abs(np.corrcoef(x.T) - np.eye(5)).max() < 0.06
+
+
 @pytest.mark.parametrize(("mean", "sd"), [(0.33, 0.28), (1.0, 2.5), (706.0, 405.0), (10.0, 0.5)])
 def test_gamma_numbers_follow_their_distribution(spark, mean, sd):
     x = np.sort(list(_draw(spark, lambda i, m, s: rnd.keyed_gamma(7, 3, i, m, s), [(i, mean, sd) for i in range(6000)]).values()))
