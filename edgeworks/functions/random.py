@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
@@ -96,38 +97,41 @@ def keyed_gamma(seed: int, key: int, row_id: Column, mean: Column, sd: Column) -
 
 def normal_cdf(x: Column) -> Column:
     """The standard normal distribution function for x within -1 to 1, by its series around 0."""
-    out = F.lit(1.0)
-    for k in range(TERMS, 0, -1):
-        out = 1 + x * x / F.lit(2.0 * k + 1) * out
-    return 0.5 + x * F.exp(-0.5 * x * x) / F.sqrt(2 * F.pi()) * out
+
+    def series(x: Column, square: Column) -> Column:
+        out = F.lit(1.0)
+        for k in range(TERMS, 0, -1):
+            out = 1 + square / F.lit(2.0 * k + 1) * out
+        return 0.5 + x * F.exp(-0.5 * square) / F.sqrt(2 * F.pi()) * out
+
+    return _let(x, lambda x: _let(x * x, lambda square: series(x, square)))
 
 
 def normal_quantile(p: Column) -> Column:
     """The inverse of normal_cdf(), for p within 0.075 to 0.925."""
-    q = p - 0.5
-    r = F.lit(0.180625) - q * q
-    return q * _polynomial(QUANTILE_OVER, r) / _polynomial(QUANTILE_UNDER, r)
+    return _let(p - 0.5, lambda q: _let(F.lit(0.180625) - q * q, lambda r: q * _polynomial(QUANTILE_OVER, r) / _polynomial(QUANTILE_UNDER, r)))
 
 
 def keyed_trunc_normal(seed: int, key: int, row_id: Column, mean: Column, sd: Column) -> Column:
     """Normal numbers within one sd of the mean and not below zero, by the inverse distribution function."""
     # one of the sd is 0 where all numbers are the mean
     low = F.greatest(F.lit(-1.0), F.coalesce(F.try_divide(-mean, sd), F.lit(-1.0)))
-    a, b = normal_cdf(low), normal_cdf(F.lit(1.0))
-    value = _let(a, lambda a: F.greatest(F.lit(0.0), mean + sd * normal_quantile(a + keyed_uniform(seed, key, row_id) * (b - a))))
+    b = F.lit(0.5 + 0.5 * math.erf(math.sqrt(0.5)))
+    value = _let(normal_cdf(low), lambda a: F.greatest(F.lit(0.0), mean + sd * normal_quantile(a + keyed_uniform(seed, key, row_id) * (b - a))))
     return _known(mean, sd, (sd < 0) | (mean + sd < 0), "no value within one sd of the mean is zero or more", value)
 
 
 def keyed_poisson(seed: int, key: int, row_id: Column, k: Column) -> Column:
     """1 + Poisson(k - 1) for k of 1 or more, else 1: how many sums of the terms a number is above, and one."""
-    rate, u = F.greatest(F.lit(0.0), k - 1), keyed_uniform(seed, key, row_id)
+    rate = F.greatest(F.lit(0.0), k - 1)
     # so many terms that the rest of the tail has no number in it
     most = F.ceil(rate + 12 * F.sqrt(rate) + 24).cast("int")
 
     def step(s: Column, n: Column) -> Column:
-        return F.when(s["total"] >= u, s).otherwise(F.struct((s["term"] * rate / n).alias("term"), (s["total"] + s["term"] * rate / n).alias("total"), n.cast("long").alias("n")))
+        term = s["term"] * rate / n
+        return F.when(s["total"] >= s["u"], s).otherwise(F.struct(s["u"].alias("u"), term.alias("term"), (s["total"] + term).alias("total"), n.cast("long").alias("n")))
 
-    start = F.struct(F.exp(-rate).alias("term"), F.exp(-rate).alias("total"), F.lit(0).cast("long").alias("n"))
+    start = F.struct(keyed_uniform(seed, key, row_id).alias("u"), F.exp(-rate).alias("term"), F.exp(-rate).alias("total"), F.lit(0).cast("long").alias("n"))
     return F.when(k.isNotNull(), F.aggregate(F.sequence(F.lit(1), most), start, step, lambda s: s["n"] + 1))
 
 
