@@ -17,7 +17,7 @@ from edgeworks.functions.random import keyed_counter, keyed_gamma, keyed_poisson
 from edgeworks.operators import geometry, ids, matching, model, properties, quality, rules, sampling
 from edgeworks.sources import fixtures as fx
 from edgeworks.sources import nodesets, tables
-from edgeworks.sources.checkpoint import ensure_checkpoint_dir, written
+from edgeworks.sources.checkpoint import temporary, written
 
 from . import pipeline
 
@@ -42,9 +42,8 @@ def r6(column: Column | str) -> Column:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder among the shared ones."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    """A new folder among the shared ones, which goes when the application ends."""
+    return temporary(spark, name)
 
 
 def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -643,6 +642,33 @@ ORACLES["functional_preset"] = fx.with_sql("cut", "firstsec", instead=_FILTERED)
 )
 
 
+_CHANGED = "SELECT {0} AS run, '{1}' AS steps, count(*) AS n FROM edges WHERE {2} <= 0.6 AND distance_soma >= {3} AND spine_length >= {4}"
+
+
+@query(" UNION ALL ".join(_CHANGED.format(k, names, fx.uniform_sql(fx.SEED, 0x202, "synapse_id"), x, y) for k, names, x, y in ((1, "sample,far,long", 40, 1), (2, "far,long", 50, 1), (3, "", 50, 1), (4, "long", 40, 2))), "edges")
+def resumed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which steps run, and what is left, when a rule in the middle changes, when nothing does, and when the last one does after a return to the first rules."""
+    folder, inputs, ran, out = scratch(spark, "resume"), [sf_dir, uuid.uuid4().hex], [], []
+
+    def step(name: str, apply, parameters: object) -> pipeline.Step:
+        def seen(df: DataFrame) -> DataFrame:
+            ran.append(name)
+            return apply(df)
+
+        return pipeline.Step(name, seen, parameters, checkpoint=True)
+
+    for k, (distance, length) in enumerate(((40, 1), (50, 1), (50, 1), (40, 2)), 1):
+        steps = [
+            step("sample", lambda df: sampling.keyed_sample(df, 0.6, fx.SEED), [0.6, fx.SEED]),
+            step("far", lambda df, x=distance: df.where(F.col("distance_soma") >= x), distance),
+            step("long", lambda df, x=length: df.where(F.col("spine_length") >= x), length),
+        ]
+        ran.clear()
+        found = pipeline.run(spark, lambda: fx.edges(spark, sf_dir), inputs, steps, folder)
+        out.append(found.agg(F.lit(k).alias("run"), F.lit(",".join(ran)).alias("steps"), F.count("*").alias("n")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 @query()
 def provenance_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata of two inputs, of which the sizes come from the tables, merged and written with this run."""

@@ -21,10 +21,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def temporary(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder; what is there goes when the application ends."""
+    ensure_checkpoint_dir(spark)
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}")
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{folder.toString()}/data"
+
+
 def written(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict[str, object]]:
     """df from a Parquet copy in the shared checkpoint folder, and aggregates of it, observed in the run that writes it: one job, one reading."""
-    ensure_checkpoint_dir(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/written-{uuid.uuid4().hex}"
+    path = temporary(df.sparkSession, "written")
     seen = Observation()
     (df.observe(seen, *[m.alias(name) for name, m in metrics.items()]) if metrics else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get if metrics else {}

@@ -8,7 +8,6 @@ connection has about ten edges at every size. The nodes of reciprocal edges are
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,7 @@ from edgeworks.functions import random
 from edgeworks.operators.ids import dense_id
 from edgeworks.operators.model import assemble
 
-from .checkpoint import ensure_checkpoint_dir
+from .checkpoint import temporary
 from .package import ship
 from .tables import changed_at, checkpointed, folder_bytes
 
@@ -57,8 +56,7 @@ def stored(spark: SparkSession, name: str, sf_dir: str, make: Callable[[], DataF
     # a table that has changed under the same path makes a new one
     key = spark.sparkContext.applicationId, name, sf_dir, *(x(spark, f"{sf_dir}/lineitem.parquet") for x in (folder_bytes, changed_at))
     if key not in _stored:
-        ensure_checkpoint_dir(spark)
-        _stored[key] = f"{spark.sparkContext.getCheckpointDir()}/fixture-{name}-{uuid.uuid4().hex}"
+        _stored[key] = temporary(spark, f"fixture-{name}")
     return checkpointed(spark, make, _stored[key])
 
 
