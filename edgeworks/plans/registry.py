@@ -669,7 +669,11 @@ def resumed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
-@query()
+_RULES_TEXT = str(fx.CONNECTION_RULES).replace("'", "''")
+_PARTED = "FROM (SELECT synapse_id % 2 AS part, n, min(n) OVER () = max(n) OVER () AS same FROM (SELECT synapse_id % 2 AS synapse_id, count(*) AS n FROM edges GROUP BY 1)) WHERE NOT same OR part = 0"
+
+
+@query(f"SELECT key, value FROM (SELECT 'source_population_name' AS key, 'A' AS value UNION ALL SELECT 'source_population_size', CAST(count(*) AS VARCHAR) FROM srcn UNION ALL SELECT 'target_population_name', 'B' UNION ALL SELECT 'target_population_size', CAST(count(*) AS VARCHAR) FROM dstn UNION ALL SELECT CASE WHEN same THEN 'rows' ELSE 'merge' || part || '_rows' END, CAST(n AS VARCHAR) {_PARTED} UNION ALL SELECT CASE WHEN same THEN 'run1_version' ELSE 'merge' || part || '_run1_version' END, '1' {_PARTED} UNION ALL SELECT 'run2_version', '1' UNION ALL SELECT 'run2_operators', 'edge_merge' UNION ALL SELECT 'run2_rules_sha256', sha256('{_RULES_TEXT}'))", "edges", "srcn", "dstn")
 def provenance_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata of two inputs, of which the sizes come from the tables, merged and written with this run."""
     sizes = fx.edges(spark, sf_dir).groupBy((F.col("synapse_id") % 2).alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
