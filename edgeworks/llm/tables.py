@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeworks.sources.checkpoint import checkpoint, ensure_checkpoint_dir
+from edgeworks.sources.checkpoint import checkpoint, ensure_checkpoint_dir, temporary
 from edgeworks.sources.package import ship
 
 __all__ = ["checkpoint", "ensure_checkpoint_dir", "read", "stored"]
@@ -18,8 +16,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df from a Parquet copy in the shared checkpoint folder: smaller than a checkpoint, but without its order of rows and partitions."""
-    ensure_checkpoint_dir(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    """df from a Parquet copy in the shared checkpoint folder: smaller than a checkpoint, but without its order of rows and partitions. It goes when the application ends."""
+    path = temporary(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
