@@ -17,6 +17,11 @@ from edgeworks.sources.checkpoint import checkpoint, written
 DEEPEST = 10_000
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """df as the side of a join that is dealt by its key and sorted. Rows that are exploded, or packed well in their files, are far more than Spark's estimate says, which would send them whole to the driver for a broadcast."""
+    return df.hint("merge")
+
+
 def path_lengths(points: DataFrame) -> DataFrame:
     """points with path_length: length of the polyline up to each point."""
     w = Window.partitionBy("morphology", "section_id").orderBy("idx")
@@ -36,14 +41,14 @@ def ancestors(sections: DataFrame, of: DataFrame | None = None) -> DataFrame:
     The result has a row for each section and ancestor; what needs only sums or tests takes path_sums() or section_intervals().
     """
     jumps = sections.where("parent_id IS NOT NULL").select("morphology", "section_id", F.col("parent_id").alias("ancestor_id"))
-    chosen = sections if of is None else sections.join(of.select("morphology", "section_id"), ["morphology", "section_id"], "left_semi")
+    chosen = sections if of is None else sections.join(_dealt(of.select("morphology", "section_id")), ["morphology", "section_id"], "left_semi")
     ways = chosen.select("morphology", "section_id", F.col("section_id").alias("ancestor_id"), F.lit(0).alias("depth"))
     reach = 1
     while reach <= DEEPEST:
         onward = jumps.select("morphology", F.col("section_id").alias("ancestor_id"), F.col("ancestor_id").alias("next_id"))
-        jumped = ways.join(onward, ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("next_id").alias("ancestor_id"), (F.col("depth") + reach).alias("depth"))
+        jumped = ways.join(_dealt(onward), ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("next_id").alias("ancestor_id"), (F.col("depth") + reach).alias("depth"))
         ways = checkpoint(ways.unionByName(jumped))
-        jumps = checkpoint(jumps.join(onward, ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("next_id").alias("ancestor_id")))
+        jumps = checkpoint(jumps.join(_dealt(onward), ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("next_id").alias("ancestor_id")))
         reach *= 2
         if jumps.isEmpty():
             return ways
@@ -54,7 +59,7 @@ def _jumped(state: DataFrame, values: list[str]) -> DataFrame:
     """Each section's pointer moved on to where the section there points, with what that one has gathered added to its own."""
     onward = state.select("morphology", F.col("section_id").alias("to"), F.col("to").alias("next"), *[F.col(v).alias(f"next_{v}") for v in values])
     # a section that has arrived meets nothing: it would only crowd the exchange with null keys
-    moved = state.where("to IS NOT NULL").join(onward, ["morphology", "to"], "left")
+    moved = state.where("to IS NOT NULL").join(_dealt(onward), ["morphology", "to"], "left")
     moved = moved.select("morphology", "section_id", F.col("next").alias("to"), *[(F.col(v) + F.coalesce(f"next_{v}", F.lit(0))).alias(v) for v in values])
     return state.where("to IS NULL").select(*moved.columns).unionByName(moved)
 
@@ -80,7 +85,7 @@ def path_sums(sections: DataFrame, *values: str) -> DataFrame:
     a root have arrived from the start, so no round sends all sections to their root. A parent that is not there ends the way.
     """
     above = sections.select("morphology", F.col("section_id").alias("parent_id"), F.col("parent_id").alias("to"), *values)
-    start = sections.select("morphology", "section_id", "parent_id").join(above, ["morphology", "parent_id"], "left")
+    start = sections.select("morphology", "section_id", "parent_id").join(_dealt(above), ["morphology", "parent_id"], "left")
     start = start.withColumn("to", F.when(F.col("to").isNotNull(), F.col("parent_id"))).select("morphology", "section_id", "to", *[F.coalesce(v, F.lit(0)).alias(v) for v in values])
     return _rounds(start, lambda state: _jumped(state, list(values)))
 
@@ -90,12 +95,12 @@ def subtree_sizes(sections: DataFrame) -> DataFrame:
 
     def move(state: DataFrame) -> DataFrame:
         given = state.where("to IS NOT NULL").groupBy("morphology", F.col("to").alias("section_id")).agg(F.sum("size").alias("given"))
-        moved = _jumped(state, []).join(state.select("morphology", "section_id", "size"), ["morphology", "section_id"])
-        return moved.join(given, ["morphology", "section_id"], "left").withColumn("size", F.col("size") + F.coalesce("given", F.lit(0))).drop("given")
+        moved = _jumped(state, []).join(_dealt(state.select("morphology", "section_id", "size")), ["morphology", "section_id"])
+        return moved.join(_dealt(given), ["morphology", "section_id"], "left").withColumn("size", F.col("size") + F.coalesce("given", F.lit(0))).drop("given")
 
     # a parent that is not there gathers nothing
     known = sections.select("morphology", F.col("section_id").alias("parent_id"), F.col("section_id").alias("to"))
-    return _rounds(sections.join(known, ["morphology", "parent_id"], "left").select("morphology", "section_id", "to", F.lit(1).cast("long").alias("size")), move)
+    return _rounds(sections.join(_dealt(known), ["morphology", "parent_id"], "left").select("morphology", "section_id", "to", F.lit(1).cast("long").alias("size")), move)
 
 
 def section_intervals(sections: DataFrame) -> DataFrame:
@@ -104,34 +109,34 @@ def section_intervals(sections: DataFrame) -> DataFrame:
     Section a is b or above b just if a.enter <= b.enter <= a.leave, so no list of ancestors is needed. A section comes after its
     parent and what is below the siblings before it, which subtree sizes tell; the sums over the path above it do the rest.
     """
-    sized, _ = written(sections.select("morphology", "section_id", "parent_id").join(subtree_sizes(sections), ["morphology", "section_id"]))
+    sized, _ = written(sections.select("morphology", "section_id", "parent_id").join(_dealt(subtree_sizes(sections)), ["morphology", "section_id"]))
     before = Window.partitionBy("morphology", "parent_id").orderBy("section_id").rowsBetween(Window.unboundedPreceding, -1)
     step = F.coalesce(F.sum("size").over(before), F.lit(0)) + F.when(F.col("parent_id").isNull(), 0).otherwise(1)
     stepped, _ = written(sized.withColumn("step", step))
-    found = stepped.join(path_sums(stepped, "step").withColumnRenamed("step", "above"), ["morphology", "section_id"])
+    found = stepped.join(_dealt(path_sums(stepped, "step").withColumnRenamed("step", "above")), ["morphology", "section_id"])
     enter = F.col("above") + F.col("step")
     return found.select("morphology", "section_id", enter.alias("enter"), (enter + F.col("size") - 1).alias("leave"))
 
 
 def lengths_before(sections: DataFrame, points: DataFrame) -> DataFrame:
     """(morphology, section_id, before): length of all ancestor sections but the root itself, which is the body; ways start at its surface."""
-    known = sections.select("morphology", "section_id", "parent_id").join(section_lengths(points), ["morphology", "section_id"], "left")
+    known = sections.select("morphology", "section_id", "parent_id").join(_dealt(section_lengths(points)), ["morphology", "section_id"], "left")
     long = F.when(F.col("parent_id").isNotNull(), F.coalesce("length", F.lit(0.0))).otherwise(0.0)
     return path_sums(known.withColumn("before", long), "before")
 
 
 def root_distances(sections: DataFrame, points: DataFrame) -> DataFrame:
     """(morphology, section_id, idx, root_distance): own path length plus all ancestor sections but the root itself."""
-    own = path_lengths(points).join(lengths_before(sections, points), ["morphology", "section_id"], "left")
+    own = path_lengths(points).join(_dealt(lengths_before(sections, points)), ["morphology", "section_id"], "left")
     return own.select("morphology", "section_id", "idx", (F.coalesce("before", F.lit(0.0)) + F.col("path_length")).alias("root_distance"))
 
 
 def root_radii(sections: DataFrame, points: DataFrame) -> DataFrame:
     """(morphology, radius): the farthest root point from the root's centre, the mean of its points."""
-    root = points.join(sections.where("parent_id IS NULL").select("morphology", "section_id"), ["morphology", "section_id"])
+    root = points.join(_dealt(sections.where("parent_id IS NULL").select("morphology", "section_id")), ["morphology", "section_id"])
     centre = root.groupBy("morphology").agg(*[F.avg(c).alias(f"c{c}") for c in ("x", "y", "z")])
     away = F.sqrt(sum((F.col(c) - F.col(f"c{c}")) ** 2 for c in ("x", "y", "z")))
-    return root.join(centre, "morphology").groupBy("morphology").agg(F.max(away).alias("radius"))
+    return root.join(_dealt(centre), "morphology").groupBy("morphology").agg(F.max(away).alias("radius"))
 
 
 def first_section(sections: DataFrame, points: DataFrame, kind: int, reach: float = 0.5) -> DataFrame:
@@ -140,10 +145,10 @@ def first_section(sections: DataFrame, points: DataFrame, kind: int, reach: floa
     offset is the end of the first segment, reach at most.
     """
     first = checkpoint(sections.where(F.col("type") == kind).groupBy("morphology").agg(F.min("section_id").alias("section_id")))
-    own = points.join(first, ["morphology", "section_id"], "left_semi")
+    own = points.join(_dealt(first), ["morphology", "section_id"], "left_semi")
     span = path_lengths(own).groupBy("morphology", "section_id").agg(F.max(F.when(F.col("idx") == 1, F.col("path_length"))).alias("segment"), F.max("path_length").alias("length"))
     # trees without such a section are not measured
-    before = lengths_before(sections.join(first, "morphology", "left_semi"), points.join(first, "morphology", "left_semi"))
+    before = lengths_before(sections.join(_dealt(first), "morphology", "left_semi"), points.join(_dealt(first), "morphology", "left_semi"))
     offset = F.least(F.lit(reach), F.col("segment"))
     start = F.coalesce("before", F.lit(0.0))
-    return span.join(before, ["morphology", "section_id"], "left").select("morphology", "section_id", offset.alias("offset"), F.try_divide(offset, F.col("length")).alias("fraction"), (start + offset).alias("root_distance"))
+    return span.join(_dealt(before), ["morphology", "section_id"], "left").select("morphology", "section_id", offset.alias("offset"), F.try_divide(offset, F.col("length")).alias("fraction"), (start + offset).alias("root_distance"))

@@ -26,6 +26,8 @@ SRC_MTYPES, DST_MTYPES = 25, 6
 PATHWAY = (["src_mtype", "dst_mtype"], [SRC_MTYPES, DST_MTYPES])
 SECTION_KINDS = ("soma", "axon", "basal", "apical")
 SECTIONS, POINTS = 7, 6
+#: Morphologies that a task makes the sections and points of.
+MORPHOLOGIES = 20_000
 
 _EDGE_EXPR = {
     "distance_soma": "l_extendedprice / 1000",
@@ -104,17 +106,23 @@ def circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assemble(edges(spark, sf_dir), source_nodes(spark, sf_dir), target_nodes(spark, sf_dir))
 
 
+def _morphologies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts, dealt by morphology in tasks of about MORPHOLOGIES: their one small file would be exploded by a task or two."""
+    parts = table(spark, sf_dir, "part").selectExpr("concat('M', p_partkey) AS morphology", "p_partkey", "p_size")
+    return parts.repartition(parts.count() // MORPHOLOGIES + 1, "morphology")
+
+
 def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A binary tree of sections for each part; section 0 is the root."""
-    return table(spark, sf_dir, "part").selectExpr("concat('M', p_partkey) AS morphology", f"explode(sequence(0, {SECTIONS - 1})) AS section_id", "p_size").selectExpr("morphology", "section_id", "IF(section_id = 0, NULL, section_id div 2) AS parent_id", "IF(section_id = 0, 0, 1 + (section_id + p_size) % 3) AS type").withColumn("parent_id", F.col("parent_id").cast("int"))
+    return _morphologies(spark, sf_dir).selectExpr("morphology", f"explode(sequence(0, {SECTIONS - 1})) AS section_id", "p_size").selectExpr("morphology", "section_id", "IF(section_id = 0, NULL, section_id div 2) AS parent_id", "IF(section_id = 0, 0, 1 + (section_id + p_size) % 3) AS type").withColumn("parent_id", F.col("parent_id").cast("int"))
 
 
 _XYZ = ("(p_size % 7 + 1) * idx * 0.5 + section_id", "section_id * 2.0 + (idx * idx) % 5", "((p_partkey + idx) % 4) * 0.25")
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "part").selectExpr("*", f"explode(sequence(0, {SECTIONS - 1})) AS section_id").selectExpr("*", f"explode(sequence(0, {POINTS - 1})) AS idx")
-    return base.selectExpr("concat('M', p_partkey) AS morphology", "section_id", "idx", *[f"CAST({e} AS DOUBLE) AS {c}" for c, e in zip("xyz", _XYZ, strict=True)])
+    base = _morphologies(spark, sf_dir).selectExpr("*", f"explode(sequence(0, {SECTIONS - 1})) AS section_id").selectExpr("*", f"explode(sequence(0, {POINTS - 1})) AS idx")
+    return base.selectExpr("morphology", "section_id", "idx", *[f"CAST({e} AS DOUBLE) AS {c}" for c, e in zip("xyz", _XYZ, strict=True)])
 
 
 TOUCH_RULES = ((0, "NATION_1*", "*", "soma"), (1, "NATION_2", "SMALL", "*"), (2, "*", "M*", "basal"), (3, "NATION_*3", "*", "a*"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edgeworks.operators import geometry, matching
+from edgeworks.sources import fixtures as fx
 
 SECTION = "morphology string, section_id int, parent_id int, type int"
 
@@ -130,3 +131,20 @@ def test_equal_places_of_a_hot_connection_are_combined_first(spark):
     radii = spark.createDataFrame([("M", 1.0)], "morphology string, radius double")
     kept = matching.prune_near_root(edges, intervals, distances, radii)
     assert sorted(r["synapse_id"] for r in kept.collect()) == [9_999, 20_000]
+
+
+def test_trees_are_never_broadcast(spark, sf_dir, monkeypatch):
+    """Files of sections pack so well, and exploded rows are estimated so low, that a broadcast by Spark's estimate holds a whole forest in the driver."""
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    written, checkpoint = geometry.written, geometry.checkpoint
+    monkeypatch.setattr(geometry, "written", lambda df, **metrics: written(planned(df), **metrics))
+    monkeypatch.setattr(geometry, "checkpoint", lambda df: checkpoint(planned(df)))
+    sections, points = fx.sections(spark, sf_dir), fx.points(spark, sf_dir)
+    for found in (geometry.section_intervals(sections), geometry.root_distances(sections, points), geometry.root_radii(sections, points), geometry.first_section(sections, points, 1), geometry.ancestors(sections)):
+        planned(found)
+    assert len(plans) > 10 and not [p for p in plans if "BroadcastExchange" in p]
