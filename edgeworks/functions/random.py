@@ -1,10 +1,13 @@
-"""Random numbers that depend only on seed, key and row id, so partitioning never changes them. All are columns of built-in functions."""
+"""Random numbers that depend only on seed, key and row id, so partitioning never changes them. All but the counted ones are columns of built-in functions."""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,36 +34,47 @@ _WORD = (1 << 32) - 1
 ROTATIONS, PARITY, ROUNDS = (13, 15, 26, 6, 17, 29, 16, 24), 0x1BD11BDA, 20
 
 
-def counter_words(first: Column, second: Column, low: Column, high: Column) -> Column:
-    """Two words of 32 bits, as a struct of longs x and y, from a key of two words and a counter of two: rounds of addition, rotation and exclusive or, with a part of the key added every fourth.
+def _words(*words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two words of 32 bits from a key of two and a counter of two, given as longs whose upper halves don't count: rounds of addition, rotation and exclusive or, with a part of the key added every fourth."""
+    # words of 32 bits wrap by themselves
+    a, b, low, high = (np.asarray(w).astype(np.uint32) for w in words)
+    keys = (a, b, a ^ b ^ np.uint32(PARITY))
+    x, y = low + a, high + b
+    for n in range(ROUNDS):
+        r, k = ROTATIONS[n % len(ROTATIONS)], (n + 1) // 4
+        x = x + y
+        y = (y << np.uint32(r) | y >> np.uint32(32 - r)) ^ x
+        if n % 4 == 3:
+            x, y = x + keys[k % 3], y + keys[(k + 1) % 3] + np.uint32(k)
+    return x, y
 
-    Words of 32 bits in longs never overflow, so no mode of arithmetic matters.
-    """
-    mask = F.lit(_WORD)
 
-    def run(key: Column) -> Column:
-        keys = F.array(key["a"], key["b"], key["a"].bitwiseXOR(key["b"]).bitwiseXOR(F.lit(PARITY)))
-        start = F.struct((low + key["a"]).bitwiseAND(mask).alias("x"), (high + key["b"]).bitwiseAND(mask).alias("y"))
-        rotations = F.array(*[F.lit(r) for r in ROTATIONS])
+def counter_words(first: Column, second: Column, low: Column, high: Column) -> Column:
+    """Two words of 32 bits, as a struct of longs x and y, from a key of two words and a counter of two; null where one of them is."""
 
-        def turn(s: Column, n: Column) -> Column:
-            by = F.get(rotations, n % len(ROTATIONS))
-            return _let((s["x"] + s["y"]).bitwiseAND(mask), lambda x: F.struct(x.alias("x"), F.call_function("shiftleft", s["y"], by).bitwiseOR(F.call_function("shiftright", s["y"], 32 - by)).bitwiseAND(mask).bitwiseXOR(x).alias("y")))
+    @F.arrow_udf("struct<x:long,y:long>")
+    def run(a: pa.Array, b: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
+        known = pc.and_(pc.and_(a.is_valid(), b.is_valid()), pc.and_(x.is_valid(), y.is_valid()))
+        found = _words(*(np.asarray(pc.fill_null(c, 0)) for c in (a, b, x, y)))
+        return pa.StructArray.from_arrays([pa.array(w.astype(np.int64)) for w in found], names=["x", "y"], mask=pc.invert(known))
 
-        def inject(s: Column, n: Column) -> Column:
-            k = ((n + 1) / 4).cast("int")
-            return F.struct((s["x"] + F.get(keys, k % 3)).bitwiseAND(mask).alias("x"), (s["y"] + F.get(keys, (k + 1) % 3) + k).bitwiseAND(mask).alias("y"))
+    return run(*(c.cast("long") for c in (first, second, low, high)))
 
-        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, lambda s, n: F.when(n % 4 == 3, inject(turn(s, n), n)).otherwise(turn(s, n)))
 
-    return _let(F.struct(first.bitwiseAND(mask).alias("a"), second.bitwiseAND(mask).alias("b")), run)
+def keyed_counter(seed: int, key: int, row_id: Column | str, draw: int = 0) -> Column:
+    """A double in [0, 1) with 52 random bits, counted and not digested: the key is seed and key, the counter the id's two halves, the upper one with the draw.
 
+    Spark doesn't compile a value that is used twice a round, so the rounds run over whole Arrow batches.
+    """
+    one = lambda x: np.array([x & _WORD], np.int64)
 
-def keyed_counter(seed: int, key: int, row_id: Column | str, draw: int = 0) -> Column:
-    """A double in [0, 1) with 52 random bits, counted and not digested: the key is seed and key, the counter the id's two halves, the upper one with the draw."""
-    i = F.col(row_id).cast("long") if isinstance(row_id, str) else row_id.cast("long")
-    low, high = i.bitwiseAND(F.lit(_WORD)), F.shiftright(i, 32).bitwiseAND(F.lit(_WORD)).bitwiseXOR(F.lit(draw << 16 & _WORD))
-    return _let(counter_words(F.lit(seed), F.lit(key), low, high), lambda w: (F.shiftleft(F.shiftright(w["x"], 6), 26) + F.shiftright(w["y"], 6)) / F.lit(_SCALE))
+    @F.arrow_udf("double")
+    def run(ids: pa.Array) -> pa.Array:
+        i = np.asarray(pc.fill_null(ids, 0))
+        x, y = _words(one(seed), one(key), i & _WORD, i >> 32 & _WORD ^ draw << 16 & _WORD)
+        return pa.array(((x.astype(np.int64) >> 6 << 26) + (y.astype(np.int64) >> 6)) / _SCALE, mask=np.asarray(ids.is_null()))
+
+    return run((F.col(row_id) if isinstance(row_id, str) else row_id).cast("long"))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -346,6 +346,32 @@ def test_counted_numbers(spark):
     assert np.abs(np.corrcoef(x.T) - np.eye(5)).max() < 0.06
 
 
+def _counted(seed, key, i, draw):
+    """The number of keyed_counter() in plain integers."""
+    word = 2**32 - 1
+    a, b = seed & word, key & word
+    keys = (a, b, a ^ b ^ rnd.PARITY)
+    x, y = (i & word) + a & word, (i >> 32 & word ^ draw << 16 & word) + b & word
+    for n in range(rnd.ROUNDS):
+        r, k = rnd.ROTATIONS[n % 8], (n + 1) // 4
+        x = x + y & word
+        y = (y << r | y >> 32 - r) & word ^ x
+        if n % 4 == 3:
+            x, y = x + keys[k % 3] & word, y + keys[(k + 1) % 3] + k & word
+    return ((x >> 6 << 26) + (y >> 6)) / 2**52
+
+
+def test_counted_numbers_run_over_batches(spark):
+    """No row goes through rounds that Spark can't compile; null, negative and far ids have the numbers of plain integers."""
+    values = [None, 0, -1, 1, 2**31, 2**32, 2**53 + 1, -(2**63), 2**63 - 1]
+    ids = spark.createDataFrame([(v,) for v in values], "id long")
+    found = ids.select("id", *[rnd.keyed_counter(seed, key, "id", draw).alias(f"{k}") for k, (seed, key, draw) in enumerate([(20261, 0x202, 0), (-5, 2**40 + 3, 7)])])
+    assert "lambda" not in found._jdf.queryExecution().executedPlan().toString()
+    for i, *got in found.collect():
+        assert got == ([None] * 2 if i is None else [_counted(20261, 0x202, i, 0), _counted(-5, 2**40 + 3, i, 7)])
+    assert ids.where("id IS NULL").select(rnd.counter_words(*[F.lit(1)] * 3, F.col("id")).alias("w")).first()["w"] is None
+
+
 @pytest.mark.parametrize(("mean", "sd"), [(0.33, 0.28), (1.0, 2.5), (706.0, 405.0), (10.0, 0.5)])
 def test_gamma_numbers_follow_their_distribution(spark, mean, sd):
     x = np.sort(list(_draw(spark, lambda i, m, s: rnd.keyed_gamma(7, 3, i, m, s), [(i, mean, sd) for i in range(6000)]).values()))
