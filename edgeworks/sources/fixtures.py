@@ -63,7 +63,12 @@ def stored(spark: SparkSession, name: str, sf_dir: str, make: Callable[[], DataF
 
 
 def _raw(spark: SparkSession, sf_dir: str, src: str, dst: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(F.expr(src).alias("src"), F.expr(dst).alias("dst"), *[F.expr(e).alias(c) for c, e in _EDGE_EXPR.items()], *ORDER)
+    return table(spark, sf_dir, "lineitem").select(F.expr(src).alias("src"), F.expr(dst).alias("dst"), *ORDER, "l_quantity")
+
+
+def _numbered(raw: DataFrame) -> DataFrame:
+    """raw with dense ids and the other columns of edges. These follow from columns that the numbering deals and sorts anyway, so they are made after it."""
+    return dense_id(raw, ORDER).select("src", "dst", *[F.expr(e).alias(c) for c, e in _EDGE_EXPR.items()], "synapse_id")
 
 
 def raw_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,12 +77,12 @@ def raw_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(spark, "edges", sf_dir, lambda: dense_id(raw_edges(spark, sf_dir), ORDER).drop(*ORDER))
+    return stored(spark, "edges", sf_dir, lambda: _numbered(raw_edges(spark, sf_dir)))
 
 
 def reciprocal_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = math.floor(math.sqrt(table(spark, sf_dir, "lineitem").count() / PAIR_EDGES))
-    return stored(spark, "reciprocal", sf_dir, lambda: dense_id(_raw(spark, sf_dir, f"l_suppkey % {n}", f"l_partkey % {n}"), ORDER).drop(*ORDER))
+    return stored(spark, "reciprocal", sf_dir, lambda: _numbered(_raw(spark, sf_dir, f"l_suppkey % {n}", f"l_partkey % {n}")))
 
 
 def source_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -431,3 +431,13 @@ def test_invariants_find_a_second_set(spark):
     found = quality.property_invariants(df.withColumn("y", -F.col("x")), ["x"], ["x", "y"], F.col("x") > 0.1).collect()
     assert {(r["src"], r["n_sets"], r["n_negative"], r["n_mismatched"]) for r in found} == {(1, 2, 2, 0), (3, 1, 2, 2)}
     assert {(r["n_negative"], r["n_mismatched"]) for r in quality.property_invariants(df, ["x"]).collect()} == {(0, 0)}
+
+
+def test_edges_are_numbered_on_few_columns(spark, sf_dir, monkeypatch):
+    """What follows from columns that the numbering needs anyway is not dealt and sorted with them."""
+    seen, number = [], fx.dense_id
+    monkeypatch.setattr(fx, "dense_id", lambda df, order: number(seen.append(set(df.columns)) or df, order))
+    monkeypatch.setattr(fx, "stored", lambda spark, name, sf_dir, make: make())
+    for make in (fx.edges, fx.reciprocal_edges):
+        assert make(spark, sf_dir).columns == ["src", "dst", *fx._EDGE_EXPR, "synapse_id"]
+    assert seen == [{"src", "dst", "l_quantity", *fx.ORDER}] * 2
