@@ -13,15 +13,12 @@ from pyspark.sql import functions as F
 
 from edgeworks.sources.checkpoint import checkpoint, written
 
+from .model import dealt as _dealt
+
 #: Longest way to a root; a longer one is a cycle.
 DEEPEST = 10_000
 
 
-def _dealt(df: DataFrame) -> DataFrame:
-    """df as the side of a join that is dealt by its key and sorted. Rows that are exploded, or packed well in their files, are far more than Spark's estimate says, which would send them whole to the driver for a broadcast."""
-    return df.hint("merge")
-
-
 def path_lengths(points: DataFrame) -> DataFrame:
     """points with path_length: length of the polyline up to each point."""
     w = Window.partitionBy("morphology", "section_id").orderBy("idx")

@@ -7,12 +7,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Nodes of a table that Spark may send to all tasks; more are dealt by id.
+MOST_SENT = 100_000
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """df as the side of a join that is dealt by its key and sorted. Rows that are exploded, or packed well in their files, are far more than Spark's estimate says, which would send them whole to the driver for a broadcast."""
+    return df.hint("merge")
+
 
 def assemble(edges: DataFrame, source: DataFrame, target: DataFrame, node_id: str = "id") -> DataFrame:
     """Edges with the attributes of both ends as src_* and dst_*; an edge without an end vanishes."""
 
     def side(nodes: DataFrame, name: str) -> DataFrame:
-        return nodes.withColumnsRenamed({c: name if c == node_id else f"{name}_{c}" for c in nodes.columns})
+        named = nodes.withColumnsRenamed({c: name if c == node_id else f"{name}_{c}" for c in nodes.columns})
+        return dealt(named) if nodes.select(node_id).limit(MOST_SENT + 1).count() > MOST_SENT else named
 
     return edges.join(side(source, "src"), "src").join(side(target, "dst"), "dst")
 

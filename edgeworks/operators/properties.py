@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from edgeworks.functions.random import check_params, keyed_gamma, keyed_poisson, keyed_trunc_normal
 
+from .model import dealt
+
 AXON = 1
 # fixed values: property, key of its random numbers, and how it is drawn
 DRAWS = (
@@ -30,14 +32,14 @@ def class_threshold(df: DataFrame, distance: str, class_code: str, least: dict[i
 def min_distance_by_key(df: DataFrame, radii: DataFrame, distance: str = "distance_soma", key: str = "dst_morphology") -> DataFrame:
     """Rows at least as far as the radius of their morphology; without a radius they go."""
     limits = radii.select(F.col("morphology").alias(key), F.col("radius").alias("__radius"))
-    return df.join(limits, key).where(F.col(distance) >= F.col("__radius")).select(*df.columns)
+    return df.join(dealt(limits), key).where(F.col(distance) >= F.col("__radius")).select(*df.columns)
 
 
 def reposition(df: DataFrame, covered: DataFrame, columns: list[str], targets: DataFrame, key: str = "src_morphology") -> DataFrame:
     """Move edges whose codes are in covered to the target on their axon; all others stay as they are."""
     flags = covered.select(*columns).distinct().withColumn("__moved", F.lit(True))
     places = targets.select(F.col("morphology").alias(key), F.col("section_id").alias("__section"), F.col("offset").alias("__offset"), F.col("fraction").alias("__fraction"), F.col("root_distance").alias("__root"))
-    joined = df.join(flags, columns, "left").join(places, key, "left")
+    joined = df.join(flags, columns, "left").join(dealt(places), key, "left")
     moved = F.coalesce("__moved", F.lit(False)) & F.col("__section").isNotNull()
     new = {"afferent_section_id": F.col("__section"), "afferent_section_type": F.lit(AXON), "afferent_segment_id": F.lit(0), "afferent_segment_offset": F.col("__offset"), "afferent_section_pos": F.col("__fraction"), "distance_soma": F.col("__root")}
     always = {"afferent_segment_offset": F.lit(None).cast("double")}

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from edgeworks.operators import geometry, matching
+from edgeworks.operators import geometry, matching, model, properties
 from edgeworks.sources import fixtures as fx
 
 SECTION = "morphology string, section_id int, parent_id int, type int"
@@ -148,3 +148,20 @@ def test_trees_are_never_broadcast(spark, sf_dir, monkeypatch):
     for found in (geometry.section_intervals(sections), geometry.root_distances(sections, points), geometry.root_radii(sections, points), geometry.first_section(sections, points, 1), geometry.ancestors(sections)):
         planned(found)
     assert len(plans) > 10 and not [p for p in plans if "BroadcastExchange" in p]
+
+
+def test_what_grows_is_not_broadcast_to_edges(spark, sf_dir, monkeypatch):
+    """Radii, places on axons, intervals and distances have a row a morphology or more; node tables over MOST_SENT rows are dealt too."""
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    edges = spark.range(100).selectExpr("id AS src", "id AS dst", "id AS synapse_id", "concat('M', id) AS src_morphology", "concat('M', id) AS dst_morphology", "1.0D AS distance_soma", "0 AS efferent_section_id", "0 AS efferent_segment_id", "0 AS afferent_section_id", "0 AS afferent_segment_id", "id AS efferent_junction_id", "id AS afferent_junction_id", "0 AS code")
+    many = spark.range(1000).selectExpr("concat('M', id) AS morphology", "0 AS section_id", "0 AS idx", "1.0D AS radius", "1.0D AS root_distance", "0L AS enter", "0L AS leave", "0.5D AS offset", "0.5D AS fraction", "id")
+    moved = properties.reposition(edges, spark.range(0).selectExpr("0 AS code"), ["code"], many)
+    # only the table of the pathways that move is small
+    assert text(moved).count("BroadcastExchange") == 1
+    assert "BroadcastExchange" not in text(properties.min_distance_by_key(edges, many.select("morphology", "radius")))
+    places = many.select("morphology", "section_id", "idx", "root_distance"), many.select("morphology", "radius")
+    assert "BroadcastExchange" not in text(matching.prune_near_root(edges, many.select("morphology", "section_id", "enter", "leave"), *places))
+    assert "BroadcastExchange" not in text(matching.match_reciprocal(edges))
+    few, nodes = spark.range(10).selectExpr("id", "'a' AS x"), many.select("id", "morphology")
+    monkeypatch.setattr(model, "MOST_SENT", 999)
+    assert text(model.assemble(edges.select("src", "dst", "synapse_id"), few, nodes)).count("BroadcastExchange") == 1
