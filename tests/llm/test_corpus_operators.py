@@ -279,6 +279,30 @@ def test_every_copy_in_a_hub_counts(spark, make_docs):
     assert spans == {0: [(30, 90), (290, 350)], 2: [(30, 90), (290, 350)], 1: [(30, 480)], 3: [(30, 480)]}
 
 
+def test_no_pair_at_the_threshold_is_left_out(spark, make_docs):
+    """40 words of which 8 are replaced, and passages all of whose seeds occur, a few at a time, in other texts too, which may be their hubs."""
+    rng = random.Random(29)
+    new = iter(range(10**6))
+    text = lambda n: [f"t{next(new)}" for _ in range(n)]
+    docs, pairs, alone = [], [], []
+
+    def add(*parts):
+        docs.append(" ".join(w for p in parts for w in p))
+        return len(docs) - 1
+
+    for n in range(120):
+        a = text(40)
+        b = list(a)
+        for k in [4, 9, 14, 19, 24, 29, 34, 37] if n % 2 else rng.sample(range(1, 39), 8):
+            b[k] = f"zz{next(new)}"
+        pairs.append((add(text(50), a, text(50)), add(text(50), b, text(50))))
+        if n % 3 == 0:
+            alone += [add(*[x for k in range(0, 36, 6) for x in (a[k : k + 9], text(12))]) for _ in range(4)]
+    got = {r["doc_id"]: r for r in passages.repeated_passages(make_docs(docs)).collect()}
+    assert all(got[a]["n_links"] == got[b]["n_links"] == 1 and got[a]["class_id"] == got[b]["class_id"] for a, b in pairs)
+    assert all(got[i]["n_links"] < 4 for i in alone)
+
+
 # -- pipeline ---------------------------------------------------------------------------------
 
 
