@@ -17,6 +17,8 @@ from .model import dealt as _dealt
 
 #: Longest way to a root; a longer one is a cycle.
 DEEPEST = 10_000
+#: Rows of either side of a join of ways and jumps that a task has on average.
+TASK_ROWS = 250_000
 
 
 def path_lengths(points: DataFrame) -> DataFrame:
@@ -34,22 +36,28 @@ def ancestors(sections: DataFrame, of: DataFrame | None = None) -> DataFrame:
     """(morphology, section_id, ancestor_id, depth): each section, or those of (morphology, section_id), with itself and all sections on its way to the root.
 
     Doubling: a table of ways of length up to 2**k and of jumps of exactly 2**k, so the number of
-    joins is the logarithm of the deepest tree. Both are written each round, which keeps the plan of one round small.
+    joins is the logarithm of the deepest tree. The ways and jumps that a round finds are written once and counted there; the next round
+    deals them by these counts, as rows that pack well would else be put together in tasks by their packed bytes.
     The result has a row for each section and ancestor; what needs only sums or tests takes path_sums() or section_intervals().
     """
-    jumps = sections.where("parent_id IS NOT NULL").select("morphology", "section_id", F.col("parent_id").alias("ancestor_id"))
+    n, place = F.count("*"), ["morphology", "ancestor_id"]
+
+    def spread(df: DataFrame, tasks: int) -> DataFrame:
+        return df.repartition(tasks, *place) if tasks > 1 else df
+
+    jumps, jumped = written(sections.where("parent_id IS NOT NULL").select("morphology", "section_id", F.col("parent_id").alias("ancestor_id")), n=n)
     chosen = sections if of is None else sections.join(_dealt(of.select("morphology", "section_id")), ["morphology", "section_id"], "left_semi")
-    ways = chosen.select("morphology", "section_id", F.col("section_id").alias("ancestor_id"), F.lit(0).alias("depth"))
-    reach = 1
-    while reach <= DEEPEST:
-        onward = jumps.select("morphology", F.col("section_id").alias("ancestor_id"), F.col("ancestor_id").alias("next_id"))
-        jumped = ways.join(_dealt(onward), ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("next_id").alias("ancestor_id"), (F.col("depth") + reach).alias("depth"))
-        ways = checkpoint(ways.unionByName(jumped))
-        jumps = checkpoint(jumps.join(_dealt(onward), ["morphology", "ancestor_id"]).select("morphology", "section_id", F.col("next_id").alias("ancestor_id")))
-        reach *= 2
-        if jumps.isEmpty():
-            return ways
-    raise ValueError("sections form a cycle")
+    ways, found = written(chosen.select("morphology", "section_id", F.col("section_id").alias("ancestor_id"), F.lit(0).alias("depth")), n=n)
+    reach, rows = 1, found["n"]
+    while jumped["n"]:
+        if reach > DEEPEST:
+            raise ValueError("sections form a cycle")
+        tasks = max(rows, jumped["n"]) // TASK_ROWS + 1
+        onward = _dealt(spread(jumps.select("morphology", F.col("section_id").alias("ancestor_id"), F.col("ancestor_id").alias("next_id")), tasks))
+        longer, found = written(spread(ways, tasks).join(onward, place).select("morphology", "section_id", F.col("next_id").alias("ancestor_id"), (F.col("depth") + reach).alias("depth")), n=n)
+        jumps, jumped = written(spread(jumps, tasks).join(onward, place).select("morphology", "section_id", F.col("next_id").alias("ancestor_id")), n=n)
+        ways, rows, reach = ways.unionByName(longer), rows + found["n"], 2 * reach
+    return ways
 
 
 def _jumped(state: DataFrame, values: list[str]) -> DataFrame:

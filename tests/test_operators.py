@@ -295,6 +295,22 @@ def test_deep_trees_keep_small_plans(spark):
         geometry.ancestors(spark.createDataFrame([("M", 0, 1, 1), ("M", 1, 0, 1)], sections.schema))
 
 
+def test_ancestors_are_dealt_by_rows(spark, monkeypatch):
+    sections = spark.createDataFrame([(f"M{k // 64}", k % 64, k % 64 - 1 if k % 64 else None, 1) for k in range(640)], "morphology string, section_id int, parent_id int, type int")
+    tasks, own = [], geometry.written
+
+    def counted(df, **metrics):
+        tasks.append(df.rdd.getNumPartitions())
+        return own(df, **metrics)
+
+    monkeypatch.setattr(geometry, "written", counted)
+    monkeypatch.setattr(geometry, "TASK_ROWS", 100, raising=False)
+    above = geometry.ancestors(sections)
+    assert above.count() == 10 * 64 * 65 // 2 and above.distinct().count() == above.count()
+    # from the third round on there are over 2,000 ways
+    assert max(tasks) >= 20
+
+
 def test_bucketed_checkpoint_joins_without_exchange(spark, sf_dir):
     df = fx.edges(spark, sf_dir).select("src", "dst", "synapse_id")
     table = tables.checkpointed_table(spark, lambda: df, "edges_by_pair", ["src", "dst"], 8)
