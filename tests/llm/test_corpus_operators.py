@@ -432,3 +432,28 @@ def test_hot_keys_are_joined_apart(spark):
     for how in ("inner", "left"):
         got = sorted(map(tuple, components.join_hot(rows, facts, "k", how).select("k", "v", "top").collect()), key=repr)
         assert got == sorted(map(tuple, rows.join(facts.drop("n"), "k", how).select("k", "v", "top").collect()), key=repr)
+
+
+def test_seeds_of_long_parts_meet(spark, monkeypatch):
+    import itertools
+
+    import pyarrow as pa
+
+    for name, value in (("LONG", 300), ("HELD", 50), ("PACKED", 100)):
+        monkeypatch.setattr(passages, name, value, raising=False)
+    rng = random.Random(5)
+    common = [rng.choices([f"w{k}" for k in range(3000)], k=12) for _ in range(12)]
+    texts = [(i, " ".join(sum(rng.sample(common[:3] if i % 2 else common, 2), []) + [f"x{rng.randrange(300)}" for _ in range(20)])) for i in range(60)]
+    # a copy of a text lies in another task
+    docs = spark.createDataFrame([*texts, *texts[:5]], "node long, text string").repartition(3)
+    places = collections.defaultdict(set)
+    for nodes, h, first_word, _ in passages._word_hashes(iter([pa.RecordBatch.from_pydict({"node": [t[0] for t in texts], "text": [t[1] for t in texts]})])):
+        for at, key in zip(*passages.seed_places(h, first_word), strict=True):
+            row = int(np.searchsorted(first_word, at, "right")) - 1
+            places[int(key.view(np.int64))].add((int(nodes[row]), int(at - first_word[row])))
+    often = {(k, *p) for k, own in places.items() if len({n for n, _ in own}) > passages.FEW for p in own}
+    pairs = collections.Counter((a, x, b, y) for own in places.values() if 1 < len({n for n, _ in own}) <= passages.FEW for (a, x), (b, y) in itertools.combinations(sorted(own), 2) if a != b)
+    rows = [r for turn in range(passages.TURNS) for r in passages.seed_meetings(docs, turn, 2).collect()]
+    assert often and pairs
+    assert {(r["key"], r["a"], r["xs"]) for r in rows if r["b"] is None} == often
+    assert collections.Counter((r["a"], r["xs"], r["b"], r["ys"]) for r in rows if r["b"] is not None) == pairs
