@@ -457,3 +457,24 @@ def test_seeds_of_long_parts_meet(spark, monkeypatch):
     assert often and pairs
     assert {(r["key"], r["a"], r["xs"]) for r in rows if r["b"] is None} == often
     assert collections.Counter((r["a"], r["xs"], r["b"], r["ys"]) for r in rows if r["b"] is not None) == pairs
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 100])
+def test_tables_have_whole_groups(size):
+    import pyarrow as pa
+
+    rng = random.Random(size)
+    rows = sorted((rng.randrange(4), rng.randrange(3), k) for k in range(60))
+    table = pa.table({c: [r[i] for r in rows] for i, c in enumerate("abk")})
+    found = [list(zip(*(t[c].to_pylist() for c in "abk"), strict=True)) for t in passages._whole_groups(iter(table.to_batches(size)), 2)]
+    assert [r for t in found for r in t] == rows
+    groups = [{r[:2] for r in t} for t in found]
+    assert all(not x & y for i, x in enumerate(groups) for y in groups[:i])
+
+
+def test_lone_seeds_without_enough_equal_words_end_early(monkeypatch):
+    # no table of runs is made for a seed whose surroundings have nothing in common
+    a, b = np.arange(200, dtype=np.uint16), np.arange(1000, 1200, dtype=np.uint16)
+    b[100:104] = a[90:94]
+    monkeypatch.setattr(passages.np, "array", None)
+    assert passages.align([90], [100], 0, a, 0, b) == []
